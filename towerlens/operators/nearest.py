@@ -248,9 +248,19 @@ def _nearest_broadcast(left, right_pts, rcols, left_xy, dist_col, how, metric, m
 
 def _nearest_shuffle(left, right_pts, rcols, left_xy, left_keys, dist_col, how, metric, max_distance,
                      levels, hot_rows):
+    """Level by level, each level materialized once with a reliable checkpoint.
+
+    The checkpoint (in ``spark.checkpoint.dir``) cuts the lineage, so a lost
+    executor recomputes at most one level, and later levels never re-run
+    earlier ones.  Levels stop as soon as every left row is proven.
+    """
+    from towerlens.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(left.sparkSession)
     out_cols = list(left.columns)
     other = [c for c in out_cols if c not in left_keys]
-    base = left.select(*left_keys, F.struct(*[F.col(c) for c in other]).alias("_lrow") if other else F.lit(None).alias("_lrow"),
+    lrow = F.struct(*[F.col(c) for c in other]) if other else F.lit(None)
+    base = left.select(*left_keys, lrow.alias("_lrow"),
                        F.col(left_xy[0]).cast("double").alias("_lx"), F.col(left_xy[1]).cast("double").alias("_ly"))
     pending = base.filter(F.col("_lx").isNotNull() & F.col("_ly").isNotNull())
     results = []
@@ -262,7 +272,7 @@ def _nearest_shuffle(left, right_pts, rcols, left_xy, left_keys, dist_col, how,
         cx, cy = _cell_xy_sql("_lx", "_ly", g, nrows)
         lk = pending.withColumn("_k", F.expr(_cell_key_sql(cx, cy, ncols)))
         pairs = salted_join(lk, rgrid, ["_k"], "left", salt_cols=left_keys, **kw)
-        d = _distance(metric, F.col("_lx"), F.col("_ly"), F.col("_rx"), F.col("_ry"))
+        d = F.expr(_distance_sql(metric, "_lx", "_ly", "_rx", "_ry"))
         best = F.min(F.when(F.col("_rx").isNotNull(), F.struct(
             F.floor(d * _TIE_SCALE).alias("dk"), *[F.col(r).alias(r) for r in rcols], d.alias("d"))))
         agg = pairs.groupBy(*left_keys).agg(F.first("_lrow").alias("_lrow"), F.first("_lx").alias("_lx"),
@@ -272,20 +282,18 @@ def _nearest_shuffle(left, right_pts, rcols, left_xy, left_keys, dist_col, how,
         if max_distance is not None:
             proven = proven | (clear > F.lit(float(max_distance)))
         proven = F.lit(True) if last else F.coalesce(F.when(F.col("_best").isNotNull(), proven), F.lit(False))
-        agg = agg.withColumn("_proven", proven)
+        agg = agg.withColumn("_proven", proven).checkpoint(eager=True)
         results.append(agg.filter("_proven").drop("_proven"))
-        if last:
-            break
         pending = agg.filter(~F.col("_proven")).select(*left_keys, "_lrow", "_lx", "_ly")
+        if last or pending.isEmpty():
+            break
     res = results[0]
     for r in results[1:]:
         res = res.unionByName(r)
     if max_distance is not None:
         res = res.withColumn("_best", F.when(F.col("_best")["d"] <= F.lit(float(max_distance)), F.col("_best")))
     res = res.filter(F.col("_best").isNotNull()) if how == "inner" else res
-    sel = []
-    for c in out_cols:
-        sel.append(F.col(c) if c in left_keys else F.col("_lrow")[c].alias(c))
+    sel = [F.col(c) if c in left_keys else F.col("_lrow")[c].alias(c) for c in out_cols]
     res = res.select(*sel, *[F.col("_best")[r].alias(r) for r in rcols], F.col("_best")["d"].alias(dist_col))
     if how == "left":
         # rows with NULL coordinates never entered the search; add them back

@@ -104,9 +104,7 @@ def buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
 BUILDINGS_SQL = f"""buildings AS (
   SELECT c_custkey AS building_id,
          CASE WHEN c_custkey % 11 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(3 + c_custkey % 40 AS DOUBLE) END AS height,
-         {_rect_wkt_sql(loc_lon_sql('c_custkey'), loc_lat_sql('c_custkey'), '((1 + c_custkey % 5) / 1e5)', '((1 + c_custkey % 3) / 1e5)')} AS geometry,
-         {loc_lon_sql('c_custkey')} AS centroid_lon,
-         {loc_lat_sql('c_custkey')} AS centroid_lat
+         {_rect_wkt_sql(loc_lon_sql('c_custkey'), loc_lat_sql('c_custkey'), '((1 + c_custkey % 5) / 1e5)', '((1 + c_custkey % 3) / 1e5)')} AS geometry
   FROM customer)"""
 
 
@@ -323,3 +321,57 @@ def opencellid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(1600000000) + kk * 3600).cast("string").alias("updated"),
         (-(F.lit(60) + kk % 40)).cast("string").alias("averageSignal"),
     )
+
+
+# ------------------------------------------------------------------ shapes for validity checks
+def test_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """shape_id, wkt -- from customer: valid rectangles plus unclosed, 3-point,
+    zero-area and non-polygon shapes chosen by key."""
+    c = table(spark, sf_dir, "customer").select("c_custkey")
+    k = F.col("c_custkey")
+    x1, y1 = _f5(loc_lon(k) - F.lit(1e-4)), _f5(loc_lat(k) - F.lit(1e-4))
+    x2, y2 = _f5(loc_lon(k) + F.lit(1e-4)), _f5(loc_lat(k) + F.lit(1e-4))
+    x3 = _f5(loc_lon(k) + F.lit(3e-4))
+
+    def poly(*pts):
+        body = []
+        for i, (x, y) in enumerate(pts):
+            if i:
+                body.append(F.lit(", "))
+            body += [x, F.lit(" "), y]
+        return F.concat(F.lit("POLYGON (("), *body, F.lit("))"))
+
+    wkt = (F.when(k % 7 == 0, poly((x1, y1), (x2, y1), (x2, y2), (x1, y2)))
+           .when(k % 13 == 0, poly((x1, y1), (x2, y1), (x1, y1)))
+           .when(k % 5 == 0, poly((x1, y1), (x2, y1), (x3, y1), (x1, y1)))
+           .when(k % 11 == 0, F.concat(F.lit("LINESTRING ("), x1, F.lit(" "), y1, F.lit(", "), x2, F.lit(" "), y2,
+                                       F.lit(")")))
+           .otherwise(poly((x1, y1), (x2, y1), (x2, y2), (x1, y2), (x1, y1))))
+    return c.select(k.alias("shape_id"), wkt.alias("wkt"))
+
+
+# ------------------------------------------------------------------ raw telemetry with rule violations
+def raw_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze KPI rows as ingested, with NULL ids, out-of-range utilisation and non-positive latency."""
+    e = table(spark, sf_dir, "events").select("event_id", "ts")
+    k = F.col("event_id")
+    return e.select(
+        F.when(k % 97 == 0, F.lit(None).cast("bigint")).otherwise((k * 31) % 100).alias("tower_id"),
+        F.col("ts").alias("event_ts"),
+        (((k * 37) % 121) - 10).cast("double").alias("prb_utilization_pct"),
+        (((k * 53) % 140) - 5).cast("double").alias("latency_ms"),
+        (((k * 29) % 400) / F.lit(1e2)).alias("packet_loss_pct"),
+        (F.lit(300.0) - F.lit(2.0) * ((k * 37) % 121)).alias("throughput_mbps"),
+        k.alias("event_id"),
+    )
+
+
+RAW_KPIS_SQL = """raw_kpis AS (
+  SELECT CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS BIGINT) ELSE (event_id * 31) % 100 END AS tower_id,
+         ts AS event_ts,
+         CAST(((event_id * 37) % 121) - 10 AS DOUBLE) AS prb_utilization_pct,
+         CAST(((event_id * 53) % 140) - 5 AS DOUBLE) AS latency_ms,
+         ((event_id * 29) % 400) / 1e2 AS packet_loss_pct,
+         300e0 - 2e0 * ((event_id * 37) % 121) AS throughput_mbps,
+         event_id
+  FROM events)"""

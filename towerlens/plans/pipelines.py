@@ -200,6 +200,181 @@ def match_sites(sites_bronze: DataFrame, markets_bronze: DataFrame, coalesce_rin
 
 
 def sites_per_market(enriched: DataFrame) -> DataFrame:
-    """Sites per market, most first."""
-    return (enriched.groupBy("market_id", "market_name", "match_type").agg(F.count(F.lit(1)).alias("sites"))
-            .orderBy(F.desc("sites"), "market_id", "match_type"))
+    """Sites per market (name, state), most first."""
+    return (enriched.groupBy("market_name", "state").agg(F.count(F.lit(1)).alias("sites"))
+            .orderBy(F.desc("sites"), "market_name", "state"))
+
+
+# ------------------------------------------------------------------ summaries over the coverage table
+def tower_type_summary(cov: DataFrame, decimals: int = 1) -> DataFrame:
+    """A10: by nearest tower type -- buildings, distance avg/min/max, speeds, providers."""
+    d = F.col("distance_to_tower_m")
+    return (cov.filter(F.col("best_download_mbps").isNotNull())
+            .groupBy("nearest_tower_type")
+            .agg(F.count(F.lit(1)).alias("buildings"),
+                 F.round(F.avg(d), decimals).alias("avg_distance_m"),
+                 F.round(F.min(d), decimals).alias("min_distance_m"),
+                 F.round(F.max(d), decimals).alias("max_distance_m"),
+                 F.round(F.avg("best_download_mbps"), 1).alias("avg_download_mbps"),
+                 F.round(F.avg("best_upload_mbps"), 1).alias("avg_upload_mbps"),
+                 F.round(F.avg("provider_count"), 1).alias("avg_providers")))
+
+
+def covered_share(df: DataFrame, covered) -> DataFrame:
+    """Total, covered and covered percentage in one pass."""
+    cond = F.expr(covered) if isinstance(covered, str) else covered
+    return df.agg(F.count(F.lit(1)).alias("total"), F.count_if(cond).alias("covered")).select(
+        "total", "covered",
+        F.round(F.col("covered") * F.lit(100.0) / F.col("total"), 1).alias("covered_pct"))
+
+
+def class_summary(df: DataFrame, keys, value: str, value_alias: str, decimals: int = 1) -> DataFrame:
+    """Count and rounded average per class (or per pair of classes)."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("buildings"),
+                                 F.round(F.avg(value), decimals).alias(value_alias))
+
+
+def describe_numeric(df: DataFrame, col: str, quantiles=(0.05, 0.95)) -> DataFrame:
+    """Min / median / max / quantiles / sum of one column (exact percentiles)."""
+    c = F.col(col)
+    return df.agg(F.min(c).alias("min"), F.median(c).alias("median"), F.max(c).alias("max"),
+                  *[F.percentile(c, q).alias(f"p{int(round(q * 100)):02d}") for q in quantiles],
+                  F.sum(c).alias("sum"))
+
+
+def value_counts(df: DataFrame, col: str) -> DataFrame:
+    """Rows per value."""
+    return df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+
+
+# ------------------------------------------------------------------ enriched buildings (L4)
+def enriched_buildings(buildings: DataFrame, cells: DataFrame, towers: DataFrame, box: BBox = ANALYSIS_BOX
+                       ) -> DataFrame:
+    """L4: buildings x coverage rows (LEFT, un-aggregated) x nearest tower, with classes."""
+    b = downtown_buildings(buildings, box)
+    cov = cell_join(b, cells, "h3_res9_id", "left", cell_cols=("fid", "technology", "mindown", "minup", "environmnt"))
+    # the nearest tower depends on the building only: search once per building, then attach
+    carry = {"tower_id": "nearest_tower_id", "tower_type": "nearest_tower_radio", "cell_id": "nearest_tower_cell_id",
+             "latitude": "nearest_tower_lat", "longitude": "nearest_tower_lon"}
+    t = towers.select(F.col("latitude").alias("_tlat"), F.col("longitude").alias("_tlon"),
+                      *[F.col(k).alias(v) for k, v in carry.items()])
+    near = nearest(b.select("building_id", "centroid_lon", "centroid_lat"), t, left_xy=("centroid_lon", "centroid_lat"),
+                   right_xy=("_tlon", "_tlat"), right_id="nearest_tower_id", right_cols=list(carry.values()),
+                   dist_col="nearest_tower_distance_m", left_keys=["building_id"])
+    near = near.drop("centroid_lon", "centroid_lat")
+    out = cov.join(near, "building_id", "inner")
+    return out.select(
+        "building_id", "height", "centroid_lat", "centroid_lon", "h3_res9_id", "fid", "technology",
+        F.col("mindown").alias("min_download_mbps"), F.col("minup").alias("min_upload_mbps"),
+        F.col("environmnt").alias("environment_type"),
+        B.coverage_quality("technology", "mindown").alias("coverage_quality"),
+        "nearest_tower_id", "nearest_tower_radio", "nearest_tower_cell_id",
+        F.round("nearest_tower_distance_m", 1).alias("nearest_tower_distance_m"),
+        B.band("nearest_tower_distance_m", B.PROXIMITY_BANDS, B.PROXIMITY_BANDS_ELSE).alias("tower_proximity_band"))
+
+
+# ------------------------------------------------------------------ signal analysis
+def signal_analysis(cells: DataFrame, buildings: DataFrame, towers: DataFrame, res: int = 9) -> DataFrame:
+    """Per coverage row -- buildings and towers inside its hexagon, areas, signal score.
+
+    "Point inside the hexagon" is exactly "point's cell key equals the
+    hexagon's key" on this grid, so the containment join is an equi-join on
+    the key, pre-aggregated per key before it meets the coverage rows.
+    """
+    from towerlens.functions.geo import area_m2
+
+    b = with_centroid(buildings)
+    b = materialize(b, _a=area_m2(poly_from_wkt(F.col("geometry"))))
+    b = b.select("building_id", "_a", cell_id("centroid_lon", "centroid_lat", res).alias("h3_res9_id"))
+    density = b.groupBy("h3_res9_id").agg(F.count_distinct("building_id").alias("buildings_in_hex"),
+                                          F.avg("_a").alias("avg_building_area_sqm"),
+                                          F.sum("_a").alias("total_building_area_sqm"))
+    t = towers.select("tower_id", cell_id("longitude", "latitude", res).alias("h3_res9_id"))
+    tcount = t.groupBy("h3_res9_id").agg(F.count_distinct("tower_id").alias("towers_in_hex"))
+    from towerlens.operators.coverage import keyed_left_join
+
+    j = keyed_left_join(cells.select("fid", "h3_res9_id", "mindown", "minup"), density, ["h3_res9_id"], "left")
+    j = keyed_left_join(j, tcount, ["h3_res9_id"], "left")
+    nb = F.coalesce(F.col("buildings_in_hex"), F.lit(0).cast("bigint"))
+    nt = F.coalesce(F.col("towers_in_hex"), F.lit(0).cast("bigint"))
+    return j.select(
+        "h3_res9_id", "fid", F.col("mindown").alias("download_speed_mbps"), F.col("minup").alias("upload_speed_mbps"),
+        nb.alias("building_count"),
+        F.round(F.coalesce(F.col("avg_building_area_sqm"), F.lit(0.0)), 3).alias("avg_building_area_sqm"),
+        F.round(F.coalesce(F.col("total_building_area_sqm"), F.lit(0.0)), 3).alias("total_building_area_sqm"),
+        nt.alias("tower_count"),
+        B.signal_score(nt, F.col("mindown"), nb).alias("estimated_signal_quality"))
+
+
+def signal_distribution(sig: DataFrame) -> DataFrame:
+    """Hexagons per signal-quality category."""
+    return (sig.withColumn("signal_quality_category",
+                           B.band_desc("estimated_signal_quality", B.SIGNAL_CATEGORIES, B.SIGNAL_CATEGORIES_ELSE))
+            .groupBy("signal_quality_category")
+            .agg(F.count(F.lit(1)).alias("hex_count"),
+                 F.round(F.avg("download_speed_mbps"), 1).alias("avg_download_mbps"),
+                 F.round(F.avg("building_count"), 1).alias("avg_buildings_per_hex")))
+
+
+def signal_summary(sig: DataFrame) -> DataFrame:
+    """Whole-table summary of the signal analysis."""
+    return sig.agg(F.count(F.lit(1)).alias("total_hexagons"),
+                   F.round(F.avg("download_speed_mbps"), 1).alias("avg_download_mbps"),
+                   F.round(F.avg("upload_speed_mbps"), 1).alias("avg_upload_mbps"),
+                   F.sum("building_count").alias("total_buildings_covered"),
+                   F.round(F.avg("estimated_signal_quality"), 1).alias("avg_signal_quality"),
+                   F.round(F.min("estimated_signal_quality"), 1).alias("min_signal_quality"),
+                   F.round(F.max("estimated_signal_quality"), 1).alias("max_signal_quality"))
+
+
+# ------------------------------------------------------------------ tower exploration
+def carrier_breakdown(towers_raw: DataFrame) -> DataFrame:
+    """By radio and network -- records, distinct cells, average range and samples."""
+    return (towers_raw.groupBy("radio", "net")
+            .agg(F.count(F.lit(1)).alias("record_count"), F.count_distinct("cell").alias("unique_cell_ids"),
+                 F.round(F.avg("range_m"), 0).alias("avg_range_m"), F.round(F.avg("samples"), 1).alias("avg_samples")))
+
+
+def top_towers(towers_raw: DataFrame, k: int = 20) -> DataFrame:
+    """T2 + P20: the k towers with most samples (id tie-break) with carrier labels."""
+    return (towers_raw.select("radio", F.col("net").alias("mnc"), B.carrier_name("net").alias("carrier"),
+                              F.col("area").alias("lac_tac"), F.col("cell").alias("cell_id"), "lon", "lat",
+                              "range_m", "samples", "created_ts", "updated_ts")
+            .orderBy(F.desc("samples"), F.asc("cell_id")).limit(k))
+
+
+def sample_n(df: DataFrame, n: int, seed: int = 42, key_cols=None) -> DataFrame:
+    """T4: reproducible sample of n rows: order by a seeded hash of the key, keep n."""
+    cols = [F.col(c) for c in (key_cols or df.columns)]
+    return df.withColumn("_h", F.xxhash64(F.lit(seed), *cols)).orderBy("_h").limit(n).drop("_h")
+
+
+def with_surrogate_id(df: DataFrame, name: str = "id", natural_keys=None) -> DataFrame:
+    """Surrogate id -- a hash of natural keys (stable across runs), else monotonically increasing."""
+    if natural_keys:
+        return df.withColumn(name, F.xxhash64(*[F.col(c) for c in natural_keys]))
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
+# ------------------------------------------------------------------ map feeds
+def map_points(cov: DataFrame) -> DataFrame:
+    """Covered building points with a weight (download speed) for a heat map."""
+    return cov.filter(F.col("best_download_mbps") > 0).select(
+        "building_id", "centroid_lat", "centroid_lon", F.col("best_download_mbps").alias("weight"),
+        B.band_desc("best_download_mbps", B.SPEED_COLOURS, B.SPEED_COLOURS_ELSE).alias("color"))
+
+
+def map_towers(towers: DataFrame, box: BBox = CORE, pad: float = 0.01) -> DataFrame:
+    """Towers inside the padded box for map markers."""
+    return towers.filter(box.pad(pad).contains("latitude", "longitude")).select(
+        "tower_id", "tower_type", "latitude", "longitude", "coverage_radius_m")
+
+
+# ------------------------------------------------------------------ transcripts
+def enrich_transcripts(df: DataFrame, text_col: str = "transcript", max_words: int = 10) -> DataFrame:
+    """Summary and sentiment prepended to every input column."""
+    from towerlens.functions.text import sentiment, summarize
+
+    return df.select(summarize(text_col, max_words).alias("transcript_summary"),
+                     sentiment(text_col).alias("sentiment"), "*")

@@ -113,3 +113,297 @@ SELECT {_BUCKET_SQL} AS distance_bucket, COUNT(*) AS buildings,
 FROM gold WHERE best_download_mbps > 0 GROUP BY 1"""))
 def q_coverage_by_distance(spark, sf_dir):
     return pl.coverage_by_distance(gold(spark, sf_dir))
+
+
+# ==================================================================== geometry and cells
+from towerlens.functions import geo as G  # noqa: E402
+from towerlens.functions.cells import cell_id  # noqa: E402
+from towerlens.oracle import D2R  # noqa: E402
+
+SITES_SILVER_CTE = """sites AS (
+  SELECT site_id, CAST(SITE_LATITUDE AS DOUBLE) AS SITE_LATITUDE, CAST(SITE_LONGITUDE AS DOUBLE) AS SITE_LONGITUDE,
+         CAST(SITE_LATITUDE AS DOUBLE) AS S_SITE_LATITUDE, CAST(SITE_LONGITUDE AS DOUBLE) AS S_SITE_LONGITUDE
+  FROM sites_bronze WHERE SITE_LATITUDE IS NOT NULL AND SITE_LONGITUDE IS NOT NULL)"""
+
+
+@query("bbox_filter", with_([fx.SITES_SQL, SITES_SILVER_CTE], f"""
+SELECT site_id, S_SITE_LATITUDE, S_SITE_LONGITUDE FROM sites
+WHERE S_SITE_LATITUDE BETWEEN {lit(CORE.lat_min)} AND {lit(CORE.lat_max)}
+  AND S_SITE_LONGITUDE BETWEEN {lit(CORE.lon_min)} AND {lit(CORE.lon_max)}"""))
+def q_bbox_filter(spark, sf_dir):
+    s = pl.sites_silver(fx.sites_bronze(spark, sf_dir))
+    return s.filter(CORE.contains("S_SITE_LATITUDE", "S_SITE_LONGITUDE")).select(
+        "site_id", "S_SITE_LATITUDE", "S_SITE_LONGITUDE")
+
+
+@query("bbox_padded", with_([fx.TOWERS_SQL], f"""
+SELECT tower_id, latitude, longitude FROM towers
+WHERE latitude BETWEEN {lit(PAD.lat_min)} AND {lit(PAD.lat_max)}
+  AND longitude BETWEEN {lit(PAD.lon_min)} AND {lit(PAD.lon_max)}"""))
+def q_bbox_padded(spark, sf_dir):
+    return fx.towers(spark, sf_dir).filter(PAD.contains("latitude", "longitude")).select(
+        "tower_id", "latitude", "longitude")
+
+
+@query("typed_ingest", """
+SELECT TRY_CAST(CAST(event_id AS VARCHAR) AS BIGINT) AS event_id,
+       TRY_CAST(CASE WHEN event_id % 50 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS DOUBLE) AS value,
+       TRY_CAST(CASE WHEN event_id % 70 = 0 THEN 'x' || CAST(user_id AS VARCHAR) ELSE CAST(user_id AS VARCHAR) END AS INTEGER) AS user_id,
+       strftime(make_timestamp((1500000000 + event_id * 60) * 1000000), '%Y-%m-%d %H:%M:%S') AS created_ts
+FROM events""")
+def q_typed_ingest(spark, sf_dir):
+    from towerlens.sources.files import typed
+
+    e = fx.table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    text = e.select(k.cast("string").alias("_c0"),
+                    F.when(k % 50 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("_c1"),
+                    F.when(k % 70 == 0, F.concat(F.lit("x"), F.col("user_id").cast("string")))
+                    .otherwise(F.col("user_id").cast("string")).alias("_c2"),
+                    (F.lit(1500000000) + k * 60).cast("string").alias("_c3"))
+    return text.select(*typed([("event_id", "bigint"), ("value", "double"), ("user_id", "int"),
+                               ("created_ts", "epoch_text")]))
+
+
+@query("surrogate_id_stable")
+def q_surrogate_id(spark, sf_dir):
+    s = pl.sites_silver(fx.sites_bronze(spark, sf_dir))
+    return pl.with_surrogate_id(s, "site_uid", ["site_id", "SITE_LATITUDE", "SITE_LONGITUDE"]).select(
+        "site_id", "site_uid")
+
+
+@query("polygon_centroid", with_([fx.BUILDINGS_SQL, BLD_CTE], "SELECT building_id, centroid_lon, centroid_lat FROM bld"))
+def q_polygon_centroid(spark, sf_dir):
+    return pl.with_centroid(fx.buildings(spark, sf_dir)).select("building_id", "centroid_lon", "centroid_lat")
+
+
+def _area_sql(v="_v"):
+    X = [f"{v}[{2 * i + 1}]" for i in range(5)]
+    Y = [f"{v}[{2 * i + 2}]" for i in range(5)]
+    a2 = "0e0"
+    for i in range(4):
+        a2 = f"({a2} + (({X[i]} - {X[0]}) * ({Y[i + 1]} - {Y[0]}) - ({X[i + 1]} - {X[0]}) * ({Y[i]} - {Y[0]})))"
+    return f"(0e0 + (1e0 * abs({a2})) / 2e0)"
+
+
+_AREA_K = G.EARTH_RADIUS_M ** 2 * G.DEG2RAD ** 2 * __import__("math").cos(__import__("math").radians(47.6))
+
+
+@query("polygon_area", with_([fx.BUILDINGS_SQL], f"""
+SELECT building_id, {_area_sql()} AS area_deg2, {sround(f'{_area_sql()} * {lit(_AREA_K)}', 6)} AS area_m2
+FROM (SELECT *, {coords_sql('geometry')} AS _v FROM buildings)"""))
+def q_polygon_area(spark, sf_dir):
+    b = fx.buildings(spark, sf_dir)
+    b = G.materialize(b, _p=G.poly_from_wkt("geometry"))
+    b = G.materialize(b, _a=G.area("_p"))
+    return b.select("building_id", F.col("_a").alias("area_deg2"),
+                    F.round(F.col("_a") * F.lit(_AREA_K), 6).alias("area_m2"))
+
+
+@query("polygon_bbox", with_([fx.BUILDINGS_SQL], """
+SELECT building_id, least(_v[1], _v[3], _v[5], _v[7], _v[9]) AS minx, least(_v[2], _v[4], _v[6], _v[8], _v[10]) AS miny,
+       greatest(_v[1], _v[3], _v[5], _v[7], _v[9]) AS maxx, greatest(_v[2], _v[4], _v[6], _v[8], _v[10]) AS maxy
+FROM (SELECT *, """ + coords_sql("geometry") + """ AS _v FROM buildings)"""))
+def q_polygon_bbox(spark, sf_dir):
+    b = G.materialize(fx.buildings(spark, sf_dir), _b=G.bbox(G.poly_from_wkt("geometry")))
+    return b.select("building_id", "_b.minx", "_b.miny", "_b.maxx", "_b.maxy")
+
+
+@query("polygon_valid", """
+SELECT c_custkey AS shape_id,
+       CASE WHEN c_custkey % 7 <> 0 AND c_custkey % 13 <> 0 AND c_custkey % 5 <> 0 AND c_custkey % 11 = 0
+            THEN 'ST_LineString' ELSE 'ST_Polygon' END AS geometry_type,
+       NOT (c_custkey % 7 = 0 OR c_custkey % 13 = 0 OR c_custkey % 5 = 0 OR c_custkey % 11 = 0) AS is_valid
+FROM customer""")
+def q_polygon_valid(spark, sf_dir):
+    s = fx.test_shapes(spark, sf_dir)
+    return s.select("shape_id", G.geometry_type("wkt").alias("geometry_type"),
+                    G.is_valid(G.poly_from_wkt("wkt")).alias("is_valid"))
+
+
+def _pairs(spark, sf_dir):
+    n = fx.table(spark, sf_dir, "supplier").count()
+    c = fx.table(spark, sf_dir, "customer").select("c_custkey").withColumn("s_suppkey", F.col("c_custkey") % F.lit(n))
+    s = fx.table(spark, sf_dir, "supplier").select("s_suppkey")
+    j = c.join(s, "s_suppkey")
+    return j.select("c_custkey", "s_suppkey",
+                    fx.loc_lon(F.col("c_custkey")).alias("lon1"), fx.loc_lat(F.col("c_custkey")).alias("lat1"),
+                    fx.loc_lon(F.col("s_suppkey") + 13).alias("lon2"), fx.loc_lat(F.col("s_suppkey") + 13).alias("lat2"))
+
+
+_PAIRS_CTE = f"""pairs AS (
+  SELECT c_custkey, s_suppkey, {fx.loc_lon_sql('c_custkey')} AS lon1, {fx.loc_lat_sql('c_custkey')} AS lat1,
+         {fx.loc_lon_sql('s_suppkey + 13')} AS lon2, {fx.loc_lat_sql('s_suppkey + 13')} AS lat2
+  FROM customer JOIN supplier ON s_suppkey = c_custkey % (SELECT COUNT(*) FROM supplier))"""
+
+
+@query("haversine_pairs", with_([_PAIRS_CTE], f"""
+SELECT c_custkey, s_suppkey, {sround(haversine_sql('lon1', 'lat1', 'lon2', 'lat2'), 3)} AS distance_m FROM pairs"""))
+def q_haversine_pairs(spark, sf_dir):
+    p = _pairs(spark, sf_dir)
+    return p.select("c_custkey", "s_suppkey", F.round(G.haversine_m("lon1", "lat1", "lon2", "lat2"), 3).alias("distance_m"))
+
+
+_PLANAR_K = 111000.0 * __import__("math").cos(__import__("math").radians(47.6))
+
+
+@query("planar_pairs", with_([_PAIRS_CTE], f"""
+SELECT c_custkey, s_suppkey, {sround('sqrt((lon2 - lon1) * (lon2 - lon1) + (lat2 - lat1) * (lat2 - lat1))', 9)} AS distance_deg,
+       {sround(f'sqrt((lon2 - lon1) * (lon2 - lon1) + (lat2 - lat1) * (lat2 - lat1)) * {lit(_PLANAR_K)}', 3)} AS distance_m
+FROM pairs"""))
+def q_planar_pairs(spark, sf_dir):
+    p = _pairs(spark, sf_dir)
+    d = G.planar_deg("lon1", "lat1", "lon2", "lat2")
+    return p.select("c_custkey", "s_suppkey", F.round(d, 9).alias("distance_deg"),
+                    F.round(G.deg_to_m(d), 3).alias("distance_m"))
+
+
+@query("cell_assign", with_([fx.BUILDINGS_SQL, BLD_CTE],
+                            f"SELECT building_id, {cell_sql('centroid_lon', 'centroid_lat')} AS h3_res9_id FROM bld"))
+def q_cell_assign(spark, sf_dir):
+    b = pl.with_centroid(fx.buildings(spark, sf_dir))
+    return b.select("building_id", cell_id("centroid_lon", "centroid_lat").alias("h3_res9_id"))
+
+
+@query("cell_best", with_([fx.CELLS_SQL, BDC_CTE], "SELECT * FROM bdc"))
+def q_cell_best(spark, sf_dir):
+    from towerlens.operators.coverage import best_per_cell
+
+    return best_per_cell(fx.coverage_cells(spark, sf_dir))
+
+
+ALLB_CTE = f"""allb AS (
+  SELECT building_id, height, geometry, centroid_lon, centroid_lat,
+         {cell_sql('centroid_lon', 'centroid_lat')} AS h3_res9_id FROM bld)"""
+ALLB_CTES = [fx.BUILDINGS_SQL, BLD_CTE, ALLB_CTE, fx.CELLS_SQL]
+
+
+def all_buildings(spark, sf_dir):
+    b = pl.with_centroid(fx.buildings(spark, sf_dir))
+    return b.withColumn("h3_res9_id", cell_id("centroid_lon", "centroid_lat"))
+
+
+@query("cell_join_left", with_(ALLB_CTES + [BDC_CTE], """
+SELECT b.building_id, b.h3_res9_id, COALESCE(c.best_download_mbps, 0) AS best_download_mbps,
+       COALESCE(c.best_upload_mbps, 0) AS best_upload_mbps, COALESCE(c.provider_count, 0) AS provider_count
+FROM allb b LEFT JOIN bdc c ON b.h3_res9_id = c.h3_res9_id"""))
+def q_cell_join_left(spark, sf_dir):
+    from towerlens.operators.coverage import cell_coverage_join
+
+    j = cell_coverage_join(all_buildings(spark, sf_dir), fx.coverage_cells(spark, sf_dir))
+    return j.select("building_id", "h3_res9_id", "best_download_mbps", "best_upload_mbps", "provider_count")
+
+
+_CELL_COLS = ("fid", "technology", "mindown", "minup", "environmnt")
+
+
+@query("cell_join_inner", with_(ALLB_CTES, """
+SELECT b.building_id, b.h3_res9_id, c.fid, c.technology, c.mindown, c.minup, c.environmnt
+FROM allb b JOIN coverage_cells c ON b.h3_res9_id = c.h3_res9_id"""))
+def q_cell_join_inner(spark, sf_dir):
+    from towerlens.operators.coverage import cell_join
+
+    j = cell_join(all_buildings(spark, sf_dir), fx.coverage_cells(spark, sf_dir), how="inner", cell_cols=_CELL_COLS)
+    return j.select("building_id", "h3_res9_id", *_CELL_COLS)
+
+
+@query("cell_join_fanout", with_(ALLB_CTES, """
+SELECT b.building_id, b.h3_res9_id, c.fid, c.technology, c.mindown, c.minup, c.environmnt
+FROM allb b LEFT JOIN coverage_cells c ON b.h3_res9_id = c.h3_res9_id"""))
+def q_cell_join_fanout(spark, sf_dir):
+    from towerlens.operators.coverage import cell_join
+
+    j = cell_join(all_buildings(spark, sf_dir), fx.coverage_cells(spark, sf_dir), how="left", cell_cols=_CELL_COLS)
+    return j.select("building_id", "h3_res9_id", *_CELL_COLS)
+
+
+@query("cell_join_distinct", with_(ALLB_CTES, """
+SELECT b.building_id, b.height AS building_height, ANY_VALUE(b.geometry) AS geometry, b.h3_res9_id,
+       MAX(c.mindown) AS best_download_mbps, MAX(c.minup) AS best_upload_mbps, COUNT(DISTINCT c.fid) AS provider_count
+FROM allb b LEFT JOIN coverage_cells c ON b.h3_res9_id = c.h3_res9_id
+GROUP BY b.building_id, b.height, b.h3_res9_id"""))
+def q_cell_join_distinct(spark, sf_dir):
+    from towerlens.operators.coverage import cell_coverage_join
+
+    j = cell_coverage_join(all_buildings(spark, sf_dir), fx.coverage_cells(spark, sf_dir), distinct_on="fid", fill=None)
+    return j.select("building_id", F.col("height").alias("building_height"), "geometry", "h3_res9_id",
+                    "best_download_mbps", "best_upload_mbps", "provider_count")
+
+
+# ==================================================================== nearest neighbour variants
+def _ranked_sql(left: str, keys: str, lon: str, lat: str, extra_cols: str = "", metric: str = "sphere",
+                where: str = "") -> str:
+    if metric == "planar":
+        d = f"sqrt((t.longitude - {lon}) * (t.longitude - {lon}) + (t.latitude - {lat}) * (t.latitude - {lat}))"
+    else:
+        d = haversine_sql(lon, lat, "t.longitude", "t.latitude")
+    return f"""ranked AS (
+  SELECT {keys}, {extra_cols} t.tower_id AS nearest_tower_id, t.tower_type AS nearest_tower_type, {d} AS d,
+         ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY {tie_key(d)}, t.tower_id) AS rn
+  FROM {left} CROSS JOIN towers t {where})"""
+
+
+def _nearest_all(spark, sf_dir, **kw):
+    b = pl.with_centroid(fx.buildings(spark, sf_dir)).select("building_id", "centroid_lon", "centroid_lat")
+    t = fx.towers(spark, sf_dir).select("latitude", "longitude", F.col("tower_id").alias("nearest_tower_id"),
+                                         F.col("tower_type").alias("nearest_tower_type"))
+    from towerlens.operators.nearest import nearest
+
+    n = nearest(b, t, left_xy=("centroid_lon", "centroid_lat"), right_xy=("longitude", "latitude"),
+                right_id="nearest_tower_id", right_cols=["nearest_tower_type"], dist_col="_d",
+                left_keys=["building_id"], **kw)
+    return n
+
+
+_NEAREST_ALL_SQL = with_([fx.BUILDINGS_SQL, BLD_CTE, fx.TOWERS_SQL,
+                          _ranked_sql("bld b", "b.building_id", "b.centroid_lon", "b.centroid_lat")], f"""
+SELECT building_id, nearest_tower_id, nearest_tower_type, {sround('d', 1)} AS distance_to_tower_m
+FROM ranked WHERE rn = 1""")
+
+
+@query("nearest_tower", _NEAREST_ALL_SQL)
+def q_nearest_tower(spark, sf_dir):
+    n = _nearest_all(spark, sf_dir)
+    return n.select("building_id", "nearest_tower_id", "nearest_tower_type", F.round("_d", 1).alias("distance_to_tower_m"))
+
+
+@query("nearest_tower_grid", _NEAREST_ALL_SQL)
+def q_nearest_tower_grid(spark, sf_dir):
+    n = _nearest_all(spark, sf_dir, strategy="shuffle")
+    return n.select("building_id", "nearest_tower_id", "nearest_tower_type", F.round("_d", 1).alias("distance_to_tower_m"))
+
+
+@query("nearest_planar", with_([fx.BUILDINGS_SQL, BLD_CTE, fx.TOWERS_SQL,
+                                _ranked_sql("bld b", "b.building_id", "b.centroid_lon", "b.centroid_lat",
+                                            metric="planar")], f"""
+SELECT building_id, nearest_tower_id, {sround(f'd * {lit(_PLANAR_K)}', 1)} AS distance_m FROM ranked WHERE rn = 1"""))
+def q_nearest_planar(spark, sf_dir):
+    n = _nearest_all(spark, sf_dir, metric="planar")
+    return n.select("building_id", "nearest_tower_id", F.round(G.deg_to_m(F.col("_d")), 1).alias("distance_m"))
+
+
+@query("nearest_within_max", with_([fx.BUILDINGS_SQL, BLD_CTE, fx.TOWERS_SQL,
+                                    _ranked_sql("bld b", "b.building_id", "b.centroid_lon", "b.centroid_lat")], f"""
+SELECT b.building_id, r.nearest_tower_id, {sround('r.d', 1)} AS distance_to_tower_m
+FROM bld b LEFT JOIN ranked r ON b.building_id = r.building_id AND r.rn = 1 AND r.d <= 300e0"""))
+def q_nearest_within_max(spark, sf_dir):
+    n = _nearest_all(spark, sf_dir, max_distance=300.0, how="left")
+    return n.select("building_id", "nearest_tower_id", F.round("_d", 1).alias("distance_to_tower_m"))
+
+
+@query("nearest_tower_by_technology", with_(ALLB_CTES + [fx.TOWERS_SQL, """bt AS (
+  SELECT DISTINCT b.building_id, c.technology, b.centroid_lon, b.centroid_lat
+  FROM allb b JOIN coverage_cells c ON b.h3_res9_id = c.h3_res9_id)""",
+    _ranked_sql("bt b", "b.building_id, b.technology", "b.centroid_lon", "b.centroid_lat")], f"""
+SELECT building_id, technology, nearest_tower_id, {sround('d', 1)} AS distance_to_tower_m FROM ranked WHERE rn = 1"""))
+def q_nearest_by_technology(spark, sf_dir):
+    from towerlens.operators.coverage import cell_join
+    from towerlens.operators.nearest import nearest
+
+    j = cell_join(all_buildings(spark, sf_dir), fx.coverage_cells(spark, sf_dir), how="inner",
+                  cell_cols=("technology",))
+    bt = j.select("building_id", "technology", "centroid_lon", "centroid_lat").distinct()
+    t = fx.towers(spark, sf_dir).select("latitude", "longitude", F.col("tower_id").alias("nearest_tower_id"))
+    n = nearest(bt, t, left_xy=("centroid_lon", "centroid_lat"), right_xy=("longitude", "latitude"),
+                right_id="nearest_tower_id", dist_col="_d", left_keys=["building_id", "technology"])
+    return n.select("building_id", "technology", "nearest_tower_id", F.round("_d", 1).alias("distance_to_tower_m"))

@@ -407,3 +407,765 @@ def q_nearest_by_technology(spark, sf_dir):
     n = nearest(bt, t, left_xy=("centroid_lon", "centroid_lat"), right_xy=("longitude", "latitude"),
                 right_id="nearest_tower_id", dist_col="_d", left_keys=["building_id", "technology"])
     return n.select("building_id", "technology", "nearest_tower_id", F.round("_d", 1).alias("distance_to_tower_m"))
+
+
+# ==================================================================== site to market
+MARKETS_CTE = f"""markets AS (
+  SELECT ID AS market_id, Name AS market_name, State AS state, MarketType AS market_type,
+         MarketTypeDetailed AS market_type_detailed, Population AS population, geometry_wkt, cx, cy
+  FROM markets_bronze WHERE geometry_wkt IS NOT NULL),
+within AS (
+  SELECT s.site_id, s.S_SITE_LATITUDE, s.S_SITE_LONGITUDE, m.market_id, m.market_name, m.state,
+         m.market_type_detailed, m.population
+  FROM sites s JOIN markets m
+    ON abs(s.S_SITE_LONGITUDE - m.cx) + abs(s.S_SITE_LATITUDE - m.cy) < {lit(fx.MARKET_HALF_DIAGONAL)}),
+mc AS (
+  SELECT market_id, market_name, state, market_type_detailed, population, {ring5_centroid_select('_v')}
+  FROM (SELECT *, {coords_sql('geometry_wkt')} AS _v FROM markets)),
+unmatched AS (
+  SELECT s.* FROM sites s WHERE NOT EXISTS (SELECT 1 FROM within w WHERE w.site_id = s.site_id)),
+nrank AS (
+  SELECT u.site_id, u.S_SITE_LATITUDE, u.S_SITE_LONGITUDE, m.market_id, m.market_name, m.state,
+         m.market_type_detailed, m.population,
+         {haversine_sql('u.S_SITE_LONGITUDE', 'u.S_SITE_LATITUDE', 'm.centroid_lon', 'm.centroid_lat')} AS d,
+         ROW_NUMBER() OVER (PARTITION BY u.site_id ORDER BY
+           {tie_key(haversine_sql('u.S_SITE_LONGITUDE', 'u.S_SITE_LATITUDE', 'm.centroid_lon', 'm.centroid_lat'))},
+           m.market_id) AS rn
+  FROM unmatched u CROSS JOIN mc m),
+nearest_m AS (
+  SELECT site_id, S_SITE_LATITUDE, S_SITE_LONGITUDE, market_id, market_name, state, market_type_detailed,
+         population, {sround('d / 1000e0', 2)} AS distance_km
+  FROM nrank WHERE rn = 1),
+enriched AS (
+  SELECT site_id, S_SITE_LATITUDE, S_SITE_LONGITUDE, market_id, market_name, state, market_type_detailed,
+         population, 'WITHIN' AS match_type, 0.0e0 AS distance_km FROM within
+  UNION ALL
+  SELECT site_id, S_SITE_LATITUDE, S_SITE_LONGITUDE, market_id, market_name, state, market_type_detailed,
+         population, 'NEAREST' AS match_type, distance_km FROM nearest_m)"""
+SITE_CTES = [fx.SITES_SQL, SITES_SILVER_CTE, fx.MARKETS_SQL, MARKETS_CTE]
+
+
+def _sites_markets(spark, sf_dir):
+    return pl.sites_silver(fx.sites_bronze(spark, sf_dir)), pl.markets_silver(fx.markets_bronze(spark, sf_dir))
+
+
+@query("contains_join", with_(SITE_CTES, "SELECT * FROM within"))
+def q_contains_join(spark, sf_dir):
+    s, m = _sites_markets(spark, sf_dir)
+    return pl.sites_in_market(s, m)
+
+
+@query("contains_counts", with_(SITE_CTES, """
+SELECT m.market_id, COUNT(DISTINCT w.site_id) AS n_sites
+FROM markets m LEFT JOIN within w ON m.market_id = w.market_id GROUP BY m.market_id"""))
+def q_contains_counts(spark, sf_dir):
+    from towerlens.operators.spatial_join import contains_counts
+
+    s, m = _sites_markets(spark, sf_dir)
+    c = contains_counts(m, s, point_xy=("S_SITE_LONGITUDE", "S_SITE_LATITUDE"), wkt_col="geometry_wkt",
+                        poly_id="market_id", point_id="site_id", out_col="n_sites")
+    return c.select("market_id", "n_sites")
+
+
+@query("unmatched_sites", with_(SITE_CTES, "SELECT site_id FROM unmatched"))
+def q_unmatched_sites(spark, sf_dir):
+    s, m = _sites_markets(spark, sf_dir)
+    w = pl.sites_in_market(s, m)
+    return s.join(w.select("site_id"), "site_id", "left_anti").select("site_id")
+
+
+@query("nearest_market", with_(SITE_CTES, "SELECT * FROM nearest_m"))
+def q_nearest_market(spark, sf_dir):
+    s, m = _sites_markets(spark, sf_dir)
+    return pl.sites_nearest_market(s, m, pl.sites_in_market(s, m))
+
+
+@query("site_market_enriched", with_(SITE_CTES, "SELECT * FROM enriched"))
+def q_site_market_enriched(spark, sf_dir):
+    return pl.match_sites(fx.sites_bronze(spark, sf_dir), fx.markets_bronze(spark, sf_dir))
+
+
+@query("sites_per_market", with_(SITE_CTES, """
+SELECT market_name, state, COUNT(*) AS sites FROM enriched GROUP BY market_name, state"""))
+def q_sites_per_market(spark, sf_dir):
+    return pl.sites_per_market(pl.match_sites(fx.sites_bronze(spark, sf_dir), fx.markets_bronze(spark, sf_dir)))
+
+
+@query("n10_sites_outside_markets", with_(SITE_CTES, """
+SELECT site_id, market_name, distance_km FROM enriched WHERE match_type = 'NEAREST'"""))
+def q_n10(spark, sf_dir):
+    e = pl.match_sites(fx.sites_bronze(spark, sf_dir), fx.markets_bronze(spark, sf_dir))
+    return (e.filter(F.col("match_type") == "NEAREST").select("site_id", "market_name", "distance_km")
+            .orderBy(F.desc("distance_km"), "site_id"))
+
+
+# ==================================================================== coverage variants and summaries
+COV5_CTES = [fx.BUILDINGS_SQL, BLD_CTE, DT_CTE, fx.TOWERS_SQL, fx.CELLS_SQL, """cov5 AS (
+  SELECT b.building_id, b.building_height, ANY_VALUE(b.geometry) AS geometry, b.centroid_lon, b.centroid_lat,
+         b.h3_res9_id, MAX(c.mindown) AS best_download_mbps, MAX(c.minup) AS best_upload_mbps,
+         COUNT(DISTINCT c.fid) AS provider_count
+  FROM dt b LEFT JOIN coverage_cells c ON b.h3_res9_id = c.h3_res9_id
+  GROUP BY b.building_id, b.building_height, b.centroid_lon, b.centroid_lat, b.h3_res9_id)""",
+             f"""r5 AS (
+  SELECT b.building_id, t.tower_id AS nearest_tower_id, t.carrier AS nearest_carrier,
+         t.tower_type AS nearest_tower_type, t.cell_id AS nearest_cell_id,
+         t.coverage_radius_m AS nearest_coverage_radius_m, t.samples AS nearest_tower_samples, {_HAV_BT} AS d,
+         ROW_NUMBER() OVER (PARTITION BY b.building_id ORDER BY {tie_key(_HAV_BT)}, t.tower_id) AS rn
+  FROM cov5 b CROSS JOIN towers t)""", f"""l5 AS (
+  SELECT c.*, r.nearest_tower_id, r.nearest_carrier, r.nearest_tower_type, r.nearest_cell_id,
+         r.nearest_coverage_radius_m, r.nearest_tower_samples, {sround('r.d', 1)} AS distance_to_tower_m
+  FROM cov5 c JOIN r5 r ON c.building_id = r.building_id AND r.rn = 1)"""]
+
+
+def cov5(spark, sf_dir):
+    return pl.building_coverage(fx.buildings(spark, sf_dir), fx.coverage_cells(spark, sf_dir),
+                                fx.towers(spark, sf_dir), CORE, pad=None, distinct_on="fid", fill=None)
+
+
+@query("coverage_distinct_providers", with_(COV5_CTES, "SELECT * FROM l5"))
+def q_cov5(spark, sf_dir):
+    return cov5(spark, sf_dir)
+
+
+@query("tower_type_summary", with_(COV5_CTES, f"""
+SELECT nearest_tower_type, COUNT(*) AS buildings,
+       {sround('AVG(distance_to_tower_m)', 1)} AS avg_distance_m, {sround('MIN(distance_to_tower_m)', 1)} AS min_distance_m,
+       {sround('MAX(distance_to_tower_m)', 1)} AS max_distance_m,
+       {sround('AVG(best_download_mbps)', 1)} AS avg_download_mbps, {sround('AVG(best_upload_mbps)', 1)} AS avg_upload_mbps,
+       {sround('AVG(provider_count)', 1)} AS avg_providers
+FROM l5 WHERE best_download_mbps IS NOT NULL GROUP BY nearest_tower_type"""))
+def q_tower_type_summary(spark, sf_dir):
+    return pl.tower_type_summary(cov5(spark, sf_dir))
+
+
+@query("covered_share", with_(GOLD_CTES, f"""
+SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE best_download_mbps > 0) AS covered,
+       {sround('(COUNT(*) FILTER (WHERE best_download_mbps > 0)) * 100.0e0 / COUNT(*)', 1)} AS covered_pct
+FROM gold"""))
+def q_covered_share(spark, sf_dir):
+    return pl.covered_share(gold(spark, sf_dir), F.col("best_download_mbps") > 0)
+
+
+# ==================================================================== telemetry overlay
+_HEALTH_SQL = ("CASE WHEN prb_utilization_pct >= 85 OR latency_ms >= 120 OR packet_loss_pct >= 3 THEN 'critical' "
+               "WHEN prb_utilization_pct >= 70 OR latency_ms >= 90 OR packet_loss_pct >= 1.5 THEN 'watch' "
+               "ELSE 'healthy' END")
+KPI_LATEST_CTE = f"""kpi_latest AS (
+  SELECT tower_id, event_ts AS kpi_snapshot_ts, prb_utilization_pct, latency_ms, packet_loss_pct, throughput_mbps,
+         {_HEALTH_SQL} AS tower_health_band
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY tower_id ORDER BY event_ts DESC, event_id DESC) AS rn
+        FROM tower_kpis) WHERE rn = 1)"""
+DEMAND_LATEST_CTE = f"""demand_latest AS (
+  SELECT building_id, event_ts AS demand_snapshot_ts, demand_users, traffic_mix, indoor_penetration_factor,
+         {sround('demand_users * (1.1e0 - indoor_penetration_factor / 2.0e0)', 2)} AS effective_radio_load_score
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY building_id ORDER BY event_ts DESC, order_key DESC) AS rn
+        FROM building_demand) WHERE rn = 1)"""
+
+
+@query("kpis_latest", with_([fx.KPIS_SQL, KPI_LATEST_CTE], "SELECT * FROM kpi_latest"))
+def q_kpis_latest(spark, sf_dir):
+    return pl.kpis_latest(fx.tower_kpis(spark, sf_dir))
+
+
+@query("demand_latest", with_([fx.DEMAND_SQL, DEMAND_LATEST_CTE], "SELECT * FROM demand_latest"))
+def q_demand_latest(spark, sf_dir):
+    return pl.demand_latest(fx.building_demand(spark, sf_dir))
+
+
+@query("ops_overlay", with_(GOLD_CTES + [fx.KPIS_SQL, KPI_LATEST_CTE, fx.DEMAND_SQL, DEMAND_LATEST_CTE], """
+SELECT g.*, d.demand_snapshot_ts, d.demand_users, d.traffic_mix, d.indoor_penetration_factor,
+       d.effective_radio_load_score, k.kpi_snapshot_ts, k.prb_utilization_pct, k.latency_ms, k.packet_loss_pct,
+       k.throughput_mbps, k.tower_health_band,
+       CASE WHEN k.tower_health_band = 'critical' OR d.effective_radio_load_score >= 45 THEN 'critical'
+            WHEN k.tower_health_band = 'watch' OR d.effective_radio_load_score >= 28 THEN 'watch'
+            ELSE 'healthy' END AS building_service_risk_band
+FROM gold g LEFT JOIN demand_latest d ON g.building_id = d.building_id
+LEFT JOIN kpi_latest k ON g.nearest_tower_id = k.tower_id"""))
+def q_ops_overlay(spark, sf_dir):
+    return pl.ops_overlay(gold(spark, sf_dir), pl.demand_latest(fx.building_demand(spark, sf_dir)),
+                          pl.kpis_latest(fx.tower_kpis(spark, sf_dir)))
+
+
+# ==================================================================== designer flow
+def _register_domain_views(spark, sf_dir):
+    from towerlens.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    tag = abs(hash(sf_dir)) % 10**8
+    names = {"towers": f"tl_towers_{tag}", "cells": f"tl_cells_{tag}", "buildings": f"tl_buildings_{tag}"}
+    fx.towers(spark, sf_dir).createOrReplaceTempView(names["towers"])
+    fx.coverage_cells(spark, sf_dir).createOrReplaceTempView(names["cells"])
+    fx.buildings(spark, sf_dir).createOrReplaceTempView(names["buildings"])
+    return names
+
+
+_DES_BUCKET = ("CASE WHEN d < 500 THEN '0-500m' WHEN d < 1000 THEN '500-1000m' WHEN d < 2000 THEN '1000-2000m' "
+               "WHEN d < 3000 THEN '2000-3000m' ELSE '3000m+' END")
+
+
+@query("designer_buckets", with_(ALLB_CTES + [fx.TOWERS_SQL, """jd AS (
+  SELECT * FROM (SELECT b.building_id, b.centroid_lon, b.centroid_lat, c.fid, c.technology, c.mindown, c.minup,
+                        ROW_NUMBER() OVER (PARTITION BY b.building_id, c.technology ORDER BY c.fid) AS rn0
+                 FROM allb b JOIN coverage_cells c ON b.h3_res9_id = c.h3_res9_id) WHERE rn0 = 1)""",
+    _ranked_sql("jd b", "b.building_id, b.technology", "b.centroid_lon", "b.centroid_lat", "b.mindown, b.minup,")],
+    f"""
+SELECT {_DES_BUCKET} AS distance_bucket, AVG(mindown) AS avg_mindown, AVG(minup) AS avg_minup,
+       MIN(mindown) AS min_mindown, MAX(mindown) AS max_mindown, MIN(minup) AS min_minup, MAX(minup) AS max_minup,
+       COUNT(*) AS building_count
+FROM ranked WHERE rn = 1 GROUP BY 1"""))
+def q_designer_buckets(spark, sf_dir):
+    from towerlens.plans.flows import designer_coverage_flow
+    from towerlens.plans.nodes import run_flow
+
+    v = _register_domain_views(spark, sf_dir)
+    ctx = run_flow(designer_coverage_flow(v["towers"], v["cells"], v["buildings"]), spark)
+    return ctx["agg_by_distance.aggregated_data"]
+
+
+@query("tower_type_counts", with_([fx.TOWERS_SQL],
+                                  "SELECT tower_type, COUNT(tower_id) AS tower_count FROM towers GROUP BY tower_type"))
+def q_tower_type_counts(spark, sf_dir):
+    from towerlens.plans.flows import tower_type_count_flow
+    from towerlens.plans.nodes import run_flow
+
+    v = _register_domain_views(spark, sf_dir)
+    return run_flow(tower_type_count_flow(v["towers"]), spark)["count_by_type.aggregated_data"]
+
+
+# ==================================================================== dataflow nodes
+def _agg_cfg(groups, aggs):
+    return {"group_bys": [{"expr": g, "type": "expr"} for g in groups],
+            "aggregations": [dict({"columnExpr": {"expr": e, "type": "expr"}, "fn": fn}, **({"alias": a} if a else {}),
+                                  **extra) for e, fn, a, extra in aggs]}
+
+
+@query("agg_node_all_functions", f"""
+SELECT l_returnflag, SUM(l_quantity) AS sum_qty, {sround('AVG(l_extendedprice)', 4)} AS avg_price,
+       COUNT(l_orderkey) AS n, MIN(l_discount) AS min_disc, MAX(l_tax) AS max_tax, AVG(l_quantity) AS mean_qty,
+       MEDIAN(l_quantity) AS median_qty, {sround('STDDEV_SAMP(l_quantity)', 6)} AS sd_qty,
+       {sround('VAR_SAMP(l_quantity)', 6)} AS var_qty, {sround('SUM(l_tax)', 4)} AS sum_tax
+FROM lineitem GROUP BY l_returnflag""")
+def q_agg_node_all(spark, sf_dir):
+    from towerlens.plans.nodes import aggregate_node, transform_node
+
+    cfg = _agg_cfg(["l_returnflag"], [
+        ("l_returnflag", "-", None, {}), ("l_quantity", "SUM", "sum_qty", {}), ("l_extendedprice", "AVG", "avg_price", {}),
+        ("l_orderkey", "COUNT", "n", {}), ("l_discount", "MIN", "min_disc", {}), ("l_tax", "MAX", "max_tax", {}),
+        ("l_quantity", "MEAN", "mean_qty", {}), ("l_quantity", "MEDIAN", "median_qty", {}),
+        ("l_quantity", "STDDEV", "sd_qty", {}), ("l_quantity", "VARIANCE", "var_qty", {}),
+        ("l_tax", "sum", "sum_tax", {})])
+    out = aggregate_node(cfg, {"data": fx.table(spark, sf_dir, "lineitem")}, spark)["aggregated_data"]
+    return transform_node({"expressions": [
+        "l_returnflag", "sum_qty", "round(avg_price, 4) AS avg_price", "n", "min_disc", "max_tax", "mean_qty",
+        "median_qty", "round(sd_qty, 6) AS sd_qty", "round(var_qty, 6) AS var_qty", "round(sum_tax, 4) AS sum_tax"]},
+        {"data": out}, spark)["transformed_data"]
+
+
+@query("agg_node_percentile", """
+SELECT l_linestatus, quantile_cont(l_quantity, 0.0) AS p_low, quantile_cont(l_quantity, 1.0) AS p_high,
+       quantile_cont(l_quantity, 0.5) AS p_nan, quantile_cont(l_quantity, 0.5) AS p_bool,
+       quantile_cont(l_quantity, 0.5) AS p_missing, quantile_cont(l_quantity, 0.9) AS p90
+FROM lineitem GROUP BY l_linestatus""")
+def q_agg_node_percentile(spark, sf_dir):
+    from towerlens.plans.nodes import aggregate_node
+
+    cfg = _agg_cfg(["l_linestatus"], [
+        ("l_quantity", "PERCENTILE", "p_low", {"percentage": -0.1}),
+        ("l_quantity", "PERCENTILE", "p_high", {"percentage": 1.5}),
+        ("l_quantity", "PERCENTILE", "p_nan", {"percentage": float("nan")}),
+        ("l_quantity", "PERCENTILE", "p_bool", {"percentage": True}),
+        ("l_quantity", "PERCENTILE", "p_missing", {}),
+        ("l_quantity", "PERCENTILE", "p90", {"percentage": 0.9})])
+    return aggregate_node(cfg, {"data": fx.table(spark, sf_dir, "lineitem")}, spark)["aggregated_data"]
+
+
+@query("agg_node_distinct", "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem")
+def q_agg_node_distinct(spark, sf_dir):
+    from towerlens.plans.nodes import aggregate_node
+
+    cfg = {"group_bys": [{"expr": "l_returnflag"}, {"expr": "l_linestatus"}], "aggregations": []}
+    return aggregate_node(cfg, {"data": fx.table(spark, sf_dir, "lineitem")}, spark)["aggregated_data"]
+
+
+@query("agg_node_global", "SELECT COUNT(l_orderkey) AS n, SUM(l_quantity) AS qty FROM lineitem")
+def q_agg_node_global(spark, sf_dir):
+    from towerlens.plans.nodes import aggregate_node
+
+    cfg = _agg_cfg([], [("l_orderkey", "COUNT", "n", {}), ("l_quantity", "SUM", "qty", {})])
+    return aggregate_node(cfg, {"data": fx.table(spark, sf_dir, "lineitem")}, spark)["aggregated_data"]
+
+
+@query("agg_node_identity", "SELECT * FROM nation")
+def q_agg_node_identity(spark, sf_dir):
+    from towerlens.plans.nodes import aggregate_node
+
+    return aggregate_node({}, {"data": fx.table(spark, sf_dir, "nation")}, spark)["aggregated_data"]
+
+
+_JOIN_COND = "left.o_custkey = right.c_custkey AND right.c_mktsegment = 'BUILDING'"
+_JOIN_SQL = {"inner": "JOIN", "left": "LEFT JOIN", "right": "RIGHT JOIN", "full": "FULL OUTER JOIN"}
+
+
+def _join_query(how: str):
+    def run(spark, sf_dir):
+        from towerlens.plans.nodes import join_node
+
+        o = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+        c = fx.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+        exprs = ["`left`.o_orderkey", "`left`.o_totalprice"]
+        if how not in ("left semi", "left anti"):
+            exprs += ["`right`.c_custkey", "`right`.c_mktsegment"]
+        return join_node({"join_type": how, "join_conditions": _JOIN_COND, "expressions": exprs},
+                         {"left": o, "right": c}, spark)["joined_data"]
+    return run
+
+
+for _how, _kw in _JOIN_SQL.items():
+    query(f"join_node_{_how}", f"""
+SELECT o.o_orderkey, o.o_totalprice, c.c_custkey, c.c_mktsegment
+FROM orders o {_kw} customer c ON o.o_custkey = c.c_custkey AND c.c_mktsegment = 'BUILDING'""")(_join_query(_how))
+query("join_node_left_semi", """
+SELECT o.o_orderkey, o.o_totalprice FROM orders o
+WHERE EXISTS (SELECT 1 FROM customer c WHERE o.o_custkey = c.c_custkey AND c.c_mktsegment = 'BUILDING')""")(
+    _join_query("left semi"))
+query("join_node_left_anti", """
+SELECT o.o_orderkey, o.o_totalprice FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE o.o_custkey = c.c_custkey AND c.c_mktsegment = 'BUILDING')""")(
+    _join_query("left anti"))
+
+
+@query("join_node_cross", "SELECT n.n_nationkey, r.r_regionkey FROM nation n CROSS JOIN region r")
+def q_join_node_cross(spark, sf_dir):
+    from towerlens.plans.nodes import join_node
+
+    return join_node({"join_type": "cross", "join_conditions": "",
+                      "expressions": ["`left`.n_nationkey", "`right`.r_regionkey"]},
+                     {"left": fx.table(spark, sf_dir, "nation"), "right": fx.table(spark, sf_dir, "region")},
+                     spark)["joined_data"]
+
+
+@query("sql_node_params", """
+SELECT n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS region_text FROM nation
+WHERE n_regionkey = 1 AND n_nationkey >= 5""")
+def q_sql_node_params(spark, sf_dir):
+    from towerlens.plans.nodes import sql_node
+
+    q = ("SELECT n_nationkey, n_name, n_regionkey::string AS region_text FROM tl_nation_v "
+         "WHERE n_regionkey = :region AND n_nationkey >= :min_key")
+    return sql_node({"query": q}, {"data": [fx.table(spark, sf_dir, "nation")], "data__sources": [{"df_name": "tl_nation_v"}]},
+                    spark, params={"region": 1, "min_key": 5, "unused": 3})["result"]
+
+
+# ==================================================================== expectations (Q1-Q6)
+_KPI_RULES_SQL = [("tower_id_not_null", "drop", "tower_id IS NOT NULL"),
+                  ("utilization_in_bounds", "drop", "prb_utilization_pct BETWEEN 0 AND 100"),
+                  ("latency_positive", "drop", "latency_ms > 0")]
+
+
+@query("expectation_metrics", with_([fx.RAW_KPIS_SQL], "\nUNION ALL\n".join(
+    f"SELECT 'ops_app_bronze_tower_hourly_kpis' AS dataset, '{n}' AS rule, '{a}' AS action, "
+    f"COUNT(*) FILTER (WHERE coalesce({p}, false)) AS passed, COUNT(*) FILTER (WHERE NOT coalesce({p}, false)) AS failed "
+    f"FROM raw_kpis" for n, a, p in _KPI_RULES_SQL)))
+def q_expectation_metrics(spark, sf_dir):
+    from towerlens.plans.quality import RULES, expectation_metrics
+
+    return expectation_metrics(fx.raw_kpis(spark, sf_dir), RULES["ops_app_bronze_tower_hourly_kpis"],
+                               "ops_app_bronze_tower_hourly_kpis")
+
+
+@query("expectation_drop", with_([fx.RAW_KPIS_SQL], "SELECT * FROM raw_kpis WHERE " + " AND ".join(
+    f"coalesce({p}, false)" for _, _, p in _KPI_RULES_SQL)))
+def q_expectation_drop(spark, sf_dir):
+    from towerlens.plans.quality import RULES, apply_expectations
+
+    kept, _ = apply_expectations(fx.raw_kpis(spark, sf_dir), RULES["ops_app_bronze_tower_hourly_kpis"])
+    return kept
+
+
+@query("expectation_tower_rules", with_([fx.TOWERS_SQL], "\nUNION ALL\n".join(
+    f"SELECT 'silver_tmobile_towers_seattle' AS dataset, '{n}' AS rule, '{a}' AS action, "
+    f"COUNT(*) FILTER (WHERE coalesce({p}, false)) AS passed, COUNT(*) FILTER (WHERE NOT coalesce({p}, false)) AS failed "
+    f"FROM towers" for n, a, p in [
+        ("tmobile_only", "fail", "net = 260"), ("point_geometry", "fail", "true"),
+        ("in_seattle_bbox", "drop", "latitude BETWEEN 47.40 AND 47.80 AND longitude BETWEEN -122.50 AND -122.10"),
+        ("radius_positive", "warn", "coverage_radius_m IS NULL OR coverage_radius_m > 0")])))
+def q_expectation_tower_rules(spark, sf_dir):
+    from towerlens.plans.quality import RULES, apply_expectations
+
+    rules = RULES["silver_tmobile_towers_seattle"]
+    _, metrics = apply_expectations(fx.towers(spark, sf_dir), rules, "silver_tmobile_towers_seattle")
+    return metrics
+
+
+# ==================================================================== streaming ingest
+@query("stream_kpis_once", with_([fx.RAW_KPIS_SQL], "SELECT tower_id, event_ts, prb_utilization_pct, latency_ms, "
+                                 "packet_loss_pct, throughput_mbps FROM raw_kpis WHERE " + " AND ".join(
+                                     f"coalesce({p}, false)" for _, _, p in _KPI_RULES_SQL)))
+def q_stream_kpis_once(spark, sf_dir):
+    import uuid
+
+    from towerlens.plans.quality import RULES
+    from towerlens.session import ensure_checkpoint_dir
+    from towerlens.sources.files import KPI_COLUMNS
+    from towerlens.streaming.ingest import stream_csv_dir, stream_to_table
+
+    root = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream-kpis-{uuid.uuid4().hex}"
+    raw = fx.raw_kpis(spark, sf_dir).drop("event_id")
+    opts = {"header": "false", "compression": "gzip", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    raw.filter(F.col("event_ts") < F.lit("2024-01-15").cast("timestamp_ntz")).write.options(**opts).csv(f"{root}/in/a")
+    raw.filter(F.col("event_ts") >= F.lit("2024-01-15").cast("timestamp_ntz")).write.options(**opts).csv(
+        f"{root}/in/b/nested")
+    rules = RULES["ops_app_bronze_tower_hourly_kpis"]
+    for _ in range(2):      # the second update finds no new files and appends nothing
+        sdf = stream_csv_dir(spark, f"{root}/in", KPI_COLUMNS)
+        stream_to_table(sdf, f"{root}/table", f"{root}/checkpoint", rules)
+    out = spark.read.parquet(f"{root}/table")
+    return out.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+
+
+# ==================================================================== signal analysis
+_SIG_CTES = [fx.BUILDINGS_SQL, fx.TOWERS_SQL, fx.CELLS_SQL, f"""bc AS (
+  SELECT building_id, {cell_sql('centroid_lon', 'centroid_lat')} AS h3_res9_id, a * {lit(_AREA_K)} AS a
+  FROM (SELECT building_id, {ring5_centroid_select('_v')}, {_area_sql('_v')} AS a
+        FROM (SELECT *, {coords_sql('geometry')} AS _v FROM buildings)))""", """density AS (
+  SELECT h3_res9_id, COUNT(DISTINCT building_id) AS buildings_in_hex, AVG(a) AS avg_a, SUM(a) AS sum_a
+  FROM bc GROUP BY h3_res9_id)""", f"""tc AS (
+  SELECT {cell_sql('longitude', 'latitude')} AS h3_res9_id, COUNT(DISTINCT tower_id) AS towers_in_hex
+  FROM towers GROUP BY 1)""", f"""sig AS (
+  SELECT c.h3_res9_id, c.fid, c.mindown AS download_speed_mbps, c.minup AS upload_speed_mbps,
+         COALESCE(d.buildings_in_hex, 0) AS building_count,
+         {sround('COALESCE(d.avg_a, 0e0)', 3)} AS avg_building_area_sqm,
+         {sround('COALESCE(d.sum_a, 0e0)', 3)} AS total_building_area_sqm,
+         COALESCE(t.towers_in_hex, 0) AS tower_count,
+         {sround('least(100e0, greatest(0e0, 50e0 + 20e0 * COALESCE(t.towers_in_hex, 0) + c.mindown / 10e0 - 0.5e0 * COALESCE(d.buildings_in_hex, 0)))', 1)} AS estimated_signal_quality
+  FROM coverage_cells c LEFT JOIN density d ON c.h3_res9_id = d.h3_res9_id
+  LEFT JOIN tc t ON c.h3_res9_id = t.h3_res9_id)"""]
+
+
+def _signal(spark, sf_dir):
+    return pl.signal_analysis(fx.coverage_cells(spark, sf_dir), fx.buildings(spark, sf_dir), fx.towers(spark, sf_dir))
+
+
+@query("signal_analysis", with_(_SIG_CTES, "SELECT * FROM sig"))
+def q_signal_analysis(spark, sf_dir):
+    return _signal(spark, sf_dir)
+
+
+@query("signal_distribution", with_(_SIG_CTES, f"""
+SELECT CASE WHEN estimated_signal_quality >= 80 THEN 'Excellent (80-100)' WHEN estimated_signal_quality >= 60
+            THEN 'Good (60-79)' WHEN estimated_signal_quality >= 40 THEN 'Fair (40-59)' ELSE 'Poor (0-39)' END
+         AS signal_quality_category,
+       COUNT(*) AS hex_count, {sround('AVG(download_speed_mbps)', 1)} AS avg_download_mbps,
+       {sround('AVG(building_count)', 1)} AS avg_buildings_per_hex
+FROM sig GROUP BY 1"""))
+def q_signal_distribution(spark, sf_dir):
+    return pl.signal_distribution(_signal(spark, sf_dir))
+
+
+@query("signal_summary", with_(_SIG_CTES, f"""
+SELECT COUNT(*) AS total_hexagons, {sround('AVG(download_speed_mbps)', 1)} AS avg_download_mbps,
+       {sround('AVG(upload_speed_mbps)', 1)} AS avg_upload_mbps, SUM(building_count) AS total_buildings_covered,
+       {sround('AVG(estimated_signal_quality)', 1)} AS avg_signal_quality,
+       {sround('MIN(estimated_signal_quality)', 1)} AS min_signal_quality,
+       {sround('MAX(estimated_signal_quality)', 1)} AS max_signal_quality
+FROM sig"""))
+def q_signal_summary(spark, sf_dir):
+    return pl.signal_summary(_signal(spark, sf_dir))
+
+
+# ==================================================================== enriched buildings
+AB = pl.ANALYSIS_BOX
+_ENR_CTES = [fx.BUILDINGS_SQL, BLD_CTE, fx.TOWERS_SQL, fx.CELLS_SQL, f"""db AS (
+  SELECT building_id, height, centroid_lat, centroid_lon, {cell_sql('centroid_lon', 'centroid_lat')} AS h3_res9_id
+  FROM bld WHERE centroid_lat BETWEEN {lit(AB.lat_min)} AND {lit(AB.lat_max)}
+    AND centroid_lon BETWEEN {lit(AB.lon_min)} AND {lit(AB.lon_max)})""",
+             _ranked_sql("db b", "b.building_id", "b.centroid_lon", "b.centroid_lat", "t.cell_id AS nearest_tower_cell_id,"),
+             f"""enr AS (
+  SELECT b.building_id, b.height, b.centroid_lat, b.centroid_lon, b.h3_res9_id, c.fid, c.technology,
+         c.mindown AS min_download_mbps, c.minup AS min_upload_mbps, c.environmnt AS environment_type,
+         CASE WHEN c.technology IS NULL THEN 'No Coverage' WHEN c.mindown >= 35 THEN 'Strong (35+ Mbps)'
+              WHEN c.mindown >= 7 THEN 'Moderate (7+ Mbps)' ELSE 'Weak' END AS coverage_quality,
+         r.nearest_tower_id, r.nearest_tower_type AS nearest_tower_radio, r.nearest_tower_cell_id,
+         {sround('r.d', 1)} AS nearest_tower_distance_m,
+         CASE WHEN r.d < 200 THEN 'Very Close (<200m)' WHEN r.d < 500 THEN 'Close (200-500m)'
+              WHEN r.d < 1000 THEN 'Moderate (500m-1km)' ELSE 'Far (>1km)' END AS tower_proximity_band
+  FROM db b LEFT JOIN coverage_cells c ON b.h3_res9_id = c.h3_res9_id
+  JOIN ranked r ON b.building_id = r.building_id AND r.rn = 1)"""]
+
+
+def _enriched(spark, sf_dir):
+    return pl.enriched_buildings(fx.buildings(spark, sf_dir), fx.coverage_cells(spark, sf_dir), fx.towers(spark, sf_dir))
+
+
+@query("enriched_buildings", with_(_ENR_CTES, "SELECT * FROM enr"))
+def q_enriched_buildings(spark, sf_dir):
+    return _enriched(spark, sf_dir)
+
+
+@query("quality_distribution", with_(_ENR_CTES, f"""
+SELECT coverage_quality, COUNT(*) AS buildings, {sround('AVG(nearest_tower_distance_m)', 0)} AS avg_tower_dist_m
+FROM enr GROUP BY coverage_quality"""))
+def q_quality_distribution(spark, sf_dir):
+    return pl.class_summary(_enriched(spark, sf_dir), "coverage_quality", "nearest_tower_distance_m",
+                            "avg_tower_dist_m", 0)
+
+
+@query("proximity_distribution", with_(_ENR_CTES, f"""
+SELECT tower_proximity_band, COUNT(*) AS buildings, {sround('AVG(min_download_mbps)', 1)} AS avg_download_mbps
+FROM enr GROUP BY tower_proximity_band"""))
+def q_proximity_distribution(spark, sf_dir):
+    return pl.class_summary(_enriched(spark, sf_dir), "tower_proximity_band", "min_download_mbps", "avg_download_mbps")
+
+
+# ==================================================================== tower exploration
+_OCID_CTE = """ocid AS (
+  SELECT CASE (s_suppkey * 4 + j) % 4 WHEN 0 THEN 'LTE' WHEN 1 THEN 'NR' WHEN 2 THEN 'GSM' ELSE 'UMTS' END AS radio,
+         CASE WHEN (s_suppkey * 4 + j) % 50 = 0 THEN 302 ELSE 310 END AS mcc,
+         CASE j WHEN 0 THEN 260 WHEN 1 THEN 410 WHEN 2 THEN 120 ELSE 480 END AS net,
+         CAST(10000 + (s_suppkey * 4 + j) % 97 AS INTEGER) AS area,
+         1000000 + (s_suppkey * 4 + j) * 13 AS cell,
+         CAST(200 + 100 * ((s_suppkey * 4 + j) % 20) AS INTEGER) AS range_m,
+         CAST(1 + ((s_suppkey * 4 + j) * 7) % 50 AS INTEGER) AS samples
+  FROM supplier CROSS JOIN range(4) AS r(j))"""
+
+
+def _ocid(spark, sf_dir):
+    from towerlens.sources.files import TOWER_COLUMNS, typed
+
+    rows = fx.opencellid_rows(spark, sf_dir)
+    return rows.select(*typed(TOWER_COLUMNS, source_cols=rows.columns))
+
+
+@query("carrier_breakdown", with_([_OCID_CTE], f"""
+SELECT radio, net, COUNT(*) AS record_count, COUNT(DISTINCT cell) AS unique_cell_ids,
+       {sround('AVG(range_m)', 0)} AS avg_range_m, {sround('AVG(samples)', 1)} AS avg_samples
+FROM ocid GROUP BY radio, net"""))
+def q_carrier_breakdown(spark, sf_dir):
+    return pl.carrier_breakdown(_ocid(spark, sf_dir))
+
+
+@query("top_towers", with_([_OCID_CTE], """
+SELECT radio, net AS mnc, CASE net WHEN 260 THEN 'T-Mobile' WHEN 410 THEN 'AT&T' ELSE 'MNC-' || CAST(net AS VARCHAR) END AS carrier,
+       area AS lac_tac, cell AS cell_id, range_m, samples
+FROM ocid ORDER BY samples DESC, cell LIMIT 20"""))
+def q_top_towers(spark, sf_dir):
+    return pl.top_towers(_ocid(spark, sf_dir), 20).drop("lon", "lat", "created_ts", "updated_ts")
+
+
+@query("sample_n")
+def q_sample_n(spark, sf_dir):
+    return pl.sample_n(fx.buildings(spark, sf_dir), 100, seed=7, key_cols=["building_id"])
+
+
+# ==================================================================== transcripts
+_TRANSCRIPT_CTE = r"""tr AS (
+  SELECT conv_id, COUNT(*) AS turns, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript
+  FROM conversations GROUP BY conv_id),
+trw AS (
+  SELECT *, list_filter(string_split(lower(regexp_replace(transcript, '[^\p{L}\p{N}'']+', ' ', 'g')), ' '),
+                        lambda w: w <> '') AS ws,
+         list_filter(regexp_split_to_array(trim(regexp_extract(transcript, '^\s*([^.!?\n]*[.!?]?)', 1), ' '), '\s+'),
+                     lambda w: w <> '') AS sw
+  FROM tr)"""
+
+
+def _lex_sql(words):
+    return "[" + ", ".join("'" + w + "'" for w in sorted(set(words))) + "]"
+
+
+@query("transcript_enrichment")
+def q_transcript_enrichment(spark, sf_dir):
+    from towerlens.plans.flows import transcript_flow
+    from towerlens.plans.nodes import run_flow
+    from towerlens.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    name = f"tl_transcripts_{abs(hash(sf_dir)) % 10**8}"
+    fx.transcripts(spark, sf_dir).createOrReplaceTempView(name)
+    return run_flow(transcript_flow(name), spark)["ai_function_1.enriched_data"]
+
+
+def _transcript_oracle():
+    from towerlens.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS
+
+    pos, neg = _lex_sql(POSITIVE_WORDS), _lex_sql(NEGATIVE_WORDS)
+    p = f"len(list_filter(ws, lambda w: list_contains({pos}, w)))"
+    n = f"len(list_filter(ws, lambda w: list_contains({neg}, w)))"
+    return with_([_TRANSCRIPT_CTE], f"""
+SELECT array_to_string(sw[1:10], ' ') AS transcript_summary,
+       CASE WHEN {p} > 0 AND {n} > 0 THEN 'mixed' WHEN {p} > 0 THEN 'positive' WHEN {n} > 0 THEN 'negative'
+            ELSE 'neutral' END AS sentiment,
+       conv_id, turns, transcript
+FROM trw""")
+
+
+ORACLE["transcript_enrichment"] = _transcript_oracle()
+
+
+# ==================================================================== sample questions
+@query("n1_covered_buildings", with_(GOLD_CTES, "SELECT COUNT(*) AS buildings FROM gold WHERE best_download_mbps > 0"))
+def q_n1(spark, sf_dir):
+    return gold(spark, sf_dir).filter(F.col("best_download_mbps") > 0).agg(F.count(F.lit(1)).alias("buildings"))
+
+
+@query("n2_download_by_bucket", with_(GOLD_CTES, f"""
+SELECT {_BUCKET_SQL} AS distance_bucket, {sround('AVG(best_download_mbps)', 1)} AS avg_download_mbps
+FROM gold WHERE best_download_mbps > 0 GROUP BY 1"""))
+def q_n2(spark, sf_dir):
+    return q_coverage_by_distance(spark, sf_dir).select("distance_bucket", "avg_download_mbps").orderBy("distance_bucket")
+
+
+@query("n3_closest_buildings", with_(GOLD_CTES, """
+SELECT building_id, nearest_tower_id, distance_to_tower_m FROM gold
+ORDER BY distance_to_tower_m, building_id LIMIT 10"""))
+def q_n3(spark, sf_dir):
+    return (gold(spark, sf_dir).select("building_id", "nearest_tower_id", "distance_to_tower_m")
+            .orderBy("distance_to_tower_m", "building_id").limit(10))
+
+
+@query("n4_top_provider_cell", with_([fx.CELLS_SQL], """
+SELECT h3_res9_id, COUNT(DISTINCT fid) AS providers FROM coverage_cells
+GROUP BY h3_res9_id ORDER BY providers DESC, h3_res9_id LIMIT 1"""))
+def q_n4(spark, sf_dir):
+    c = fx.coverage_cells(spark, sf_dir)
+    return (c.groupBy("h3_res9_id").agg(F.count_distinct("fid").alias("providers"))
+            .orderBy(F.desc("providers"), "h3_res9_id").limit(1))
+
+
+@query("n5_speed_vs_distance", with_(GOLD_CTES, "SELECT building_id, best_download_mbps, distance_to_tower_m FROM gold"))
+def q_n5(spark, sf_dir):
+    return gold(spark, sf_dir).select("building_id", "best_download_mbps", "distance_to_tower_m")
+
+
+@query("n6_avg_download", with_(GOLD_CTES, f"SELECT {sround('AVG(best_download_mbps)', 2)} AS avg_best_download_mbps FROM gold"))
+def q_n6(spark, sf_dir):
+    return gold(spark, sf_dir).agg(F.round(F.avg("best_download_mbps"), 2).alias("avg_best_download_mbps"))
+
+
+@query("n7_uncovered_near_tower", with_(GOLD_CTES, """
+SELECT building_id, nearest_tower_id, distance_to_tower_m FROM gold WHERE best_download_mbps = 0
+ORDER BY distance_to_tower_m, building_id LIMIT 1"""))
+def q_n7(spark, sf_dir):
+    return (gold(spark, sf_dir).filter(F.col("best_download_mbps") == 0)
+            .select("building_id", "nearest_tower_id", "distance_to_tower_m")
+            .orderBy("distance_to_tower_m", "building_id").limit(1))
+
+
+@query("n8_worst_bucket", with_(GOLD_CTES, f"""
+SELECT distance_bucket, avg_download_mbps FROM (
+  SELECT {_BUCKET_SQL} AS distance_bucket, {sround('AVG(best_download_mbps)', 1)} AS avg_download_mbps
+  FROM gold WHERE best_download_mbps > 0 GROUP BY 1)
+ORDER BY avg_download_mbps, distance_bucket LIMIT 1"""))
+def q_n8(spark, sf_dir):
+    return (q_coverage_by_distance(spark, sf_dir).select("distance_bucket", "avg_download_mbps")
+            .orderBy("avg_download_mbps", "distance_bucket").limit(1))
+
+
+@query("n9_fast_cells", with_([fx.CELLS_SQL], """
+SELECT COUNT(DISTINCT h3_res9_id) AS cells FROM coverage_cells WHERE mindown >= 100"""))
+def q_n9(spark, sf_dir):
+    return (fx.coverage_cells(spark, sf_dir).filter(F.col("mindown") >= 100)
+            .agg(F.count_distinct("h3_res9_id").alias("cells")))
+
+
+# ==================================================================== map feeds (L12), profiles
+@query("map_points", with_(GOLD_CTES, """
+SELECT building_id, centroid_lat, centroid_lon, best_download_mbps AS weight,
+       CASE WHEN best_download_mbps >= 100 THEN 'green' WHEN best_download_mbps >= 35 THEN 'orange' ELSE 'red' END AS color
+FROM gold WHERE best_download_mbps > 0"""))
+def q_map_points(spark, sf_dir):
+    return pl.map_points(gold(spark, sf_dir))
+
+
+_MAPBOX = CORE.pad(0.01)
+
+
+@query("map_towers", with_([fx.TOWERS_SQL], f"""
+SELECT tower_id, tower_type, latitude, longitude, coverage_radius_m FROM towers
+WHERE latitude BETWEEN {lit(_MAPBOX.lat_min)} AND {lit(_MAPBOX.lat_max)}
+  AND longitude BETWEEN {lit(_MAPBOX.lon_min)} AND {lit(_MAPBOX.lon_max)}"""))
+def q_map_towers(spark, sf_dir):
+    return pl.map_towers(fx.towers(spark, sf_dir), CORE, 0.01)
+
+
+@query("table_summary", """
+SELECT 'buildings' AS table_name, COUNT(*) AS rows, 3 AS n_cols, 'building_id, height, geometry' AS columns FROM customer
+UNION ALL
+SELECT 'coverage_cells', COUNT(*), 6, 'fid, technology, mindown, minup, environmnt, h3_res9_id' FROM part WHERE p_partkey % 5 < 2
+UNION ALL
+SELECT 'missing_table', NULL, NULL, NULL""")
+def q_table_summary(spark, sf_dir):
+    from towerlens.sources.tables import table_summary
+
+    return table_summary(spark, {"buildings": fx.buildings(spark, sf_dir),
+                                 "coverage_cells": fx.coverage_cells(spark, sf_dir),
+                                 "missing_table": "tl_no_such_table_here"})
+
+
+@query("describe_heights", with_([fx.BUILDINGS_SQL], """
+SELECT MIN(height) AS min, quantile_cont(height, 0.5) AS median, MAX(height) AS max,
+       quantile_cont(height, 0.05) AS p05, quantile_cont(height, 0.95) AS p95, SUM(height) AS sum FROM buildings"""))
+def q_describe_heights(spark, sf_dir):
+    return pl.describe_numeric(fx.buildings(spark, sf_dir), "height")
+
+
+@query("value_counts_tower_type", with_([fx.TOWERS_SQL], "SELECT tower_type, COUNT(*) AS count FROM towers GROUP BY 1"))
+def q_value_counts(spark, sf_dir):
+    return pl.value_counts(fx.towers(spark, sf_dir), "tower_type")
+
+
+# ==================================================================== H3 ids and cell geometry
+_H3_BASE = 617700169958293503          # 8928308280fffff, a valid resolution-9 id
+_H3_DIGIT9_MASK = 7 << 18
+
+
+@query("h3_checks", f"""
+SELECT p_partkey, printf('%x', h) AS h3_id,
+       NOT (p_partkey % 8 = 7 OR p_partkey % 9 = 0) AS is_valid,
+       CAST((h >> 52) & 15 AS INTEGER) AS resolution, h AS h3_long
+FROM (SELECT p_partkey,
+             CASE WHEN p_partkey % 9 = 0 THEN xor((({_H3_BASE} & ~{_H3_DIGIT9_MASK}) | ((p_partkey % 8) << 18)), 3 << 59)
+                  ELSE (({_H3_BASE} & ~{_H3_DIGIT9_MASK}) | ((p_partkey % 8) << 18)) END AS h
+      FROM part)""")
+def q_h3_checks(spark, sf_dir):
+    from towerlens.functions.cells import h3_is_valid_string, h3_long_to_string, h3_resolution, h3_string_to_long
+
+    k = F.col("p_partkey")
+    h = F.lit(_H3_BASE).bitwiseAND(F.lit(~_H3_DIGIT9_MASK)).bitwiseOR(F.shiftleft(k % 8, 18))
+    h = F.when(k % 9 == 0, h.bitwiseXOR(F.lit(3 << 59))).otherwise(h)
+    p = fx.table(spark, sf_dir, "part").select("p_partkey", h.alias("_h"))
+    s = p.select("p_partkey", h3_long_to_string("_h").alias("h3_id"))
+    return s.select("p_partkey", "h3_id", h3_is_valid_string("h3_id").alias("is_valid"),
+                    h3_resolution(h3_string_to_long("h3_id")).alias("resolution"),
+                    h3_string_to_long("h3_id").alias("h3_long"))
+
+
+def _center_sql(key: str) -> tuple[str, str]:
+    import math as _m
+
+    from towerlens.functions.cells import APERTURE, RES9_EDGE_M
+
+    kx = G.EARTH_RADIUS_M * G.DEG2RAD * _m.cos(_m.radians(47.6))
+    ky = G.EARTH_RADIUS_M * G.DEG2RAD
+    s = f"({lit(RES9_EDGE_M)} * pow({lit(_m.sqrt(APERTURE))}, 9 - CAST(split_part({key}, ':', 1) AS INTEGER)))"
+    q = f"CAST(split_part({key}, ':', 2) AS DOUBLE)"
+    r = f"CAST(split_part({key}, ':', 3) AS DOUBLE)"
+    x = f"({s} * ({lit(_m.sqrt(3.0))} * {q} + {lit(_m.sqrt(3.0) / 2.0)} * {r}) / {lit(kx)})"
+    y = f"({s} * 1.5e0 * {r} / {lit(ky)})"
+    return x, y
+
+
+_CX, _CY = _center_sql("h3_res9_id")
+
+
+@query("cell_centers", with_([fx.CELLS_SQL], f"""
+SELECT DISTINCT h3_res9_id, {sround(_CX, 9)} AS center_lon, {sround(_CY, 9)} AS center_lat,
+       {cell_sql(_CX, _CY)} = h3_res9_id AS center_in_cell
+FROM coverage_cells"""))
+def q_cell_centers(spark, sf_dir):
+    from towerlens.functions.cells import cell_center
+
+    c = fx.coverage_cells(spark, sf_dir).select("h3_res9_id").distinct()
+    c = G.materialize(c, _c=cell_center("h3_res9_id"))
+    return c.select("h3_res9_id", F.round("_c.x", 9).alias("center_lon"), F.round("_c.y", 9).alias("center_lat"),
+                    (cell_id(F.col("_c.x"), F.col("_c.y")) == F.col("h3_res9_id")).alias("center_in_cell"))

@@ -44,7 +44,8 @@ from pyspark.sql import functions as F
 
 from towerlens.functions.geo import DEG2RAD, EARTH_RADIUS_M, haversine_m, let, materialize, planar_deg
 from towerlens.functions.cells import sql_double
-from towerlens.operators.skew import DEFAULT_BROADCAST_ROWS, salted_join
+from towerlens.operators.skew import DEFAULT_BROADCAST_ROWS, salted_join, spread
+from towerlens.session import ensure_checkpoint_dir
 from towerlens.oracle import haversine_sql
 
 _INF = 1.0e18
@@ -59,7 +60,12 @@ def _grid(g_req: float) -> tuple[float, int, int]:
     return g, ncols, nrows
 
 
-def _levels(g0: float, factor: float = 8.0) -> list[tuple[float, int, int]]:
+def _levels(g0: float, factor: float = 8.0, extent: float = 360.0) -> list[tuple[float, int, int]]:
+    """Cell sizes g0, 8 g0, ... until a cell spans the right side's extent, then the global level.
+
+    Beyond the extent a coarser level adds nothing that the global level
+    (one block covering the sphere) does not decide exactly.
+    """
     out = []
     g = g0
     while True:
@@ -68,7 +74,7 @@ def _levels(g0: float, factor: float = 8.0) -> list[tuple[float, int, int]]:
         if ncols <= 3 and nrows <= 3:
             break
         g = g * factor
-        if g >= 120.0:
+        if g >= 120.0 or gg >= extent:
             g = 120.0
     # drop duplicates created by snapping
     seen, uniq = set(), []
@@ -141,16 +147,38 @@ def _distance(metric: str, lx, ly, rx, ry) -> Column:
     return haversine_m(lx, ly, rx, ry)
 
 
-def _right_stats(right_pts: DataFrame) -> tuple[int, float]:
-    """Row count and a cell size giving about two right rows per cell (one job)."""
+_MAX_PER_CELL = 8           # target for the densest base cell (a 3 x 3 block then holds <= ~72 candidates)
+_SHRINK = 4.0
+
+
+def _right_stats(right_pts: DataFrame) -> tuple[int, float, float]:
+    """Row count and a base cell size, from at most two small jobs over the right side.
+
+    The first size gives about two right rows per cell on average.  Right
+    sides are often clustered (most towers in a downtown), so the size is
+    then shrunk until the *densest* cell holds at most ``_MAX_PER_CELL`` rows:
+    a dense area gets small cells, and points in sparse areas simply climb to
+    coarser levels.
+    """
     b = right_pts.agg(F.count(F.lit(1)), F.min("_rx"), F.max("_rx"), F.min("_ry"), F.max("_ry")).first()
     n = int(b[0])
     if n == 0:
-        return 0, 1.0
+        return 0, 1.0, 360.0
     w = max(b[2] - b[1], 1e-6)
     h = max(b[4] - b[3], 1e-6)
-    g = math.sqrt(w * h / n) * 1.5
-    return n, min(max(g, 1e-4), 120.0)
+    g = min(max(math.sqrt(w * h / n) * 1.5, 1e-4), 120.0)
+    cands = [g / _SHRINK ** i for i in range(7) if g / _SHRINK ** i >= 1e-5]
+    keys = F.array(*[F.struct(F.lit(i).alias("i"), F.expr(_cell_key_sql(*_cell_xy_sql("_rx", "_ry", c, _grid(c)[2]),
+                                                                         _grid(c)[1])).alias("k"))
+                     for i, c in enumerate(cands)])
+    dens = (right_pts.select(F.inline(keys)).groupBy("i", "k").count()
+            .groupBy("i").agg(F.max("count").alias("m")).collect())
+    worst = {r["i"]: r["m"] for r in dens}
+    extent = max(w, h)
+    for i, c in enumerate(cands):
+        if worst.get(i, 0) <= _MAX_PER_CELL:
+            return n, c, extent
+    return n, cands[-1], extent
 
 
 def nearest(left: DataFrame, right: DataFrame, *, left_xy: tuple[str, str], right_xy: tuple[str, str],
@@ -177,12 +205,12 @@ def nearest(left: DataFrame, right: DataFrame, *, left_xy: tuple[str, str], righ
     if clash:
         raise ValueError(f"nearest: output columns already on the left side: {clash}")
 
-    n_right, g_auto = _right_stats(right_pts)
+    n_right, g_auto, extent = _right_stats(right_pts)
     if n_right == 0:
         return _no_match(left, right_pts, rcols, dist_col, how, metric)
 
     g0 = cell_deg or g_auto
-    levels = _levels(g0)
+    levels = _levels(g0, extent=extent)
     if strategy == "auto":
         strategy = "broadcast" if n_right * 9 * len(levels) <= broadcast_rows else "shuffle"
     if strategy == "broadcast":
@@ -216,20 +244,29 @@ def _best_sql(arr: str, metric: str, rcols) -> str:
 
 def _nearest_broadcast(left, right_pts, rcols, left_xy, dist_col, how, metric, max_distance, levels):
     out_cols = list(left.columns)
-    cur = left.select("*", F.col(left_xy[0]).cast("double").alias("_lx"), F.col(left_xy[1]).cast("double").alias("_ly"))
+    # right side, all levels at once: (level, cell) -> candidates of its 3 x 3 block.  One
+    # aggregation, broadcast once (size proven by the count in nearest()) and reused by
+    # every level's lookup.
+    level_keys = [F.expr(f"transform({_neighbour_keys_sql('_rx', '_ry', g, ncols, nrows)}, "
+                         f"k -> named_struct('_lv', {li}, '_k', k))")
+                  for li, (g, ncols, nrows) in enumerate(levels)]
+    cand = (right_pts.select(F.inline(F.concat(*level_keys)), _cand_struct(rcols).alias("_c"))
+            .groupBy("_lv", "_k").agg(F.array_sort(F.collect_list("_c")).alias("_cands")))
+    # materialized once in the checkpoint folder: the lookups of all levels then share one
+    # small scan (collect_list is non-deterministic, so Spark would not reuse it by itself)
+    ensure_checkpoint_dir(left.sparkSession)
+    cand_b = F.broadcast(cand.checkpoint(eager=True))
+    cur = spread(left).select("*", F.col(left_xy[0]).cast("double").alias("_lx"), F.col(left_xy[1]).cast("double").alias("_ly"))
     cur = cur.select("*", F.lit(None).alias("_best"), (F.col("_lx").isNull() | F.col("_ly").isNull()).alias("_done"))
     keep = out_cols + ["_lx", "_ly"]
     for li, (g, ncols, nrows) in enumerate(levels):
         last = li == len(levels) - 1
-        # right side: cell -> candidates of its 3 x 3 block (size proven by the count in nearest())
-        cand = (right_pts.select(F.explode(F.expr(_neighbour_keys_sql("_rx", "_ry", g, ncols, nrows))).alias("_k"),
-                                 _cand_struct(rcols).alias("_c"))
-                .groupBy("_k").agg(F.collect_list("_c").alias("_cands")))
         cx, cy = _cell_xy_sql("_lx", "_ly", g, nrows)
-        probe = cur.select("*", F.expr(f"CASE WHEN NOT _done THEN {_cell_key_sql(cx, cy, ncols)} END").alias("_k"))
-        joined = probe.join(F.broadcast(cand), "_k", "left")
+        probe = cur.select("*", F.lit(li).alias("_lv"),
+                           F.expr(f"CASE WHEN NOT _done THEN {_cell_key_sql(cx, cy, ncols)} END").alias("_k"))
+        joined = probe.join(cand_b, ["_lv", "_k"], "left")
         # best candidate by (distance floored to the tie resolution, id)
-        step = materialize(joined.drop("_k"), _bh=F.expr(_best_sql("_cands", metric, rcols)))
+        step = materialize(joined.drop("_lv", "_k"), _bh=F.expr(_best_sql("_cands", metric, rcols)))
         clear = _clear_radius_sql("_lx", "_ly", g, ncols, nrows, metric)
         proven = f"_bh.d + {_d(2.0 / _TIE_SCALE)} < {clear}"
         if max_distance is not None:
@@ -254,13 +291,11 @@ def _nearest_shuffle(left, right_pts, rcols, left_xy, left_keys, dist_col, how,
     executor recomputes at most one level, and later levels never re-run
     earlier ones.  Levels stop as soon as every left row is proven.
     """
-    from towerlens.session import ensure_checkpoint_dir
-
     ensure_checkpoint_dir(left.sparkSession)
     out_cols = list(left.columns)
     other = [c for c in out_cols if c not in left_keys]
     lrow = F.struct(*[F.col(c) for c in other]) if other else F.lit(None)
-    base = left.select(*left_keys, lrow.alias("_lrow"),
+    base = spread(left, left_keys).select(*left_keys, lrow.alias("_lrow"),
                        F.col(left_xy[0]).cast("double").alias("_lx"), F.col(left_xy[1]).cast("double").alias("_ly"))
     pending = base.filter(F.col("_lx").isNotNull() & F.col("_ly").isNotNull())
     results = []

@@ -38,6 +38,20 @@ def broadcast_if_small(df: DataFrame, limit_rows: int = DEFAULT_BROADCAST_ROWS)
     return df, False
 
 
+def spread(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """Give CPU-heavy per-row work at least one partition per core.
+
+    A small input (one parquet row group) arrives as a single partition and
+    would run on one core; a large input already has many more partitions
+    than cores and is returned unchanged, so this never adds a shuffle at
+    scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *[F.col(k) for k in keys]) if keys else df.repartition(cores)
+
+
 def hot_keys(big: DataFrame, keys: Sequence[str], hot_rows: int = DEFAULT_HOT_ROWS,
              fraction: float = DEFAULT_SAMPLE_FRACTION, seed: int = 7) -> DataFrame:
     """Keys whose estimated row count exceeds ``hot_rows``, with a salt count.

@@ -1124,7 +1124,7 @@ SELECT p_partkey, printf('%x', h) AS h3_id,
        NOT (p_partkey % 8 = 7 OR p_partkey % 9 = 0) AS is_valid,
        CAST((h >> 52) & 15 AS INTEGER) AS resolution, h AS h3_long
 FROM (SELECT p_partkey,
-             CASE WHEN p_partkey % 9 = 0 THEN xor((({_H3_BASE} & ~{_H3_DIGIT9_MASK}) | ((p_partkey % 8) << 18)), 3 << 59)
+             CASE WHEN p_partkey % 9 = 0 THEN xor((({_H3_BASE} & ~{_H3_DIGIT9_MASK}) | ((p_partkey % 8) << 18)), {3 << 59})
                   ELSE (({_H3_BASE} & ~{_H3_DIGIT9_MASK}) | ((p_partkey % 8) << 18)) END AS h
       FROM part)""")
 def q_h3_checks(spark, sf_dir):

@@ -1169,3 +1169,25 @@ def q_cell_centers(spark, sf_dir):
     c = G.materialize(c, _c=cell_center("h3_res9_id"))
     return c.select("h3_res9_id", F.round("_c.x", 9).alias("center_lon"), F.round("_c.y", 9).alias("center_lat"),
                     (cell_id(F.col("_c.x"), F.col("_c.y")) == F.col("h3_res9_id")).alias("center_in_cell"))
+
+
+# ==================================================================== simplification (G19), coordinate fallback
+@query("simplify_markets", with_([fx.MARKETS_SQL], "SELECT ID, geometry_wkt FROM markets_bronze"))
+def q_simplify_markets(spark, sf_dir):
+    from towerlens.operators.simplify import simplify
+
+    return simplify(fx.markets_bronze(spark, sf_dir).select("ID", "geometry_wkt"), "geometry_wkt", 0.001)
+
+
+_SITES_RING_CTE = """sites AS (
+  SELECT site_id, COALESCE(SITE_LATITUDE, RING_LATITUDE) AS SITE_LATITUDE,
+         COALESCE(SITE_LONGITUDE, RING_LONGITUDE) AS SITE_LONGITUDE,
+         COALESCE(SITE_LATITUDE, RING_LATITUDE) AS S_SITE_LATITUDE,
+         COALESCE(SITE_LONGITUDE, RING_LONGITUDE) AS S_SITE_LONGITUDE
+  FROM sites_bronze)"""
+
+
+@query("site_market_coalesced", with_([fx.SITES_SQL, _SITES_RING_CTE, fx.MARKETS_SQL, MARKETS_CTE],
+                                      "SELECT * FROM enriched"))
+def q_site_market_coalesced(spark, sf_dir):
+    return pl.match_sites(fx.sites_bronze(spark, sf_dir), fx.markets_bronze(spark, sf_dir), coalesce_ring=True)

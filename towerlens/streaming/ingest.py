@@ -83,11 +83,10 @@ def latest_per_key_stream(sdf: DataFrame, keys: Sequence[str], ts: str, tie: str
     def merge(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         fresh = latest_per_key(batch, keys, ts, tie)
-        try:
-            cur = spark.read.format(fmt).load(f"{state_path}/v{epoch_id - 1}") if epoch_id > 0 else None
-        except Exception:  # noqa: BLE001 - first version
-            cur = None
+        prev = latest_version(spark, state_path, below=epoch_id)
+        cur = spark.read.format(fmt).load(prev) if prev else None
         both = fresh if cur is None else cur.unionByName(fresh)
+        # a replayed epoch rewrites its own version; older versions stay readable
         latest_per_key(both, keys, ts, tie).write.mode("overwrite").format(fmt).save(f"{state_path}/v{epoch_id}")
 
     q = (sdf.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
@@ -97,6 +96,23 @@ def latest_per_key_stream(sdf: DataFrame, keys: Sequence[str], ts: str, tie: str
     return q
 
 
+def latest_version(spark: SparkSession, path: str, below: int | None = None) -> str | None:
+    """Path of the newest committed version ``v<n>`` under ``path`` (n < below when given)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    best = None
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("v") and name[1:].isdigit():
+            n = int(name[1:])
+            if (below is None or n < below) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                best = n if best is None or n > best else best
+    return None if best is None else f"{path.rstrip('/')}/v{best}"
+
+
 def reset_stream(spark: SparkSession, table: str | None = None) -> None:
     """Drop a table before it is rebuilt as a streaming table (the checkpoint folder is
     the caller's to replace with a fresh one)."""

@@ -19,6 +19,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from towerlens.functions.exprcache import cached_expr
 from towerlens.functions.geo import DEG2RAD, EARTH_RADIUS_M, _c
 
 # Hexagon edge length in metres at resolution 9 (about 0.1053 km2
@@ -61,6 +62,7 @@ def _axial(lon: Column, lat: Column, res: int, ref_lat: float):
     return fq.cast("bigint"), fr.cast("bigint")
 
 
+@cached_expr
 def cell_id(lon, lat, res: int = 9, ref_lat: float = DEFAULT_REF_LAT) -> Column:
     """Hexagonal cell key of a point, e.g. ``'9:-1234:5678'``."""
     q, r = _axial(_c(lon), _c(lat), res, ref_lat)

@@ -24,10 +24,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from towerlens.functions.exprcache import cached_expr
 from towerlens.functions.geo import bbox, contains, poly_from_wkt
 from towerlens.operators.skew import DEFAULT_BROADCAST_ROWS, row_count_at_most, salted_join
 
 
+@cached_expr
+def _polygon_exprs(wkt_col: str, px: str, py: str):
+    return (poly_from_wkt(F.col(wkt_col)), bbox(F.col("_rings")),
+            contains(F.col("_rings"), F.col(px), F.col(py)))
+
+
 def _tile_size(polys: DataFrame) -> float:
     s = polys.agg(F.avg(F.col("_bb")["maxx"] - F.col("_bb")["minx"]),
                   F.avg(F.col("_bb")["maxy"] - F.col("_bb")["miny"])).first()
@@ -55,9 +62,10 @@ def contains_join(points: DataFrame, polys: DataFrame, *, point_xy: tuple[str, s
     """INNER join of points with the polygons that contain them (fan-out kept)."""
     px, py = point_xy
     pcols = [c for c in polys.columns if c != wkt_col or keep_wkt]
-    p = (polys.withColumn("_rings", poly_from_wkt(F.col(wkt_col)))
+    rings_expr, bbox_expr, _ = _polygon_exprs(wkt_col, px, py)
+    p = (polys.withColumn("_rings", rings_expr)
          .filter(F.col("_rings").isNotNull())
-         .withColumn("_bb", bbox(F.col("_rings"))))
+         .withColumn("_bb", bbox_expr))
     t = tile or _tile_size(p)
     tiles = polygon_tiles(p, "_rings", t).select("_tile", "_bb", "_rings", *pcols)
     pts = (points.filter(F.col(px).isNotNull() & F.col(py).isNotNull())
@@ -70,7 +78,7 @@ def contains_join(points: DataFrame, polys: DataFrame, *, point_xy: tuple[str, s
     bb = F.col("_bb")
     x, y = F.col(px), F.col(py)
     in_box = (x >= bb["minx"]) & (x <= bb["maxx"]) & (y >= bb["miny"]) & (y <= bb["maxy"])
-    j = j.filter(in_box).filter(contains(F.col("_rings"), x, y))
+    j = j.filter(in_box).filter(_polygon_exprs(wkt_col, px, py)[2])
     return j.drop("_tile", "_bb", "_rings")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from towerlens.functions.cells import cell_center, cell_id, cell_id_sql
+from towerlens.functions.exprcache import cached_frame
 
 # Derivation constants (see FIXTURES.md).
 CORE_BBOX = (47.595, 47.625, -122.355, -122.325)      # lat_min, lat_max, lon_min, lon_max
@@ -89,6 +90,7 @@ def _diamond_wkt_sql(cx: str, cy: str, h: float) -> str:
 
 
 # ------------------------------------------------------------------ buildings
+@cached_frame
 def buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """building_id, height, geometry (WKT rectangle) -- from customer."""
     c = table(spark, sf_dir, "customer").select("c_custkey")
@@ -109,6 +111,7 @@ BUILDINGS_SQL = f"""buildings AS (
 
 
 # ------------------------------------------------------------------ towers
+@cached_frame
 def towers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver tower schema (14 columns) -- from supplier, loc(id + 13)."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey")
@@ -147,6 +150,7 @@ TOWERS_SQL = f"""towers AS (
 
 
 # ------------------------------------------------------------------ coverage cells
+@cached_frame
 def coverage_cells(spark: SparkSession, sf_dir: str, res: int = 9) -> DataFrame:
     """fid, technology, mindown, minup, environmnt, h3_res9_id (+ centre) -- from part."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size").filter(F.col("p_partkey") % 5 < 2)
@@ -164,6 +168,7 @@ def coverage_cells(spark: SparkSession, sf_dir: str, res: int = 9) -> DataFrame:
     return out
 
 
+@cached_frame
 def coverage_cells_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = coverage_cells(spark, sf_dir)
     c = cell_center(F.col("h3_res9_id"))
@@ -180,6 +185,7 @@ CELLS_SQL = f"""coverage_cells AS (
 
 
 # ------------------------------------------------------------------ telemetry
+@cached_frame
 def tower_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly tower KPI events -- from events; tower id spread over the supplier count."""
     n = table(spark, sf_dir, "supplier").count()
@@ -207,6 +213,7 @@ KPIS_SQL = """tower_kpis AS (
   FROM events)"""
 
 
+@cached_frame
 def building_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly building demand events -- from orders."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
@@ -232,6 +239,7 @@ DEMAND_SQL = """building_demand AS (
 
 
 # ------------------------------------------------------------------ sites and markets
+@cached_frame
 def sites_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """site_id, SITE_LATITUDE/LONGITUDE (NULL for every 17th), RING_LATITUDE/LONGITUDE -- from customer."""
     c = table(spark, sf_dir, "customer").select("c_custkey")
@@ -259,6 +267,7 @@ def market_center(k: Column) -> tuple[Column, Column]:
     return F.lit(-122.46) + (k % 5) * F.lit(0.08), F.lit(47.44) + F.floor(k / 5) * F.lit(0.08)
 
 
+@cached_frame
 def markets_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ID, Name, State, MarketType, MarketTypeDetailed, Population, geometry_wkt -- from nation."""
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -287,6 +296,7 @@ MARKETS_SQL = f"""markets_bronze AS (
 
 
 # ------------------------------------------------------------------ transcripts
+@cached_frame
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transcript per conversation: turns joined in order (aggregated per conv_id)."""
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -297,6 +307,7 @@ def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("conv_id", "turns", F.array_join(F.transform("_t", lambda s: s["line"]), "\n").alias("transcript")))
 
 
+@cached_frame
 def opencellid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 14 headerless OpenCellID columns as text -- supplier x 4 carriers."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey")
@@ -324,6 +335,7 @@ def opencellid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ shapes for validity checks
+@cached_frame
 def test_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """shape_id, wkt -- from customer: valid rectangles plus unclosed, 3-point,
     zero-area and non-polygon shapes chosen by key."""
@@ -351,6 +363,7 @@ def test_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ raw telemetry with rule violations
+@cached_frame
 def raw_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze KPI rows as ingested, with NULL ids, out-of-range utilisation and non-positive latency."""
     e = table(spark, sf_dir, "events").select("event_id", "ts")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from towerlens.functions import bands as B
 from towerlens.functions.cells import cell_id
+from towerlens.functions.exprcache import cached_expr
 from towerlens.functions.geo import centroid, materialize, poly_from_wkt
 from towerlens.operators.coverage import cell_coverage_join, cell_join
 from towerlens.operators.latest import latest_per_key
@@ -50,9 +51,29 @@ TOWER_CARRY = {
 }
 
 
-def with_centroid(buildings: DataFrame, geom: str = "geometry") -> DataFrame:
-    """Adds centroid_lon / centroid_lat (computed once, in one projection)."""
-    b = materialize(buildings, _c=centroid(poly_from_wkt(F.col(geom))))
+@cached_expr
+def _polygon_measures(geom: str, area: bool):
+    from towerlens.functions.geo import area_m2
+
+    p = poly_from_wkt(F.col(geom))
+    c = centroid(F.col("_p"))
+    return p, c, (area_m2(F.col("_p")) if area else None)
+
+
+def with_centroid(buildings: DataFrame, geom: str = "geometry", area_col: str | None = None) -> DataFrame:
+    """Adds centroid_lon / centroid_lat (and optionally the area in m2).
+
+    The WKT is parsed once per row; the parse and the measures are CPU work,
+    so a small single-partition input is first spread over the cores.
+    """
+    from towerlens.operators.skew import spread
+
+    p, c, a = _polygon_measures(geom, area_col is not None)
+    b = materialize(spread(buildings), _p=p)
+    cols = {"_c": c}
+    if area_col:
+        cols[area_col] = a
+    b = materialize(b, **cols).drop("_p")
     return (b.withColumn("centroid_lon", F.col("_c")["x"]).withColumn("centroid_lat", F.col("_c")["y"])
             .drop("_c"))
 
@@ -284,8 +305,7 @@ def signal_analysis(cells: DataFrame, buildings: DataFrame, towers: DataFrame, r
     """
     from towerlens.functions.geo import area_m2
 
-    b = with_centroid(buildings)
-    b = materialize(b, _a=area_m2(poly_from_wkt(F.col("geometry"))))
+    b = with_centroid(buildings, area_col="_a")
     b = b.select("building_id", "_a", cell_id("centroid_lon", "centroid_lat", res).alias("h3_res9_id"))
     density = b.groupBy("h3_res9_id").agg(F.count_distinct("building_id").alias("buildings_in_hex"),
                                           F.avg("_a").alias("avg_building_area_sqm"),

@@ -122,3 +122,13 @@ def test_simplify_job(spark):
     out = {r["id"]: r["w"] for r in simplify(df, "w", 0.01).collect()}
     assert out[2] == SQUARE
     assert "0.0001" not in out[1] and out[1].startswith("POLYGON ((")
+
+
+def test_point_from_wkb_hex(spark):
+    import struct
+
+    for x, y in [(-122.3321, 47.6062), (0.0, -0.5), (1e-310, 180.0)]:
+        wkb = (b"\x01" + struct.pack("<I", 1) + struct.pack("<dd", x, y)).hex()
+        p = one(spark, G.point_from_wkb_hex(F.lit(wkb)))
+        assert (p["x"], p["y"]) == (x, y)
+    assert one(spark, G.point_from_wkb_hex(F.lit("00"))) is None

@@ -8,7 +8,8 @@ Representation
 * storage -- WKT text.  SRID is always 4326 and carried as metadata only.
 
 Everything here compiles to built-in SQL expressions and higher-order
-functions, so it runs inside whole-stage code generation on the executors.
+functions, evaluated on the executors inside the JVM (the higher-order
+functions are interpreted within the generated stage code; no Python worker).
 Compute a polygon once in a projection and refer to the column afterwards;
 the nested ``aggregate``/``transform`` trees are cheap to duplicate by
 mistake.
@@ -357,3 +358,29 @@ def simplify_ring_dp(points, tol: float):
     if len(out) < 4:
         return points
     return [tuple(p) for p in out]
+
+
+# ---------------------------------------------------------------- WKB points
+def _le_hex_to_double(hex16: Column) -> Column:
+    """Little-endian 8-byte hex text -> DOUBLE, decoded from the IEEE-754 bits in SQL arithmetic."""
+    # reverse the byte order: 8 bytes = 8 two-character groups
+    be = F.concat(*[F.substring(hex16, 15 - 2 * i, 2) for i in range(8)])
+    hi = F.conv(F.substring(be, 1, 3), 16, 10).cast("bigint")          # sign (1 bit) + exponent (11 bits)
+    mant = F.conv(F.substring(be, 4, 13), 16, 10).cast("double")       # 52-bit fraction, exact in a double
+    sign = F.when(F.shiftright(hi, 11) == 1, F.lit(-1.0)).otherwise(F.lit(1.0))
+    exp = hi.bitwiseAND(F.lit(0x7FF))
+    normal = (F.lit(1.0) + mant / F.lit(float(2 ** 52))) * F.pow(F.lit(2.0), exp - F.lit(1023))
+    subnormal = (mant / F.lit(float(2 ** 52))) * F.pow(F.lit(2.0), F.lit(-1022))
+    return sign * F.when(exp == 0, subnormal).when(exp == 0x7FF, F.lit(float("nan"))).otherwise(normal)
+
+
+def point_from_wkb_hex(wkb_hex) -> Column:
+    """``ST_GeomFromWKB`` for a little-endian WKB point given as hex text -> struct<x, y>.
+
+    Byte 0 is the order flag (01 = little endian), bytes 1-4 the type (1 =
+    point), then x and y as 8-byte doubles.  Anything else gives NULL.
+    """
+    h = F.lower(_c(wkb_hex))
+    ok = (F.length(h) == 42) & (F.substring(h, 1, 2) == "01") & (F.substring(h, 3, 8) == "01000000")
+    return F.when(ok, F.struct(_le_hex_to_double(F.substring(h, 11, 16)).alias("x"),
+                               _le_hex_to_double(F.substring(h, 27, 16)).alias("y")))

@@ -44,9 +44,13 @@ def spread(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     A small input (one parquet row group) arrives as a single partition and
     would run on one core; a large input already has many more partitions
     than cores and is returned unchanged, so this never adds a shuffle at
-    scale.
+    scale.  A plan that already contains an exchange runs at shuffle
+    parallelism and is left alone (asking it for its RDD would make adaptive
+    execution run its stages eagerly).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in df._jdf.queryExecution().sparkPlan().toString():
+        return df
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *[F.col(k) for k in keys]) if keys else df.repartition(cores)

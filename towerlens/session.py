@@ -28,6 +28,8 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # small shuffles feeding CPU-heavy geometry stages should still use every core
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32KB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TOWERLENS_DRIVER_MEMORY", "16g"))

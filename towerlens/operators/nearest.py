@@ -52,6 +52,21 @@ _INF = 1.0e18
 _TIE_SCALE = 1.0e6          # distance ranking resolution: 1 micrometre (or 1e-6 degree)
 
 
+def _checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint (in ``spark.checkpoint.dir``) computed once.
+
+    Without a persisted copy, writing the checkpoint recomputes the plan a
+    second time; the copy is released as soon as the files are written.
+    """
+    from pyspark import StorageLevel
+
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
+
+
 def _grid(g_req: float) -> tuple[float, int, int]:
     """Snap the cell size so 360/g is an integer; return (g, ncols, nrows)."""
     ncols = max(1, int(round(360.0 / g_req)))
@@ -152,33 +167,34 @@ _SHRINK = 4.0
 
 
 def _right_stats(right_pts: DataFrame) -> tuple[int, float, float]:
-    """Row count and a base cell size, from at most two small jobs over the right side.
+    """Row count, base cell size and extent of the right side, in one aggregation.
 
-    The first size gives about two right rows per cell on average.  Right
-    sides are often clustered (most towers in a downtown), so the size is
-    then shrunk until the *densest* cell holds at most ``_MAX_PER_CELL`` rows:
-    a dense area gets small cells, and points in sparse areas simply climb to
-    coarser levels.
+    Right sides are often clustered (most towers in a downtown), so the base
+    size is chosen from the *densest* cell: the coarsest size on a fixed
+    ladder (120 deg / 4^i) whose fullest cell holds at most
+    ``_MAX_PER_CELL`` rows.  Dense areas get small cells; points in sparse
+    areas simply climb to coarser levels.
     """
-    b = right_pts.agg(F.count(F.lit(1)), F.min("_rx"), F.max("_rx"), F.min("_ry"), F.max("_ry")).first()
-    n = int(b[0])
-    if n == 0:
-        return 0, 1.0, 360.0
-    w = max(b[2] - b[1], 1e-6)
-    h = max(b[4] - b[3], 1e-6)
-    g = min(max(math.sqrt(w * h / n) * 1.5, 1e-4), 120.0)
-    cands = [g / _SHRINK ** i for i in range(7) if g / _SHRINK ** i >= 1e-5]
+    ladder = [120.0 / _SHRINK ** i for i in range(15)]
     keys = F.array(*[F.struct(F.lit(i).alias("i"), F.expr(_cell_key_sql(*_cell_xy_sql("_rx", "_ry", c, _grid(c)[2]),
-                                                                         _grid(c)[1])).alias("k"))
-                     for i, c in enumerate(cands)])
-    dens = (right_pts.select(F.inline(keys)).groupBy("i", "k").count()
-            .groupBy("i").agg(F.max("count").alias("m")).collect())
-    worst = {r["i"]: r["m"] for r in dens}
-    extent = max(w, h)
-    for i, c in enumerate(cands):
-        if worst.get(i, 0) <= _MAX_PER_CELL:
-            return n, c, extent
-    return n, cands[-1], extent
+                                                                          _grid(c)[1])).alias("k"))
+                     for i, c in enumerate(ladder)])
+    per_cell = (right_pts.select(F.inline(keys), "_rx", "_ry").groupBy("i", "k")
+                .agg(F.count(F.lit(1)).alias("c"), F.min("_rx").alias("x0"), F.max("_rx").alias("x1"),
+                     F.min("_ry").alias("y0"), F.max("_ry").alias("y1")))
+    rows = (per_cell.groupBy("i").agg(F.max("c").alias("m"), F.sum("c").alias("n"), F.min("x0").alias("x0"),
+                                      F.max("x1").alias("x1"), F.min("y0").alias("y0"), F.max("y1").alias("y1"))
+            .collect())
+    if not rows:
+        return 0, 1.0, 360.0
+    by_i = {r["i"]: r for r in rows}
+    r0 = by_i[0]
+    n = int(r0["n"])
+    extent = max(r0["x1"] - r0["x0"], r0["y1"] - r0["y0"], 1e-6)
+    for i, c in enumerate(ladder):
+        if by_i[i]["m"] <= _MAX_PER_CELL:
+            return n, max(c, 1e-5), extent
+    return n, ladder[-1], extent
 
 
 def nearest(left: DataFrame, right: DataFrame, *, left_xy: tuple[str, str], right_xy: tuple[str, str],
@@ -255,7 +271,7 @@ def _nearest_broadcast(left, right_pts, rcols, left_xy, dist_col, how, metric, m
     # materialized once in the checkpoint folder: the lookups of all levels then share one
     # small scan (collect_list is non-deterministic, so Spark would not reuse it by itself)
     ensure_checkpoint_dir(left.sparkSession)
-    cand_b = F.broadcast(cand.checkpoint(eager=True))
+    cand_b = F.broadcast(_checkpointed(cand))
     cur = spread(left).select("*", F.col(left_xy[0]).cast("double").alias("_lx"), F.col(left_xy[1]).cast("double").alias("_ly"))
     cur = cur.select("*", F.lit(None).alias("_best"), (F.col("_lx").isNull() | F.col("_ly").isNull()).alias("_done"))
     keep = out_cols + ["_lx", "_ly"]
@@ -317,7 +333,7 @@ def _nearest_shuffle(left, right_pts, rcols, left_xy, left_keys, dist_col, how,
         if max_distance is not None:
             proven = proven | (clear > F.lit(float(max_distance)))
         proven = F.lit(True) if last else F.coalesce(F.when(F.col("_best").isNotNull(), proven), F.lit(False))
-        agg = agg.withColumn("_proven", proven).checkpoint(eager=True)
+        agg = _checkpointed(agg.withColumn("_proven", proven))
         results.append(agg.filter("_proven").drop("_proven"))
         pending = agg.filter(~F.col("_proven")).select(*left_keys, "_lrow", "_lx", "_ly")
         if last or pending.isEmpty():

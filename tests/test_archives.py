@@ -40,3 +40,65 @@ def test_gpkg_zip_reader(spark):
     want = {f for f, _, _, _, x, y in rows if x + 0.001 >= -122.3 and x - 0.001 <= -122.1
             and y + 0.001 >= 47.5 and y - 0.001 <= 47.7}
     assert {r["fid"] for r in boxed.collect()} == want
+
+
+def _make_shp_zip(shapes):
+    """Write a polygon shapefile (shapes: list of (height_text, rings or None)) into a zip."""
+    import struct
+
+    recs = []
+    for i, (_, rings) in enumerate(shapes, start=1):
+        if rings is None:
+            content = struct.pack("<i", 0)
+        else:
+            pts = [p for r in rings for p in r]
+            parts, k = [], 0
+            for r in rings:
+                parts.append(k)
+                k += len(r)
+            xs, ys = [p[0] for p in pts], [p[1] for p in pts]
+            content = (struct.pack("<i4d2i", 5, min(xs), min(ys), max(xs), max(ys), len(rings), len(pts))
+                       + struct.pack(f"<{len(parts)}i", *parts)
+                       + struct.pack(f"<{2 * len(pts)}d", *[c for p in pts for c in p]))
+        recs.append(struct.pack(">ii", i, len(content) // 2) + content)
+    body = b"".join(recs)
+
+    def header(length_words):
+        return struct.pack(">i20xi", 9994, length_words) + struct.pack("<ii4d32x", 1000, 5, 0, 0, 0, 0)
+
+    shp = header((100 + len(body)) // 2) + body
+    offs, pos = [], 100
+    for r in recs:
+        offs.append(struct.pack(">ii", pos // 2, (len(r) - 8) // 2))
+        pos += len(r)
+    shx = header((100 + 8 * len(recs)) // 2) + b"".join(offs)
+    width = 10
+    dbf = (struct.pack("<4BIHH20x", 3, 26, 1, 1, len(shapes), 32 + 32 + 1, 1 + width)
+           + b"HEIGHT".ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([width, 0]) + b"\0" * 14 + b"\r"
+           + b"".join(b" " + h.encode().ljust(width) for h, _ in shapes) + b"\x1a")
+    d = tempfile.mkdtemp(prefix="tl-shp-")
+    z = os.path.join(d, "bldg.zip")
+    with zipfile.ZipFile(z, "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("bldg_footprints.shp", shp)
+        zf.writestr("bldg_footprints.shx", shx)
+        zf.writestr("bldg_footprints.dbf", dbf)
+    return z
+
+
+def test_shp_zip_reader(spark):
+    from towerlens.sources.archives import register_archive_sources
+
+    register_archive_sources(spark)
+    sq = [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]]
+    holed = [[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0)],
+             [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 1.0)]]
+    tiny = [[(0.0, 0.0), (1.0, 0.0), (0.0, 0.0)]]
+    shapes = [("12.5", sq), ("x", holed), ("", tiny), ("7", None)] * 5
+    z = _make_shp_zip(shapes)
+    df = spark.read.format("shp_zip").option("path", z).option("prefix", "bldg_footprints").option(
+        "partitions", "3").load()
+    rows = df.collect()
+    assert len(rows) == 20
+    assert rows[0]["height"] == 12.5 and rows[0]["wkt"] == "POLYGON ((0.0 0.0, 1.0 0.0, 1.0 1.0, 0.0 1.0, 0.0 0.0))"
+    assert rows[1]["height"] is None and rows[1]["wkt"].count("(") == 3
+    assert rows[2]["wkt"] is None and rows[3]["wkt"] is None and rows[3]["height"] == 7.0

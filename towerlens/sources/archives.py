@@ -1,4 +1,11 @@
-"""GeoPackage-in-zip reader as a Spark Python Data Source (``format("gpkg_zip")``).
+"""Archive readers as Spark Python Data Sources: ``gpkg_zip`` and ``shp_zip``.
+
+``shp_zip`` reads polygon shapefiles (``.shp`` / ``.shx`` / ``.dbf`` inside a
+zip) into (height, wkt): partitions are contiguous record ranges found from
+the ``.shx`` index, each task decodes only its records; non-polygon shapes and
+rings of fewer than 4 points give NULL WKT, an unparsable height gives NULL.
+
+GeoPackage-in-zip (``format("gpkg_zip")``):
 
 A GeoPackage is an SQLite file; the reference unzips it on the driver and
 loads the whole table through pandas.  Here every Spark task opens the
@@ -86,5 +93,94 @@ class GpkgZipDataSource(DataSource):
         return GpkgZipReader(schema, self.options)
 
 
+
+
+# ------------------------------------------------------------------ shapefile in a zip
+import struct  # noqa: E402
+
+
+def _member(zf: zipfile.ZipFile, prefix: str | None, ext: str) -> str:
+    for m in zf.namelist():
+        base = m.rsplit("/", 1)[-1]
+        if base.lower().endswith(ext) and (prefix is None or base[: -len(ext)] == prefix):
+            return m
+    raise FileNotFoundError(f"no {ext} member{' for ' + prefix if prefix else ''}")
+
+
+def _dbf_first_field(dbf: bytes, lo: int, hi: int):
+    """Text of the first field of records lo..hi-1 of a dBASE table."""
+    header_len, rec_len = struct.unpack("<HH", dbf[8:12])
+    width = dbf[32 + 16]                        # first field descriptor: length at byte 16
+    for r in range(lo, hi):
+        start = header_len + r * rec_len + 1    # skip the deletion flag
+        yield dbf[start:start + width].decode("latin-1").strip()
+
+
+def _polygon_wkt(content: bytes) -> str | None:
+    """Polygon record content -> POLYGON WKT; other shape types or rings under 4 points -> None."""
+    if len(content) < 4 or struct.unpack("<i", content[:4])[0] != 5:
+        return None
+    num_parts, num_points = struct.unpack("<ii", content[36:44])
+    parts = list(struct.unpack(f"<{num_parts}i", content[44:44 + 4 * num_parts])) + [num_points]
+    base = 44 + 4 * num_parts
+    coords = struct.unpack(f"<{2 * num_points}d", content[base:base + 16 * num_points])
+    rings = []
+    for a, b in zip(parts[:-1], parts[1:]):
+        if b - a < 4:
+            return None
+        rings.append("(" + ", ".join(f"{coords[2 * j]!r} {coords[2 * j + 1]!r}" for j in range(a, b)) + ")")
+    return f"POLYGON ({', '.join(rings)})" if rings else None
+
+
+def _height(text: str):
+    try:
+        return float(text) if text != "" else None
+    except ValueError:
+        return None
+
+
+class ShpZipReader(DataSourceReader):
+    def __init__(self, schema, options):
+        self.options = options
+
+    def partitions(self):
+        return [_Part(i) for i in range(int(self.options.get("partitions", "4")))]
+
+    def read(self, partition):
+        n = int(self.options.get("partitions", "4"))
+        prefix = self.options.get("prefix")
+        with zipfile.ZipFile(self.options["path"]) as zf:
+            shx = zf.read(_member(zf, prefix, ".shx"))
+            total = (len(shx) - 100) // 8
+            lo, hi = total * partition.index // n, total * (partition.index + 1) // n
+            if lo >= hi:
+                return
+            offsets = [struct.unpack(">ii", shx[100 + 8 * r:108 + 8 * r]) for r in range(lo, hi)]
+            with zf.open(_member(zf, prefix, ".shp")) as shp:
+                shp.seek(offsets[0][0] * 2)
+                span = (offsets[-1][0] + 4 + offsets[-1][1]) * 2 - offsets[0][0] * 2
+                blob = shp.read(span)
+            dbf = zf.read(_member(zf, prefix, ".dbf"))
+        base = offsets[0][0] * 2
+        for (off, length), text in zip(offsets, _dbf_first_field(dbf, lo, hi)):
+            start = off * 2 - base + 8          # skip the record header
+            yield (_height(text), _polygon_wkt(blob[start:start + length * 2]))
+
+
+class ShpZipDataSource(DataSource):
+    """``spark.read.format("shp_zip").option("path", zip).option("prefix", name).load()`` -> (height, wkt)."""
+
+    @classmethod
+    def name(cls):
+        return "shp_zip"
+
+    def schema(self):
+        return "height double, wkt string"
+
+    def reader(self, schema):
+        return ShpZipReader(schema, self.options)
+
+
 def register_archive_sources(spark) -> None:
     spark.dataSource.register(GpkgZipDataSource)
+    spark.dataSource.register(ShpZipDataSource)

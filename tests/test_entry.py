@@ -46,3 +46,13 @@ def test_oracle_small(spark, name):
     a = sorted((tuple(_norm(r[c]) for c in order) for r in df.collect()), key=repr)
     b = sorted((tuple(_norm(r[dcols.index(c)]) for c in order) for r in cur.fetchall()), key=repr)
     assert a == b
+
+
+def test_conversation_features_equal_transcript_form(spark):
+    from towerlens.plans import fixtures as fx
+    from towerlens.plans import pipelines as pl
+
+    a = pl.conversation_features(fx.table(spark, SF_SMALL, "conversations"))
+    b = pl.enrich_transcripts(fx.transcripts(spark, SF_SMALL))
+    key = lambda df: sorted((r["conv_id"], r["transcript_summary"], r["sentiment"]) for r in df.collect())
+    assert key(a) == key(b)

@@ -41,18 +41,24 @@ def summarize(col, max_words: int = 10) -> Column:
                lambda ws: F.array_join(F.slice(ws, 1, max_words), " "))
 
 
-def sentiment(col) -> Column:
-    """positive / negative / mixed / neutral by lexicon word counts."""
+def lexicon_counts(col) -> Column:
+    """struct(pos, neg): numbers of positive and negative lexicon words (additive over text pieces)."""
     pos = F.array(*[F.lit(w) for w in sorted(set(POSITIVE_WORDS))])
     neg = F.array(*[F.lit(w) for w in sorted(set(NEGATIVE_WORDS))])
+    return let(_words(_c(col)), lambda ws: F.struct(
+        F.size(F.filter(ws, lambda w: F.array_contains(pos, w))).alias("pos"),
+        F.size(F.filter(ws, lambda w: F.array_contains(neg, w))).alias("neg")))
+
 
-    def label(ws):
-        p = F.size(F.filter(ws, lambda w: F.array_contains(pos, w)))
-        n = F.size(F.filter(ws, lambda w: F.array_contains(neg, w)))
-        return (F.when((p > 0) & (n > 0), F.lit("mixed")).when(p > 0, F.lit("positive"))
-                .when(n > 0, F.lit("negative")).otherwise(F.lit("neutral")))
+def sentiment_label(pos, neg) -> Column:
+    p, n = _c(pos), _c(neg)
+    return (F.when((p > 0) & (n > 0), F.lit("mixed")).when(p > 0, F.lit("positive"))
+            .when(n > 0, F.lit("negative")).otherwise(F.lit("neutral")))
 
-    return F.when(_c(col).isNotNull(), let(_words(_c(col)), label))
+
+def sentiment(col) -> Column:
+    """positive / negative / mixed / neutral by lexicon word counts."""
+    return F.when(_c(col).isNotNull(), let(lexicon_counts(col), lambda c: sentiment_label(c["pos"], c["neg"])))
 
 
 def model_udf(fn, return_type: str = "string"):

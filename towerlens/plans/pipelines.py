@@ -398,3 +398,23 @@ def enrich_transcripts(df: DataFrame, text_col: str = "transcript", max_words: i
 
     return df.select(summarize(text_col, max_words).alias("transcript_summary"),
                      sentiment(text_col).alias("sentiment"), "*")
+
+
+def conversation_features(turns: DataFrame, max_words: int = 10) -> DataFrame:
+    """Transcript summary and sentiment per conversation without assembling the transcript.
+
+    Both decompose over turns: the leading sentence stops at the turn
+    separator, so it comes from the first turn; lexicon counts add up.  Each
+    turn is scored where it lies and ``min(struct(turn, summary))`` / sums
+    aggregate partially on the map side, so a conversation with a huge
+    number of turns never becomes one row or one task's burden.
+    """
+    from towerlens.functions.text import lexicon_counts, sentiment_label, summarize
+
+    line = F.concat(F.col("role"), F.lit(": "), F.col("text"))
+    per = turns.select("conv_id", "turn", summarize(line, max_words).alias("_s"), lexicon_counts(line).alias("_c"))
+    agg = per.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"),
+                                     F.min(F.struct("turn", "_s")).alias("_first"),
+                                     F.sum(F.col("_c")["pos"]).alias("_p"), F.sum(F.col("_c")["neg"]).alias("_n"))
+    return agg.select("conv_id", "turns", F.col("_first")["_s"].alias("transcript_summary"),
+                      sentiment_label("_p", "_n").alias("sentiment"))

@@ -1191,3 +1191,33 @@ _SITES_RING_CTE = """sites AS (
                                       "SELECT * FROM enriched"))
 def q_site_market_coalesced(spark, sf_dir):
     return pl.match_sites(fx.sites_bronze(spark, sf_dir), fx.markets_bronze(spark, sf_dir), coalesce_ring=True)
+
+
+
+# ==================================================================== scalable transcript features (L9, per turn)
+def _conversation_oracle():
+    from towerlens.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS
+
+    pos, neg = _lex_sql(POSITIVE_WORDS), _lex_sql(NEGATIVE_WORDS)
+    return rf"""
+WITH per AS (SELECT conv_id, turn, role || ': ' || text AS line FROM conversations),
+pw AS (
+  SELECT conv_id, turn,
+         array_to_string(list_filter(regexp_split_to_array(trim(regexp_extract(line, '^\s*([^.!?\n]*[.!?]?)', 1), ' '), '\s+'),
+                                     lambda w: w <> '')[1:10], ' ') AS s,
+         list_filter(string_split(lower(regexp_replace(line, '[^\p{{L}}\p{{N}}'']+', ' ', 'g')), ' '), lambda w: w <> '') AS ws
+  FROM per),
+agg AS (
+  SELECT conv_id, COUNT(*) AS turns, arg_min(s, turn) AS transcript_summary,
+         SUM(len(list_filter(ws, lambda w: list_contains({pos}, w)))) AS p,
+         SUM(len(list_filter(ws, lambda w: list_contains({neg}, w)))) AS n
+  FROM pw GROUP BY conv_id)
+SELECT conv_id, turns, transcript_summary,
+       CASE WHEN p > 0 AND n > 0 THEN 'mixed' WHEN p > 0 THEN 'positive' WHEN n > 0 THEN 'negative'
+            ELSE 'neutral' END AS sentiment
+FROM agg"""
+
+
+@query("conversation_features", _conversation_oracle())
+def q_conversation_features(spark, sf_dir):
+    return pl.conversation_features(fx.table(spark, sf_dir, "conversations"))

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from towerlens.operators.skew import DEFAULT_BROADCAST_ROWS, row_count_at_most, salted_join
+from towerlens.operators.skew import DEFAULT_BROADCAST_ROWS, checkpointed, row_count_at_most, salted_join
 
 
 def best_per_cell(cells: DataFrame, key: str = "h3_res9_id", distinct_on: str | None = None) -> DataFrame:
@@ -36,7 +36,13 @@ def best_per_cell(cells: DataFrame, key: str = "h3_res9_id", distinct_on: str |
 def keyed_left_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salt_cols: Sequence[str] | None = None,
                     hot_rows: int | None = None) -> DataFrame:
-    """Equi-join a big side to a keyed side; broadcast only behind a proven size."""
+    """Equi-join a big side to a keyed side; broadcast only behind a proven size.
+
+    The keyed side is written once as a checkpoint: the size proof counts the
+    written rows and the join reads them, so the keyed side's (often
+    aggregated) plan runs a single time.
+    """
+    small = checkpointed(small)
     if row_count_at_most(small, broadcast_rows) is not None:
         return big.join(F.broadcast(small), list(keys), how)
     kw = {"hot_rows": hot_rows} if hot_rows else {}

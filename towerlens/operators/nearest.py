@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from towerlens.functions.geo import DEG2RAD, EARTH_RADIUS_M, haversine_m, let, materialize, planar_deg
 from towerlens.functions.cells import sql_double
-from towerlens.operators.skew import DEFAULT_BROADCAST_ROWS, salted_join, spread
+from towerlens.operators.skew import DEFAULT_BROADCAST_ROWS, checkpointed, salted_join, spread
 from towerlens.session import ensure_checkpoint_dir
 from towerlens.oracle import haversine_sql
 
@@ -52,21 +52,6 @@ _INF = 1.0e18
 _TIE_SCALE = 1.0e6          # distance ranking resolution: 1 micrometre (or 1e-6 degree)
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (in ``spark.checkpoint.dir``) computed once.
-
-    Without a persisted copy, writing the checkpoint recomputes the plan a
-    second time; the copy is released as soon as the files are written.
-    """
-    from pyspark import StorageLevel
-
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
-
-
 def _grid(g_req: float) -> tuple[float, int, int]:
     """Snap the cell size so 360/g is an integer; return (g, ncols, nrows)."""
     ncols = max(1, int(round(360.0 / g_req)))
@@ -271,7 +256,7 @@ def _nearest_broadcast(left, right_pts, rcols, left_xy, dist_col, how, metric, m
     # materialized once in the checkpoint folder: the lookups of all levels then share one
     # small scan (collect_list is non-deterministic, so Spark would not reuse it by itself)
     ensure_checkpoint_dir(left.sparkSession)
-    cand_b = F.broadcast(_checkpointed(cand))
+    cand_b = F.broadcast(checkpointed(cand))
     cur = spread(left).select("*", F.col(left_xy[0]).cast("double").alias("_lx"), F.col(left_xy[1]).cast("double").alias("_ly"))
     cur = cur.select("*", F.lit(None).alias("_best"), (F.col("_lx").isNull() | F.col("_ly").isNull()).alias("_done"))
     keep = out_cols + ["_lx", "_ly"]
@@ -333,7 +318,7 @@ def _nearest_shuffle(left, right_pts, rcols, left_xy, left_keys, dist_col, how,
         if max_distance is not None:
             proven = proven | (clear > F.lit(float(max_distance)))
         proven = F.lit(True) if last else F.coalesce(F.when(F.col("_best").isNotNull(), proven), F.lit(False))
-        agg = _checkpointed(agg.withColumn("_proven", proven))
+        agg = checkpointed(agg.withColumn("_proven", proven))
         results.append(agg.filter("_proven").drop("_proven"))
         pending = agg.filter(~F.col("_proven")).select(*left_keys, "_lrow", "_lx", "_ly")
         if last or pending.isEmpty():

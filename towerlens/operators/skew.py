@@ -25,6 +25,26 @@ DEFAULT_HOT_ROWS = 2_000_000          # rows per key that one task should handle
 DEFAULT_SAMPLE_FRACTION = 0.01
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint (in ``spark.checkpoint.dir``), computed once.
+
+    Without a persisted copy, writing the checkpoint recomputes the plan a
+    second time; the copy is released as soon as the files are written.  The
+    result's lineage starts at the written files, so a lost executor does not
+    recompute the upstream plan.
+    """
+    from pyspark import StorageLevel
+
+    from towerlens.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
+
+
 def row_count_at_most(df: DataFrame, limit: int) -> int | None:
     """Exact row count if it is <= limit, else None (reads at most limit+1 rows)."""
     n = df.limit(limit + 1).count()

@@ -112,3 +112,21 @@ def test_salted_join_hot_key_exact(spark):
     ref = big.join(small, "k", "left")
     assert got.count() == ref.count()
     assert rows(got, "v", "w") == rows(ref, "v", "w")
+
+
+def test_nearest_shuffle_with_salted_hot_cells(spark, points, towers):
+    kw = dict(left_xy=("x", "y"), right_xy=("tx", "ty"), right_id="tid", left_keys=["pid"], dist_col="d")
+    got = nearest(points, towers, strategy="shuffle", hot_rows=5, **kw)     # every busy cell is salted
+    ref = nearest_bruteforce(points, towers, **kw)
+    assert rows(got, "pid", "tid") == rows(ref, "pid", "tid")
+
+
+def test_contains_join_salted_path(spark):
+    polys = spark.createDataFrame([(i, f"POLYGON (({i} 0, {i + 1} 0, {i + 1} 1, {i} 1, {i} 0))") for i in range(4)],
+                                  "poly_id long, wkt string")
+    pts = spark.range(400).select(F.col("id").alias("pid"), (F.col("id") % 40 / 10.0 + 0.05).alias("x"),
+                                  F.lit(0.5).alias("y"))
+    got = contains_join(pts, polys, point_xy=("x", "y"), wkt_col="wkt", poly_id="poly_id", point_keys=["pid"],
+                        broadcast_rows=0, hot_rows=5)
+    assert got.count() == 400
+    assert rows(got.filter("pid = 13"), "pid", "poly_id") == [(13, 1)]

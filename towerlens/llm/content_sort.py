@@ -59,16 +59,16 @@ def _sorted_runs(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     hot = _hot_texts(rows, partitions)
     keyed = rows.withColumn("norm", normalised(F.col("text"))).select(
         "row", "id", F.substring("norm", 1, PREFIX_CHARS).alias("prefix"), F.xxhash64("norm").alias("content"))
-    if hot is None:
-        keyed = keyed.withColumn("cuts", F.lit(None).cast("int"))
-    else:
-        keyed = keyed.join(F.broadcast(hot), "content", "left")
-    keyed = keyed.withColumn("salt", F.when(F.col("cuts").isNull(), 0).otherwise(
-        F.pmod(F.xxhash64("id"), F.col("cuts"))).cast("int"))
-    ranged = keyed.repartitionByRange("prefix", "content", "salt")
+    keys = ["prefix", "content"]
+    if hot is not None:
+        keyed = keyed.join(F.broadcast(hot), "content", "left").withColumn("salt", F.when(F.col("cuts").isNull(), 0).otherwise(
+            F.pmod(F.xxhash64("id"), F.col("cuts"))).cast("int"))
+        keys.append("salt")
+    ranged = keyed.repartitionByRange(*keys)
     # the text is normalised again after the exchange, so that it crosses it once only
     ranged = ranged.withColumn("norm", normalised(F.col("row").getField(text_col)))
-    run = Window.partitionBy("prefix", "content", "salt", "norm")
+    # the ranges already hold equal keys together, so this adds a sort and no exchange
+    run = Window.partitionBy(*keys, "norm")
     out = (ranged
            .withColumn("nth", F.row_number().over(run.orderBy(F.col("id").asc_nulls_last())))
            .withColumn("keep", F.min("id").over(run))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -28,3 +29,19 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+BROADCAST_BYTES = 48 << 20
+
+
+def joined_small(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of texts with a stored frame of finds.  The finds are broadcast only if their files hold at most
+    ``BROADCAST_BYTES``; beyond that both sides are shuffled by the keys.  The result is the same."""
+    spark = found.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    size = 0
+    for f in found.inputFiles():
+        where = jvm.org.apache.hadoop.fs.Path(f)
+        size += where.getFileSystem(conf).getFileStatus(where).getLen()
+    return rows.join(F.broadcast(found) if 4 * size <= BROADCAST_BYTES else found, keys)

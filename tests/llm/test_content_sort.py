@@ -58,4 +58,4 @@ def test_one_exchange_of_the_texts_and_no_python(spark):
         plan = content_sort.exact_duplicates(df)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("rangepartitioning") == 1 and "Python" not in plan and "Arrow" not in plan
         hot = "BroadcastExchange" in plan
-        assert hot == (len(rows) > 800) and plan.count("Exchange ") == (4 if hot else 1)
+        assert hot == (len(rows) > 800) and plan.count("Exchange ") == (5 if hot else 1)

@@ -34,9 +34,9 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 BROADCAST_BYTES = 48 << 20
 
 
-def joined_small(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join of texts with a stored frame of finds.  The finds are broadcast only if their files hold at most
-    ``BROADCAST_BYTES``; beyond that both sides are shuffled by the keys.  The result is the same."""
+def broadcast_if_small(found: DataFrame) -> DataFrame:
+    """A stored frame, marked for broadcast only if its files hold at most ``BROADCAST_BYTES`` (counted four times,
+    for what they take in memory).  Beyond that, joins shuffle; results are the same."""
     spark = found.sparkSession
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -44,4 +44,9 @@ def joined_small(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFram
     for f in found.inputFiles():
         where = jvm.org.apache.hadoop.fs.Path(f)
         size += where.getFileSystem(conf).getFileStatus(where).getLen()
-    return rows.join(F.broadcast(found) if 4 * size <= BROADCAST_BYTES else found, keys)
+    return F.broadcast(found) if 4 * size <= BROADCAST_BYTES else found
+
+
+def joined_small(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of many rows with a stored frame of finds, see ``broadcast_if_small``."""
+    return rows.join(broadcast_if_small(found), keys)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, content_sort, large_item_packing, phrase_index
+from . import bitpack, block_anchors, content_sort, hyperminhash, large_item_packing, lattice_lm, phrase_index
 from .frames import shared_folder
 from .tokens import default_tokenizer
 
@@ -22,6 +22,21 @@ def _sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def _crc(column: str) -> Column:
+    """crc32 of a column as text, which decides what is held out."""
+    return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
+def op2_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = lattice_lm.score(docs, _crc("doc_id") % 10 != 0, lattice_lm.default_vocabulary())
+    return scored.withColumn("held_out", _crc("doc_id") % 10 == 0)
+
+
+def op3_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_anchors.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op4_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -32,6 +47,10 @@ def op5_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.read_documents(spark, path)
 
 
+def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return large_item_packing.pack_documents(_table(spark, sf_dir, "documents"), default_tokenizer())
 
@@ -45,7 +64,8 @@ def op10_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_content_sort, op5_bit_packed_ids, op7_large_item_packing, op10_phrase_index)}
+    op2_lattice_lm, op3_block_anchors, op4_content_sort, op5_bit_packed_ids, op6_hyperminhash, op7_large_item_packing,
+    op10_phrase_index)}
 
 #: texts with every run of bytes 0x20, 0x09 to 0x0D as one space
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
@@ -56,6 +76,40 @@ ORACLE = {
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                row_number() OVER (PARTITION BY norm ORDER BY doc_id) = 1 AS kept, sha256(norm) AS text_sha256
         FROM d WINDOW g AS (PARTITION BY norm)""",
+    "op3_block_anchors": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        windows AS (
+            SELECT doc_id, p, array_to_string(w[p:p + 49], ' ') AS phrase
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d WHERE len(w) >= 50)),
+        repeats AS (SELECT doc_id, p FROM (SELECT *, min(doc_id) OVER (PARTITION BY phrase) AS first FROM windows) WHERE doc_id > first),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS q FROM repeats),
+        words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM d),
+        kept AS (
+            SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY q) AS kept
+            FROM words ANTI JOIN gone USING (doc_id, q) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
+    "op6_hyperminhash": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS MATERIALIZED (
+            SELECT DISTINCT doc_id, array_to_string(w[p:p + 2], ' ') AS x
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS p FROM d WHERE len(w) > 0)),
+        n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS MATERIALIZED (
+            SELECT a, b
+            FROM (SELECT l.doc_id AS a, r.doc_id AS b, count(*) AS common FROM s l JOIN s r ON l.x = r.x AND l.doc_id <> r.doc_id GROUP BY ALL)
+            JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+            WHERE 100 * common >= 85 * (na.n + nb.n - common)),
+        reach AS (
+            SELECT doc_id AS node, doc_id AS root FROM d
+            UNION
+            SELECT b, root FROM reach JOIN links ON a = node)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(root) AS component_id FROM reach GROUP BY node) ON node = doc_id""",
     "op10_phrase_index": r"""
         WITH docs AS (
             SELECT doc_id, regexp_extract_all(lower_az, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w

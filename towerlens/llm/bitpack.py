@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tokens import encoder
+from .tokens import ENCODE_BYTES, encoder
 from .words import slices, text_buffer
 
 BLOCK_IDS = 4096
@@ -138,7 +138,7 @@ def write_ids(df: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id",
                  pa.array([len(ids)], pa.int64()), pa.array([data], pa.binary())],
                 ["shard", "file_no", "n_docs", "n_ids", "image"])
 
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", ENCODE_BYTES):
             raw, offsets = text_buffer(part.column("text"))
             whole = raw.tobytes()
             encoded = enc.encode([whole[a:b] for a, b in zip(offsets[:-1], offsets[1:])])

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import stored
-from .tokens import encoder
+from .tokens import ENCODE_BYTES, encoder
 from .words import slices, text_buffer
 
 CAPACITY = 2048
@@ -114,7 +114,7 @@ def cut_pieces(df: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         end, step = np.asarray([end_id], "<u4").tobytes(), 4 * capacity
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", ENCODE_BYTES):
             raw, offsets = text_buffer(part.column("text"))
             whole = raw.tobytes()
             ids = [e + end for e in enc.encode([whole[a:b] for a, b in zip(offsets[:-1], offsets[1:])])]

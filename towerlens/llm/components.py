@@ -28,3 +28,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if new.filter("label <> old").limit(1).count() == 0:
             return new.select("node", "label")
         labels = new.select("node", "label")
+
+
+def components_by_first(members: DataFrame) -> DataFrame:
+    """``(node, label)`` for ``(node, leader)`` rows: nodes that share a leader, directly or by others, get one label.
+
+    A node's further leaders are tied to its first one, so that only leaders take part in the rounds, however
+    many nodes they have.  A node must not have an unbounded number of leaders."""
+    led = stored(members.groupBy("node").agg(F.array_sort(F.collect_set("leader")).alias("leaders")), "leaders")
+    first = F.col("leaders")[0]
+    edges = led.filter(F.size("leaders") > 1).select(
+        first.alias("b"), F.explode(F.slice("leaders", 2, F.size("leaders"))).alias("a")).distinct()
+    labels = connected_components(edges).withColumnRenamed("node", "leader")
+    return led.select("node", first.alias("leader")).join(labels, "leader", "left").select(
+        "node", F.coalesce("label", "leader").alias("label"))

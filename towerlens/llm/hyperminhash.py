@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .components import connected_components
+from .components import components_by_first
 from .frames import broadcast_if_small, joined_small, stored
 from .words import WORD_BASES, Words, mix, slices, split, window_hashes, window_starts
 
@@ -131,7 +131,7 @@ def estimate(regs_a: np.ndarray, regs_b: np.ndarray, n_a: np.ndarray, n_b: np.nd
 # --- on Spark -------------------------------------------------------------------------------------------------
 
 _SKETCH = "id long, key long, n_shingles long, node binary, regs binary"
-_EDGE = "a binary, b binary"
+_TREE = "family binary, node binary, leader binary"
 
 
 def sketches(rows: DataFrame, shingle: int) -> DataFrame:
@@ -231,7 +231,7 @@ def _linked_in(left: np.ndarray, right: np.ndarray, forest: _Forest, value: np.n
 
 
 def _block_task(shingle: int, least: int):
-    """For one block of a family (or a pair of blocks): edges from each document to the first of its tree."""
+    """For one block of a family (or a pair of blocks): each document with the first of its tree."""
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         value, first = shingle_hashes(split(table.column("text"), lower=True), shingle)
@@ -254,14 +254,15 @@ def _block_task(shingle: int, least: int):
         regs = registers(value, first)
         _linked_in(left, right if len(right) else left, forest, value, first, regs, least)
         root = forest.roots()
-        out = [(node[k], node[root[k]]) for k in once if node[k] != node[root[k]]]
-        return pa.table({"a": pa.array([a for a, _ in out], pa.binary()), "b": pa.array([b for _, b in out], pa.binary())})
+        return pa.table({"family": pa.array([table.column("family")[0].as_py()] * len(once), pa.binary()),
+                         "node": pa.array([node[k] for k in once], pa.binary()),
+                         "leader": pa.array([node[root[k]] for k in once], pa.binary())})
 
     return run
 
 
 def _dealt(texts: DataFrame, blocks: DataFrame, keys: list[str], task) -> DataFrame:
-    return stored(texts.join(blocks, "node").repartition(*keys).groupBy(*keys).applyInArrow(task, _EDGE), "links")
+    return stored(texts.join(blocks, "node").repartition(*keys).groupBy(*keys).applyInArrow(task, _TREE), "trees")
 
 
 def linked_nodes(rows: DataFrame, reps: DataFrame, shingle: int, least: int, rows_in_band: int) -> DataFrame:
@@ -271,7 +272,7 @@ def linked_nodes(rows: DataFrame, reps: DataFrame, shingle: int, least: int, row
       family.  No pair of the family's other members is formed.
     * A family's texts go to one task, or, if it is large, to blocks of at most about BLOCK_DOCS documents and
       BLOCK_SHINGLES shingles.  A block compares sketches of nodes not yet joined, and full sets of those
-      that come near; it returns one edge per document.  A few documents that all blocks of a family hold
+      that come near; it returns one row per document.  A few documents that all blocks of a family hold
       join the blocks' trees.
     * If a family in blocks is then still in several trees, the documents outside its largest tree, in blocks,
       are compared with the family's other trees, block by block.  So what hangs together is never compared
@@ -280,13 +281,13 @@ def linked_nodes(rows: DataFrame, reps: DataFrame, shingle: int, least: int, row
     keyed = reps.select("node", "regs").mapInArrow(_band_rows(rows_in_band), "band long, node binary")
     shared = stored(keyed.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
                     .select("band", "leader"), "bands")
-    star = stored(joined_small(keyed, shared, ["band"]).filter("node <> leader")
-                  .select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "candidates")
-    family = connected_components(star).withColumnRenamed("label", "family")
+    family = components_by_first(joined_small(keyed, shared, ["band"]).select("node", "leader")).withColumnRenamed("label", "family")
     sized = family.join(reps.select("node", "id", "key", "n_shingles"), "node")
-    extent = sized.groupBy("family").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_shingles").alias("shingles")).select(
-        "family", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    members = stored(sized.join(extent, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "members")
+    blocks = F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    extent = stored(sized.groupBy("family").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_shingles").alias("shingles"))
+                    .select("family", blocks.alias("blocks")).filter("blocks > 1"), "large")
+    members = stored(sized.join(broadcast_if_small(extent), "family", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+                     .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "members")
     texts = stored(joined_small(rows, members.select("id", "key", "node"), ["id", "key"]).select("node", "text"), "texts")
 
     task = _block_task(shingle, least)
@@ -295,15 +296,16 @@ def linked_nodes(rows: DataFrame, reps: DataFrame, shingle: int, least: int, row
               .withColumn("nth", F.row_number().over(Window.partitionBy("family").orderBy("node"))).filter(F.col("nth") <= PIVOTS)
               .select("family", "node", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)).alias("block")))
     first = members.select("family", "node", "block").unionByName(pivots).select("node", "family", "block", F.lit(0).alias("side"), none)
-    links = _dealt(texts, first, ["family", "block"], task)
+    trees = _dealt(texts, first, ["family", "block"], task)
 
     wide = members.filter("blocks > 1")
     if wide.limit(1).count() == 0:
-        return links.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
-            links.select(F.col("b").alias("node"), F.col("b").alias("label"))).distinct()
-    trees = connected_components(links).withColumnRenamed("label", "tree")
-    wide = stored(wide.select("family", "node", "block", "blocks").join(trees, "node", "left")
-                  .withColumn("tree", F.coalesce("tree", "node")), "wide")
+        return trees.select("node", F.col("leader").alias("label"))
+    in_blocks = stored(wide.select("family").distinct(), "wide")
+    narrow = trees.join(in_blocks, "family", "left_anti").select("node", F.col("leader").alias("label"))
+    trees = trees.join(in_blocks, "family", "left_semi").select("node", "leader")
+    wide = stored(wide.select("family", "node", "block", "blocks").join(
+        components_by_first(trees).withColumnRenamed("label", "tree"), "node"), "wide")
     sizes = wide.groupBy("family", "tree").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("family").agg(F.max(F.struct("n", "tree"))["tree"].alias("largest"), F.sum("n").alias("all"), F.max("n").alias("most"))
     outside = largest.filter("all > most").select(
@@ -315,7 +317,7 @@ def linked_nodes(rows: DataFrame, reps: DataFrame, shingle: int, least: int, row
     right = wide.select("node", "family", F.explode(F.sequence(F.lit(0), F.col("outer") - 1)).alias("outer"), "block",
                         F.lit(1).alias("side"), "tree")
     more = _dealt(texts, left.unionByName(right), ["family", "outer", "block"], task)
-    return connected_components(links.union(more))
+    return narrow.union(components_by_first(trees.union(more.select("node", "leader"))))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, least: int = 85,

@@ -9,10 +9,13 @@ windows the one in the smallest document stays, and runs of repeated windows
 are the maximal exact repeats that are removed.
 
 Nothing is done pair by pair, so a passage that a third of all documents share
-costs one entry per occurrence, each of its windows in another bucket.  Probes
-travel as packed arrays: for each document and hash bucket, four bytes per
-probe.  Anchors may be false now and then (31 bits within a bucket); windows
-decide by another 64-bit hash of all their words.
+costs one entry per occurrence.  Probes travel as packed arrays: for each
+document and bucket, four bytes per probe.  The bucket of a window follows from
+the least hash of its FINE-word windows: equal windows have equal buckets, and
+neighbouring windows mostly share one, so the number of (document, bucket)
+pairs stays far below that of windows however many buckets there are.  Anchors
+may be false now and then (31 bits within a bucket); windows decide by another
+64-bit hash of all their words.
 
 Defined cases: null text has no words; a text shorter than a window is kept
 whole; a null id counts as larger than any other, and rows that repeat an id
@@ -31,10 +34,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import joined_small, stored
-from .words import SPACE_SEPARATED, WORD_BASES, Words, mix, runs, slices, split, window_hashes, window_starts
+from .words import SPACE_SEPARATED, WORD_BASES, mix, runs, sliding_least, slices, split, window_hashes, window_starts
 
 BLOCK = 25
-PROBES_PER_BUCKET = 3_000_000
+FINE = 5
+PROBES_PER_BUCKET = 1_000_000
 _HELD_BYTES = 24 << 20
 _NO_ID = np.iinfo(np.int64).max
 
@@ -137,15 +141,12 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return out.withColumn("key", F.xxhash64("id", "text"))
 
 
-def _grams(words: Words, block: int) -> tuple[np.ndarray, np.ndarray]:
-    """First positions of all rolling windows of ``block`` words, and their hashes."""
-    h = words.hashes()
-    inside = np.flatnonzero(window_starts(words.first, block))
-    return inside, window_hashes(h, block, WORD_BASES[0])[inside]
-
-
-def _bucket(g: np.ndarray, buckets: int) -> np.ndarray:
-    return ((g >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+def _windows(word: np.ndarray, first: np.ndarray, size: int, base: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all rolling windows of ``size`` words: the first positions, the hashes, and the buckets."""
+    at = np.flatnonzero(window_starts(first, size))
+    fine = min(FINE, size)
+    least = sliding_least(window_hashes(word, fine, WORD_BASES[2]), size - fine + 1)[at]
+    return at, window_hashes(word, size, base)[at], (mix(least, 1) % np.uint64(buckets)).astype(np.int64)
 
 
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
@@ -158,11 +159,11 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         dealer = _Dealer(buckets)
         for part in slices(batches, "text"):
             words = split(part.column("text"), SPACE_SEPARATED)
-            at, g = _grams(words, block)
+            at, g, bucket = _windows(words.hashes(), words.first, block, WORD_BASES[0], buckets)
             doc = words.doc[at]
             indexed = ((at - words.first[doc]) % block == 0).astype(np.uint32)
             value = ((g & np.uint64(0x7FFFFFFF)).astype(np.uint32) << np.uint32(1)) | indexed
-            dealer.add(_bucket(g, buckets), doc, part.column("id").to_numpy(), part.column("key").to_numpy(), value)
+            dealer.add(bucket, doc, part.column("id").to_numpy(), part.column("key").to_numpy(), value)
             yield from dealer.rows(False)
         yield from dealer.rows(True)
 
@@ -174,9 +175,9 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         dealer = _Dealer(buckets)
         for part in slices(batches, "text"):
             words = split(part.column("text"), SPACE_SEPARATED)
-            at, g = _grams(words, block)
-            doc = words.doc[at]
-            cell = doc * buckets + _bucket(g, buckets)
+            h = words.hashes()
+            at, _, bucket = _windows(h, words.first, block, WORD_BASES[0], buckets)
+            cell = words.doc[at] * buckets + bucket
             order = np.argsort(cell, kind="stable")
             cells = cell[order]
             lists = part.column("anchors")
@@ -189,16 +190,12 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 found = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a)
                 hit[at[order[a:b][found.astype(bool)]] + 1] = 1
             seen = np.cumsum(hit)
-            full = np.flatnonzero(window_starts(words.first, 2 * block))
-            if not len(full):
-                continue
+            full, w, bucket = _windows(h, words.first, 2 * block, WORD_BASES[1], buckets)
             # a window is of interest if a probe inside it met an anchor
-            full = full[seen[full + block] > seen[full]]
-            h = words.hashes()
-            w = window_hashes(h, 2 * block, WORD_BASES[1])[full]
-            deal = _bucket(mix(window_hashes(h, 2 * block, WORD_BASES[2])[full], 1), buckets)
+            near = seen[full + block] > seen[full]
+            full, w, bucket = full[near], w[near], bucket[near]
             d = words.doc[full]
-            dealer.add(deal, d, part.column("id").to_numpy(), part.column("key").to_numpy(), w,
+            dealer.add(bucket, d, part.column("id").to_numpy(), part.column("key").to_numpy(), w,
                        (full - words.first[d]).astype(np.uint32))
             yield from dealer.rows(False)
         yield from dealer.rows(True)

@@ -172,3 +172,13 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(d == 1), np.flatnonzero(d == -1)
 
 
+
+
+def sliding_least(values: np.ndarray, size: int) -> np.ndarray:
+    """The smallest of each ``size`` neighbouring values."""
+    out, have = values, 1
+    while have < size:
+        step = min(have, size - have)
+        out = np.minimum(out[:len(out) - step], out[step:]) if len(out) > step else out[:0]
+        have += step
+    return out

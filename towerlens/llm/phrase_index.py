@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import stored
+from .frames import broadcast_if_small, stored
 from .words import ALNUM_WORDS, runs, slices, split
 
 WINDOW = 10
@@ -217,6 +217,19 @@ def _match_block(index: DataFrame, parts: list, frequency: np.ndarray, size: int
     return index.mapInArrow(match, HITS)
 
 
+def drop_contaminated(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text",
+                      item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The input's rows and columns without the documents that hold an occurring window.
+
+    Rows are known by a hash of their text, so equal texts share their fate."""
+    name = "__phrase_row"
+    texts = df.select(F.xxhash64(F.col(f"`{text_col}`")).alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    hits = stored(phrase_matches(texts, benchmark, window, item_col=item_col, item_text=item_text)
+                  .filter(F.size("spans") > 0).select("doc_id").distinct(), "contaminated")
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
+    return rows.join(broadcast_if_small(hits), F.xxhash64(F.col(name)[text_col]) == F.col("doc_id"), "left_anti").select(f"{name}.*")
+
+
 def phrase_matches(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
                    item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document: id, ``n_words``, ``spans`` (word ranges covered by occurring windows, apart from each

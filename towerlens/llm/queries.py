@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, block_anchors, content_sort, hyperminhash, large_item_packing, lattice_lm, phrase_index
+from . import (bitpack, block_anchors, content_sort, hyperminhash, language_tree, large_item_packing, lattice_lm, phrase_index,
+               pii_votes, quality_rules)
 from .frames import shared_folder
 from .tokens import default_tokenizer
 
@@ -27,6 +28,12 @@ def _crc(column: str) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
+def op1_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_rules.fit(docs, _table(spark, sf_dir, "labels"), _crc("doc_id") % 3 != 1)
+    return quality_rules.score_documents(docs, model).withColumn("held_out", _crc("doc_id") % 3 == 1)
+
+
 def op2_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     scored = lattice_lm.score(docs, _crc("doc_id") % 10 != 0, lattice_lm.default_vocabulary())
@@ -55,6 +62,22 @@ def op7_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return large_item_packing.pack_documents(_table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op8_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_votes.find_spans(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii_votes.KINDS), _sha256(pii_votes.listed(base)).alias("base_sha256"),
+                        pii_votes.listed(F.col("spans")).alias("spans"))
+
+
+def op9_language_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_tree.identify(_table(spark, sf_dir, "documents"), _crc("doc_id") % 5 != 0)
+    return found.withColumn("held_out", _crc("doc_id") % 5 == 0)
+
+
 def op10_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrase_index.phrase_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -64,8 +87,8 @@ def op10_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_lattice_lm, op3_block_anchors, op4_content_sort, op5_bit_packed_ids, op6_hyperminhash, op7_large_item_packing,
-    op10_phrase_index)}
+    op1_rule_ensemble, op2_lattice_lm, op3_block_anchors, op4_content_sort, op5_bit_packed_ids, op6_hyperminhash,
+    op7_large_item_packing, op8_pii_votes, op9_language_tree, op10_phrase_index)}
 
 #: texts with every run of bytes 0x20, 0x09 to 0x0D as one space
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"

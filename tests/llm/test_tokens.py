@@ -11,7 +11,8 @@ from towerlens.llm.frames import shared_folder
 from towerlens.llm.tokens import WordEncoder, default_tokenizer
 
 ODD = ["", "  ", "Hello WORLD", "a b c\x1cd", "it's <|endoftext|> x<|startoftext|>y", "é ́x", "İstanbul ΣΑΣ ǅ",
-       "日本語 テスト 123 4.5", "x" * 3000, "tab\tnew\nline\x0bvt\x0cff\rcr", " line\u0085sep", "👍🏽 ok!!??"]
+       "日本語 テスト 123 4.5", "x" * 3000, "ÉTÉ Größe, ÑANDÚ! ǅungla Łódź İIı ﬁn straße ŒUVRE ŋ ÿ ÀÉ", "ςίσυφος ΣΊΣΥΦΟΣ привет ПРИВЕТ", "e\u0301te\u0301, \u212bngstr\u00f6m x\u0338<",
+       "tab\tnew\nline\x0bvt\x0cff\rcr", " line\u0085sep", "👍🏽 ok!!??"]
 
 
 def whole_ids(texts):

@@ -154,20 +154,20 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     table = np.asarray(sorted(segments), np.int64).reshape(-1, 5)
     keys = table[:, 0] * _RANKS + table[:, 1]
 
-    def place(frames):
-        for pdf in frames:
-            s = np.searchsorted(keys, pdf["length"].to_numpy() * _RANKS + pdf["rank"].to_numpy(), "right") - 1
-            seg, length = table[s], pdf["length"].to_numpy()
-            nth = pdf["rank"].to_numpy() - seg[:, 1]
-            each = np.maximum(seg[:, 3], 1)
-            pdf["sequence_id"] = seg[:, 2] + nth // each
-            pdf["offset"] = seg[:, 4] + nth % each * length
-            yield pdf.drop(columns="rank")
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length, rank = (batch.column(c).to_numpy() for c in ("length", "rank"))
+            seg = table[np.searchsorted(keys, length * _RANKS + rank, "right") - 1]
+            nth, each = rank - seg[:, 1], np.maximum(seg[:, 3], 1)
+            names = [n for n in batch.schema.names if n != "rank"]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(n) for n in names], pa.array(seg[:, 2] + nth // each), pa.array(seg[:, 4] + nth % each * length)],
+                [*names, "sequence_id", "offset"])
 
     ranked = _ranked(pieces)
     names = [f for f in ranked.schema.fields if f.name != "rank"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in names) + ", sequence_id long, offset long"
-    return ranked.mapInPandas(place, schema)
+    return ranked.mapInArrow(place, schema)
 
 
 def pack_documents(df: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id",

@@ -14,15 +14,16 @@ import json
 import os
 import re
 import sys
+import unicodedata
 from array import array
 from functools import lru_cache
 
 import numpy as np
 
-CACHE_WORDS = 400_000
-ENCODE_BYTES = 4 << 20        # of text encoded at a time
+CACHE_WORDS = 300_000
+ENCODE_BYTES = 2 << 20        # of text encoded at a time
 #: a run of small ASCII letters and of bytes of other characters, and the ASCII punctuation behind it
-_STEM_AND_TAIL = re.compile(rb"^(?:([a-z\x80-\xff]+)([!-/:-@\[-`{-~]*)|.*)$", re.M)
+_STEM_AND_TAIL = re.compile(rb"([a-z\x80-\xff]+)([!-/:-@\[-`{-~]*)")
 _SPECIAL = b"<|"                                     # opens the tokenizers' special strings
 
 
@@ -32,23 +33,39 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class _Recent:
-    """A dictionary of about ``limit`` to twice as many entries; what was not asked for lately goes."""
+def _byte_letters() -> list[str]:
+    """Byte-level form: printable Latin-1 characters stand for their own byte, the others follow from 256 on."""
+    out, spare = [], 256
+    for b in range(256):
+        if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174:
+            out.append(chr(b))
+        else:
+            out.append(chr(spare))
+            spare += 1
+    return out
 
-    def __init__(self, limit: int):
-        self.limit, self.young, self.old = limit, {}, {}
 
-    def missing(self, keys: set) -> list:
-        """Make room and bring back what is known; returns the keys that are not."""
-        if len(self.young) + len(keys) > self.limit:
-            self.old, self.young = self.young, {}
-        young, old, out = self.young, self.old, []
-        for k in keys.difference(young):
-            if k in old:
-                young[k] = old[k]
-            else:
-                out.append(k)
-        return out
+_BYTE_LETTER = dict(enumerate(_byte_letters()))
+
+
+class _Recent(dict):
+    """A cache filled by ``make``, of about ``limit`` to twice as many entries; what was not asked for lately goes."""
+
+    def __init__(self, limit: int, make):
+        super().__init__()
+        self.limit, self.make, self.old = limit, make, {}
+
+    def __missing__(self, key: bytes) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+    def trim(self) -> None:
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
 
 
 class WordEncoder:
@@ -59,13 +76,11 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.by_word, self.end_mark = _splits_on_space(path)
-        self.words, self.stems = _Recent(CACHE_WORDS), _Recent(CACHE_WORDS)
-        self.ends_word = None
-        if self.end_mark:
-            vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-            self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
-            self.ends_word[[k for t, k in vocabulary.items() if t.endswith(self.end_mark)]] = True
+        self.merge = self.tokenizer.model.tokenize
+        self.by_word, self.letters_apart = _splits_on_space(path)
+        self.words = _Recent(CACHE_WORDS, self._word if self.letters_apart else self._one)
+        self.stems = _Recent(CACHE_WORDS, self._stem)
+        self.tails = _Recent(10_000, self._one)
 
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -74,46 +89,28 @@ class WordEncoder:
         found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
-    def _stems(self, stems: list[bytes]) -> list[bytes]:
-        """Runs of small letters, each one word of the tokenizer.  ASCII ones are their own byte-level form and go
-        to its model directly; others are encoded together and parted after each closing token."""
-        merge = self.tokenizer.model.tokenize
-        out = [array("I", [t.id for t in merge(s.decode())]).tobytes() if s.isascii() else None for s in stems]
-        rest = [k for k, x in enumerate(out) if x is None]
-        if rest:
-            texts = [stems[k] for k in rest]
-            ids = np.asarray(self.tokenizer.encode_batch_fast([b" ".join(texts).decode()], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) == len(texts):
-                data, cuts = ids.tobytes(), (4 * ends).tolist()
-                found = [data[a:b] for a, b in zip([0, *cuts], cuts)]
-            else:                          # not one closing token each: word by word then
-                found = self._whole(texts)
-            for k, x in zip(rest, found):
-                out[k] = x
-        return out
-
-    def _learn(self, new: list[bytes]) -> None:
+    def _one(self, text: bytes) -> bytes:
+        return self._whole([text])[0]
+
+    def _word(self, word: bytes) -> bytes:
         """Letters and the punctuation behind them are words of their own to the tokenizer, and so are cached apart."""
-        known, other = self.words.young, []
-        if not self.end_mark:
-            known.update(zip(new, self._whole(new)))
-            return
-        pairs = _STEM_AND_TAIL.findall(b"\n".join(new))
-        stems = {s for s, _ in pairs}
-        stems -= {s for s in stems if not s.isascii() and not s.decode("utf-8", "replace").isalpha()}
-        stems.discard(b"")
-        tails = {t: e for some in [list({t for _, t in pairs})] for t, e in zip(some, self._whole(some))}
-        need = self.stems.missing(stems)
-        cache = self.stems.young
-        for at in range(0, len(need), 20_000):
-            cache.update(zip(need[at:at + 20_000], self._stems(need[at:at + 20_000])))
-        for w, (s, t) in zip(new, pairs):
-            if s in stems:
-                known[w] = cache[s] + tails[t] if t else cache[s]
-            else:
-                other.append(w)
-        known.update(zip(other, self._whole(other)))
+        m = _STEM_AND_TAIL.fullmatch(word)
+        if m:
+            stem, tail = m.groups()
+            if stem.isascii() or stem.decode("utf-8", "replace").isalpha():
+                return self.stems[stem] + self.tails[tail] if tail else self.stems[stem]
+        return self._one(word)
+
+    def _stem(self, stem: bytes) -> bytes:
+        """A run of letters is one word of the tokenizer.  Small ASCII letters are their own byte-level form; other
+        Latin letters are brought to it; both go to the tokenizer's model directly."""
+        text = stem.decode()
+        if not stem.isascii():
+            low = text.lower()
+            if max(text) > "\u024f" or not low.isalpha() or not unicodedata.is_normalized("NFC", text):
+                return self._one(stem)
+            text = low.encode().decode("latin-1").translate(_BYTE_LETTER)
+        return array("I", [t.id for t in self.merge(text)]).tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text."""
@@ -122,20 +119,21 @@ class WordEncoder:
         collects = gc.isenabled()
         gc.disable()            # no cycles arise here, and scans of long lists would cost as much as the work
         try:
-            if self.end_mark:   # the tokenizer ignores case, but for special strings
-                texts = [t if _SPECIAL in t else t.lower() for t in texts]
-            split = [t.split() for t in texts]
-            self._learn(self.words.missing(set().union(*split)))
-            get = self.words.young.__getitem__
-            return [b"".join(map(get, words)) for words in split]
+            get, out = self.words.__getitem__, []
+            for t in texts:
+                # the tokenizer ignores case, but for special strings
+                out.append(b"".join(map(get, (t.lower() if self.letters_apart and _SPECIAL not in t else t).split())))
+            for cache in (self.words, self.stems, self.tails):
+                cache.trim()
+            return out
         finally:
             if collects:
                 gc.enable()
 
 
 @lru_cache(maxsize=4)
-def _splits_on_space(path: str) -> tuple[bool, str]:
-    """Whether words between spaces are encoded apart; the mark of tokens that close a run of letters, if they do."""
+def _splits_on_space(path: str) -> tuple[bool, bool]:
+    """Whether words between spaces are encoded apart, and, in them, runs of letters and of punctuation."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     pre = spec.get("pre_tokenizer") or {}
@@ -150,9 +148,9 @@ def _splits_on_space(path: str) -> tuple[bool, str]:
     strips = any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or any(c.isspace() for c in t["content"])
                  for t in spec.get("added_tokens", []))
     by_word = bool(drops and plain and norms <= known and not strips and r"[^\s" in pattern)
-    letters = r"[\p{L}]+" in pattern and r"[^\s\p{L}\p{N}]+" in pattern and "Lowercase" in norms
+    letters = any(p.get("type") == "ByteLevel" for p in parts) and r"[\p{L}]+" in pattern and r"[^\s\p{L}\p{N}]+" in pattern and "Lowercase" in norms
     plain_model = spec["model"].get("type") == "BPE" and array("I").itemsize == 4 and sys.byteorder == "little"
-    return by_word, spec["model"].get("end_of_word_suffix") or "" if by_word and letters and plain_model else ""
+    return by_word, by_word and letters and plain_model
 
 
 @lru_cache(maxsize=2)

@@ -14,15 +14,15 @@ from towerlens.plans.quality import (RULES, ExpectationFailed, apply_expectation
 # ------------------------------------------------------------------ nodes
 def test_source_node_errors(spark):
     with pytest.raises(ValueError, match="either 'file_source' or 'table_source'"):
-        N.source_node({}, {}, spark)
+        N.run_step("source", {}, {}, spark)
     with pytest.raises(ValueError, match="'path' is required"):
-        N.source_node({"file_source": {"format": "csv"}}, {}, spark)
+        N.run_step("source", {"file_source": {"format": "csv"}}, {}, spark)
     with pytest.raises(ValueError, match="'tableName' is required"):
-        N.source_node({"table_source": {"tableName": ""}}, {}, spark)
+        N.run_step("source", {"table_source": {"tableName": ""}}, {}, spark)
 
 
 def test_option_normalisation():
-    opts = N.normalize_options({"headerRows": True, "inferSchema": False, "sep": "';'", "dataAddress": "'!Sheet1'",
+    opts = N.reader_options({"headerRows": True, "inferSchema": False, "sep": "';'", "dataAddress": "'!Sheet1'",
                                 "limit": 5})
     assert opts == {"headerRows": "1", "inferSchema": "false", "sep": ";", "dataAddress": "Sheet1", "limit": "5"}
 
@@ -31,51 +31,52 @@ def test_file_source_reads_csv(spark):
     d = tempfile.mkdtemp(prefix="tl-src-")
     with open(os.path.join(d, "a.csv"), "w") as f:
         f.write("x,y\n1,2\n3,4\n")
-    df = N.source_node({"file_source": {"path": os.path.join(d, "a.csv"), "format": "csv", "headerRows": True,
-                                        "inferSchema": True}}, {}, spark)["data"]
+    df = N.run_step("source", {"file_source": {"path": os.path.join(d, "a.csv"), "format": "csv", "headerRows": True,
+                                        "inferSchema": True}}, {}, spark)
     assert sorted(tuple(r) for r in df.collect()) == [(1, 2), (3, 4)]
 
 
 def test_join_node_errors_and_cross(spark):
     a = spark.range(3)
     with pytest.raises(ValueError, match="Both left and right"):
-        N.join_node({"join_type": "inner"}, {"left": a}, spark)
-    out = N.join_node({"join_type": "cross", "join_conditions": ""}, {"left": a, "right": a}, spark)["joined_data"]
+        N.run_step("join", {"join_type": "inner"}, {"left": a}, spark)
+    out = N.run_step("join", {"join_type": "cross", "join_conditions": ""}, {"left": a, "right": a}, spark)
     assert out.count() == 9
 
 
 def test_aggregate_node_shapes(spark):
     df = spark.range(10).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"))
-    same = N.aggregate_node({}, {"data": df}, spark)["aggregated_data"]
+    same = N.run_step("aggregate", {}, {"data": df}, spark)
     assert same is df
-    distinct = N.aggregate_node({"group_bys": [{"expr": "g"}]}, {"data": df}, spark)["aggregated_data"]
+    distinct = N.run_step("aggregate", {"group_bys": [{"expr": "g"}]}, {"data": df}, spark)
     assert distinct.count() == 2
     cfg = {"group_bys": [{"expr": "g"}], "aggregations": [
         {"columnExpr": {"expr": "g"}, "fn": "-"},
         {"columnExpr": {"expr": "v"}, "fn": "PERCENTILE", "percentage": 1.5, "alias": "p"},
         {"columnExpr": {"expr": "v"}, "fn": "max", "alias": "m"}]}
-    out = {r["g"]: (r["p"], r["m"]) for r in N.aggregate_node(cfg, {"data": df}, spark)["aggregated_data"].collect()}
+    out = {r["g"]: (r["p"], r["m"]) for r in N.run_step("aggregate", cfg, {"data": df}, spark).collect()}
     assert out == {0: (8.0, 8.0), 1: (9.0, 9.0)}
     with pytest.raises(ValueError):
-        N.aggregation_column({"columnExpr": {"expr": "v"}, "fn": "drop table x; --"}, set())
+        N.Measure.read({"columnExpr": {"expr": "v"}, "fn": "drop table x; --"})
 
 
 def test_percentage_fallbacks():
-    assert N._percentage(-0.1) == 0.0 and N._percentage(1.5) == 1.0
-    assert N._percentage(float("nan")) == 0.5 and N._percentage(True) == 0.5 and N._percentage(None) == 0.5
+    share = lambda p: N.Measure.read({"percentage": p}).percentage
+    assert share(-0.1) == 0.0 and share(1.5) == 1.0 and share(0.9) == 0.9 and share(1) == 1.0
+    assert share(float("nan")) == share(float("inf")) == share(True) == share(None) == share("x") == 0.5
 
 
 def test_sql_node_binds_only_known_params(spark):
     df = spark.range(10)
-    out = N.sql_node({"query": "SELECT id, id::string AS s FROM tl_t WHERE id >= :lo"},
-                     {"data": [df], "data__sources": [{"df_name": "tl_t"}]}, spark, params={"lo": 7, "other": 1})
-    assert [r["id"] for r in out["result"].collect()] == [7, 8, 9]
+    out = N.run_step("sql", {"query": "SELECT id, id::string AS s FROM tl_t WHERE id >= :lo"},
+                     {"tl_t": df}, spark, params={"lo": 7, "other": 1})
+    assert [r["id"] for r in out.collect()] == [7, 8, 9]
 
 
 def test_output_node_requires_name(spark):
     with pytest.raises(ValueError, match="'table_name' is required"):
-        N.output_node({"catalog": "c"}, {"data": spark.range(1)}, spark)
-    assert N.table_name({"catalog": "", "schema": "s", "table_name": "t"}) == "s.t"
+        N.run_step("output", {"catalog": "c"}, {"data": spark.range(1)}, spark)
+    assert N.Output.read({"catalog": "", "schema": "s", "table_name": "t"}).table == "s.t"
 
 
 # ------------------------------------------------------------------ expectations

@@ -1,14 +1,20 @@
 """Operators against brute force: nearest, contains-join, latest per key, salted joins."""
 
 import pytest
+import towerlens.operators.nearest as nearest_module
 from pyspark.sql import functions as F
 
 from towerlens.operators.latest import latest_per_key, latest_per_key_window
-from towerlens.operators.nearest import nearest, nearest_bruteforce
+from tests.nearest_plain import nearest_bruteforce
+from towerlens.operators.nearest import nearest
 from towerlens.operators.skew import salted_join
 from towerlens.operators.spatial_join import contains_counts, contains_join
 
 
+def search(kw):
+    return {k: v for k, v in kw.items() if k != "left_keys"}
+
+
 def rows(df, *cols):
     return sorted(tuple(r[c] for c in cols) for r in df.collect())
 
@@ -34,10 +40,10 @@ def towers(spark):
         .otherwise(F.lit(47.1) + (F.col("id") * 53 % 100) / 95.0).alias("ty"))
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
-def test_nearest_equals_bruteforce(spark, points, towers, strategy):
+@pytest.mark.parametrize("block_points", [200_000, 7])
+def test_nearest_equals_bruteforce(spark, points, towers, block_points):
     kw = dict(left_xy=("x", "y"), right_xy=("tx", "ty"), right_id="tid", left_keys=["pid"], dist_col="d")
-    got = nearest(points, towers, strategy=strategy, **kw)
+    got = nearest(points, towers, block_points=block_points, **search(kw))
     ref = nearest_bruteforce(points, towers, **kw)
     assert rows(got, "pid", "tid") == rows(ref, "pid", "tid")
     g = {r["pid"]: r["d"] for r in got.collect()}
@@ -48,20 +54,20 @@ def test_nearest_equals_bruteforce(spark, points, towers, strategy):
 def test_nearest_planar_equals_bruteforce(spark, points, towers):
     kw = dict(left_xy=("x", "y"), right_xy=("tx", "ty"), right_id="tid", left_keys=["pid"], dist_col="d",
               metric="planar")
-    assert rows(nearest(points, towers, **kw), "pid", "tid") == rows(nearest_bruteforce(points, towers, **kw), "pid", "tid")
+    assert rows(nearest(points, towers, **search(kw)), "pid", "tid") == rows(nearest_bruteforce(points, towers, **kw), "pid", "tid")
 
 
 def test_nearest_ties_lower_id_wins(spark):
     left = spark.createDataFrame([(1, 0.0, 0.0)], "pid long, x double, y double")
     right = spark.createDataFrame([(7, 0.0, 0.001), (3, 0.0, -0.001), (9, 0.5, 0.5)], "tid long, tx double, ty double")
-    out = nearest(left, right, left_xy=("x", "y"), right_xy=("tx", "ty"), right_id="tid", left_keys=["pid"]).first()
+    out = nearest(left, right, left_xy=("x", "y"), right_xy=("tx", "ty"), right_id="tid").first()
     assert out["tid"] == 3
 
 
 def test_nearest_edge_cases(spark):
     left = spark.createDataFrame([(1, 0.0, 0.0), (2, None, 1.0), (3, 179.99, 0.0)], "pid long, x double, y double")
     right = spark.createDataFrame([(5, -179.99, 0.0), (6, 10.0, 10.0)], "tid long, tx double, ty double")
-    kw = dict(left_xy=("x", "y"), right_xy=("tx", "ty"), right_id="tid", left_keys=["pid"], dist_col="d")
+    kw = dict(left_xy=("x", "y"), right_xy=("tx", "ty"), right_id="tid", dist_col="d")
     inner = {r["pid"]: r["tid"] for r in nearest(left, right, **kw).collect()}
     assert inner == {1: 6, 3: 5}                      # across the antimeridian; NULL point dropped
     outer = {r["pid"]: r["tid"] for r in nearest(left, right, how="left", **kw).collect()}
@@ -114,11 +120,23 @@ def test_salted_join_hot_key_exact(spark):
     assert rows(got, "v", "w") == rows(ref, "v", "w")
 
 
-def test_nearest_shuffle_with_salted_hot_cells(spark, points, towers):
-    kw = dict(left_xy=("x", "y"), right_xy=("tx", "ty"), right_id="tid", left_keys=["pid"], dist_col="d")
-    got = nearest(points, towers, strategy="shuffle", hot_rows=5, **kw)     # every busy cell is salted
-    ref = nearest_bruteforce(points, towers, **kw)
-    assert rows(got, "pid", "tid") == rows(ref, "pid", "tid")
+@pytest.mark.parametrize("block_points", [200_000, 50])
+def test_nearest_repeated_left_rows_shared_coordinates_and_limits(spark, monkeypatch, block_points):
+    monkeypatch.setattr(nearest_module, "LEFT_PER_TASK", 40)
+    left = spark.range(300).select((F.col("id") % 100).alias("pid"), (F.col("id") % 10 * 0.01).alias("x"), (F.col("id") % 7 * 0.01).alias("y"),
+                                   F.lit("row").alias("_d"))
+    far = spark.range(300, 340).select(F.col("id").alias("pid"), F.lit(120.0).alias("x"), F.lit(-40.0).alias("y"), F.lit("row").alias("_d"))
+    left = left.unionByName(far)
+    right = spark.range(2000).select(F.col("id").alias("tid"), (F.col("id") % 20 * 0.004).alias("tx"), (F.floor(F.col("id") / 20) % 5 * 0.01).alias("ty"))
+    kw = dict(left_xy=("x", "y"), right_xy=("tx", "ty"), right_id="tid", dist_col="d", block_points=block_points)
+    got = nearest(left, right, **kw)
+    assert got.columns == ["pid", "x", "y", "_d", "tid", "d"] and got.count() == 340
+    want = {(r["x"], r["y"]): r["tid"] for r in nearest_bruteforce(
+        left.select("x", "y").distinct(), right, left_keys=["x", "y"], left_xy=("x", "y"), right_xy=("tx", "ty"), right_id="tid").collect()}
+    assert all(want[r["x"], r["y"]] == r["tid"] for r in got.collect())
+    near = nearest(left, right, how="left", max_distance=300.0, **kw).collect()
+    true = {(r["pid"], r["x"], r["y"]): (r["tid"], r["d"]) for r in got.collect()}
+    assert len(near) == 340 and all((r["tid"] is None) == (true[r["pid"], r["x"], r["y"]][1] > 300.0) for r in near)
 
 
 def test_contains_join_salted_path(spark):

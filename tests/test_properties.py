@@ -7,7 +7,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from towerlens.functions import geo as G
-from towerlens.operators.nearest import nearest, nearest_bruteforce
+from tests.nearest_plain import nearest_bruteforce
+from towerlens.operators.nearest import nearest
 
 coord = st.tuples(st.floats(-123.0, -121.0, allow_nan=False), st.floats(47.0, 48.5, allow_nan=False))
 SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
@@ -15,13 +16,13 @@ SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(He
 
 @SETTINGS
 @given(left=st.lists(coord, min_size=1, max_size=40), right=st.lists(coord, min_size=1, max_size=25),
-       strategy=st.sampled_from(["broadcast", "shuffle"]))
-def test_grid_nearest_equals_bruteforce(spark, left, right, strategy):
+       block_points=st.sampled_from([200_000, 3]))
+def test_grid_nearest_equals_bruteforce(spark, left, right, block_points):
     ldf = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(left)], "pid long, x double, y double")
     rdf = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(right)], "tid long, tx double, ty double")
-    kw = dict(left_xy=("x", "y"), right_xy=("tx", "ty"), right_id="tid", left_keys=["pid"], dist_col="d")
-    got = {r["pid"]: r["tid"] for r in nearest(ldf, rdf, strategy=strategy, **kw).collect()}
-    want = {r["pid"]: r["tid"] for r in nearest_bruteforce(ldf, rdf, **kw).collect()}
+    kw = dict(left_xy=("x", "y"), right_xy=("tx", "ty"), right_id="tid", dist_col="d")
+    got = {r["pid"]: r["tid"] for r in nearest(ldf, rdf, block_points=block_points, **kw).collect()}
+    want = {r["pid"]: r["tid"] for r in nearest_bruteforce(ldf, rdf, left_keys=["pid"], **kw).collect()}
     assert got == want
 
 

@@ -1,354 +1,271 @@
 """Exact k=1 nearest neighbour by great-circle (or planar) distance.
 
-The reference finds the nearest tower with a cross join and
-``ROW_NUMBER() OVER (PARTITION BY building ORDER BY distance)``: n x m
-distance rows, all sorted.  Here the same answer comes from a grid search
-that never forms the full product:
-
-* the right side is bucketed on an equal-angle grid of cell size ``g``
-  (chosen from its density) and each right row is copied to the 3 x 3 block
-  of cells around it;
-* a left point looks up its own cell, which holds exactly the right rows of
-  its 3 x 3 block, and takes the best of them;
-* the answer is *proven* when the best distance is below the point's clear
-  radius: the great-circle distance from the point to the edge of the block
-  (latitude gap ``R*dlat``; longitude gap ``R*asin(cos(lat)*sin(dlon))``, the
-  distance to a meridian).  Anything outside the block is at least that far;
-* unproven points move to a grid 8x coarser, and so on, until a grid whose
-  block covers the whole sphere, where every point is proven.  No candidate
-  cap is needed and no answer is approximate.
+Right rows on one coordinate are first reduced to the one with the lowest id,
+which decides ties anyway.  What is left is put into a tree of boxes: points in
+Z-order, sixteen to a leaf, sixteen boxes to the next larger one.  For a batch
+of left points the tree is opened from the top, a level at a time, with numpy:
+each box gives a lower and an upper bound on the distance to its nearest point,
+and only boxes whose lower bound is not above the best upper bound so far are
+opened.  Bounds are straight-line distances between unit vectors, so poles and
+the date line need no care.  ``max_distance`` is the first upper bound; a point
+with nothing near is done at the top of the tree.
+
+Up to ``BLOCK_POINTS`` right coordinates (a proven count) make one tree, which
+is broadcast; the left side is then never shuffled.  More are cut into blocks
+along the Z-order; the blocks' boxes (one row a block) tell which blocks a left
+point may have its neighbour in, mostly one, and left points meet blocks in
+co-grouped tasks, the points of a crowded block in several.  Both ways use the
+same search, need no key on the left side and give the same rows.
 
 Ties: the order is (distance floored to 1 micrometre, right id), so two
 candidates closer than 1e-6 m are decided by the lower id.  This makes the
 answer independent of last-bit floating-point noise.
-
-Two physical forms, same answer:
-
-* ``broadcast`` -- when the right side is proven small by a count: each grid
-  level is a broadcast table ``cell -> array of candidates``; every left row
-  passes through the levels with map-only lookups (left outer broadcast hash
-  joins whose key is NULL once the row is proven).  No shuffle of the left
-  side at all, so a hot cell cannot skew anything.
-* ``shuffle`` -- for a large right side: per level, an equi-join on the cell
-  key with hot cells salted (``salted_join``), then ``min(struct)`` per left
-  key (partial aggregation map-side).  Proven rows leave, the rest go on.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from towerlens.functions.geo import DEG2RAD, EARTH_RADIUS_M, haversine_m, let, materialize, planar_deg
-from towerlens.functions.cells import sql_double
-from towerlens.operators.skew import DEFAULT_BROADCAST_ROWS, checkpointed, salted_join, spread
-from towerlens.session import ensure_checkpoint_dir
-from towerlens.oracle import haversine_sql
+from towerlens.functions.geo import EARTH_RADIUS_M, haversine_m, planar_deg
+from towerlens.operators.skew import checkpointed, spread
 
-_INF = 1.0e18
+BLOCK_POINTS = 200_000
+LEFT_PER_TASK = 100_000
+_FAN = 16
+_BATCH = 2048
 _TIE_SCALE = 1.0e6          # distance ranking resolution: 1 micrometre (or 1e-6 degree)
+_SLACK = 1.0e-10            # on straight-line distances, far above their rounding errors
 
 
-def _grid(g_req: float) -> tuple[float, int, int]:
-    """Snap the cell size so 360/g is an integer; return (g, ncols, nrows)."""
-    ncols = max(1, int(round(360.0 / g_req)))
-    g = 360.0 / ncols
-    nrows = int(math.ceil(180.0 / g))
-    return g, ncols, nrows
-
-
-def _levels(g0: float, factor: float = 8.0, extent: float = 360.0) -> list[tuple[float, int, int]]:
-    """Cell sizes g0, 8 g0, ... until a cell spans the right side's extent, then the global level.
-
-    Beyond the extent a coarser level adds nothing that the global level
-    (one block covering the sphere) does not decide exactly.
-    """
-    out = []
-    g = g0
-    while True:
-        gg, ncols, nrows = _grid(g)
-        out.append((gg, ncols, nrows))
-        if ncols <= 3 and nrows <= 3:
-            break
-        g = g * factor
-        if g >= 120.0 or gg >= extent:
-            g = 120.0
-    # drop duplicates created by snapping
-    seen, uniq = set(), []
-    for lv in out:
-        if lv[1] not in seen:
-            uniq.append(lv)
-            seen.add(lv[1])
-    return uniq
-
-
-def _d(v: float) -> str:
-    return sql_double(v)
-
-
-def _cell_xy_sql(x: str, y: str, g: float, nrows: int) -> tuple[str, str]:
-    cx = f"CAST(floor(({x} + 180e0) / {_d(g)}) AS INT)"
-    cy = f"least(CAST(floor(({y} + 90e0) / {_d(g)}) AS INT), {nrows - 1})"
-    return cx, cy
-
-
-def _cell_key_sql(cx: str, cy: str, ncols: int) -> str:
-    return f"(CAST(pmod({cx}, {ncols}) AS BIGINT) * 100000 + CAST({cy} AS BIGINT))"
-
-
-def _clear_radius_sql(x: str, y: str, g: float, ncols: int, nrows: int, metric: str) -> str:
-    """Distance from (x, y) to the outside of its 3 x 3 block (metres or degrees)."""
-    inf = _d(_INF)
-    if ncols <= 3 and nrows <= 3:
-        return inf
-    cx, cy = _cell_xy_sql(x, y, g, nrows)
-    lat_lo = f"(({cy} - 1) * {_d(g)} - 90e0)"
-    lat_hi = f"(({cy} + 2) * {_d(g)} - 90e0)"
-    gap_lat = (f"least(CASE WHEN {lat_lo} <= -90e0 THEN {inf} ELSE {y} - {lat_lo} END, "
-               f"CASE WHEN {lat_hi} >= 90e0 THEN {inf} ELSE {lat_hi} - {y} END)")
-    if ncols <= 3:
-        gap_lon = inf
-    else:
-        lon_lo = f"(({cx} - 1) * {_d(g)} - 180e0)"
-        lon_hi = f"(({cx} + 2) * {_d(g)} - 180e0)"
-        gap_lon = f"least({x} - {lon_lo}, {lon_hi} - {x})"
-    if metric == "planar":
-        return f"least({gap_lat}, {gap_lon})"
-    r_lat = f"CASE WHEN {gap_lat} >= {inf} THEN {inf} ELSE ({gap_lat}) * {_d(EARTH_RADIUS_M * DEG2RAD)} END"
-    r_lon = (f"CASE WHEN {gap_lon} >= {inf} THEN {inf} ELSE {_d(EARTH_RADIUS_M)} * asin(cos({y} * {_d(DEG2RAD)})"
-             f" * sin(least({gap_lon}, 90e0) * {_d(DEG2RAD)})) END")
-    return f"least({r_lat}, {r_lon})"
-
-
-def _neighbour_keys_sql(x: str, y: str, g: float, ncols: int, nrows: int) -> str:
-    """Array of the cell keys of the 3 x 3 block around (x, y)."""
-    cx, cy = _cell_xy_sql(x, y, g, nrows)
-    keys = []
-    for dx in (-1, 0, 1):
-        for dy in (-1, 0, 1):
-            ny = f"({cy} + ({dy}))"
-            keys.append(f"CASE WHEN {ny} >= 0 AND {ny} < {nrows} THEN "
-                        f"{_cell_key_sql(f'({cx} + ({dx}))', ny, ncols)} END")
-    return f"array_distinct(filter(array({', '.join(keys)}), k -> k IS NOT NULL))"
-
-
-def _distance_sql(metric: str, lx: str, ly: str, rx: str, ry: str) -> str:
-    if metric == "planar":
-        return f"sqrt(({rx} - {lx}) * ({rx} - {lx}) + ({ry} - {ly}) * ({ry} - {ly}))"
-    return haversine_sql(lx, ly, rx, ry)
-
-
-def _distance(metric: str, lx, ly, rx, ry) -> Column:
+def distance(metric: str, lx, ly, rx, ry) -> Column:
     if metric == "planar":
         return planar_deg(lx, ly, rx, ry)
     return haversine_m(lx, ly, rx, ry)
 
 
-_MAX_PER_CELL = 8           # target for the densest base cell (a 3 x 3 block then holds <= ~72 candidates)
-_SHRINK = 4.0
+def _distances(metric: str, lx, ly, rx, ry) -> np.ndarray:
+    if metric == "planar":
+        return np.sqrt((rx - lx) ** 2 + (ry - ly) ** 2)
+    p, q = np.radians(ly), np.radians(ry)
+    a = np.sin((q - p) / 2) ** 2 + np.cos(p) * np.cos(q) * np.sin(np.radians(rx - lx) / 2) ** 2
+    return 2 * EARTH_RADIUS_M * np.arcsin(np.sqrt(np.minimum(1.0, a)))
 
 
-def _right_stats(right_pts: DataFrame) -> tuple[int, float, float]:
-    """Row count, base cell size and extent of the right side, in one aggregation.
+def _vectors(metric: str, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Points in space whose straight-line distances order like the metric."""
+    if metric == "planar":
+        return np.stack((x, y, np.zeros(len(x))), axis=1)
+    lon, lat = np.radians(x), np.radians(y)
+    return np.stack((np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)), axis=1)
 
-    Right sides are often clustered (most towers in a downtown), so the base
-    size is chosen from the *densest* cell: the coarsest size on a fixed
-    ladder (120 deg / 4^i) whose fullest cell holds at most
-    ``_MAX_PER_CELL`` rows.  Dense areas get small cells; points in sparse
-    areas simply climb to coarser levels.
-    """
-    ladder = [120.0 / _SHRINK ** i for i in range(15)]
-    keys = F.array(*[F.struct(F.lit(i).alias("i"), F.expr(_cell_key_sql(*_cell_xy_sql("_rx", "_ry", c, _grid(c)[2]),
-                                                                          _grid(c)[1])).alias("k"))
-                     for i, c in enumerate(ladder)])
-    per_cell = (right_pts.select(F.inline(keys), "_rx", "_ry").groupBy("i", "k")
-                .agg(F.count(F.lit(1)).alias("c"), F.min("_rx").alias("x0"), F.max("_rx").alias("x1"),
-                     F.min("_ry").alias("y0"), F.max("_ry").alias("y1")))
-    rows = (per_cell.groupBy("i").agg(F.max("c").alias("m"), F.sum("c").alias("n"), F.min("x0").alias("x0"),
-                                      F.max("x1").alias("x1"), F.min("y0").alias("y0"), F.max("y1").alias("y1"))
-            .collect())
-    if not rows:
-        return 0, 1.0, 360.0
-    by_i = {r["i"]: r for r in rows}
-    r0 = by_i[0]
-    n = int(r0["n"])
-    extent = max(r0["x1"] - r0["x0"], r0["y1"] - r0["y0"], 1e-6)
-    for i, c in enumerate(ladder):
-        if by_i[i]["m"] <= _MAX_PER_CELL:
-            return n, max(c, 1e-5), extent
-    return n, ladder[-1], extent
+
+def _reach(metric: str, limit: float | None) -> float:
+    """A distance limit as a straight-line one."""
+    if limit is None:
+        return np.inf
+    if metric == "planar":
+        return limit * (1 + 1e-9) + _SLACK
+    return 2 * np.sin(min(limit / (2 * EARTH_RADIUS_M) * (1 + 1e-9), np.pi / 2)) + _SLACK
+
+
+def _z_order(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Position on a Z curve over longitude and latitude, 31 bits each."""
+    out = np.zeros(len(x), np.uint64)
+    for k, v in enumerate((np.clip((x + 180.0) / 360.0, 0, 1), np.clip((y + 90.0) / 180.0, 0, 1))):
+        b = (v * (2.0 ** 31 - 1)).astype(np.uint64)
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+                            (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            b = (b | (b << np.uint64(shift))) & np.uint64(mask)
+        out |= b << np.uint64(k)
+    return (out >> np.uint64(1)).astype(np.int64)
+
+
+def _bounds(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Straight-line distances to the nearest and to the farthest place of boxes, pair by pair."""
+    near = np.maximum(np.maximum(low - q, q - high), 0.0)
+    far = np.maximum(np.abs(q - low), np.abs(q - high))
+    return np.sqrt((near ** 2).sum(axis=1)), np.sqrt((far ** 2).sum(axis=1))
+
+
+def _spans(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which span, and which number in it, for all numbers of all spans."""
+    size = last - first
+    owner = np.repeat(np.arange(len(first)), size)
+    return owner, np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first, size)
+
+
+class BoxTree:
+    """Right points (with a rank that decides ties) below boxes."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, rank: np.ndarray, metric: str):
+        order = np.argsort(_z_order(x, y), kind="stable")
+        self.metric, self.row = metric, order
+        self.x, self.y, self.rank = x[order], y[order], rank[order]
+        v = _vectors(metric, self.x, self.y)
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []      # from the leaves up: corners of the boxes
+        low = high = v
+        while len(low) > _FAN or not self.levels:
+            cut = np.arange(0, len(low), _FAN)
+            low, high = np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut)
+            self.levels.append((low, high))
+
+    def nearest(self, x: np.ndarray, y: np.ndarray, limit: float | None) -> tuple[np.ndarray, np.ndarray]:
+        """For each point the row of its nearest right point (-1: none) and the distance."""
+        row, d = np.full(len(x), -1), np.full(len(x), np.nan)
+        for at in range(0, len(x), _BATCH):
+            part = slice(at, at + _BATCH)
+            row[part], d[part] = self._batch(x[part], y[part], limit)
+        return row, d
+
+    def _batch(self, x, y, limit):
+        q = _vectors(self.metric, x, y)
+        best = np.full(len(x), _reach(self.metric, limit))
+        who, box = np.divmod(np.arange(len(x) * len(self.levels[-1][0])), len(self.levels[-1][0]))
+        for depth in range(len(self.levels) - 1, -1, -1):
+            low, high = self.levels[depth]
+            near, far = _bounds(q[who], low[box], high[box])
+            np.minimum.at(best, who, far + _SLACK)
+            ok = near <= best[who]
+            below = len(self.levels[depth - 1][0]) if depth else len(self.x)
+            owner, box = _spans(box[ok] * _FAN, np.minimum((box[ok] + 1) * _FAN, below))
+            who = who[ok][owner]
+        row, found = np.full(len(x), -1), np.full(len(x), np.nan)
+        if len(who):
+            d = _distances(self.metric, x[who], y[who], self.x[box], self.y[box])
+            order = np.lexsort((self.rank[box], np.floor(d * _TIE_SCALE), who))
+            first = order[np.concatenate(([True], who[order][1:] != who[order][:-1]))]
+            row[who[first]], found[who[first]] = self.row[box[first]], d[first]
+        return row, found
+
+
+def _coordinates(right: DataFrame, right_xy: tuple[str, str], rcols: list[str]) -> DataFrame:
+    """One row for each coordinate: that of the lowest id."""
+    x, y = (F.col(c).cast("double") for c in right_xy)
+    rows = right.select(x.alias("_rx"), y.alias("_ry"), F.struct(*[F.col(c) for c in rcols]).alias("_r")).filter(
+        F.col("_rx").isNotNull() & F.col("_ry").isNotNull() & ~F.isnan("_rx") & ~F.isnan("_ry"))
+    return rows.groupBy("_rx", "_ry").agg(F.min("_r").alias("_r")).withColumn("_rk", F.monotonically_increasing_id())
+
+
+def _tree_of(table: pa.Table, metric: str) -> tuple[BoxTree, np.ndarray, list]:
+    ids, keys = table.column("_id").to_pylist(), table.column("_rk").to_numpy()
+    rank = np.empty(len(ids), np.int64)
+    rank[sorted(range(len(ids)), key=lambda k: (ids[k] is None, ids[k]))] = np.arange(len(ids))
+    x, y = (table.column(c).to_numpy().astype(float) for c in ("_rx", "_ry"))
+    return BoxTree(x, y, rank, metric), keys, ids
+
+
+def _finite(batch, names=("_lx", "_ly")) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    x, y = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in names)
+    return x, y, np.flatnonzero(np.isfinite(x) & np.isfinite(y))
+
+
+def _with_tree(rows: DataFrame, pts: DataFrame, metric: str, limit: float | None) -> DataFrame:
+    """Left rows with the key of their nearest right row; the tree goes to every task."""
+    tree, keys, _ = _tree_of(pts.select("_rx", "_ry", F.col("_id"), "_rk").toArrow(), metric)
+    shared = rows.sparkSession.sparkContext.broadcast((tree, keys))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, keys = shared.value
+        for batch in batches:
+            x, y, known = _finite(batch)
+            found = np.full(len(x), -1)
+            found[known] = tree.nearest(x[known], y[known], limit)[0]
+            rk = pa.array(np.where(found >= 0, keys[found], 0), mask=found < 0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, rk], [*batch.schema.names, "_rk"])
+
+    return rows.mapInArrow(search, T.StructType([*rows.schema.fields, T.StructField("_rk", T.LongType())]))
+
+
+def _with_blocks(rows: DataFrame, pts: DataFrame, n: int, block_points: int, metric: str, limit: float | None) -> DataFrame:
+    """The same with right points in blocks."""
+    def z(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, _ = _finite(batch, ("_rx", "_ry"))
+            v = _vectors(metric, x, y)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_z_order(x, y)), *[pa.array(v[:, k]) for k in range(3)]],
+                                             [*batch.schema.names, "_z", "_v0", "_v1", "_v2"])
+
+    slim = pts.select("_rx", "_ry", "_id", "_rk")
+    more = [T.StructField("_z", T.LongType()), *[T.StructField(f"_v{k}", T.DoubleType()) for k in range(3)]]
+    blocks = checkpointed(slim.mapInArrow(z, T.StructType([*slim.schema.fields, *more]))
+                          .repartitionByRange(-(-n // block_points), "_z").withColumn("_block", F.spark_partition_id()))
+    box = blocks.groupBy("_block").agg(*[f(f"_v{k}").alias(f"{f.__name__}{k}") for f in (F.min, F.max) for k in range(3)]).collect()
+    names = np.asarray([r["_block"] for r in box])               # one row for each block
+    low, high = (np.asarray([[r[f"{f}{k}"] for k in range(3)] for r in box]) for f in ("min", "max"))
+    rows = checkpointed(rows.withColumn("_lid", F.monotonically_increasing_id()))
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, 2_000_000 // len(names))
+        for batch in batches:
+            x, y, known = _finite(batch)
+            for at in range(0, len(known), step):
+                mine = known[at:at + step]
+                q = _vectors(metric, x[mine], y[mine])
+                who, b = np.divmod(np.arange(len(mine) * len(names)), len(names))
+                near, far = _bounds(q[who], low[b], high[b])
+                best = np.minimum(far.reshape(len(mine), -1).min(axis=1) + _SLACK, _reach(metric, limit))
+                ok = near <= best[who]
+                at_row = mine[who[ok]]
+                yield pa.RecordBatch.from_arrays([batch.column("_lid").take(pa.array(at_row)), pa.array(x[at_row]), pa.array(y[at_row]),
+                                                  pa.array(names[b[ok]], pa.int32())], ["_lid", "_lx", "_ly", "_block"])
+
+    asked = checkpointed(rows.select("_lid", "_lx", "_ly").mapInArrow(assign, "_lid long, _lx double, _ly double, _block int"))
+    cuts = asked.groupBy("_block").agg(F.ceil(F.count(F.lit(1)) / LEFT_PER_TASK).cast("int").alias("_cuts"))
+    asked = asked.join(F.broadcast(cuts), "_block").withColumn("_cut", F.pmod(F.xxhash64("_lid"), F.col("_cuts")).cast("int"))
+    offered = blocks.select("_block", "_rx", "_ry", "_id", "_rk").join(F.broadcast(cuts), "_block").withColumn(
+        "_cut", F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1)))
+    id_type = pts.schema["_id"].dataType
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        tree, keys, ids = _tree_of(right, metric)
+        x, y = (left.column(c).to_numpy().astype(float) for c in ("_lx", "_ly"))
+        row, d = tree.nearest(x, y, limit)
+        got = np.flatnonzero(row >= 0)
+        return pa.table({"_lid": left.column("_lid").take(pa.array(got)), "_dk": pa.array(np.floor(d[got] * _TIE_SCALE).astype(np.int64)),
+                         "_id": pa.array([ids[k] for k in row[got]], right.schema.field("_id").type), "_rk": pa.array(keys[row[got]], pa.int64())})
+
+    found = asked.drop("_cuts").groupBy("_block", "_cut").cogroup(offered.drop("_cuts").groupBy("_block", "_cut")).applyInArrow(
+        search, T.StructType([T.StructField("_lid", T.LongType()), T.StructField("_dk", T.LongType()), T.StructField("_id", id_type),
+                              T.StructField("_rk", T.LongType())]))
+    best = found.groupBy("_lid").agg(F.min(F.struct("_dk", "_id", "_rk"))["_rk"].alias("_rk"))
+    return rows.join(best, "_lid", "left").drop("_lid")
 
 
 def nearest(left: DataFrame, right: DataFrame, *, left_xy: tuple[str, str], right_xy: tuple[str, str],
-            right_id: str, right_cols: Sequence[str] = (), left_keys: Sequence[str] | None = None,
-            dist_col: str = "distance_m", how: str = "inner", metric: str = "sphere",
-            max_distance: float | None = None, strategy: str = "auto",
-            broadcast_rows: int = DEFAULT_BROADCAST_ROWS, cell_deg: float | None = None,
-            hot_rows: int | None = None) -> DataFrame:
+            right_id: str, right_cols: Sequence[str] = (), dist_col: str = "distance_m", how: str = "inner",
+            metric: str = "sphere", max_distance: float | None = None, block_points: int = BLOCK_POINTS) -> DataFrame:
     """For every left row, the nearest right row (k = 1).
 
-    Returns the left columns, ``right_cols`` (``right_id`` first) and
-    ``dist_col`` (unrounded metres, or degrees for ``metric='planar'``).
-    ``how='inner'`` drops left rows without an answer (no right rows, NULL
-    coordinates, or nothing within ``max_distance``); ``how='left'`` keeps
-    them with NULLs.  ``left_keys`` (unique per left row) are needed by the
-    shuffle strategy only.
+    Returns the left columns, ``right_cols`` (``right_id`` first) and ``dist_col`` (unrounded metres, or degrees for
+    ``metric='planar'``).  ``how='inner'`` drops left rows without an answer (no right rows, NULL coordinates, or
+    nothing within ``max_distance``); ``how='left'`` keeps them with NULLs.  Left rows may repeat.
     """
     rcols = [right_id] + [c for c in right_cols if c != right_id]
-    rx, ry = right_xy
-    right_pts = (right.select(F.col(rx).cast("double").alias("_rx"), F.col(ry).cast("double").alias("_ry"),
-                              *[F.col(c) for c in rcols])
-                 .filter(F.col("_rx").isNotNull() & F.col("_ry").isNotNull()))
     clash = [c for c in rcols + [dist_col] if c in left.columns]
     if clash:
         raise ValueError(f"nearest: output columns already on the left side: {clash}")
-
-    n_right, g_auto, extent = _right_stats(right_pts)
-    if n_right == 0:
-        return _no_match(left, right_pts, rcols, dist_col, how, metric)
-
-    g0 = cell_deg or g_auto
-    levels = _levels(g0, extent=extent)
-    if strategy == "auto":
-        strategy = "broadcast" if n_right * 9 * len(levels) <= broadcast_rows else "shuffle"
-    if strategy == "broadcast":
-        return _nearest_broadcast(left, right_pts, rcols, left_xy, dist_col, how, metric, max_distance, levels)
-    if not left_keys:
-        raise ValueError("nearest: strategy 'shuffle' needs left_keys (unique per left row)")
-    return _nearest_shuffle(left, right_pts, rcols, left_xy, list(left_keys), dist_col, how, metric,
-                            max_distance, levels, hot_rows)
-
-
-def _no_match(left, right_pts, rcols, dist_col, how, metric):
-    if how == "inner":
-        return left.limit(0).select(*left.columns, *[F.lit(None).cast(right_pts.schema[c].dataType).alias(c)
-                                                     for c in rcols], F.lit(None).cast("double").alias(dist_col))
-    return left.select(*left.columns, *[F.lit(None).cast(right_pts.schema[c].dataType).alias(c) for c in rcols],
-                       F.lit(None).cast("double").alias(dist_col))
-
-
-def _cand_struct(rcols) -> Column:
-    return F.struct(F.col("_rx").alias("rx"), F.col("_ry").alias("ry"), *[F.col(c) for c in rcols])
-
-
-def _best_sql(arr: str, metric: str, rcols) -> str:
-    """Minimum over a candidate array of struct(dk, <right cols>, d)."""
-    d = _distance_sql(metric, "_lx", "_ly", "c.rx", "c.ry")
-    fields = ", ".join(f"c.`{r}` AS `{r}`" for r in rcols)
-    scored = (f"transform({arr}, c -> aggregate(array(0), {d}, (acc, z) -> acc, "
-              f"dd -> named_struct('dk', floor(dd * {_d(_TIE_SCALE)}), {', '.join(f"'{r}', c.`{r}`" for r in rcols)}, 'd', dd)))")
-    return f"array_min({scored})"
-
-
-def _nearest_broadcast(left, right_pts, rcols, left_xy, dist_col, how, metric, max_distance, levels):
-    out_cols = list(left.columns)
-    # right side, all levels at once: (level, cell) -> candidates of its 3 x 3 block.  One
-    # aggregation, broadcast once (size proven by the count in nearest()) and reused by
-    # every level's lookup.
-    level_keys = [F.expr(f"transform({_neighbour_keys_sql('_rx', '_ry', g, ncols, nrows)}, "
-                         f"k -> named_struct('_lv', {li}, '_k', k))")
-                  for li, (g, ncols, nrows) in enumerate(levels)]
-    cand = (right_pts.select(F.inline(F.concat(*level_keys)), _cand_struct(rcols).alias("_c"))
-            .groupBy("_lv", "_k").agg(F.array_sort(F.collect_list("_c")).alias("_cands")))
-    # materialized once in the checkpoint folder: the lookups of all levels then share one
-    # small scan (collect_list is non-deterministic, so Spark would not reuse it by itself)
-    ensure_checkpoint_dir(left.sparkSession)
-    cand_b = F.broadcast(checkpointed(cand))
-    cur = spread(left).select("*", F.col(left_xy[0]).cast("double").alias("_lx"), F.col(left_xy[1]).cast("double").alias("_ly"))
-    cur = cur.select("*", F.lit(None).alias("_best"), (F.col("_lx").isNull() | F.col("_ly").isNull()).alias("_done"))
-    keep = out_cols + ["_lx", "_ly"]
-    for li, (g, ncols, nrows) in enumerate(levels):
-        last = li == len(levels) - 1
-        cx, cy = _cell_xy_sql("_lx", "_ly", g, nrows)
-        probe = cur.select("*", F.lit(li).alias("_lv"),
-                           F.expr(f"CASE WHEN NOT _done THEN {_cell_key_sql(cx, cy, ncols)} END").alias("_k"))
-        joined = probe.join(cand_b, ["_lv", "_k"], "left")
-        # best candidate by (distance floored to the tie resolution, id)
-        step = materialize(joined.drop("_lv", "_k"), _bh=F.expr(_best_sql("_cands", metric, rcols)))
-        clear = _clear_radius_sql("_lx", "_ly", g, ncols, nrows, metric)
-        proven = f"_bh.d + {_d(2.0 / _TIE_SCALE)} < {clear}"
-        if max_distance is not None:
-            proven = f"({proven}) OR ({clear} > {_d(float(max_distance))})"
-        best = "CASE WHEN _done THEN _best ELSE _bh END" if li > 0 else "_bh"
-        done = f"_done OR {'true' if last else 'false'} OR coalesce(CASE WHEN _bh IS NOT NULL THEN {proven} END, false)"
-        cur = step.select(*keep, F.expr(best).alias("_best"), F.expr(done).alias("_done"))
-    res = cur
+    pts = checkpointed(_coordinates(right, right_xy, rcols)).withColumn("_id", F.col("_r")[right_id])
+    n = pts.count()
+    rows = spread(left).select(F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("_row"),
+                               F.col(left_xy[0]).cast("double").alias("_lx"), F.col(left_xy[1]).cast("double").alias("_ly"))
+    if not n:
+        found = rows.withColumn("_rk", F.lit(None).cast("long"))
+    elif n <= block_points:
+        found = _with_tree(rows, pts, metric, max_distance)
+    else:
+        found = _with_blocks(rows, pts, n, block_points, metric, max_distance)
+    side = pts.select("_rk", "_rx", "_ry", "_r")
+    joined = found.join(F.broadcast(side) if n <= block_points else side, "_rk", "left").withColumn(
+        "_d", F.when(F.col("_rk").isNotNull(), distance(metric, F.col("_lx"), F.col("_ly"), F.col("_rx"), F.col("_ry"))))
     if max_distance is not None:
-        res = res.withColumn("_best", F.when(F.col("_best")["d"] <= F.lit(float(max_distance)), F.col("_best")))
-    res = res.select(*out_cols, *[F.col("_best")[r].alias(r) for r in rcols], F.col("_best")["d"].alias(dist_col))
+        near = F.col("_d") <= F.lit(float(max_distance))
+        joined = joined.withColumn("_r", F.when(near, F.col("_r"))).withColumn("_d", F.when(near, F.col("_d")))
     if how == "inner":
-        res = res.filter(F.col(dist_col).isNotNull())
-    return res
-
-
-def _nearest_shuffle(left, right_pts, rcols, left_xy, left_keys, dist_col, how, metric, max_distance,
-                     levels, hot_rows):
-    """Level by level, each level materialized once with a reliable checkpoint.
-
-    The checkpoint (in ``spark.checkpoint.dir``) cuts the lineage, so a lost
-    executor recomputes at most one level, and later levels never re-run
-    earlier ones.  Levels stop as soon as every left row is proven.
-    """
-    ensure_checkpoint_dir(left.sparkSession)
-    out_cols = list(left.columns)
-    other = [c for c in out_cols if c not in left_keys]
-    lrow = F.struct(*[F.col(c) for c in other]) if other else F.lit(None)
-    base = spread(left, left_keys).select(*left_keys, lrow.alias("_lrow"),
-                       F.col(left_xy[0]).cast("double").alias("_lx"), F.col(left_xy[1]).cast("double").alias("_ly"))
-    pending = base.filter(F.col("_lx").isNotNull() & F.col("_ly").isNotNull())
-    results = []
-    kw = {"hot_rows": hot_rows} if hot_rows else {}
-    for li, (g, ncols, nrows) in enumerate(levels):
-        last = li == len(levels) - 1
-        rgrid = right_pts.select(F.explode(F.expr(_neighbour_keys_sql("_rx", "_ry", g, ncols, nrows))).alias("_k"),
-                                 "_rx", "_ry", *rcols)
-        cx, cy = _cell_xy_sql("_lx", "_ly", g, nrows)
-        lk = pending.withColumn("_k", F.expr(_cell_key_sql(cx, cy, ncols)))
-        pairs = salted_join(lk, rgrid, ["_k"], "left", salt_cols=left_keys, **kw)
-        d = F.expr(_distance_sql(metric, "_lx", "_ly", "_rx", "_ry"))
-        best = F.min(F.when(F.col("_rx").isNotNull(), F.struct(
-            F.floor(d * _TIE_SCALE).alias("dk"), *[F.col(r).alias(r) for r in rcols], d.alias("d"))))
-        agg = pairs.groupBy(*left_keys).agg(F.first("_lrow").alias("_lrow"), F.first("_lx").alias("_lx"),
-                                            F.first("_ly").alias("_ly"), best.alias("_best"))
-        clear = F.expr(_clear_radius_sql("_lx", "_ly", g, ncols, nrows, metric))
-        proven = F.col("_best")["d"] + F.lit(2.0 / _TIE_SCALE) < clear
-        if max_distance is not None:
-            proven = proven | (clear > F.lit(float(max_distance)))
-        proven = F.lit(True) if last else F.coalesce(F.when(F.col("_best").isNotNull(), proven), F.lit(False))
-        agg = checkpointed(agg.withColumn("_proven", proven))
-        results.append(agg.filter("_proven").drop("_proven"))
-        pending = agg.filter(~F.col("_proven")).select(*left_keys, "_lrow", "_lx", "_ly")
-        if last or pending.isEmpty():
-            break
-    res = results[0]
-    for r in results[1:]:
-        res = res.unionByName(r)
-    if max_distance is not None:
-        res = res.withColumn("_best", F.when(F.col("_best")["d"] <= F.lit(float(max_distance)), F.col("_best")))
-    res = res.filter(F.col("_best").isNotNull()) if how == "inner" else res
-    sel = [F.col(c) if c in left_keys else F.col("_lrow")[c].alias(c) for c in out_cols]
-    res = res.select(*sel, *[F.col("_best")[r].alias(r) for r in rcols], F.col("_best")["d"].alias(dist_col))
-    if how == "left":
-        # rows with NULL coordinates never entered the search; add them back
-        nulls = left.filter(F.col(left_xy[0]).isNull() | F.col(left_xy[1]).isNull()).select(
-            *out_cols, *[F.lit(None).cast(right_pts.schema[r].dataType).alias(r) for r in rcols],
-            F.lit(None).cast("double").alias(dist_col))
-        res = res.unionByName(nulls)
-    return res
-
-
-def nearest_bruteforce(left: DataFrame, right: DataFrame, *, left_xy, right_xy, right_id, right_cols=(),
-                       left_keys: Sequence[str], dist_col="distance_m", metric="sphere") -> DataFrame:
-    """Reference form (cross join + ROW_NUMBER) for tests on small fixtures only."""
-    from pyspark.sql import Window
-
-    rcols = [right_id] + [c for c in right_cols if c != right_id]
-    r = right.select(F.col(right_xy[0]).alias("_rx"), F.col(right_xy[1]).alias("_ry"), *rcols)
-    pairs = left.crossJoin(r)
-    d = _distance(metric, F.col(left_xy[0]), F.col(left_xy[1]), F.col("_rx"), F.col("_ry"))
-    w = Window.partitionBy(*left_keys).orderBy(F.floor(d * _TIE_SCALE), F.col(right_id))
-    return (pairs.withColumn(dist_col, d).withColumn("_rn", F.row_number().over(w))
-            .filter("_rn = 1").drop("_rn", "_rx", "_ry"))
+        joined = joined.filter(F.col("_d").isNotNull())
+    return joined.select("_row.*", *[F.col("_r")[c].alias(c) for c in rcols], F.col("_d").alias(dist_col))

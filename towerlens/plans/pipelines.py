@@ -17,6 +17,7 @@ from towerlens.functions.geo import centroid, materialize, poly_from_wkt
 from towerlens.operators.coverage import cell_coverage_join, cell_join
 from towerlens.operators.latest import latest_per_key
 from towerlens.operators.nearest import nearest
+from towerlens.operators.skew import checkpointed
 from towerlens.operators.spatial_join import contains_join
 
 
@@ -85,7 +86,7 @@ def downtown_buildings(buildings: DataFrame, box: BBox = CORE, res: int = 9) ->
 
 
 def nearest_tower(points: DataFrame, towers: DataFrame, carry: dict | None = None, pad_box: BBox | None = None,
-                  how: str = "inner", left_keys=("building_id",), **kw) -> DataFrame:
+                  how: str = "inner", **kw) -> DataFrame:
     """Nearest tower per point; tower columns renamed by ``carry``; distance unrounded."""
     carry = carry or TOWER_CARRY
     t = towers
@@ -94,8 +95,7 @@ def nearest_tower(points: DataFrame, towers: DataFrame, carry: dict | None = Non
     t = t.select("latitude", "longitude", *[F.col(k).alias(v) for k, v in carry.items()])
     first = list(carry.values())[0]
     return nearest(points, t, left_xy=("centroid_lon", "centroid_lat"), right_xy=("longitude", "latitude"),
-                   right_id=first, right_cols=list(carry.values()), dist_col="_dist", how=how,
-                   left_keys=list(left_keys), **kw)
+                   right_id=first, right_cols=list(carry.values()), dist_col="_dist", how=how, **kw)
 
 
 def building_coverage(buildings: DataFrame, cells: DataFrame, towers: DataFrame, box: BBox = CORE,
@@ -199,7 +199,7 @@ def sites_nearest_market(sites: DataFrame, markets: DataFrame, within: DataFrame
     cents = (materialize(markets, _c=centroid(poly_from_wkt("geometry_wkt")))
              .select(*MARKET_COLS, F.col("_c")["x"].alias("_mx"), F.col("_c")["y"].alias("_my")))
     near = nearest(unmatched, cents, left_xy=("S_SITE_LONGITUDE", "S_SITE_LATITUDE"), right_xy=("_mx", "_my"),
-                   right_id="market_id", right_cols=MARKET_COLS, dist_col="_dist", left_keys=["site_id"], **kw)
+                   right_id="market_id", right_cols=MARKET_COLS, dist_col="_dist", **kw)
     return near.select(*SITE_COLS, *MARKET_COLS, F.round(F.col("_dist") / F.lit(1000.0), 2).alias("distance_km"))
 
 
@@ -208,7 +208,8 @@ def match_sites(sites_bronze: DataFrame, markets_bronze: DataFrame, coalesce_rin
     """Every site with its market -- WITHIN (contained) or NEAREST (centroid)."""
     sites = sites_silver(sites_bronze, coalesce_ring)
     markets = markets_silver(markets_bronze)
-    within = sites_in_market(sites, markets)
+    # the union and the anti join below both read it: written once
+    within = checkpointed(sites_in_market(sites, markets))
     if one_per_site:
         w = Window.partitionBy("site_id").orderBy("market_id")
         within = within.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
@@ -274,17 +275,15 @@ def enriched_buildings(buildings: DataFrame, cells: DataFrame, towers: DataFrame
                        ) -> DataFrame:
     """L4: buildings x coverage rows (LEFT, un-aggregated) x nearest tower, with classes."""
     b = downtown_buildings(buildings, box)
-    cov = cell_join(b, cells, "h3_res9_id", "left", cell_cols=("fid", "technology", "mindown", "minup", "environmnt"))
-    # the nearest tower depends on the building only: search once per building, then attach
+    # the nearest tower depends on the building only: it is searched before the coverage rows multiply them
     carry = {"tower_id": "nearest_tower_id", "tower_type": "nearest_tower_radio", "cell_id": "nearest_tower_cell_id",
              "latitude": "nearest_tower_lat", "longitude": "nearest_tower_lon"}
     t = towers.select(F.col("latitude").alias("_tlat"), F.col("longitude").alias("_tlon"),
                       *[F.col(k).alias(v) for k, v in carry.items()])
-    near = nearest(b.select("building_id", "centroid_lon", "centroid_lat"), t, left_xy=("centroid_lon", "centroid_lat"),
+    near = nearest(b, t, left_xy=("centroid_lon", "centroid_lat"),
                    right_xy=("_tlon", "_tlat"), right_id="nearest_tower_id", right_cols=list(carry.values()),
-                   dist_col="nearest_tower_distance_m", left_keys=["building_id"])
-    near = near.drop("centroid_lon", "centroid_lat")
-    out = cov.join(near, "building_id", "inner")
+                   dist_col="nearest_tower_distance_m")
+    out = cell_join(near, cells, "h3_res9_id", "left", cell_cols=("fid", "technology", "mindown", "minup", "environmnt"))
     return out.select(
         "building_id", "height", "centroid_lat", "centroid_lon", "h3_res9_id", "fid", "technology",
         F.col("mindown").alias("min_download_mbps"), F.col("minup").alias("min_upload_mbps"),

@@ -350,8 +350,7 @@ def _nearest_all(spark, sf_dir, **kw):
     from towerlens.operators.nearest import nearest
 
     n = nearest(b, t, left_xy=("centroid_lon", "centroid_lat"), right_xy=("longitude", "latitude"),
-                right_id="nearest_tower_id", right_cols=["nearest_tower_type"], dist_col="_d",
-                left_keys=["building_id"], **kw)
+                right_id="nearest_tower_id", right_cols=["nearest_tower_type"], dist_col="_d", **kw)
     return n
 
 
@@ -369,7 +368,7 @@ def q_nearest_tower(spark, sf_dir):
 
 @query("nearest_tower_grid", _NEAREST_ALL_SQL)
 def q_nearest_tower_grid(spark, sf_dir):
-    n = _nearest_all(spark, sf_dir, strategy="shuffle")
+    n = _nearest_all(spark, sf_dir, block_points=100)
     return n.select("building_id", "nearest_tower_id", "nearest_tower_type", F.round("_d", 1).alias("distance_to_tower_m"))
 
 
@@ -400,12 +399,11 @@ def q_nearest_by_technology(spark, sf_dir):
     from towerlens.operators.coverage import cell_join
     from towerlens.operators.nearest import nearest
 
-    j = cell_join(all_buildings(spark, sf_dir), fx.coverage_cells(spark, sf_dir), how="inner",
-                  cell_cols=("technology",))
-    bt = j.select("building_id", "technology", "centroid_lon", "centroid_lat").distinct()
     t = fx.towers(spark, sf_dir).select("latitude", "longitude", F.col("tower_id").alias("nearest_tower_id"))
-    n = nearest(bt, t, left_xy=("centroid_lon", "centroid_lat"), right_xy=("longitude", "latitude"),
-                right_id="nearest_tower_id", dist_col="_d", left_keys=["building_id", "technology"])
+    near = nearest(all_buildings(spark, sf_dir), t, left_xy=("centroid_lon", "centroid_lat"), right_xy=("longitude", "latitude"),
+                   right_id="nearest_tower_id", dist_col="_d")
+    cells = fx.coverage_cells(spark, sf_dir).select("h3_res9_id", "technology").distinct()
+    n = cell_join(near, cells, how="inner", cell_cols=("technology",))
     return n.select("building_id", "technology", "nearest_tower_id", F.round("_d", 1).alias("distance_to_tower_m"))
 
 
@@ -619,7 +617,7 @@ def q_designer_buckets(spark, sf_dir):
 
     v = _register_domain_views(spark, sf_dir)
     ctx = run_flow(designer_coverage_flow(v["towers"], v["cells"], v["buildings"]), spark)
-    return ctx["agg_by_distance.aggregated_data"]
+    return ctx["by_distance.aggregated_data"]
 
 
 @query("tower_type_counts", with_([fx.TOWERS_SQL],
@@ -629,7 +627,7 @@ def q_tower_type_counts(spark, sf_dir):
     from towerlens.plans.nodes import run_flow
 
     v = _register_domain_views(spark, sf_dir)
-    return run_flow(tower_type_count_flow(v["towers"]), spark)["count_by_type.aggregated_data"]
+    return run_flow(tower_type_count_flow(v["towers"]), spark)["by_type.aggregated_data"]
 
 
 # ==================================================================== dataflow nodes
@@ -646,7 +644,7 @@ SELECT l_returnflag, SUM(l_quantity) AS sum_qty, {sround('AVG(l_extendedprice)',
        {sround('VAR_SAMP(l_quantity)', 6)} AS var_qty, {sround('SUM(l_tax)', 4)} AS sum_tax
 FROM lineitem GROUP BY l_returnflag""")
 def q_agg_node_all(spark, sf_dir):
-    from towerlens.plans.nodes import aggregate_node, transform_node
+    from towerlens.plans.nodes import run_step
 
     cfg = _agg_cfg(["l_returnflag"], [
         ("l_returnflag", "-", None, {}), ("l_quantity", "SUM", "sum_qty", {}), ("l_extendedprice", "AVG", "avg_price", {}),
@@ -654,11 +652,11 @@ def q_agg_node_all(spark, sf_dir):
         ("l_quantity", "MEAN", "mean_qty", {}), ("l_quantity", "MEDIAN", "median_qty", {}),
         ("l_quantity", "STDDEV", "sd_qty", {}), ("l_quantity", "VARIANCE", "var_qty", {}),
         ("l_tax", "sum", "sum_tax", {})])
-    out = aggregate_node(cfg, {"data": fx.table(spark, sf_dir, "lineitem")}, spark)["aggregated_data"]
-    return transform_node({"expressions": [
+    out = run_step("aggregate", cfg, {"data": fx.table(spark, sf_dir, "lineitem")}, spark)
+    return run_step("transform", {"expressions": [
         "l_returnflag", "sum_qty", "round(avg_price, 4) AS avg_price", "n", "min_disc", "max_tax", "mean_qty",
         "median_qty", "round(sd_qty, 6) AS sd_qty", "round(var_qty, 6) AS var_qty", "round(sum_tax, 4) AS sum_tax"]},
-        {"data": out}, spark)["transformed_data"]
+        {"data": out}, spark)
 
 
 @query("agg_node_percentile", """
@@ -667,7 +665,7 @@ SELECT l_linestatus, quantile_cont(l_quantity, 0.0) AS p_low, quantile_cont(l_qu
        quantile_cont(l_quantity, 0.5) AS p_missing, quantile_cont(l_quantity, 0.9) AS p90
 FROM lineitem GROUP BY l_linestatus""")
 def q_agg_node_percentile(spark, sf_dir):
-    from towerlens.plans.nodes import aggregate_node
+    from towerlens.plans.nodes import run_step
 
     cfg = _agg_cfg(["l_linestatus"], [
         ("l_quantity", "PERCENTILE", "p_low", {"percentage": -0.1}),
@@ -676,30 +674,30 @@ def q_agg_node_percentile(spark, sf_dir):
         ("l_quantity", "PERCENTILE", "p_bool", {"percentage": True}),
         ("l_quantity", "PERCENTILE", "p_missing", {}),
         ("l_quantity", "PERCENTILE", "p90", {"percentage": 0.9})])
-    return aggregate_node(cfg, {"data": fx.table(spark, sf_dir, "lineitem")}, spark)["aggregated_data"]
+    return run_step("aggregate", cfg, {"data": fx.table(spark, sf_dir, "lineitem")}, spark)
 
 
 @query("agg_node_distinct", "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem")
 def q_agg_node_distinct(spark, sf_dir):
-    from towerlens.plans.nodes import aggregate_node
+    from towerlens.plans.nodes import run_step
 
     cfg = {"group_bys": [{"expr": "l_returnflag"}, {"expr": "l_linestatus"}], "aggregations": []}
-    return aggregate_node(cfg, {"data": fx.table(spark, sf_dir, "lineitem")}, spark)["aggregated_data"]
+    return run_step("aggregate", cfg, {"data": fx.table(spark, sf_dir, "lineitem")}, spark)
 
 
 @query("agg_node_global", "SELECT COUNT(l_orderkey) AS n, SUM(l_quantity) AS qty FROM lineitem")
 def q_agg_node_global(spark, sf_dir):
-    from towerlens.plans.nodes import aggregate_node
+    from towerlens.plans.nodes import run_step
 
     cfg = _agg_cfg([], [("l_orderkey", "COUNT", "n", {}), ("l_quantity", "SUM", "qty", {})])
-    return aggregate_node(cfg, {"data": fx.table(spark, sf_dir, "lineitem")}, spark)["aggregated_data"]
+    return run_step("aggregate", cfg, {"data": fx.table(spark, sf_dir, "lineitem")}, spark)
 
 
 @query("agg_node_identity", "SELECT * FROM nation")
 def q_agg_node_identity(spark, sf_dir):
-    from towerlens.plans.nodes import aggregate_node
+    from towerlens.plans.nodes import run_step
 
-    return aggregate_node({}, {"data": fx.table(spark, sf_dir, "nation")}, spark)["aggregated_data"]
+    return run_step("aggregate", {}, {"data": fx.table(spark, sf_dir, "nation")}, spark)
 
 
 _JOIN_COND = "left.o_custkey = right.c_custkey AND right.c_mktsegment = 'BUILDING'"
@@ -708,15 +706,15 @@ _JOIN_SQL = {"inner": "JOIN", "left": "LEFT JOIN", "right": "RIGHT JOIN", "full"
 
 def _join_query(how: str):
     def run(spark, sf_dir):
-        from towerlens.plans.nodes import join_node
+        from towerlens.plans.nodes import run_step
 
         o = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
         c = fx.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
         exprs = ["`left`.o_orderkey", "`left`.o_totalprice"]
         if how not in ("left semi", "left anti"):
             exprs += ["`right`.c_custkey", "`right`.c_mktsegment"]
-        return join_node({"join_type": how, "join_conditions": _JOIN_COND, "expressions": exprs},
-                         {"left": o, "right": c}, spark)["joined_data"]
+        return run_step("join", {"join_type": how, "join_conditions": _JOIN_COND, "expressions": exprs},
+                         {"left": o, "right": c}, spark)
     return run
 
 
@@ -736,24 +734,24 @@ WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE o.o_custkey = c.c_custkey AND c
 
 @query("join_node_cross", "SELECT n.n_nationkey, r.r_regionkey FROM nation n CROSS JOIN region r")
 def q_join_node_cross(spark, sf_dir):
-    from towerlens.plans.nodes import join_node
+    from towerlens.plans.nodes import run_step
 
-    return join_node({"join_type": "cross", "join_conditions": "",
+    return run_step("join", {"join_type": "cross", "join_conditions": "",
                       "expressions": ["`left`.n_nationkey", "`right`.r_regionkey"]},
                      {"left": fx.table(spark, sf_dir, "nation"), "right": fx.table(spark, sf_dir, "region")},
-                     spark)["joined_data"]
+                     spark)
 
 
 @query("sql_node_params", """
 SELECT n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS region_text FROM nation
 WHERE n_regionkey = 1 AND n_nationkey >= 5""")
 def q_sql_node_params(spark, sf_dir):
-    from towerlens.plans.nodes import sql_node
+    from towerlens.plans.nodes import run_step
 
     q = ("SELECT n_nationkey, n_name, n_regionkey::string AS region_text FROM tl_nation_v "
          "WHERE n_regionkey = :region AND n_nationkey >= :min_key")
-    return sql_node({"query": q}, {"data": [fx.table(spark, sf_dir, "nation")], "data__sources": [{"df_name": "tl_nation_v"}]},
-                    spark, params={"region": 1, "min_key": 5, "unused": 3})["result"]
+    return run_step("sql", {"query": q}, {"tl_nation_v": fx.table(spark, sf_dir, "nation")}, spark,
+                    params={"region": 1, "min_key": 5, "unused": 3})
 
 
 # ==================================================================== expectations (Q1-Q6)
@@ -982,7 +980,7 @@ def q_transcript_enrichment(spark, sf_dir):
     register_sql_functions(spark)
     name = f"tl_transcripts_{abs(hash(sf_dir)) % 10**8}"
     fx.transcripts(spark, sf_dir).createOrReplaceTempView(name)
-    return run_flow(transcript_flow(name), spark)["ai_function_1.enriched_data"]
+    return run_flow(transcript_flow(name), spark)["scored.enriched_data"]
 
 
 def _transcript_oracle():

@@ -145,6 +145,72 @@ def test_contains_join_salted_path(spark):
     pts = spark.range(400).select(F.col("id").alias("pid"), (F.col("id") % 40 / 10.0 + 0.05).alias("x"),
                                   F.lit(0.5).alias("y"))
     got = contains_join(pts, polys, point_xy=("x", "y"), wkt_col="wkt", poly_id="poly_id", point_keys=["pid"],
-                        broadcast_rows=0, hot_rows=5)
+                        broadcast_bytes=0, hot_rows=5)
     assert got.count() == 400
     assert rows(got.filter("pid = 13"), "pid", "poly_id") == [(13, 1)]
+
+
+def _in_ring(ring, x, y):
+    inside = False
+    for (ax, ay), (bx, by) in zip(ring, ring[1:]):
+        if (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax:
+            inside = not inside
+    return inside
+
+
+def _square(x, y, w):
+    return [(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]
+
+
+def _ring_text(ring):
+    return "(" + ", ".join(f"{x} {y}" for x, y in ring) + ")"
+
+
+def test_contains_join_multipolygons_of_mixed_size(spark):
+    shapes = {
+        1: [[_square(0, 0, 4), _square(1, 1, 2)]],                                        # large, with a hole
+        2: [[_square(1.2, 1.2, 0.25)], [_square(30, 10, 0.5), _square(30.1, 10.1, 0.2)]],    # two parts, one holed
+        3: [[_square(2, 2, 0.01)]],
+        4: [[_square(-170, -60, 340)]],
+    }
+    text = lambda parts: ("POLYGON " + "(" + ", ".join(map(_ring_text, parts[0])) + ")" if len(parts) == 1 else
+                          "MULTIPOLYGON (" + ", ".join("(" + ", ".join(map(_ring_text, p)) + ")" for p in parts) + ")")
+    polys = spark.createDataFrame([(k, text(v)) for k, v in shapes.items()] + [(9, None), (10, "POINT (1 1)")], "poly_id long, wkt string")
+    pts = [(i, x, y) for i, (x, y) in enumerate([(0.5, 0.5), (1.3, 1.3), (2.005, 2.005), (30.05, 10.05), (30.2, 10.2), (2.5, 1.5), (179.0, 0.0), (3.5, 3.5)])]
+    df = spark.createDataFrame(pts + [(99, None, 1.0)], "pid long, x double, y double")
+    want = sorted((i, k) for i, x, y in pts for k, parts in shapes.items()
+                  if any(sum(_in_ring(r, x, y) for r in p) % 2 for p in parts))
+    for kw in ({}, {"broadcast_bytes": 0}):
+        got = contains_join(df, polys, point_xy=("x", "y"), wkt_col="wkt", poly_id="poly_id", point_keys=["pid"], **kw)
+        assert rows(got, "pid", "poly_id") == want
+    from towerlens.functions.geo import multipolygon_parts, parts_bbox
+    from towerlens.operators.spatial_join import polygon_tiles
+
+    p = polys.withColumn("_parts", multipolygon_parts("wkt")).filter("_parts is not null").withColumn("_bb", parts_bbox(F.col("_parts")))
+    assert max(r["count"] for r in polygon_tiles(p).groupBy("poly_id").count().collect()) <= 4
+    with pytest.raises(Exception, match="not a geometry"):
+        contains_join(df, polys.unionByName(spark.createDataFrame([(11, "garbage")], polys.schema)), point_xy=("x", "y"),
+                      wkt_col="wkt", poly_id="poly_id").collect()
+
+
+def test_centroid_and_area_of_parts(spark):
+    from towerlens.functions.geo import multipolygon_parts, parts_area, parts_centroid
+
+    df = spark.createDataFrame([("MULTIPOLYGON (((0 0, 2 0, 2 2, 0 2, 0 0)), ((10 0, 11 0, 11 1, 10 1, 10 0)))",), ("POLYGON ((0 0, 2 0, 2 2, 0 2, 0 0))",)], "w string")
+    a, b = df.select(parts_area(multipolygon_parts("w")).alias("a"), parts_centroid(multipolygon_parts("w")).alias("c")).collect()
+    assert a["a"] == pytest.approx(5.0) and a["c"]["x"] == pytest.approx((4 * 1 + 10.5) / 5) and a["c"]["y"] == pytest.approx((4 + 0.5) / 5)
+    assert b["a"] == 4.0 and tuple(b["c"]) == (1.0, 1.0)
+
+
+def test_site_in_multipolygon_market_is_within(spark):
+    from towerlens.plans import pipelines as pl
+    from towerlens.plans.fixtures import markets_bronze, sites_bronze
+    from tests.conftest import SF_SMALL
+
+    sites = sites_bronze(spark, SF_SMALL)
+    markets = markets_bronze(spark, SF_SMALL)
+    before = pl.match_sites(sites, markets)
+    wide = markets.withColumn("geometry_wkt", F.regexp_replace("geometry_wkt", r"^POLYGON \\((.*)\\)$", "MULTIPOLYGON ((\\$1), ((170 80, 171 80, 171 81, 170 80)))"))
+    after = pl.match_sites(sites, wide)
+    same = lambda d: sorted((r["site_id"], r["market_id"]) for r in d.filter("match_type = 'WITHIN'").collect())
+    assert same(before) == same(after) and same(before)

@@ -272,6 +272,42 @@ def contains(rings, px, py) -> Column:
     return F.aggregate(_c(rings), F.lit(False), lambda acc, r: acc != ring_parity(r))
 
 
+def contains_any(parts, px, py) -> Column:
+    """Whether any part of a (multi)polygon contains the point."""
+    return F.exists(_c(parts), lambda p: contains(p, px, py))
+
+
+def parts_bbox(parts) -> Column:
+    """Bounding box over all parts."""
+    boxes = F.transform(_c(parts), bbox)
+    return let(boxes, lambda b: F.struct(
+        F.array_min(F.transform(b, lambda x: x["minx"])).alias("minx"), F.array_min(F.transform(b, lambda x: x["miny"])).alias("miny"),
+        F.array_max(F.transform(b, lambda x: x["maxx"])).alias("maxx"), F.array_max(F.transform(b, lambda x: x["maxy"])).alias("maxy")))
+
+
+def parts_area(parts) -> Column:
+    """Square degrees of all parts together."""
+    return F.when(F.size(_c(parts)) > 0, F.aggregate(F.transform(_c(parts), area), F.lit(0.0), lambda acc, a: acc + a))
+
+
+def parts_centroid(parts) -> Column:
+    """Centroid of all parts, weighted by their areas; of one part its own, of parts without area their mean."""
+    def body(r):
+        each = F.transform(r, lambda p: F.struct(area(p).alias("a"), centroid(p).alias("c")))
+
+        def mean(e):
+            def total(f):
+                return F.aggregate(e, F.lit(0.0), lambda acc, x: acc + f(x))
+
+            return let(total(lambda x: x["a"]), lambda a: F.struct(*[
+                F.when(a != 0, total(lambda x, k=k: x["a"] * x["c"][k]) / a).otherwise(total(lambda x, k=k: x["c"][k]) / F.size(e)).alias(k)
+                for k in ("x", "y")]))
+
+        return F.when(F.size(r) == 1, centroid(r.getItem(0))).when(F.size(r) > 1, let(each, mean))
+
+    return let(_c(parts), body)
+
+
 def is_valid(rings, check_self_intersection: bool = False) -> Column:
     """``ST_IsValid`` (structural form).
 

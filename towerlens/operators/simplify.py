@@ -17,26 +17,31 @@ from pyspark.sql import types as T
 
 from towerlens.functions.geo import simplify_ring_dp
 
-_POLY = re.compile(r"^\s*POLYGON\s*\(\s*\((.*)\)\s*\)\s*$", re.IGNORECASE | re.DOTALL)
+_POLY = re.compile(r"^\s*(?:(MULTI)POLYGON\s*\(\s*\(|POLYGON\s*\()\s*\((.*)\)\s*\)(?(1)\s*\))\s*$", re.IGNORECASE | re.DOTALL)
+_PART_SEP = re.compile(r"\)\s*\)\s*,\s*\(\s*\(")
 _RING_SEP = re.compile(r"\)\s*,\s*\(")
 
 
+def _simplified_part(text: str, tol: float) -> tuple[str, bool]:
+    rings, changed = [], False
+    for ring in _RING_SEP.split(text):
+        points = [tuple(float(v) for v in p.split()) for p in ring.split(",")]
+        kept = simplify_ring_dp(points, tol)
+        changed |= len(kept) != len(points)
+        rings.append("(" + ", ".join(f"{x!r} {y!r}" for x, y in kept) + ")")
+    return "(" + ", ".join(rings) + ")", changed
+
+
 def simplify_wkt(wkt: str | None, tol: float) -> str | None:
-    if wkt is None:
-        return None
-    m = _POLY.match(wkt)
-    if not m:
+    """A polygon or multipolygon with its rings simplified; other geometries have no rings and stay as they are."""
+    found = _POLY.match(wkt) if wkt is not None else None
+    if not found:
         return wkt
-    rings = []
-    changed = False
-    for ring_txt in _RING_SEP.split(m.group(1)):
-        pts = [tuple(float(v) for v in p.split()) for p in ring_txt.split(",")]
-        out = simplify_ring_dp(pts, tol)
-        changed = changed or len(out) != len(pts)
-        rings.append(out)
-    if not changed:
+    parts = [_simplified_part(p, tol) for p in (_PART_SEP.split(found[2]) if found[1] else [found[2]])]
+    if not any(changed for _, changed in parts):
         return wkt
-    return "POLYGON (" + ", ".join("(" + ", ".join(f"{x!r} {y!r}" for x, y in r) + ")" for r in rings) + ")"
+    body = ", ".join(text for text, _ in parts)
+    return f"MULTIPOLYGON ({body})" if found[1] else f"POLYGON {body}"
 
 
 def simplify(df: DataFrame, wkt_col: str, tol: float = 0.001, out_col: str | None = None) -> DataFrame:

@@ -3,83 +3,86 @@
 A theta join on ``ST_Contains`` is a nested loop over all (point, polygon)
 pairs.  Here it becomes an equi-join on a tile key:
 
-1. each polygon is parsed once and copied to every square tile its bounding
-   box touches (tile size from the polygons' typical extent);
-2. each point gets the key of the tile it lies in;
-3. points and polygon tiles join on the tile key, a bounding-box test drops
-   most candidates cheaply, and the exact ray-casting test decides the rest.
+1. each polygon (or multipolygon) is parsed once and stored; its tile size is
+   the power of two above its own extent, so its bounding box touches at most
+   four tiles, whatever the other polygons look like;
+2. each point gets the key of its tile at every size that occurs (at most one
+   for each power of two between the smallest and the largest polygon);
+3. points and polygons join on size and tile, a bounding-box test drops most
+   candidates cheaply, and the exact ray-casting test over all parts decides.
 
 A polygon is found from every tile its box touches, and a point lies in
-exactly one tile, so each (point, polygon) pair is tested once: no
-duplicates, no misses.  The polygon-tile table is broadcast when its row
-count is proven small; otherwise the join shuffles on the tile key with hot
-tiles salted.
+exactly one tile of each size, so each (point, polygon) pair is tested once: no
+duplicates, no misses.  The polygons are broadcast when their vertices are
+proven to take few bytes; otherwise the join shuffles with hot tiles salted.
+
+Text that is no geometry is an error here, as in ``ST_GeomFromText``; rules can
+reject it before.  NULL and geometries without an inside contain nothing.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from towerlens.functions.exprcache import cached_expr
-from towerlens.functions.geo import bbox, contains, poly_from_wkt
-from towerlens.operators.skew import DEFAULT_BROADCAST_ROWS, row_count_at_most, salted_join
+from towerlens.functions.geo import contains_any, geometry_type, multipolygon_parts, parts_bbox
+from towerlens.operators.skew import checkpointed, salted_join
+
+BROADCAST_BYTES = 64 << 20
+_LARGEST = 9          # tiles of 512 degrees hold everything
 
 
 @cached_expr
 def _polygon_exprs(wkt_col: str, px: str, py: str):
-    return (poly_from_wkt(F.col(wkt_col)), bbox(F.col("_rings")),
-            contains(F.col("_rings"), F.col(px), F.col(py)))
+    wkt = F.col(wkt_col)
+    readable = F.when(wkt.isNotNull() & geometry_type(wkt).isNull(), F.raise_error(F.concat(F.lit("not a geometry: "), F.substring(wkt, 1, 80))))
+    return (F.coalesce(readable.cast("string"), F.lit("")), multipolygon_parts(wkt), parts_bbox(F.col("_parts")),
+            contains_any(F.col("_parts"), F.col(px), F.col(py)))
 
 
-def _tile_size(polys: DataFrame) -> float:
-    s = polys.agg(F.avg(F.col("_bb")["maxx"] - F.col("_bb")["minx"]),
-                  F.avg(F.col("_bb")["maxy"] - F.col("_bb")["miny"])).first()
-    w, h = (s[0] or 0.0), (s[1] or 0.0)
-    t = max(w, h, 1e-6)
-    return min(t, 90.0)
+def _tile(value, size):
+    return F.floor(value / size)
 
 
-def polygon_tiles(polys: DataFrame, rings_col: str, tile: float) -> DataFrame:
-    """One row per (polygon, tile touched by its bounding box)."""
+def polygon_tiles(polys: DataFrame) -> DataFrame:
+    """Rows with ``_parts`` and ``_bb`` -> one row per tile (at most four) of the polygon's own size ``_lv``."""
     bb = F.col("_bb")
-    tx0, tx1 = F.floor(bb["minx"] / F.lit(tile)), F.floor(bb["maxx"] / F.lit(tile))
-    ty0, ty1 = F.floor(bb["miny"] / F.lit(tile)), F.floor(bb["maxy"] / F.lit(tile))
-    return (polys
-            .withColumn("_tx", F.explode(F.sequence(tx0, tx1)))
-            .withColumn("_ty", F.explode(F.sequence(ty0, ty1)))
-            .withColumn("_tile", F.col("_tx") * F.lit(1 << 32) + F.col("_ty"))
-            .drop("_tx", "_ty"))
+    extent = F.greatest(bb["maxx"] - bb["minx"], bb["maxy"] - bb["miny"], F.lit(1e-9))
+    size = F.pow(F.lit(2.0), F.col("_lv").cast("double"))
+    return (polys.withColumn("_lv", F.least(F.ceil(F.log2(extent)), F.lit(_LARGEST)).cast("int"))
+            .withColumn("_tx", F.explode(F.sequence(_tile(bb["minx"], size), _tile(bb["maxx"], size))))
+            .withColumn("_ty", F.explode(F.sequence(_tile(bb["miny"], size), _tile(bb["maxy"], size)))))
 
 
 def contains_join(points: DataFrame, polys: DataFrame, *, point_xy: tuple[str, str], wkt_col: str,
                   poly_id: str, point_keys: Sequence[str] | None = None, keep_wkt: bool = False,
-                  tile: float | None = None, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                  hot_rows: int | None = None) -> DataFrame:
+                  broadcast_bytes: int = BROADCAST_BYTES, hot_rows: int | None = None) -> DataFrame:
     """INNER join of points with the polygons that contain them (fan-out kept)."""
     px, py = point_xy
     pcols = [c for c in polys.columns if c != wkt_col or keep_wkt]
-    rings_expr, bbox_expr, _ = _polygon_exprs(wkt_col, px, py)
-    p = (polys.withColumn("_rings", rings_expr)
-         .filter(F.col("_rings").isNotNull())
-         .withColumn("_bb", bbox_expr))
-    t = tile or _tile_size(p)
-    tiles = polygon_tiles(p, "_rings", t).select("_tile", "_bb", "_rings", *pcols)
-    pts = (points.filter(F.col(px).isNotNull() & F.col(py).isNotNull())
-           .withColumn("_tile", F.floor(F.col(px) / F.lit(t)) * F.lit(1 << 32) + F.floor(F.col(py) / F.lit(t))))
-    if row_count_at_most(tiles, broadcast_rows) is not None:
-        j = pts.join(F.broadcast(tiles), "_tile", "inner")
+    checked, parts, box, inside = _polygon_exprs(wkt_col, px, py)
+    parsed = (polys.withColumn("_text", checked).filter(F.col("_text") == "").withColumn("_parts", parts)
+              .filter(F.col("_parts").isNotNull()).withColumn("_bb", box))
+    tiles = checkpointed(polygon_tiles(parsed).select("_lv", "_tx", "_ty", "_bb", "_parts", *pcols))
+    vertices = F.aggregate("_parts", F.lit(0), lambda n, p: F.aggregate(p, n, lambda m, ring: m + F.size(ring)))
+    about = tiles.agg(F.sum(F.lit(256) + 16 * vertices), F.collect_set("_lv")).head()        # a few sizes at most
+    levels = sorted(about[1] or [])
+    keys = F.array(*[F.struct(F.lit(lv).cast("int").alias("_lv"), _tile(F.col(px), F.lit(2.0 ** lv)).alias("_tx"),
+                              _tile(F.col(py), F.lit(2.0 ** lv)).alias("_ty")) for lv in levels or [0]])
+    pts = points.filter(F.col(px).isNotNull() & F.col(py).isNotNull()).select("*", F.inline(keys))
+    on = ["_lv", "_tx", "_ty"]
+    if (about[0] or 0) <= broadcast_bytes:
+        j = pts.join(F.broadcast(tiles), on, "inner")
     else:
         kw = {"hot_rows": hot_rows} if hot_rows else {}
-        j = salted_join(pts, tiles, ["_tile"], "inner", salt_cols=list(point_keys or points.columns), **kw)
+        j = salted_join(pts, tiles, on, "inner", salt_cols=list(point_keys or points.columns), **kw)
     bb = F.col("_bb")
     x, y = F.col(px), F.col(py)
     in_box = (x >= bb["minx"]) & (x <= bb["maxx"]) & (y >= bb["miny"]) & (y <= bb["maxy"])
-    j = j.filter(in_box).filter(_polygon_exprs(wkt_col, px, py)[2])
-    return j.drop("_tile", "_bb", "_rings")
+    return j.filter(in_box).filter(inside).drop(*on, "_bb", "_parts")
 
 
 def contains_counts(polys: DataFrame, points: DataFrame, *, point_xy, wkt_col: str, poly_id: str,

@@ -153,7 +153,7 @@ TOWERS_SQL = f"""towers AS (
 @cached_frame
 def coverage_cells(spark: SparkSession, sf_dir: str, res: int = 9) -> DataFrame:
     """fid, technology, mindown, minup, environmnt, h3_res9_id (+ centre) -- from part."""
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_size").filter(F.col("p_partkey") % 5 < 2)
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
     k = F.col("p_partkey")
     size = F.col("p_size")
     key = cell_id(loc_lon(k + 31), loc_lat(k + 31), res)
@@ -181,7 +181,7 @@ CELLS_SQL = f"""coverage_cells AS (
          CASE WHEN p_size < 15 THEN 1 WHEN p_size < 40 THEN 3 ELSE 20 END AS minup,
          p_partkey % 2 AS environmnt,
          {cell_id_sql(loc_lon_sql('p_partkey + 31'), loc_lat_sql('p_partkey + 31'))} AS h3_res9_id
-  FROM part WHERE p_partkey % 5 < 2)"""
+  FROM part)"""
 
 
 # ------------------------------------------------------------------ telemetry

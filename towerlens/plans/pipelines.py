@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from towerlens.functions import bands as B
 from towerlens.functions.cells import cell_id
 from towerlens.functions.exprcache import cached_expr
-from towerlens.functions.geo import centroid, materialize, poly_from_wkt
+from towerlens.functions.geo import centroid, materialize, multipolygon_parts, parts_centroid, poly_from_wkt
 from towerlens.operators.coverage import cell_coverage_join, cell_join
 from towerlens.operators.latest import latest_per_key
 from towerlens.operators.nearest import nearest
@@ -127,7 +127,8 @@ def coverage_by_distance(cov: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ telemetry overlay
-def kpis_latest(kpis: DataFrame, tie: str = "event_id") -> DataFrame:
+def kpis_latest(kpis: DataFrame, tie: str | None = None) -> DataFrame:
+    """Latest row per tower; among equal times the greatest ``tie``, or of all other columns in their order."""
     latest = latest_per_key(kpis, ["tower_id"], "event_ts", tie)
     return latest.select(
         "tower_id", F.col("event_ts").alias("kpi_snapshot_ts"), "prb_utilization_pct", "latency_ms",
@@ -135,7 +136,8 @@ def kpis_latest(kpis: DataFrame, tie: str = "event_id") -> DataFrame:
         B.health_band("prb_utilization_pct", "latency_ms", "packet_loss_pct").alias("tower_health_band"))
 
 
-def demand_latest(demand: DataFrame, tie: str = "order_key") -> DataFrame:
+def demand_latest(demand: DataFrame, tie: str | None = None) -> DataFrame:
+    """Latest row per building, ties as in ``kpis_latest``."""
     latest = latest_per_key(demand, ["building_id"], "event_ts", tie)
     return latest.select(
         "building_id", F.col("event_ts").alias("demand_snapshot_ts"), "demand_users", "traffic_mix",
@@ -196,7 +198,7 @@ def sites_in_market(sites: DataFrame, markets: DataFrame, **kw) -> DataFrame:
 def sites_nearest_market(sites: DataFrame, markets: DataFrame, within: DataFrame, **kw) -> DataFrame:
     """J10 + J9: sites in no market -> nearest market centroid, distance in km (2 places)."""
     unmatched = sites.select(*SITE_COLS).join(within.select("site_id").distinct(), "site_id", "left_anti")
-    cents = (materialize(markets, _c=centroid(poly_from_wkt("geometry_wkt")))
+    cents = (materialize(markets, _c=parts_centroid(multipolygon_parts("geometry_wkt")))
              .select(*MARKET_COLS, F.col("_c")["x"].alias("_mx"), F.col("_c")["y"].alias("_my")))
     near = nearest(unmatched, cents, left_xy=("S_SITE_LONGITUDE", "S_SITE_LATITUDE"), right_xy=("_mx", "_my"),
                    right_id="market_id", right_cols=MARKET_COLS, dist_col="_dist", **kw)

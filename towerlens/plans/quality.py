@@ -113,7 +113,7 @@ def _h3_ok(col: str) -> Callable[[], Column]:
 
 
 def _valid_geometry() -> Column:
-    return is_valid(poly_from_wkt(F.col("geometry")))
+    return is_valid(poly_from_wkt(F.col("geometry")), check_self_intersection=True)
 
 
 def _point_geometry() -> Column:

@@ -562,12 +562,12 @@ DEMAND_LATEST_CTE = f"""demand_latest AS (
 
 @query("kpis_latest", with_([fx.KPIS_SQL, KPI_LATEST_CTE], "SELECT * FROM kpi_latest"))
 def q_kpis_latest(spark, sf_dir):
-    return pl.kpis_latest(fx.tower_kpis(spark, sf_dir))
+    return pl.kpis_latest(fx.tower_kpis(spark, sf_dir), tie="event_id")
 
 
 @query("demand_latest", with_([fx.DEMAND_SQL, DEMAND_LATEST_CTE], "SELECT * FROM demand_latest"))
 def q_demand_latest(spark, sf_dir):
-    return pl.demand_latest(fx.building_demand(spark, sf_dir))
+    return pl.demand_latest(fx.building_demand(spark, sf_dir), tie="order_key")
 
 
 @query("ops_overlay", with_(GOLD_CTES + [fx.KPIS_SQL, KPI_LATEST_CTE, fx.DEMAND_SQL, DEMAND_LATEST_CTE], """
@@ -580,8 +580,8 @@ SELECT g.*, d.demand_snapshot_ts, d.demand_users, d.traffic_mix, d.indoor_penetr
 FROM gold g LEFT JOIN demand_latest d ON g.building_id = d.building_id
 LEFT JOIN kpi_latest k ON g.nearest_tower_id = k.tower_id"""))
 def q_ops_overlay(spark, sf_dir):
-    return pl.ops_overlay(gold(spark, sf_dir), pl.demand_latest(fx.building_demand(spark, sf_dir)),
-                          pl.kpis_latest(fx.tower_kpis(spark, sf_dir)))
+    return pl.ops_overlay(gold(spark, sf_dir), pl.demand_latest(fx.building_demand(spark, sf_dir), tie="order_key"),
+                          pl.kpis_latest(fx.tower_kpis(spark, sf_dir), tie="event_id"))
 
 
 # ==================================================================== designer flow

@@ -9,6 +9,7 @@ directory in a fresh scratch folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -44,8 +45,10 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's value is always kept.  Only when nothing is configured (a
-    local test run) a fresh scratch folder is made and registered.
+    The cluster's value is always kept.  Only when nothing is configured on a
+    local master (a test run) a fresh scratch folder is made and registered;
+    on any other master executors would each write to a disk of their own, so
+    a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="towerlens-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

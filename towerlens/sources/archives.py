@@ -69,9 +69,10 @@ class GpkgZipReader(DataSourceReader):
             if bbox:
                 minx, miny, maxx, maxy = (float(v) for v in bbox.split(","))
                 has_rtree = con.execute("SELECT count(*) FROM sqlite_master WHERE name = ?", (rtree,)).fetchone()[0]
-                if has_rtree:
-                    where.append(f'fid IN (SELECT id FROM "{rtree}" WHERE maxx >= {minx} AND minx <= {maxx} '
-                                 f"AND maxy >= {miny} AND miny <= {maxy})")
+                if not has_rtree:
+                    raise ValueError(f"gpkg_zip: bbox needs the R-tree index {rtree}, which {name} does not have; filter by geometry instead")
+                where.append(f'fid IN (SELECT id FROM "{rtree}" WHERE maxx >= {minx} AND minx <= {maxx} '
+                             f"AND maxy >= {miny} AND miny <= {maxy})")
             sql = f'SELECT {", ".join(chr(34) + c + chr(34) for c in cols)} FROM "{table}" WHERE {" AND ".join(where)}'
             for row in con.execute(sql):
                 yield tuple(row)

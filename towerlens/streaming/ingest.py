@@ -45,29 +45,37 @@ def stream_to_table(sdf: DataFrame, path: str, checkpoint: str, rules: Sequence[
                     fmt: str = "parquet", await_termination: bool = True):
     """K8/R2: append the stream to a table at ``path`` with one triggered update.
 
-    With fail rules the batch is checked in ``foreachBatch`` first and the
-    append happens only when no row violates them.
-    """
+    Fail rules see a batch before drop rules take rows from it, as ``apply_expectations`` does, and a batch that
+    breaks one is not written.  Each batch overwrites the partition of its own number (``epoch``), so a batch
+    that is run again after a failure adds nothing; ``read_appended`` leaves that column out."""
     fail_rules = [r for r in rules if r.action == FAIL]
-    body = apply_stream_rules(sdf, rules)
-    if fail_rules:
-        def write_batch(batch: DataFrame, epoch_id: int) -> None:
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        batch = batch.persist()
+        try:
             bad = batch.agg(*[F.count_if(~_ok(r, False)).alias(r.name) for r in fail_rules]).first()
             broken = [r.name for r in fail_rules if bad[r.name]]
             if broken:
                 raise ExpectationFailed(f"batch {epoch_id}: expectation failed: {', '.join(broken)}")
-            batch.write.mode("append").format(fmt).save(path)
+            apply_stream_rules(batch, rules).write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/epoch={epoch_id}")
+        finally:
+            batch.unpersist()
 
-        q = (body.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    else:
-        q = (body.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
-             .option("path", path).trigger(availableNow=True).start())
+    if fail_rules:
+        writer = sdf.writeStream.foreachBatch(write_batch)
+    else:       # the file sink keeps its own list of committed files
+        writer = apply_stream_rules(sdf, rules).writeStream.format(fmt).outputMode("append").option("path", path)
+    q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     if await_termination:
         q.awaitTermination()
     return q
 
 
+def read_appended(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A table written by ``stream_to_table``."""
+    return spark.read.format(fmt).load(path).drop("epoch")
+
+
 def latest_per_key_stream(sdf: DataFrame, keys: Sequence[str], ts: str, tie: str | None, path: str,
                           checkpoint: str, fmt: str = "parquet", await_termination: bool = True):
     """Keep a 'latest row per key' table current as shards arrive.

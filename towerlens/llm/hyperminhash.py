@@ -32,6 +32,7 @@ ROWS = 7            # registers in a band, for a similarity of 0.85
 BLOCK_DOCS = 4000
 BLOCK_SHINGLES = 2_000_000
 PIVOTS = 8
+_AT_ONCE = 300_000       # shingles compared at a time
 LZ_BITS, MANTISSA_BITS = 6, 10
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -57,6 +58,16 @@ def shingle_hashes(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return value, np.searchsorted(doc, np.arange(len(n) + 1))
 
 
+def set_hashes(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_hashes`` of the lower-cased texts of a longer column, slice by slice."""
+    values, counts = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for part in slices([pa.RecordBatch.from_arrays([column], ["text"])], "text"):
+        value, first = shingle_hashes(split(part.column("text"), lower=True), size)
+        values.append(value)
+        counts.append(np.diff(first))
+    return np.concatenate(values), np.cumsum(np.concatenate(counts))
+
+
 _borrow: dict[int, np.ndarray] = {}
 
 
@@ -215,8 +226,8 @@ def _linked_in(left: np.ndarray, right: np.ndarray, forest: _Forest, value: np.n
         small = np.minimum(n[other], n[i])
         margin = np.where(small < 64, 1.0, np.where(small < BUCKETS, 0.2, 0.135))
         other = other[guess >= least / 100 - margin]
-        for at in range(0, len(other), 512):
-            part = other[at:at + 512]
+        cuts = np.flatnonzero(np.diff(np.cumsum(n[other]) // _AT_ONCE)) + 1
+        for part in np.split(other, cuts):
             size = n[part]
             inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             theirs = value[np.repeat(first[part], size) + inside]
@@ -234,7 +245,8 @@ def _block_task(shingle: int, least: int):
     """For one block of a family (or a pair of blocks): each document with the first of its tree."""
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        value, first = shingle_hashes(split(table.column("text"), lower=True), shingle)
+        text = table.column("text")
+        value, first = set_hashes(text.combine_chunks() if isinstance(text, pa.ChunkedArray) else text, shingle)
         node = np.asarray(_nodes(value, first).to_pylist(), object)
         side = table.column("side").to_numpy()
         # copies of one row and documents handed over for both sides are taken once

@@ -15,7 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1_000_000       # below a power of two, to which tables of powers grow
+SLICE_ROWS = 2048
 
 #: bytewise class tables: True marks a byte that separates words
 SPACE_SEPARATED = np.zeros(256, bool)
@@ -78,7 +79,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches into row ranges of about ``limit`` text bytes; a longer text is a slice of its own.
+    """Cut batches into ranges of at most ``limit`` text bytes and SLICE_ROWS rows; a longer text is a slice of its own.
 
     Empty batches are passed over, so an empty partition yields nothing.
     """
@@ -89,7 +90,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
         at = 0
         while at < batch.num_rows:
             end = int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1
-            end = max(end, at + 1)
+            end = min(max(end, at + 1), at + SLICE_ROWS)
             yield batch.slice(at, end - at)
             at = end
 

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from tests.conftest import SF_CHECK
 from tests.llm import brute
 from towerlens.llm import block_anchors
@@ -19,7 +21,9 @@ def test_given_documents(spark):
     check(spark, rows)
 
 
-def test_planted_repeats_and_defined_cases(spark, monkeypatch):
+@pytest.mark.parametrize("hot_share", [0.02, 0.2, 2.0])
+def test_planted_repeats_and_defined_cases(spark, monkeypatch, hot_share):
+    monkeypatch.setattr(block_anchors, "HOT_SHARE", hot_share)
     monkeypatch.setattr(block_anchors, "PROBES_PER_BUCKET", 700)
     monkeypatch.setattr(block_anchors, "_HELD_BYTES", 3000)
     rng = random.Random(5)

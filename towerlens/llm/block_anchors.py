@@ -8,8 +8,14 @@ only windows of ``2 * block`` words around anchors go further.  Of equal
 windows the one in the smallest document stays, and runs of repeated windows
 are the maximal exact repeats that are removed.
 
-Nothing is done pair by pair, so a passage that a third of all documents share
-costs one entry per occurrence.  Probes travel as packed arrays: for each
+Nothing is done pair by pair.  What very many documents share would still meet
+in a few buckets, so windows that a sample shows in more than HOT_SHARE of the
+documents take another way: their probes count as anchored without being sent,
+and the smallest document of each such window is found by an aggregation that
+combines before its shuffle; the table of at most HOT_WINDOWS of them is then
+broadcast.  The sample decides the way, never the result.
+
+Probes travel as packed arrays: for each
 document and bucket, four bytes per probe.  The bucket of a window follows from
 the least hash of its FINE-word windows: equal windows have equal buckets, and
 neighbouring windows mostly share one, so the number of (document, bucket)
@@ -39,6 +45,9 @@ from .words import SPACE_SEPARATED, WORD_BASES, mix, runs, sliding_least, slices
 BLOCK = 25
 FINE = 5
 PROBES_PER_BUCKET = 1_000_000
+HOT_SAMPLE = 2000            # documents looked at
+HOT_SHARE = 0.02
+HOT_WINDOWS = 100_000
 _HELD_BYTES = 24 << 20
 _NO_ID = np.iinfo(np.int64).max
 
@@ -135,6 +144,26 @@ def _repeats(table: pa.Table) -> pa.Table:
     return _answer(table, counts, places[gone], lengths)
 
 
+def _anchors_in(buckets: int):
+    def run(table: pa.Table) -> pa.Table:
+        if table.column("bucket")[0].as_py() < buckets:
+            return _anchors(table)
+        counts = _column(table, "counts", "<i4")
+        return _answer(table, counts, np.ones(len(counts), np.uint8), np.ones(len(counts), np.int64))
+
+    return run
+
+
+def _repeats_in(buckets: int):
+    def run(table: pa.Table) -> pa.Table:
+        if table.column("bucket")[0].as_py() < buckets:
+            return _repeats(table)
+        counts = _column(table, "counts", "<i4").astype(np.int64)
+        return _answer(table, counts, _column(table, "places", "<u4"), counts * 4)
+
+    return run
+
+
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Id (null: the largest), text, and a hash that tells texts of one id apart."""
     out = df.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NO_ID)).alias("id"), F.col(f"`{text_col}`").alias("text"))
@@ -149,43 +178,103 @@ def _windows(word: np.ndarray, first: np.ndarray, size: int, base: int, buckets:
     return at, window_hashes(word, size, base)[at], (mix(least, 1) % np.uint64(buckets)).astype(np.int64)
 
 
+def _hot(rows: DataFrame, size: int, base: int) -> np.ndarray:
+    """Hashes, in order, of the windows of ``size`` words that a sample shows to be common."""
+    total = rows.count()
+    share = min(1.0, HOT_SAMPLE / max(total, 1))
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            words = split(part.column("text"), SPACE_SEPARATED)
+            at, w, _ = _windows(words.hashes(), words.first, size, base, 1)
+            once = np.unique(np.stack((words.doc[at], w.view(np.int64)), axis=1), axis=0)[:, 1]
+            yield pa.RecordBatch.from_arrays([pa.array(once)], ["window"])
+
+    counts = rows.select("text").sample(share, 23).mapInArrow(seen, "window long").groupBy("window").count()
+    common = counts.filter(F.col("count") >= max(3, HOT_SHARE * total * share)).orderBy(F.desc("count"), "window").limit(HOT_WINDOWS)
+    return np.sort(np.asarray([r["window"] for r in common.select("window").collect()], np.int64).view(np.uint64))
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which values are known, and their places in the sorted known ones."""
+    if not len(known):
+        return np.zeros(len(values), bool), np.zeros(len(values), np.int64)
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return known[at] == values, at
+
+
+def _smallest(rows: DataFrame, size: int, known: np.ndarray) -> np.ndarray:
+    """The smallest id that holds each of the known windows."""
+    out = np.full(len(known), _NO_ID)
+    if len(known):
+        shared = rows.sparkSession.sparkContext.broadcast(known)
+
+        def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in slices(batches, "text"):
+                words = split(part.column("text"), SPACE_SEPARATED)
+                at, w, _ = _windows(words.hashes(), words.first, size, WORD_BASES[1], 1)
+                hot, place = _among(w, shared.value)
+                best = np.full(len(shared.value), _NO_ID)
+                np.minimum.at(best, place[hot], part.column("id").to_numpy()[words.doc[at[hot]]])
+                some = np.unique(place[hot])
+                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(best[some])], ["place", "id"])
+
+        for place, smallest in rows.mapInArrow(least, "place long, id long").groupBy("place").agg(F.min("id")).collect():
+            out[place] = smallest
+    return out
+
+
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """Documents with repeats: ``(id, key, text, spans)``; spans are maximal word ranges to remove, in order."""
     rows = _keyed(df, id_col, text_col)
     size = rows.select(F.sum(F.length("text"))).head()[0] or 0
     buckets = max(1, -(-size // (6 * PROBES_PER_BUCKET)))       # about six characters a word
+    # buckets from `buckets` on hold no windows, but pass on what is known of a document
+    hot_grams = df.sparkSession.sparkContext.broadcast(_hot(rows, block, WORD_BASES[0]))
+    hot = _hot(rows, 2 * block, WORD_BASES[1]) if len(hot_grams.value) else np.zeros(0, np.uint64)
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dealer = _Dealer(buckets)
+        dealer = _Dealer(2 * buckets)
         for part in slices(batches, "text"):
             words = split(part.column("text"), SPACE_SEPARATED)
             at, g, bucket = _windows(words.hashes(), words.first, block, WORD_BASES[0], buckets)
+            common, _ = _among(g, hot_grams.value)
+            ids, keys = part.column("id").to_numpy(), part.column("key").to_numpy()
+            marked = np.unique(words.doc[at[common]])
+            dealer.add(buckets + keys[marked] % buckets, marked, ids, keys, np.zeros(len(marked), np.uint32))
+            at, g, bucket = at[~common], g[~common], bucket[~common]
             doc = words.doc[at]
             indexed = ((at - words.first[doc]) % block == 0).astype(np.uint32)
             value = ((g & np.uint64(0x7FFFFFFF)).astype(np.uint32) << np.uint32(1)) | indexed
-            dealer.add(bucket, doc, part.column("id").to_numpy(), part.column("key").to_numpy(), value)
+            dealer.add(bucket, doc, ids, keys, value)
             yield from dealer.rows(False)
         yield from dealer.rows(True)
 
-    anchors = (rows.mapInArrow(probes, _ROWS).groupBy("bucket").applyInArrow(_anchors, _ANSWER)
+    anchors = (rows.mapInArrow(probes, _ROWS).groupBy("bucket").applyInArrow(_anchors_in(buckets), _ANSWER)
                .groupBy("id", "key").agg(F.collect_list(F.struct("bucket", "found")).alias("anchors")))
     anchored = stored(joined_small(rows, stored(anchors, "anchors"), ["id", "key"]), "anchored")
+    smallest = df.sparkSession.sparkContext.broadcast((hot, _smallest(anchored, 2 * block, hot)))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dealer = _Dealer(buckets)
+        dealer = _Dealer(2 * buckets)
         for part in slices(batches, "text"):
             words = split(part.column("text"), SPACE_SEPARATED)
             h = words.hashes()
-            at, _, bucket = _windows(h, words.first, block, WORD_BASES[0], buckets)
+            at, g, bucket = _windows(h, words.first, block, WORD_BASES[0], buckets)
+            common, _ = _among(g, hot_grams.value)
+            hit = np.zeros(len(words.start) + 1, np.int32)
+            hit[at[common] + 1] = 1
+            at, bucket = at[~common], bucket[~common]
             cell = words.doc[at] * buckets + bucket
             order = np.argsort(cell, kind="stable")
             cells = cell[order]
             lists = part.column("anchors")
             entries = lists.flatten()
             owner = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
-            asked = owner * buckets + entries.field("bucket").to_numpy()
+            asked = entries.field("bucket").to_numpy()
+            entries, owner, asked = entries.filter(pa.array(asked < buckets)), owner[asked < buckets], asked[asked < buckets]
+            asked = owner * buckets + asked
             first, last = np.searchsorted(cells, asked), np.searchsorted(cells, asked, "right")
-            hit = np.zeros(len(words.start) + 1, np.int32)
             for bits, a, b in zip(entries.field("found").to_pylist(), first, last):
                 found = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a)
                 hit[at[order[a:b][found.astype(bool)]] + 1] = 1
@@ -194,9 +283,16 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             # a window is of interest if a probe inside it met an anchor
             near = seen[full + block] > seen[full]
             full, w, bucket = full[near], w[near], bucket[near]
-            d = words.doc[full]
-            dealer.add(bucket, d, part.column("id").to_numpy(), part.column("key").to_numpy(), w,
-                       (full - words.first[d]).astype(np.uint32))
+            ids, keys = part.column("id").to_numpy(), part.column("key").to_numpy()
+            known, least = smallest.value
+            common, place = _among(w, known)
+            for chosen, where in ((~common, None), (common, buckets)):
+                d, p, v, b = words.doc[full[chosen]], full[chosen], w[chosen], bucket[chosen]
+                if where is not None:
+                    later = ids[d] > least[place[chosen]]
+                    d, p, v = d[later], p[later], v[later]
+                    b = buckets + keys[d] % buckets
+                dealer.add(b, d, ids, keys, v, (p - words.first[d]).astype(np.uint32))
             yield from dealer.rows(False)
         yield from dealer.rows(True)
 
@@ -213,7 +309,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [batch.column("id"), batch.column("key"), pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
                 ["id", "key", "spans"])
 
-    removed = (anchored.mapInArrow(windows, _ROWS).groupBy("bucket").applyInArrow(_repeats, _ANSWER)
+    removed = (anchored.mapInArrow(windows, _ROWS).groupBy("bucket").applyInArrow(_repeats_in(buckets), _ANSWER)
                .groupBy("id", "key").agg(F.collect_list("found").alias("found"))
                .mapInArrow(spans, "id long, key long, spans array<struct<start:int,end:int>>"))
     return joined_small(anchored.select("id", "key", "text"), stored(removed, "spans"), ["id", "key"])

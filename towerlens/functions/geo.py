@@ -134,6 +134,15 @@ def multipolygon_parts(wkt) -> Column:
             .cast(T.ArrayType(POLYGON_TYPE)))
 
 
+def materialize_ring_midpoints(wkt) -> Column:
+    """A one-ring polygon's text with the midpoint of every edge added."""
+    ring = poly_from_wkt(wkt).getItem(0)
+    each = let(ring, lambda r: F.flatten(F.transform(F.sequence(F.lit(1), F.size(r) - 1), lambda i: F.array(
+        F.element_at(r, i), F.struct(((F.element_at(r, i)["x"] + F.element_at(r, i + 1)["x"]) / 2).alias("x"),
+                                     ((F.element_at(r, i)["y"] + F.element_at(r, i + 1)["y"]) / 2).alias("y"))))))
+    return to_wkt(F.array(let(each, lambda p: F.concat(p, F.slice(p, 1, 1)))))
+
+
 def _num_text(v: Column) -> Column:
     return v.cast("string")
 

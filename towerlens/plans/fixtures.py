@@ -338,7 +338,7 @@ def opencellid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @cached_frame
 def test_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """shape_id, wkt -- from customer: valid rectangles plus unclosed, 3-point,
-    zero-area and non-polygon shapes chosen by key."""
+    zero-area, self-crossing and non-polygon shapes chosen by key."""
     c = table(spark, sf_dir, "customer").select("c_custkey")
     k = F.col("c_custkey")
     x1, y1 = _f5(loc_lon(k) - F.lit(1e-4)), _f5(loc_lat(k) - F.lit(1e-4))
@@ -358,6 +358,7 @@ def test_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(k % 5 == 0, poly((x1, y1), (x2, y1), (x3, y1), (x1, y1)))
            .when(k % 11 == 0, F.concat(F.lit("LINESTRING ("), x1, F.lit(" "), y1, F.lit(", "), x2, F.lit(" "), y2,
                                        F.lit(")")))
+           .when(k % 17 == 0, poly((x1, y1), (x3, y2), (x2, y1), (x1, y2), (x1, y1)))
            .otherwise(poly((x1, y1), (x2, y1), (x2, y2), (x1, y2), (x1, y1))))
     return c.select(k.alias("shape_id"), wkt.alias("wkt"))
 

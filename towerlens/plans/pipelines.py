@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from towerlens.functions import bands as B
@@ -350,6 +350,11 @@ def signal_summary(sig: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ tower exploration
+def carrier_towers(towers_raw: DataFrame, net: int = 260, box: BBox = CORE) -> DataFrame:
+    """P12 + P7: records of one carrier inside a box."""
+    return towers_raw.filter((F.col("net") == net) & box.contains("lat", "lon"))
+
+
 def carrier_breakdown(towers_raw: DataFrame) -> DataFrame:
     """By radio and network -- records, distinct cells, average range and samples."""
     return (towers_raw.groupBy("radio", "net")
@@ -366,15 +371,23 @@ def top_towers(towers_raw: DataFrame, k: int = 20) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int, seed: int = 42, key_cols=None) -> DataFrame:
-    """T4: reproducible sample of n rows: order by a seeded hash of the key, keep n."""
-    cols = [F.col(c) for c in (key_cols or df.columns)]
-    return df.withColumn("_h", F.xxhash64(F.lit(seed), *cols)).orderBy("_h").limit(n).drop("_h")
+    """T4: reproducible sample of n rows: order by a seeded digest of the key, keep n."""
+    return df.withColumn("_h", _digest([F.lit(seed), *map(F.col, key_cols or df.columns)])).orderBy("_h").limit(n).drop("_h")
+
+
+def sample_with_replacement(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """T4: each row as often as a Poisson draw says."""
+    return df.sample(withReplacement=True, fraction=fraction, seed=seed)
+
+
+def _digest(cols) -> Column:
+    return F.md5(F.concat_ws("|", *[c.cast("string") for c in cols]).cast("binary"))
 
 
 def with_surrogate_id(df: DataFrame, name: str = "id", natural_keys=None) -> DataFrame:
-    """Surrogate id -- a hash of natural keys (stable across runs), else monotonically increasing."""
+    """Surrogate id -- a digest of natural keys (the same in every run and engine), else monotonically increasing."""
     if natural_keys:
-        return df.withColumn(name, F.xxhash64(*[F.col(c) for c in natural_keys]))
+        return df.withColumn(name, _digest(map(F.col, natural_keys)))
     return df.withColumn(name, F.monotonically_increasing_id())
 
 

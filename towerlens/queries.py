@@ -8,6 +8,8 @@ an SQL statement over the driver's tables (absent for rows-only checks).
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -165,10 +167,10 @@ def q_typed_ingest(spark, sf_dir):
                                ("created_ts", "epoch_text")]))
 
 
-@query("surrogate_id_stable")
+@query("surrogate_id_stable", with_([fx.SITES_SQL], "SELECT site_id, md5(CAST(site_id AS VARCHAR)) AS site_uid FROM sites_bronze WHERE SITE_LATITUDE IS NOT NULL AND SITE_LONGITUDE IS NOT NULL"))
 def q_surrogate_id(spark, sf_dir):
     s = pl.sites_silver(fx.sites_bronze(spark, sf_dir))
-    return pl.with_surrogate_id(s, "site_uid", ["site_id", "SITE_LATITUDE", "SITE_LONGITUDE"]).select(
+    return pl.with_surrogate_id(s, "site_uid", ["site_id"]).select(
         "site_id", "site_uid")
 
 
@@ -213,12 +215,12 @@ def q_polygon_bbox(spark, sf_dir):
 SELECT c_custkey AS shape_id,
        CASE WHEN c_custkey % 7 <> 0 AND c_custkey % 13 <> 0 AND c_custkey % 5 <> 0 AND c_custkey % 11 = 0
             THEN 'ST_LineString' ELSE 'ST_Polygon' END AS geometry_type,
-       NOT (c_custkey % 7 = 0 OR c_custkey % 13 = 0 OR c_custkey % 5 = 0 OR c_custkey % 11 = 0) AS is_valid
+       NOT (c_custkey % 7 = 0 OR c_custkey % 13 = 0 OR c_custkey % 5 = 0 OR c_custkey % 11 = 0 OR c_custkey % 17 = 0) AS is_valid
 FROM customer""")
 def q_polygon_valid(spark, sf_dir):
     s = fx.test_shapes(spark, sf_dir)
     return s.select("shape_id", G.geometry_type("wkt").alias("geometry_type"),
-                    G.is_valid(G.poly_from_wkt("wkt")).alias("is_valid"))
+                    G.is_valid(G.poly_from_wkt("wkt"), check_self_intersection=True).alias("is_valid"))
 
 
 def _pairs(spark, sf_dir):
@@ -915,6 +917,65 @@ def q_proximity_distribution(spark, sf_dir):
     return pl.class_summary(_enriched(spark, sf_dir), "tower_proximity_band", "min_download_mbps", "avg_download_mbps")
 
 
+@query("quality_by_proximity", with_(_ENR_CTES, f"""
+SELECT coverage_quality, tower_proximity_band, COUNT(*) AS buildings, {sround('AVG(min_download_mbps)', 1)} AS avg_download_mbps
+FROM enr GROUP BY coverage_quality, tower_proximity_band"""))
+def q_quality_by_proximity(spark, sf_dir):
+    return pl.class_summary(_enriched(spark, sf_dir), ["coverage_quality", "tower_proximity_band"], "min_download_mbps", "avg_download_mbps")
+
+
+@query("time_of_day", """
+SELECT event_id, date_trunc('hour', ts) AS hour_start, hour(ts) AS hour_of_day, isodow(ts) - 1 AS weekday,
+       CASE WHEN hour(ts) BETWEEN 18 AND 23 THEN 'video_heavy' WHEN hour(ts) BETWEEN 7 AND 9 THEN 'commute' ELSE 'balanced' END AS traffic_mix,
+       CASE WHEN hour(ts) BETWEEN 7 AND 10 THEN 2.2e0 WHEN hour(ts) BETWEEN 16 AND 20 THEN 2.6e0 WHEN hour(ts) BETWEEN 0 AND 5 THEN 0.45e0
+            ELSE 1e0 END * CASE WHEN isodow(ts) >= 6 THEN 0.7e0 ELSE 1e0 END AS hour_weight,
+       least(20e0, greatest(5e0, value)) AS clipped
+FROM events""")
+def q_time_of_day(spark, sf_dir):
+    from towerlens.functions import bands as B
+
+    return fx.table(spark, sf_dir, "events").select(
+        "event_id", B.hour_floor("ts").alias("hour_start"), F.hour("ts").alias("hour_of_day"), F.weekday("ts").alias("weekday"),
+        B.traffic_mix("ts").alias("traffic_mix"), B.hour_weight("ts").alias("hour_weight"), B.clip("value", 5.0, 20.0).alias("clipped"))
+
+
+def _csv_folder(spark, name):
+    from towerlens.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+_CSV_ORDERS = "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders"
+
+
+@query("csv_headerless", _CSV_ORDERS)
+def q_csv_headerless(spark, sf_dir):
+    from towerlens.sources.files import read_headerless_csv, write_shard
+
+    path = _csv_folder(spark, "orders-shards")
+    write_shard(fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority"), path)
+    return read_headerless_csv(spark, path, [("o_orderkey", "bigint"), ("o_totalprice", "double"), ("o_orderpriority", "string")], glob="*.csv.gz")
+
+
+@query("csv_declared", _CSV_ORDERS)
+def q_csv_declared(spark, sf_dir):
+    from towerlens.sources.files import read_csv_schema
+
+    path = _csv_folder(spark, "orders-csv")
+    rows = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    rows.write.option("header", "true").csv(path)
+    return read_csv_schema(spark, path, rows.schema, header=True)
+
+
+@query("csv_inferred", _CSV_ORDERS)
+def q_csv_inferred(spark, sf_dir):
+    from towerlens.sources.files import read_csv_infer
+
+    path = _csv_folder(spark, "orders-csv")
+    fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority").write.option("header", "true").csv(path)
+    return read_csv_infer(spark, path).withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+
+
 # ==================================================================== tower exploration
 _OCID_CTE = """ocid AS (
   SELECT CASE (s_suppkey * 4 + j) % 4 WHEN 0 THEN 'LTE' WHEN 1 THEN 'NR' WHEN 2 THEN 'GSM' ELSE 'UMTS' END AS radio,
@@ -934,6 +995,15 @@ def _ocid(spark, sf_dir):
     return rows.select(*typed(TOWER_COLUMNS, source_cols=rows.columns))
 
 
+@query("carrier_towers", f"""
+SELECT CASE kk % 4 WHEN 0 THEN 'LTE' WHEN 1 THEN 'NR' WHEN 2 THEN 'GSM' ELSE 'UMTS' END AS radio, 260 AS net, 1000000 + kk * 13 AS cell
+FROM (SELECT s_suppkey * 4 AS kk FROM supplier)
+WHERE {fx.loc_lat_sql('kk + 13')} BETWEEN {pl.METRO.lat_min!r} AND {pl.METRO.lat_max!r}
+  AND {fx.loc_lon_sql('kk + 13')} BETWEEN {pl.METRO.lon_min!r} AND {pl.METRO.lon_max!r}""")
+def q_carrier_towers(spark, sf_dir):
+    return pl.carrier_towers(_ocid(spark, sf_dir), box=pl.METRO).select("radio", "net", "cell")
+
+
 @query("carrier_breakdown", with_([_OCID_CTE], f"""
 SELECT radio, net, COUNT(*) AS record_count, COUNT(DISTINCT cell) AS unique_cell_ids,
        {sround('AVG(range_m)', 0)} AS avg_range_m, {sround('AVG(samples)', 1)} AS avg_samples
@@ -950,7 +1020,7 @@ def q_top_towers(spark, sf_dir):
     return pl.top_towers(_ocid(spark, sf_dir), 20).drop("lon", "lat", "created_ts", "updated_ts")
 
 
-@query("sample_n")
+@query("sample_n", with_([fx.BUILDINGS_SQL], "SELECT * FROM buildings ORDER BY md5('7|' || CAST(building_id AS VARCHAR)) LIMIT 100"))
 def q_sample_n(spark, sf_dir):
     return pl.sample_n(fx.buildings(spark, sf_dir), 100, seed=7, key_cols=["building_id"])
 
@@ -1170,6 +1240,16 @@ def q_cell_centers(spark, sf_dir):
 
 
 # ==================================================================== simplification (G19), coordinate fallback
+@query("simplify_midpoints", with_([fx.MARKETS_SQL], "SELECT ID, 9 AS points_before, 5 AS points_after FROM markets_bronze"))
+def q_simplify_midpoints(spark, sf_dir):
+    from towerlens.operators.simplify import simplify
+
+    m = fx.markets_bronze(spark, sf_dir).select("ID", G.materialize_ring_midpoints("geometry_wkt").alias("geometry_wkt"))
+    points = lambda c: F.size(F.split(c, ","))
+    both = simplify(m, "geometry_wkt", 0.001, out_col="simple")
+    return both.select("ID", points("geometry_wkt").alias("points_before"), points("simple").alias("points_after"))
+
+
 @query("simplify_markets", with_([fx.MARKETS_SQL], "SELECT ID, geometry_wkt FROM markets_bronze"))
 def q_simplify_markets(spark, sf_dir):
     from towerlens.operators.simplify import simplify

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .frames import map_texts
 from .tokens import ENCODE_BYTES, encoder
 from .words import slices, text_buffer
 
@@ -153,7 +154,7 @@ def write_ids(df: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id",
 
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     (rows.repartitionByRange("id").sortWithinPartitions("id", "text")
-     .mapInArrow(images, FILES).write.mode("overwrite").option("compression", "uncompressed").parquet(path))
+     .transform(map_texts, images, FILES).write.mode("overwrite").option("compression", "uncompressed").parquet(path))
 
 
 def read_documents(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -186,6 +187,6 @@ def read_documents(spark: SparkSession, path: str, with_ids: bool = False) -> Da
                 yield pa.RecordBatch.from_arrays(cols, kinds)
 
     schema = "shard long, file_no int, doc_id long, place long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
-    docs = files.select("shard", "file_no", "image").mapInArrow(decode, schema)
+    docs = files.select("shard", "file_no", "image").transform(map_texts, decode, schema)
     return docs.join(bases, ["shard", "file_no"]).withColumn("start", F.col("base") + F.col("place")).select(
         "doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * with_ids)

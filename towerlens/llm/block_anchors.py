@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import joined_small, stored
+from .frames import joined_small, map_texts, releasing, stored
 from .words import SPACE_SEPARATED, WORD_BASES, mix, runs, sliding_least, slices, split, window_hashes, window_starts
 
 BLOCK = 25
@@ -190,7 +190,7 @@ def _hot(rows: DataFrame, size: int, base: int) -> np.ndarray:
             once = np.unique(np.stack((words.doc[at], w.view(np.int64)), axis=1), axis=0)[:, 1]
             yield pa.RecordBatch.from_arrays([pa.array(once)], ["window"])
 
-    counts = rows.select("text").sample(share, 23).mapInArrow(seen, "window long").groupBy("window").count()
+    counts = rows.select("text").sample(share, 23).transform(map_texts, seen, "window long").groupBy("window").count()
     common = counts.filter(F.col("count") >= max(3, HOT_SHARE * total * share)).orderBy(F.desc("count"), "window").limit(HOT_WINDOWS)
     return np.sort(np.asarray([r["window"] for r in common.select("window").collect()], np.int64).view(np.uint64))
 
@@ -219,7 +219,7 @@ def _smallest(rows: DataFrame, size: int, known: np.ndarray) -> np.ndarray:
                 some = np.unique(place[hot])
                 yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(best[some])], ["place", "id"])
 
-        for place, smallest in rows.mapInArrow(least, "place long, id long").groupBy("place").agg(F.min("id")).collect():
+        for place, smallest in rows.transform(map_texts, least, "place long, id long").groupBy("place").agg(F.min("id")).collect():
             out[place] = smallest
     return out
 
@@ -250,7 +250,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield from dealer.rows(False)
         yield from dealer.rows(True)
 
-    anchors = (rows.mapInArrow(probes, _ROWS).groupBy("bucket").applyInArrow(_anchors_in(buckets), _ANSWER)
+    anchors = (rows.transform(map_texts, probes, _ROWS).groupBy("bucket").applyInArrow(releasing(_anchors_in(buckets)), _ANSWER)
                .groupBy("id", "key").agg(F.collect_list(F.struct("bucket", "found")).alias("anchors")))
     anchored = stored(joined_small(rows, stored(anchors, "anchors"), ["id", "key"]), "anchored")
     smallest = df.sparkSession.sparkContext.broadcast((hot, _smallest(anchored, 2 * block, hot)))
@@ -309,9 +309,9 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [batch.column("id"), batch.column("key"), pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
                 ["id", "key", "spans"])
 
-    removed = (anchored.mapInArrow(windows, _ROWS).groupBy("bucket").applyInArrow(_repeats_in(buckets), _ANSWER)
+    removed = (anchored.transform(map_texts, windows, _ROWS).groupBy("bucket").applyInArrow(releasing(_repeats_in(buckets)), _ANSWER)
                .groupBy("id", "key").agg(F.collect_list("found").alias("found"))
-               .mapInArrow(spans, "id long, key long, spans array<struct<start:int,end:int>>"))
+               .transform(map_texts, spans, "id long, key long, spans array<struct<start:int,end:int>>"))
     return joined_small(anchored.select("id", "key", "text"), stored(removed, "spans"), ["id", "key"])
 
 
@@ -352,8 +352,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = _keyed(df, id_col, text_col)
     found = repeated_spans(df, id_col, text_col, block)
     # rows that repeat an id and a text have the same answer; each gets it once
-    cleaned = found.dropDuplicates(["id", "key"]).select("id", "key", "text", "spans").mapInArrow(_cleaned(with_text), schema)
-    whole = rows.mapInArrow(_cleaned(with_text), schema)
+    cleaned = found.dropDuplicates(["id", "key"]).select("id", "key", "text", "spans").transform(map_texts, _cleaned(with_text), schema)
+    whole = rows.transform(map_texts, _cleaned(with_text), schema)
     new = cleaned.select("id", "key", *[F.col(c).alias(f"new_{c}") for c in cleaned.columns[2:]])
     out = whole.join(new, ["id", "key"], "left")
     pick = [F.when(F.col("new_n_words").isNull(), F.col(c)).otherwise(F.col(f"new_{c}")).alias(c) for c in cleaned.columns[2:]]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components_by_first
-from .frames import broadcast_if_small, joined_small, stored
+from .frames import broadcast_if_small, joined_small, map_texts, releasing, stored
 from .words import WORD_BASES, Words, mix, slices, split, window_hashes, window_starts
 
 BUCKETS = 224
@@ -155,7 +155,7 @@ def sketches(rows: DataFrame, shingle: int) -> DataFrame:
                 [part.column("id"), part.column("key"), pa.array(n, pa.int64()), _nodes(value, first),
                  _fixed(registers(value, first).tobytes(), len(n), 2 * BUCKETS)], ["id", "key", "n_shingles", "node", "regs"])
 
-    return rows.mapInArrow(sketch, _SKETCH)
+    return rows.transform(map_texts, sketch, _SKETCH)
 
 
 def _fixed(data: bytes, n: int, size: int, mask: np.ndarray | None = None) -> pa.Array:
@@ -274,7 +274,7 @@ def _block_task(shingle: int, least: int):
 
 
 def _dealt(texts: DataFrame, blocks: DataFrame, keys: list[str], task) -> DataFrame:
-    return stored(texts.join(blocks, "node").repartition(*keys).groupBy(*keys).applyInArrow(task, _TREE), "trees")
+    return stored(texts.join(blocks, "node").repartition(*keys).groupBy(*keys).applyInArrow(releasing(task), _TREE), "trees")
 
 
 def linked_nodes(rows: DataFrame, reps: DataFrame, shingle: int, least: int, rows_in_band: int) -> DataFrame:
@@ -290,7 +290,7 @@ def linked_nodes(rows: DataFrame, reps: DataFrame, shingle: int, least: int, row
       are compared with the family's other trees, block by block.  So what hangs together is never compared
       again, and no link is lost.
     """
-    keyed = reps.select("node", "regs").mapInArrow(_band_rows(rows_in_band), "band long, node binary")
+    keyed = reps.select("node", "regs").transform(map_texts, _band_rows(rows_in_band), "band long, node binary")
     shared = stored(keyed.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
                     .select("band", "leader"), "bands")
     family = components_by_first(joined_small(keyed, shared, ["band"]).select("node", "leader")).withColumnRenamed("label", "family")

@@ -28,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frames import map_texts
 from .linear import linear_svm, sigmoid
 from .words import slices, text_buffer
 
@@ -149,7 +150,7 @@ def _sample(rows: DataFrame) -> tuple[np.ndarray, list[str]]:
                 yield pa.RecordBatch.from_arrays([p.column("lang"), p.column("place"), pa.array([r.tobytes() for r in x], pa.binary())],
                                                  ["lang", "place", "x"])
 
-    found = some.select("lang", "place", "text").mapInArrow(vectors, "lang string, place long, x binary")
+    found = some.select("lang", "place", "text").transform(map_texts, vectors, "lang string, place long, x binary")
     taken: dict[str, list[tuple[int, bytes]]] = {}
     for r in found.toLocalIterator():
         taken.setdefault(r["lang"], []).append((r["place"], bytes(r["x"])))
@@ -182,5 +183,4 @@ def identify(df: DataFrame, trains: Column, id_col: str = "doc_id", text_col: st
                     score[~known] = 0.0
                 yield pa.RecordBatch.from_arrays([p.column("id"), pa.array(names, pa.string()), pa.array(score)], ["id", "lang_pred", "score"])
 
-    return df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(
-        predict, "id long, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).transform(map_texts, predict, "id long, lang_pred string, score double").withColumnRenamed("id", id_col)

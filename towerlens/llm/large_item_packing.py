@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import stored
+from .frames import map_texts, stored
 from .tokens import ENCODE_BYTES, encoder
 from .words import slices, text_buffer
 
@@ -131,7 +131,7 @@ def cut_pieces(df: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
             yield pa.RecordBatch.from_arrays(cols, names)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(cut, schema)
+    return df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).transform(map_texts, cut, schema)
 
 
 def _ranked(pieces: DataFrame) -> DataFrame:
@@ -167,7 +167,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranked = _ranked(pieces)
     names = [f for f in ranked.schema.fields if f.name != "rank"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in names) + ", sequence_id long, offset long"
-    return ranked.mapInArrow(place, schema)
+    return ranked.transform(map_texts, place, schema)
 
 
 def pack_documents(df: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id",

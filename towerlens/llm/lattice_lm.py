@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import stored
+from .frames import map_texts, stored
 from .words import BYTE_BASE, SPACE_SEPARATED, _LOWER, mix, powers, slices, split, text_buffer
 
 HEAD_WORDS = 100_000
@@ -220,7 +220,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
             _, first, times = np.unique(words.hashes(), return_index=True, return_counts=True)
             yield pa.RecordBatch.from_arrays([words.texts(first).cast(pa.string()), pa.array(times, pa.int64())], ["word", "n"])
 
-    return rows.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.select("text").transform(map_texts, count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -258,7 +258,7 @@ def fit(rows: DataFrame, vocabulary: str) -> tuple[Model, DataFrame]:
             yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(total[which])], ["piece", "n"])
 
         total = np.zeros(len(logp))
-        for piece, n in counts.mapInArrow(expect, "piece int, n double").groupBy("piece").agg(F.sum("n")).collect():
+        for piece, n in counts.transform(map_texts, expect, "piece int, n double").groupBy("piece").agg(F.sum("n")).collect():
             total[piece] = n          # one row per piece of the vocabulary
         logp = _refit(pieces, total, ends)
     h = split(head.column("word"), SPACE_SEPARATED).hashes() if len(times) else np.zeros(0, np.uint64)
@@ -311,7 +311,7 @@ def score(df: DataFrame, trains: Column, vocabulary: str, id_col: str = "doc_id"
                  part.column("key").take(pa.array(d))],
                 ["id", "word", "n", "n_tokens", "head_known", "head_sum", "score", "row"])
 
-    scored = rows.withColumn("key", F.monotonically_increasing_id()).select("id", "text", "key").mapInArrow(parts, _SCORED)
+    scored = rows.withColumn("key", F.monotonically_increasing_id()).select("id", "text", "key").transform(map_texts, parts, _SCORED)
     c = F.coalesce("c", F.lit(0))
     per_doc = (scored.join(counts.select("word", F.col("n").alias("c")), "word", "left")
                .select("id", "row", "n_tokens", "score",

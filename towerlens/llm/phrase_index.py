@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import broadcast_if_small, stored
+from .frames import broadcast_if_small, map_texts, stored
 from .words import ALNUM_WORDS, runs, slices, split
 
 WINDOW = 10
@@ -56,8 +56,7 @@ def _item_parts(benchmark: DataFrame, window: int, id_col: str, text_col: str) -
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
                                              ["item_id", "words"])
 
-    return benchmark.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(
-        parts, "item_id long, words array<long>")
+    return benchmark.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).transform(map_texts, parts, "item_id long, words array<long>")
 
 
 def _blocks(benchmark: DataFrame, window: int, id_col: str, text_col: str) -> Iterator[tuple[np.ndarray, list]]:
@@ -104,7 +103,7 @@ def build_index(rows: DataFrame, terms: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*lists, pa.array([where.tobytes()], pa.binary())],
                                              ["doc_ids", "keys", "n_words", "terms", "counts", "positions"])
 
-    return rows.mapInArrow(postings, INDEX)
+    return rows.transform(map_texts, postings, INDEX)
 
 
 def term_counts(index: DataFrame, n_terms: int) -> np.ndarray:
@@ -214,7 +213,7 @@ def _match_block(index: DataFrame, parts: list, frequency: np.ndarray, size: int
                      pa.ListArray.from_arrays(cut(pairs[:, 0]), pa.array(pairs[:, 1]))],
                     ["doc_id", "key", "n_words", "spans", "items"])
 
-    return index.mapInArrow(match, HITS)
+    return index.transform(map_texts, match, HITS)
 
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text",
@@ -310,7 +309,7 @@ def proximity_matches(df: DataFrame, benchmark: DataFrame, terms: int = 3, span:
                     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(items, pa.int64()), pa.array(places, pa.int64())],
                                                      ["doc_id", "item_id", "position"])
 
-        found.append(index.mapInArrow(near, "doc_id long, item_id long, position long"))
+        found.append(index.transform(map_texts, near, "doc_id long, item_id long, position long"))
     if not found:
         return df.sparkSession.createDataFrame([], "doc_id long, item_id long, position long")
     out = found[0]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import stored
+from .frames import map_texts, stored
 from .linear import lasso_logistic, sigmoid
 from .words import slices
 
@@ -166,7 +166,7 @@ def find_candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 out.append([dict(zip(("kind", "start", "end", "base", "votes", "shape"), (*c, *votes(text, *c)))) for c in candidates(text)])
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(out, kind)], ["id", "spans"])
 
-    return df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(find, _FOUND)
+    return df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).transform(map_texts, find, _FOUND)
 
 
 def reliabilities(patterns: list[str], counts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
@@ -239,7 +239,7 @@ def find_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 out.append([{"kind": KINDS[s["kind"]], **{k: s[k] for k in ("start", "end", "base", "chance")}} for s in kept])
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, kind)], ["id", "spans"])
 
-    return found.mapInArrow(decide, _SPANS).withColumnRenamed("id", id_col)
+    return found.transform(map_texts, decide, _SPANS).withColumnRenamed("id", id_col)
 
 
 def listed(spans: Column) -> Column:

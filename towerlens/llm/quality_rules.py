@@ -31,10 +31,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .frames import map_texts
 from .linear import lasso_logistic, sigmoid
 from .words import SPACE_SEPARATED, mix, slices, split, text_buffer
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 10_000
 TREES, DEPTH, RATE = 60, 3, 0.1
 BINS = 32
 KEEP_AT = 0.5
@@ -132,7 +133,7 @@ def with_statistics(df: DataFrame, text_col: str = "text", carry: list[str] | No
             m = statistics(part.column("text"))
             yield pa.RecordBatch.from_arrays([part.column("row"), *[pa.array(m[:, k]) for k in range(m.shape[1])]], ["row", *STATISTICS])
 
-    return rows.mapInArrow(compute, T.StructType([rows.schema["row"], *[T.StructField(s, T.DoubleType()) for s in STATISTICS]]))
+    return rows.transform(map_texts, compute, T.StructType([rows.schema["row"], *[T.StructField(s, T.DoubleType()) for s in STATISTICS]]))
 
 
 @dataclass(frozen=True)

@@ -15,6 +15,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from towerlens.plans.quality import Expectation, apply_expectations
 from towerlens.sources.tables import write_table
@@ -62,6 +63,12 @@ class Registry:
         return seen
 
 
+def _computed_once(df: DataFrame) -> DataFrame:
+    """The dataset behind a generator, so that the rules' filters read its columns instead of repeating how they
+    are made."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
 def run_datasets(spark: SparkSession, registry: Registry, table_of: Callable[[str], str] | None = None,
                  names: Sequence[str] | None = None, path_of: Callable[[str], str] | None = None
                  ) -> dict[str, DataFrame]:
@@ -71,7 +78,7 @@ def run_datasets(spark: SparkSession, registry: Registry, table_of: Callable[[st
     for n in registry.order(names):
         d = registry.datasets[n]
         inputs = {u: written[u] for u in d.upstream if u in written}
-        out = d.fn(spark, inputs)
+        out = _computed_once(d.fn(spark, inputs))
         kept, m = apply_expectations(out, d.rules, n)        # fail rules raise here, before the write
         if path_of is not None:
             write_table(kept, path=path_of(n), cluster_by=list(d.cluster_by) or None)

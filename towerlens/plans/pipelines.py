@@ -80,8 +80,9 @@ def with_centroid(buildings: DataFrame, geom: str = "geometry", area_col: str |
 
 
 def downtown_buildings(buildings: DataFrame, box: BBox = CORE, res: int = 9) -> DataFrame:
-    b = with_centroid(buildings)
-    b = b.filter(box.contains("centroid_lat", "centroid_lon"))
+    """Buildings in the box with centroid and cell; a silver table that has the columns is not parsed again."""
+    have = {"centroid_lon", "centroid_lat"} <= set(buildings.columns)
+    b = (buildings if have else with_centroid(buildings)).filter(box.contains("centroid_lat", "centroid_lon"))
     return b.withColumn("h3_res9_id", cell_id("centroid_lon", "centroid_lat", res))
 
 

@@ -1299,3 +1299,115 @@ FROM agg"""
 @query("conversation_features", _conversation_oracle())
 def q_conversation_features(spark, sf_dir):
     return pl.conversation_features(fx.table(spark, sf_dir, "conversations"))
+
+
+# ==================================================================== medallion chain (K7, P3, P7-P9, P12) and its feeds
+_OCID_TOWERS = f"""towers AS (
+  SELECT 1000000 + kk * 13 AS tower_id, 'T-Mobile' AS carrier,
+         CASE kk % 4 WHEN 0 THEN 'LTE' WHEN 1 THEN 'NR' WHEN 2 THEN 'GSM' ELSE 'UMTS' END AS tower_type,
+         CAST(10000 + kk % 97 AS INTEGER) AS lac_tac, 1000000 + kk * 13 AS cell_id,
+         CAST(200 + 100 * (kk % 20) AS INTEGER) AS coverage_radius_m, CAST(1 + (kk * 7) % 50 AS INTEGER) AS samples,
+         {fx.loc_lat_sql('kk + 13')} AS latitude, {fx.loc_lon_sql('kk + 13')} AS longitude
+  FROM (SELECT s_suppkey * 4 AS kk FROM supplier) WHERE kk % 50 <> 0)"""
+
+
+def _in_metro_sql(lat: str, lon: str) -> str:
+    return (f"{lat} BETWEEN {lit(METRO.lat_min)} AND {lit(METRO.lat_max)} AND {lon} BETWEEN {lit(METRO.lon_min)} AND {lit(METRO.lon_max)}")
+
+
+def _dataset(spark, sf_dir, name):
+    """Build one dataset of the chain, and all it needs, below the shared folder."""
+    from towerlens.plans.datasets import run_datasets
+    from towerlens.plans.medallion import coverage_registry
+
+    root = _csv_folder(spark, "coverage")
+    bronze = {
+        "bronze_fcc_bdc_h3": lambda s: fx.coverage_cells(s, sf_dir),
+        "bronze_building_footprints": lambda s: fx.buildings(s, sf_dir).withColumnRenamed("geometry", "wkt"),
+        "bronze_cell_towers": lambda s: _ocid(s, sf_dir),
+        "ops_app_bronze_tower_hourly_kpis": lambda s: _fed(s, sf_dir, "kpis"),
+        "ops_app_bronze_building_hourly_demand": lambda s: _fed(s, sf_dir, "demand"),
+    }
+    run_datasets(spark, coverage_registry(bronze), names=[name], path_of=lambda n: f"{root}/{n}")
+    return spark.read.parquet(f"{root}/{name}")
+
+
+def _fed(spark, sf_dir, feed: str) -> DataFrame:
+    """A bronze table filled from gzip shards by one triggered update; a second update finds nothing new."""
+    from towerlens.plans.quality import RULES
+    from towerlens.sources.files import DEMAND_COLUMNS, KPI_COLUMNS, TOWER_COLUMNS
+    from towerlens.streaming.ingest import stream_csv_dir, stream_to_table
+
+    columns, rules, rows = {
+        "kpis": (KPI_COLUMNS, "ops_app_bronze_tower_hourly_kpis", lambda: fx.raw_kpis(spark, sf_dir).drop("event_id")),
+        "demand": (DEMAND_COLUMNS, "ops_app_bronze_building_hourly_demand", lambda: fx.building_demand(spark, sf_dir).drop("order_key")),
+        "towers": (TOWER_COLUMNS, "bronze_cell_towers", lambda: fx.opencellid_rows(spark, sf_dir)),
+    }[feed]
+    root = _csv_folder(spark, feed)
+    options = {"header": "false", "compression": "gzip", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    rows().write.options(**options).csv(f"{root}/in/shards")
+    for _ in range(2):
+        stream_to_table(stream_csv_dir(spark, f"{root}/in", columns), f"{root}/table", f"{root}/checkpoint", RULES[rules])
+    return spark.read.parquet(f"{root}/table")
+
+
+@query("silver_towers", with_([_OCID_TOWERS], f"""
+SELECT tower_id, carrier, tower_type, lac_tac, cell_id, coverage_radius_m, samples, latitude, longitude FROM towers
+WHERE {_in_metro_sql('latitude', 'longitude')}"""))
+def q_silver_towers(spark, sf_dir):
+    return _dataset(spark, sf_dir, "silver_tmobile_towers_seattle").select(
+        "tower_id", "carrier", "tower_type", "lac_tac", "cell_id", "coverage_radius_m", "samples", "latitude", "longitude")
+
+
+@query("silver_buildings", with_([fx.BUILDINGS_SQL, BLD_CTE], f"""
+SELECT building_id, height, geometry, centroid_lon, centroid_lat, {cell_sql('centroid_lon', 'centroid_lat')} AS h3_res9_id
+FROM bld WHERE {_in_metro_sql('centroid_lat', 'centroid_lon')}"""))
+def q_silver_buildings(spark, sf_dir):
+    return _dataset(spark, sf_dir, "silver_building_footprints_seattle")
+
+
+@query("silver_cells", with_([fx.CELLS_SQL], f"""
+SELECT fid, technology, mindown, minup, environmnt, h3_res9_id FROM coverage_cells WHERE {_in_metro_sql(_CY, _CX)}"""))
+def q_silver_cells(spark, sf_dir):
+    return _dataset(spark, sf_dir, "silver_fcc_bdc_h3_seattle").drop("center_lat", "center_lon")
+
+
+_CHAIN_CTES = [_OCID_TOWERS if c is fx.TOWERS_SQL else c for c in GOLD_CTES]
+
+
+@query("pipeline_gold", with_(_CHAIN_CTES, f"""
+SELECT {_BUCKET_SQL} AS distance_bucket, COUNT(*) AS buildings,
+       {sround('AVG(best_download_mbps)', 1)} AS avg_download_mbps, {sround('AVG(best_upload_mbps)', 1)} AS avg_upload_mbps,
+       {sround('AVG(distance_to_tower_m)', 0)} AS avg_distance_m, {sround('AVG(provider_count)', 1)} AS avg_providers
+FROM gold WHERE best_download_mbps > 0 GROUP BY 1"""))
+def q_pipeline_gold(spark, sf_dir):
+    return _dataset(spark, sf_dir, "gold_coverage_by_distance_bucket")
+
+
+@query("stream_towers_once", with_([_OCID_CTE], "SELECT radio, mcc, net, area, cell, range_m, samples FROM ocid WHERE mcc = 310"))
+def q_stream_towers_once(spark, sf_dir):
+    return _fed(spark, sf_dir, "towers").select("radio", "mcc", "net", "area", "cell", "range_m", "samples")
+
+
+_DEMAND_OK = "building_id IS NOT NULL AND demand_users >= 0 AND indoor_penetration_factor BETWEEN 0.4e0 AND 1e0"
+
+
+@query("stream_demand_once", with_([fx.DEMAND_SQL], f"""
+SELECT building_id, CAST(event_ts AS TIMESTAMP) AS event_ts, demand_users, traffic_mix, indoor_penetration_factor
+FROM building_demand WHERE {_DEMAND_OK}"""))
+def q_stream_demand_once(spark, sf_dir):
+    return _fed(spark, sf_dir, "demand").withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+
+
+@query("overlay_from_stream", with_([*_CHAIN_CTES, fx.DEMAND_SQL, fx.RAW_KPIS_SQL, f"""d AS (
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY building_id
+    ORDER BY event_ts DESC, demand_users DESC, traffic_mix DESC, indoor_penetration_factor DESC) AS rn FROM building_demand WHERE {_DEMAND_OK})
+  WHERE rn = 1)""", """k AS (
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY tower_id ORDER BY event_ts DESC, prb_utilization_pct DESC, latency_ms DESC) AS rn
+    FROM raw_kpis WHERE """ + " AND ".join(f"coalesce({p}, false)" for _, _, p in _KPI_RULES_SQL) + """) WHERE rn = 1
+    AND packet_loss_pct BETWEEN 0 AND 100 AND throughput_mbps >= 0)"""], """
+SELECT g.building_id, g.nearest_tower_id, d.demand_users, d.traffic_mix, k.prb_utilization_pct, k.latency_ms
+FROM gold g LEFT JOIN d USING (building_id) LEFT JOIN k ON k.tower_id = g.nearest_tower_id"""))
+def q_overlay_from_stream(spark, sf_dir):
+    return _dataset(spark, sf_dir, "ops_app_gold_downtown_building_coverage").select(
+        "building_id", "nearest_tower_id", "demand_users", "traffic_mix", "prb_utilization_pct", "latency_ms")

@@ -68,13 +68,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder made by ``shared_folder``."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 BROADCAST_BYTES = 48 << 20
 
 

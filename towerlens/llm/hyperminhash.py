@@ -366,8 +366,10 @@ def _components(rows: DataFrame, found: DataFrame, shingle: int, least: int, row
     of = (least_id.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     smallest = of.groupBy("label").agg(F.min("least_id").alias("component_id"))
     by_node = of.join(smallest, "label").select("node", "component_id")
-    return found.select("id", "key", "n_shingles", "node").join(by_node, "node", "left").withColumn(
-        "component_id", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")))
+    rest = found.select("id", "key", "n_shingles", "node")
+    # texts without shingles have no node to join on, and would all meet in one task
+    some = rest.filter("node is not null").join(by_node, "node").select("id", "key", "n_shingles", "component_id")
+    return some.unionByName(rest.filter("node is null").select("id", "key", "n_shingles", F.col("id").alias("component_id")))
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: int = 80,

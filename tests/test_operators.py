@@ -4,7 +4,7 @@ import pytest
 import towerlens.operators.nearest as nearest_module
 from pyspark.sql import functions as F
 
-from towerlens.operators.latest import latest_per_key, latest_per_key_window
+from towerlens.operators.latest import latest_per_key
 from tests.nearest_plain import nearest_bruteforce
 from towerlens.operators.nearest import nearest
 from towerlens.operators.skew import salted_join
@@ -96,6 +96,20 @@ def test_contains_join_equals_bruteforce(spark):
     assert counts.count() == 6
 
 
+def latest_per_key_window(df, keys, ts, tie):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(*keys).orderBy(F.col(ts).desc(), F.col(tie).desc())
+    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+
+def test_salted_left_join_keeps_null_keys(spark):
+    big = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    small = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    got = salted_join(big, small, ["k"], "left", hot_rows=100, fraction=0.5)
+    assert rows(got.na.fill(-1), "v", "w") == rows(big.join(small, "k", "left").na.fill(-1), "v", "w")
+
+
 def test_latest_per_key_matches_window(spark):
     df = spark.range(2000).select((F.col("id") % 37).alias("k"), (F.col("id") % 11).alias("ts"),
                                   F.col("id").alias("tie"), (F.col("id") * 3).alias("v"))

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from towerlens.operators.skew import DEFAULT_BROADCAST_ROWS, checkpointed, row_count_at_most, salted_join
+from towerlens.operators.skew import broadcast_row_limit, checkpointed, row_count_at_most, salted_join
 
 
 def best_per_cell(cells: DataFrame, key: str = "h3_res9_id", distinct_on: str | None = None) -> DataFrame:
@@ -34,16 +34,19 @@ def best_per_cell(cells: DataFrame, key: str = "h3_res9_id", distinct_on: str |
 
 
 def keyed_left_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salt_cols: Sequence[str] | None = None,
-                    hot_rows: int | None = None) -> DataFrame:
+                    broadcast_rows: int | None = None, salt_cols: Sequence[str] | None = None,
+                    hot_rows: int | None = None, store: bool = True) -> DataFrame:
     """Equi-join a big side to a keyed side; broadcast only behind a proven size.
 
     The keyed side is written once as a checkpoint: the size proof counts the
     written rows and the join reads them, so the keyed side's (often
-    aggregated) plan runs a single time.
+    aggregated) plan runs a single time.  ``store=False`` is for a plain
+    table, which costs nothing to read twice.
     """
-    small = checkpointed(small)
-    if row_count_at_most(small, broadcast_rows) is not None:
+    if store:
+        small = checkpointed(small)
+    limit = broadcast_row_limit(small) if broadcast_rows is None else broadcast_rows
+    if row_count_at_most(small, limit) is not None:
         return big.join(F.broadcast(small), list(keys), how)
     kw = {"hot_rows": hot_rows} if hot_rows else {}
     return salted_join(big, small, keys, how, salt_cols=salt_cols, **kw)
@@ -75,4 +78,4 @@ def cell_join(points: DataFrame, cells: DataFrame, key: str = "h3_res9_id", how:
     join spreads hot cells.
     """
     right = cells.select(key, *cell_cols)
-    return keyed_left_join(points, right, [key], how, **kw)
+    return keyed_left_join(points, right, [key], how, store=False, **kw)

@@ -27,12 +27,3 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str, tie: str | None
     packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest]).alias("_r")
     agg = df.groupBy(*keys).agg(F.max(packed).alias("_r"))
     return agg.select(*keys, *[F.col("_r")[c].alias(c) for c in order + rest]).select(*df.columns)
-
-
-def latest_per_key_window(df: DataFrame, keys: Sequence[str], ts: str, tie: str | None = None) -> DataFrame:
-    """The reference's window form (for differential tests)."""
-    from pyspark.sql import Window
-
-    order = [F.col(ts).desc()] + ([F.col(tie).desc()] if tie else [])
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

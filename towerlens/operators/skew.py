@@ -2,8 +2,9 @@
 
 Two rules the operators follow:
 
-* a side is broadcast only after its size is *proven* by a count against a
-  limit (``broadcast_if_small``); otherwise the join shuffles;
+* a side is broadcast only after its size is *proven*: its rows are counted
+  against what a limit in bytes allows for rows of that width
+  (``broadcast_row_limit``); otherwise the join shuffles;
 * a shuffled join on a key that can be hot (a grid cell, a polygon tile, a
   coverage cell) salts the hot keys: the big side's rows of a hot key are
   spread over ``n`` sub-keys and the small side's rows of that key are
@@ -20,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 64 << 20
 DEFAULT_HOT_ROWS = 2_000_000          # rows per key that one task should handle
 DEFAULT_SAMPLE_FRACTION = 0.01
 
@@ -51,11 +52,10 @@ def row_count_at_most(df: DataFrame, limit: int) -> int | None:
     return n if n <= limit else None
 
 
-def broadcast_if_small(df: DataFrame, limit_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast-hint ``df`` only when its row count is proven <= ``limit_rows``."""
-    if row_count_at_most(df, limit_rows) is not None:
-        return F.broadcast(df), True
-    return df, False
+def broadcast_row_limit(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> int:
+    """How many rows of this width fit in a broadcast (40 bytes for a text, 16 for anything else)."""
+    width = sum(40 if f.dataType.typeName() in ("string", "binary") else 16 for f in df.schema.fields)
+    return max_bytes // max(width, 1)
 
 
 def spread(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
@@ -102,8 +102,13 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     hot = hot if hot is not None else hot_keys(big, keys, hot_rows, fraction)
     hot_b = F.broadcast(hot)
     salt_src = [F.col(c) for c in (salt_cols or big.columns)]
+    # rows with a NULL key match nothing; they are spread too, instead of meeting in one task
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
     b = (big.join(hot_b, keys, "left")
-         .withColumn("_salt", F.when(F.col("_n_salt").isNull(), F.lit(0))
+         .withColumn("_salt", F.when(null_key, F.pmod(F.xxhash64(*salt_src), F.lit(1024)).cast("int"))
+                     .when(F.col("_n_salt").isNull(), F.lit(0))
                      .otherwise(F.pmod(F.xxhash64(*salt_src), F.col("_n_salt")).cast("int")))
          .drop("_n_salt"))
     s = (small.join(hot_b, keys, "left")

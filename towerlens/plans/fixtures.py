@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from towerlens.functions.cells import cell_center, cell_id, cell_id_sql
+from towerlens.functions.cells import cell_id, cell_id_sql
 from towerlens.functions.exprcache import cached_frame
 
 # Derivation constants (see FIXTURES.md).
@@ -168,13 +168,6 @@ def coverage_cells(spark: SparkSession, sf_dir: str, res: int = 9) -> DataFrame:
     return out
 
 
-@cached_frame
-def coverage_cells_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = coverage_cells(spark, sf_dir)
-    c = cell_center(F.col("h3_res9_id"))
-    return cells.withColumn("center_lat", c["y"]).withColumn("center_lon", c["x"])
-
-
 CELLS_SQL = f"""coverage_cells AS (
   SELECT p_partkey AS fid, 400 + 100 * (p_partkey % 2) AS technology,
          CASE WHEN p_size < 15 THEN 7 WHEN p_size < 40 THEN 35 ELSE 100 END AS mindown,

@@ -87,15 +87,6 @@ def apply_expectations(df: DataFrame, rules: Sequence[Expectation], dataset: str
     return (df.filter(keep) if keep is not None else df), metrics
 
 
-def dropped_rows(df: DataFrame, rules: Sequence[Expectation], null_passes: bool = False) -> DataFrame:
-    """Rows removed by the drop rules (for auditing)."""
-    keep = None
-    for r in rules:
-        if r.action == DROP:
-            keep = _ok(r, null_passes) if keep is None else keep & _ok(r, null_passes)
-    return df.filter(~keep) if keep is not None else df.limit(0)
-
-
 def observe_expectations(df: DataFrame, rules: Sequence[Expectation], name: str = "expectations",
                          null_passes: bool = False):
     """Attach per-rule violation counters to a (batch or streaming) DataFrame with ``observe``."""

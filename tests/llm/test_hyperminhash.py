@@ -65,6 +65,22 @@ def test_null_ids_and_empty_table(spark):
     assert hmh.near_duplicates(empty).collect() == [] and hmh.drop_near_duplicates(empty).collect() == []
 
 
+def test_near_copies_of_rows_without_id(spark):
+    words = lambda c: [f"{c}{k}" for k in range(60)]
+    near = lambda c, *at: " ".join("zz" if k in at else w for k, w in enumerate(words(c)))
+    rows = [(1, near("a")), (None, near("a", 30)),                                      # a near copy without id
+            (2, near("b")), (3, near("b", 0)), (None, near("b")),                       # a set shared with a row without id
+            (4, near("c", 20)), (None, near("c")), (5, near("c", 40)),                  # joined only by a set of a row without id
+            *[(None, near("d", k)) for k in (0, 0, 30, 59)], (None, "alone " * 9)]      # no id at all
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((str(r["doc_id"]), r["component_id"]) for r in hmh.near_duplicates(df).collect()), key=str)
+    assert got == sorted([("1", 1), ("None", 1), ("2", 2), ("3", 2), ("None", 2), ("4", 4), ("None", 4), ("5", 4)] + 5 * [("None", None)], key=str)
+    left = hmh.drop_near_duplicates(df, shingle=3, least=85).collect()
+    assert sorted(r["doc_id"] for r in left if r["doc_id"] is not None) == [1, 2, 4]
+    no_id = {r["text"] for r in left if r["doc_id"] is None}
+    assert len(no_id) == 2 and "alone " * 9 in no_id and any("d1 " in t for t in no_id)
+
+
 def test_estimate_is_close(spark):
     rng = random.Random(1)
     texts = [r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(40).collect()]

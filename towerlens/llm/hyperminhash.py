@@ -300,7 +300,11 @@ def linked_nodes(rows: DataFrame, reps: DataFrame, shingle: int, least: int, row
                     .select("family", blocks.alias("blocks")).filter("blocks > 1"), "large")
     members = stored(sized.join(broadcast_if_small(extent), "family", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
                      .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "members")
-    texts = stored(joined_small(rows, members.select("id", "key", "node"), ["id", "key"]).select("node", "text"), "texts")
+    # null-safe, as a set whose rows all have no id is known by one of them
+    at = broadcast_if_small(members.select(F.col("id").alias("at_id"), F.col("key").alias("at_key"), "node"))
+    texts = stored(rows.join(at, [rows["key"] == at["at_key"], rows["id"].eqNullSafe(at["at_id"])]).select("node", "text"), "texts")
+    if texts.count() > members.count():     # repeated rows, or copies without id: one text of each set is enough
+        texts = stored(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
 
     task = _block_task(shingle, least)
     none = F.lit(None).cast("binary").alias("tree")
@@ -356,29 +360,33 @@ def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _components(rows: DataFrame, found: DataFrame, shingle: int, least: int, rows_in_band: int) -> DataFrame:
-    # one row for each distinct set, combined before the shuffle: copies go no further
+    # one row for each distinct set (with an id if any has one), combined before the shuffle: copies go no further
     reps = (found.filter("node is not null").groupBy("node")
-            .agg(F.min(F.struct("id", "key")).alias("at"), F.first("regs").alias("regs"), F.first("n_shingles").alias("n_shingles"))
+            .agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("at"), F.first("regs").alias("regs"), F.first("n_shingles").alias("n_shingles"))
             .select("node", F.col("at.id").alias("id"), F.col("at.key").alias("key"), "regs", "n_shingles"))
     reps = stored(reps, "sets")
     labels = linked_nodes(rows, reps, shingle, least, rows_in_band)
-    least_id = found.filter("node is not null").groupBy("node").agg(F.min("id").alias("least_id"))
-    of = (least_id.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
-    smallest = of.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    by_node = of.join(smallest, "label").select("node", "component_id")
+    # a set's representative has the set's smallest id
+    of = reps.select("node", "id", "key").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    smallest = of.groupBy("label").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("at")).select(
+        "label", F.col("at.id").alias("component_id"), F.col("at.key").alias("component_key"))
+    by_node = of.join(smallest, "label").select("node", "component_id", "component_key")
     rest = found.select("id", "key", "n_shingles", "node")
     # texts without shingles have no node to join on, and would all meet in one task
-    some = rest.filter("node is not null").join(by_node, "node").select("id", "key", "n_shingles", "component_id")
-    return some.unionByName(rest.filter("node is null").select("id", "key", "n_shingles", F.col("id").alias("component_id")))
+    some = rest.filter("node is not null").join(by_node, "node").select("id", "key", "n_shingles", "component_id", "component_key")
+    return some.unionByName(rest.filter("node is null").select(
+        "id", "key", "n_shingles", F.col("id").alias("component_id"), F.col("key").alias("component_key")))
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: int = 80,
                          rows_in_band: int = 6) -> DataFrame:
-    """The input's rows and columns, with one row (of the smallest id) of each component."""
+    """The input's rows and columns, with one row (of the smallest id) of each component.
+
+    Of a component without any id the row whose text has the smallest hash stays."""
     rows = _rows(df, id_col, text_col)
     found = stored(sketches(rows, shingle), "sketches")
     out = _components(rows, found, shingle, least, rows_in_band)
-    gone = out.filter(~F.col("id").eqNullSafe(F.col("component_id")))
+    gone = out.filter(~F.col("id").eqNullSafe(F.col("component_id")) | F.col("id").isNull() & (F.col("key") != F.col("component_key")))
     gone = stored(gone.select("id", "key").distinct(), "dropped")
     name = "__near_duplicate_row"
     packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))

@@ -84,6 +84,17 @@ def test_language_defined_cases(spark):
     assert language_tree.identify(df.limit(0), F.lit(True)).collect() == []
 
 
+def test_language_sample_is_of_distinct_texts(spark):
+    hot = [(f"hot words of {w}", "en") for w in "abcdef" for _ in range(2000)]
+    rare = [(f"{'xyz'[k % 3]}{k} rare words", "de") for k in range(3)] * 20_000
+    spelt = lambda k: "".join("abcdefghij"[int(c)] for c in str(k))
+    many = [(f"text number {spelt(k)}", "fr") for k in range(1500)] + [("copy copy", "fr")] * 5000
+    df = spark.createDataFrame(hot + rare + many, "text string, lang string").repartition(4)
+    x, langs = language_tree._sample(df)
+    assert {k: langs.count(k) for k in set(langs)} == {"en": 6, "de": 3, "fr": language_tree.SAMPLE_PER_LANGUAGE}
+    assert len(np.unique(x, axis=0)) >= len(x) - 5 and len(x) == len(langs)
+
+
 def test_linear_models():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, 8)).astype(np.float32)

@@ -4,8 +4,8 @@ Features are hashed byte n-grams (1 to 3) of the lower-cased text with all
 ASCII that is no letter read as a space, as square roots of shares.  Linear
 support vector machines, one against the rest, pick the language family; within
 it one machine for each pair of languages votes.  All weights are learned on
-the driver from a bounded sample: at most ``SAMPLE_PER_LANGUAGE`` documents of
-each language, chosen by a hash of the text.  Predicting reads whole texts.
+the driver from a bounded sample: at most ``SAMPLE_PER_LANGUAGE`` distinct texts
+of each language, chosen by a hash of the text.  Predicting reads whole texts.
 
 Families of known language codes are listed below; a language that is not
 listed is a family of its own.
@@ -25,7 +25,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import map_texts
@@ -133,32 +133,40 @@ def fit_tree(x: np.ndarray, langs: list[str]) -> Tree:
 
 
 def _sample(rows: DataFrame) -> tuple[np.ndarray, list[str]]:
-    """Features and languages of the training sample."""
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}   # one row a language
+    """Features and languages of the training sample: of each language's distinct texts those of the least places."""
+    place = F.pmod(F.xxhash64("text"), F.lit(1_000_003))
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n")).collect()}   # one row a language
     if not counts:
         return np.zeros((0, DIMENSIONS), np.float32), []
-    # twice the wanted number by a threshold on a hash, so that no language needs a sort or one task
+    # about twice the wanted number by a threshold on a hash, so that no language needs a sort of all its rows
     share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, 2 * SAMPLE_PER_LANGUAGE / n))])
-    place = F.pmod(F.xxhash64("text"), F.lit(1_000_003))
     some = rows.withColumn("place", place).filter(F.col("place") < F.element_at(share, F.col("lang")) * 1_000_003)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[str, int]] = set()       # copies go no further than their task
         for part in slices(batches, "text"):
+            keys = list(zip(part.column("lang").to_pylist(), part.column("hash").to_pylist()))
+            new = []
+            for k, key in enumerate(keys):
+                if key not in seen:
+                    seen.add(key)
+                    new.append(k)
+            part = part.take(pa.array(new, pa.int64()))
             for at in range(0, part.num_rows, _DOCS):
                 p = part.slice(at, _DOCS)
                 x = (features(p.column("text")) * 255).round().astype(np.uint8)      # coarse, so that the sample stays small
-                yield pa.RecordBatch.from_arrays([p.column("lang"), p.column("place"), pa.array([r.tobytes() for r in x], pa.binary())],
-                                                 ["lang", "place", "x"])
+                yield pa.RecordBatch.from_arrays([p.column("lang"), p.column("place"), p.column("hash"), pa.array([r.tobytes() for r in x], pa.binary())],
+                                                 ["lang", "place", "hash", "x"])
 
-    found = some.select("lang", "place", "text").transform(map_texts, vectors, "lang string, place long, x binary")
-    taken: dict[str, list[tuple[int, bytes]]] = {}
-    for r in found.toLocalIterator():
-        taken.setdefault(r["lang"], []).append((r["place"], bytes(r["x"])))
+    found = some.select("lang", "place", "hash", "text").transform(map_texts, vectors, "lang string, place long, hash long, x binary")
+    found = found.groupBy("lang", "place", "hash").agg(F.first("x").alias("x"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("place", "hash"))
+    found = found.withColumn("nth", nth).filter(F.col("nth") <= SAMPLE_PER_LANGUAGE)
     x, langs = [], []
-    for lang in sorted(taken):
-        mine = sorted(taken[lang])[:SAMPLE_PER_LANGUAGE]
-        x += [v for _, v in mine]
-        langs += [lang] * len(mine)
+    for r in sorted(found.select("lang", "nth", "x").collect(), key=lambda r: (r["lang"], r["nth"])):
+        x.append(bytes(r["x"]))
+        langs.append(r["lang"])
     m = np.frombuffer(b"".join(x), np.uint8).reshape(-1, DIMENSIONS).astype(np.float32)
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9), langs
 

@@ -75,6 +75,18 @@ def test_empty_tables(spark):
     assert phrase_index.drop_contaminated(docs, bench.limit(0)).count() == 2
 
 
+@pytest.mark.parametrize("block", [400_000, 12])
+def test_items_without_id(spark, monkeypatch, block):
+    monkeypatch.setattr(phrase_index, "BLOCK_WORDS", block)
+    items = [(None, "one two three"), (None, "four five six"), (7, "one two three"), (-2, "seven eight nine"), (None, None)]
+    docs = [(1, "x one two three x"), (2, "four five six one two three"), (3, "seven eight nine"), (4, "four five six"), (5, "x"), (6, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: (sum(s["end"] - s["start"] for s in r["spans"]), r["items"]) for r in phrase_index.phrase_matches(df, bench).collect()}
+    assert got == {1: (3, [7, None]), 2: (6, [7, None]), 3: (3, [-2]), 4: (3, [None]), 5: (0, []), 6: (0, [])}
+    assert sorted(r["doc_id"] for r in phrase_index.drop_contaminated(df, bench).collect()) == [5, 6]
+
+
 def test_proximity(spark):
     docs = [(1, "alpha x x beta x x gamma"), (2, "gamma beta " + "x " * 50 + "alpha"), (3, "beta gamma alpha " + "x " * 40 + "alpha"), (4, None)]
     df = spark.createDataFrame(docs, "doc_id long, text string")

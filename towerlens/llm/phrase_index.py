@@ -16,7 +16,8 @@ Words are compared by 64-bit hashes, so a window of ten words by 640 bits.
 Defined cases: null texts have no words; an item without words has no window,
 an item shorter than a window is one window; documents without words are
 returned with zeros; repeated rows are returned as often as they occur;
-repeated items count once each time their ``item_id`` differs; an empty
+repeated items count once each time their ``item_id`` differs; items without
+an ``item_id`` count as one item, null, the last in ``items``; an empty
 benchmark or document table gives zeros or no rows; further columns are not
 read.
 """
@@ -115,9 +116,15 @@ def term_counts(index: DataFrame, n_terms: int) -> np.ndarray:
     return out
 
 
+def _names(parts: list) -> list:
+    """The distinct item ids in order, a null one last."""
+    return sorted({item for item, _ in parts}, key=lambda item: (item is None, item or 0))
+
+
 def _windows(parts: list, frequency: np.ndarray, size: int) -> list[tuple]:
-    """Distinct windows by their length: terms, offsets by rarity, and the items that hold each."""
+    """Distinct windows by their length: terms, offsets by rarity, and the places in ``_names`` of the items that hold each."""
     out = []
+    place = {item: k for k, item in enumerate(_names(parts))}
     by_length: dict[int, list] = {}
     for item, words in parts:
         n = min(size, len(words))
@@ -125,7 +132,7 @@ def _windows(parts: list, frequency: np.ndarray, size: int) -> list[tuple]:
         by_length.setdefault(n, []).append((item, w))
     for n, found in by_length.items():
         every = np.concatenate([w for _, w in found])
-        owner = np.repeat([item for item, _ in found], [len(w) for _, w in found]).astype(np.int64)
+        owner = np.repeat([place[item] for item, _ in found], [len(w) for _, w in found]).astype(np.int64)
         distinct, which = np.unique(every, axis=0, return_inverse=True)
         occurs = (frequency[distinct] > 0).all(axis=1)       # others cannot occur in any document
         pairs = np.unique(np.stack([which.ravel(), owner], axis=1), axis=0)
@@ -181,10 +188,11 @@ class _Slice:
 
 
 def _match_block(index: DataFrame, parts: list, frequency: np.ndarray, size: int) -> DataFrame:
-    shared = index.sparkSession.sparkContext.broadcast((_windows(parts, frequency, size), len(frequency)))
+    shared = index.sparkSession.sparkContext.broadcast((_windows(parts, frequency, size), _names(parts), len(frequency)))
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows, n_terms = shared.value
+        windows, names, n_terms = shared.value
+        names = pa.array(names, pa.int64())
         for batch in batches:
             for k in range(batch.num_rows):
                 get = lambda c: batch.column(c)[k].values.to_numpy(zero_copy_only=False)  # noqa: E731, B023
@@ -210,7 +218,7 @@ def _match_block(index: DataFrame, parts: list, frequency: np.ndarray, size: int
                 cut = lambda keys: pa.array(np.searchsorted(keys, np.arange(n_docs + 1)).astype(np.int32))  # noqa: E731, B023
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_ids")[k].values, batch.column("keys")[k].values, pa.array(n_words), pa.ListArray.from_arrays(cut(doc), spans),
-                     pa.ListArray.from_arrays(cut(pairs[:, 0]), pa.array(pairs[:, 1]))],
+                     pa.ListArray.from_arrays(cut(pairs[:, 0]), names.take(pa.array(pairs[:, 1])))],
                     ["doc_id", "key", "n_words", "spans", "items"])
 
     return index.transform(map_texts, match, HITS)

@@ -84,3 +84,11 @@ def test_reliabilities_find_the_good_labeler():
     assert chance[1, 0, 0] > 0.9 > chance[1, 2, 0]
     sure = dict(zip(patterns, post))
     assert np.mean([(sure[v] > 0.5) == t for v, t in zip(votes, truth)]) > 0.93
+
+
+def test_masking_of_rows_that_share_an_id(spark):
+    rows = [(1, "mail a.b@example.com now"), (1, "nothing here to hide, c.d@example.com"), (None, "x e.f@example.com"), (None, "plain"), (None, None), (1, "mail a.b@example.com now")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(str, map(tuple, pii_votes.masked(df).collect())))
+    want = [(1, "mail [email] now"), (1, "mail [email] now"), (1, "nothing here to hide, [email]"), (None, "x [email]"), (None, "plain"), (None, "")]
+    assert got == sorted(map(str, want))

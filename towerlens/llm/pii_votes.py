@@ -249,8 +249,10 @@ def listed(spans: Column) -> Column:
 
 def masked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id and the text with every span replaced by its kind in brackets."""
+    key = "__pii_row"       # rows that share an id, or have none, are told apart by their texts
     keyed = df.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").alias("text"))
-    spans = find_spans(df, id_col, text_col)
+    keyed = keyed.withColumn(key, F.xxhash64(F.col(f"`{id_col}`"), F.col("text")))
+    spans = find_spans(keyed, key, "text").dropDuplicates([key])
     cut = F.aggregate(F.reverse("spans"), F.coalesce("text", F.lit("")), lambda t, s: F.concat(
         F.substring(t, F.lit(1), s["start"]), F.lit("["), s["kind"], F.lit("]"), F.substring(t, s["end"] + 1, F.length(t))))
-    return keyed.join(spans.dropDuplicates([id_col]), keyed[id_col].eqNullSafe(spans[id_col])).select(keyed[id_col], cut.alias("text"))
+    return keyed.join(spans, key).select(id_col, cut.alias("text"))

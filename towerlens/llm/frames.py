@@ -84,6 +84,6 @@ def broadcast_if_small(found: DataFrame) -> DataFrame:
     return F.broadcast(found) if 4 * size <= BROADCAST_BYTES else found
 
 
-def joined_small(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join of many rows with a stored frame of finds, see ``broadcast_if_small``."""
-    return rows.join(broadcast_if_small(found), keys)
+def joined_small(rows: DataFrame, found: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join of many rows with a stored frame of finds, see ``broadcast_if_small``."""
+    return rows.join(broadcast_if_small(found), keys, how)

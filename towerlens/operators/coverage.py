@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from towerlens.operators.skew import broadcast_row_limit, checkpointed, row_count_at_most, salted_join
+from towerlens.operators.skew import proven_small, row_count_at_most, salted_join, written
 
 
 def best_per_cell(cells: DataFrame, key: str = "h3_res9_id", distinct_on: str | None = None) -> DataFrame:
@@ -38,15 +38,15 @@ def keyed_left_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how:
                     hot_rows: int | None = None, store: bool = True) -> DataFrame:
     """Equi-join a big side to a keyed side; broadcast only behind a proven size.
 
-    The keyed side is written once as a checkpoint: the size proof counts the
+    The keyed side is written once: the size proof adds up the bytes of the
     written rows and the join reads them, so the keyed side's (often
     aggregated) plan runs a single time.  ``store=False`` is for a plain
-    table, which costs nothing to read twice.
+    table, which costs nothing to read twice.  ``broadcast_rows`` replaces
+    the limit in bytes by one in rows.
     """
-    if store:
-        small = checkpointed(small)
-    limit = broadcast_row_limit(small) if broadcast_rows is None else broadcast_rows
-    if row_count_at_most(small, limit) is not None:
+    if store or not small.inputFiles():
+        small = written(small, "keyed")
+    if proven_small(small) if broadcast_rows is None else row_count_at_most(small, broadcast_rows) is not None:
         return big.join(F.broadcast(small), list(keys), how)
     kw = {"hot_rows": hot_rows} if hot_rows else {}
     return salted_join(big, small, keys, how, salt_cols=salt_cols, **kw)

@@ -2,9 +2,8 @@
 
 Two rules the operators follow:
 
-* a side is broadcast only after its size is *proven*: its rows are counted
-  against what a limit in bytes allows for rows of that width
-  (``broadcast_row_limit``); otherwise the join shuffles;
+* a side is broadcast only after its size is *proven*: the bytes of its values
+  are added up (``proven_small``); otherwise the join shuffles;
 * a shuffled join on a key that can be hot (a grid cell, a polygon tile, a
   coverage cell) salts the hot keys: the big side's rows of a hot key are
   spread over ``n`` sub-keys and the small side's rows of that key are
@@ -16,6 +15,7 @@ Two rules the operators follow:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -46,18 +46,55 @@ def checkpointed(df: DataFrame) -> DataFrame:
         df.unpersist()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame as Parquet below the checkpoint folder and read it back.  Like a checkpoint this cuts the lineage
+    at files that all executors share; it is columnar, and its size is known (``file_bytes``)."""
+    from towerlens.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def file_bytes(df: DataFrame) -> int:
+    """Bytes of the files that a frame reads."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(f) for f in df.inputFiles()]
+    return sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths)
+
+
+def memory_bytes(df: DataFrame) -> int:
+    """Bytes that the values of a frame take, one pass: texts by their length, nested values by that of their JSON
+    form, anything else and every row's header by 16.  Files alone prove little, as equal values are stored once."""
+    width = F.lit(16 * (1 + len(df.columns))).cast("long")
+    for f in df.schema.fields:
+        column, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
+        if kind in ("string", "binary", "varchar", "char"):
+            width = width + F.coalesce(F.octet_length(column), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+    return df.agg(F.sum(width)).first()[0] or 0
+
+
+def proven_small(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether a frame that reads files takes at most ``max_bytes`` in memory.  A frame of large files is told by their
+    size alone."""
+    limit = BROADCAST_BYTES if max_bytes is None else max_bytes
+    return 4 * file_bytes(df) <= limit and memory_bytes(df) <= limit
+
+
+def broadcast_if_proven(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """A ``written`` frame, marked for broadcast only if it is proven small.  Beyond that joins shuffle; rows are the same."""
+    return F.broadcast(df) if proven_small(df, max_bytes) else df
+
+
 def row_count_at_most(df: DataFrame, limit: int) -> int | None:
     """Exact row count if it is <= limit, else None (reads at most limit+1 rows)."""
     n = df.limit(limit + 1).count()
     return n if n <= limit else None
 
 
-def broadcast_row_limit(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> int:
-    """How many rows of this width fit in a broadcast (40 bytes for a text, 16 for anything else)."""
-    width = sum(40 if f.dataType.typeName() in ("string", "binary") else 16 for f in df.schema.fields)
-    return max_bytes // max(width, 1)
-
-
 def spread(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Give CPU-heavy per-row work at least one partition per core.
 

@@ -154,7 +154,7 @@ def test_stream_fail_rule_stops_batch(spark):
 def test_latest_per_key_stream_matches_batch(spark):
     from towerlens.operators.latest import latest_per_key
     from towerlens.sources.files import KPI_COLUMNS
-    from towerlens.streaming.ingest import latest_per_key_stream, latest_version, stream_csv_dir
+    from towerlens.streaming.ingest import latest_per_key_stream, read_latest, stream_csv_dir
 
     root = tempfile.mkdtemp(prefix="tl-latest-")
     _write_gz(spark, [("1", "2024-01-01 00:00:00", "50", "10", "0.1", "200"),
@@ -165,7 +165,7 @@ def test_latest_per_key_stream_matches_batch(spark):
                       ("2", "2024-01-01 01:00:00", "20", "10", "0.1", "260")], f"{root}/in/s2")
     latest_per_key_stream(stream_csv_dir(spark, f"{root}/in", KPI_COLUMNS), ["tower_id"], "event_ts", None,
                           f"{root}/state", f"{root}/ckpt")
-    got = spark.read.parquet(latest_version(spark, f"{root}/state"))
+    got = read_latest(spark, f"{root}/state")
     allrows = spark.read.schema("a string, b string, c string, d string, e string, f string").csv(f"{root}/in",
                                                                                                  recursiveFileLookup=True)
     from towerlens.sources.files import typed

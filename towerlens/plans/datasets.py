@@ -3,22 +3,24 @@
 ``@dataset`` registers a function ``fn(spark, inputs) -> DataFrame`` under a
 name, with its upstream names, expectation rules and clustering columns.
 ``run_datasets`` builds them in dependency order (a depth-first walk over the
-declared upstreams -- no scheduler), applies each dataset's rules (fail rules
-raise before anything of that dataset is written) and overwrites its table.
-Downstream datasets read the written upstream tables, so each dataset's plan
-starts from materialized data.
+declared upstreams -- no scheduler).  A dataset is written beside its place
+while its rules are counted, and published by a rename if no fail rule is
+broken, else removed: one pass, and readers never see a failed dataset.
+Downstream datasets read the published ones, so each plan starts from
+materialized data.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from towerlens.plans.quality import Expectation, apply_expectations
-from towerlens.sources.tables import write_table
+from towerlens.plans.quality import COUNTS, Expectation, Watched
+from towerlens.sources import shared
+from towerlens.sources.tables import FILE_BYTES, clustered
 
 
 @dataclass
@@ -63,29 +65,49 @@ class Registry:
         return seen
 
 
-def _computed_once(df: DataFrame) -> DataFrame:
-    """The dataset behind a generator, so that the rules' filters read its columns instead of repeating how they
-    are made."""
-    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+def publish(df: DataFrame, rules: Sequence[Expectation], path: str, dataset: str = "", cluster_by: Sequence[str] = (),
+            file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Write a dataset beside its place, counting its rules on the way, and put it there only if no fail rule is broken.
+
+    The dataset's plan runs once.  A layout is made from the written rows, whose size decides the number of files.
+    Returns the counts, one row a rule."""
+    spark = df.sparkSession
+    beside = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    watched = Watched(df, rules, dataset)
+    try:
+        watched.rows.write.parquet(beside)
+        watched.check()
+        done = beside
+        if cluster_by:
+            done = f"{beside}-ordered"
+            files = max(1, -(-shared.folder_bytes(spark, beside) // file_bytes))
+            clustered(spark.read.schema(df.schema).parquet(beside), cluster_by, files).write.parquet(done)
+        shared.replace(spark, done, path)
+    finally:
+        shared.delete(spark, beside)
+    return spark.createDataFrame(watched.counts(), COUNTS)
 
 
 def run_datasets(spark: SparkSession, registry: Registry, table_of: Callable[[str], str] | None = None,
                  names: Sequence[str] | None = None, path_of: Callable[[str], str] | None = None
                  ) -> dict[str, DataFrame]:
-    """Build, check and write datasets in dependency order; returns the metrics per dataset."""
-    metrics: dict[str, DataFrame] = {}
-    written: dict[str, DataFrame] = {}
+    """Build, check and publish datasets in dependency order; returns the counts of each dataset's rules.
+
+    With ``path_of`` a dataset is a folder.  Otherwise it is a table, whose files lie in a folder of that name below
+    the warehouse; the table is put on the published folder."""
+    counts: dict[str, DataFrame] = {}
+    published: dict[str, DataFrame] = {}
     for n in registry.order(names):
         d = registry.datasets[n]
-        inputs = {u: written[u] for u in d.upstream if u in written}
-        out = _computed_once(d.fn(spark, inputs))
-        kept, m = apply_expectations(out, d.rules, n)        # fail rules raise here, before the write
+        out = d.fn(spark, {u: published[u] for u in d.upstream if u in published})
         if path_of is not None:
-            write_table(kept, path=path_of(n), cluster_by=list(d.cluster_by) or None)
-            written[n] = spark.read.parquet(path_of(n))
+            counts[n] = publish(out, d.rules, path_of(n), n, d.cluster_by)
+            published[n] = spark.read.schema(out.schema).parquet(path_of(n))
         else:
             table = table_of(n) if table_of else n
-            write_table(kept, table, cluster_by=list(d.cluster_by) or None)
-            written[n] = spark.read.table(table)
-        metrics[n] = m
-    return metrics
+            path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/published/{table}"
+            counts[n] = publish(out, d.rules, path, n, d.cluster_by)
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            spark.catalog.createTable(table, path=path, source="parquet", schema=out.schema)
+            published[n] = spark.read.table(table)
+    return counts

@@ -17,6 +17,7 @@ from towerlens.functions.geo import centroid, materialize, multipolygon_parts, p
 from towerlens.operators.coverage import cell_coverage_join, cell_join
 from towerlens.operators.latest import latest_per_key
 from towerlens.operators.nearest import nearest
+from towerlens.operators.quantiles import exact_percentiles
 from towerlens.operators.skew import checkpointed
 from towerlens.operators.spatial_join import contains_join
 
@@ -260,12 +261,13 @@ def class_summary(df: DataFrame, keys, value: str, value_alias: str, decimals: i
                                  F.round(F.avg(value), decimals).alias(value_alias))
 
 
-def describe_numeric(df: DataFrame, col: str, quantiles=(0.05, 0.95)) -> DataFrame:
-    """Min / median / max / quantiles / sum of one column (exact percentiles)."""
+def describe_numeric(df: DataFrame, col: str, quantiles=(0.05, 0.95), **kw) -> DataFrame:
+    """Min / median / max / quantiles / sum of one column (exact percentiles, see ``operators.quantiles``)."""
     c = F.col(col)
-    return df.agg(F.min(c).alias("min"), F.median(c).alias("median"), F.max(c).alias("max"),
-                  *[F.percentile(c, q).alias(f"p{int(round(q * 100)):02d}") for q in quantiles],
-                  F.sum(c).alias("sum"))
+    ends = df.agg(F.min(c).alias("min"), F.max(c).alias("max"), F.sum(c).alias("sum"), F.lit(1).alias("_one"))
+    names = [f"p{int(round(q * 100)):02d}" for q in quantiles]
+    ranks = exact_percentiles(df, [], [("median", c, 0.5), *zip(names, [c] * len(names), quantiles)], **kw).withColumn("_one", F.lit(1))
+    return ends.join(ranks, "_one").select("min", "median", "max", *names, "sum")
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:

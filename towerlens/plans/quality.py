@@ -1,16 +1,18 @@
 """Data-quality expectations: warn, drop and fail rules.
 
-A rule is (name, predicate, action).  All rules of a dataset are evaluated in
-one aggregation pass (one ``count_if`` per rule), which yields the metrics
-table; ``drop`` rules become one filter; ``fail`` rules raise before anything
-is written.  A rule passes only when its predicate is TRUE (NULL is a
-violation) unless ``null_passes=True``.
+A rule is (name, predicate, action).  ``Watched`` counts all rules of a dataset
+while its rows are written, so a table and its counts take one pass; what
+breaks a ``fail`` rule is never published.  ``expectation_metrics`` counts a
+frame that is not written.  ``drop`` rules become one filter.  A rule passes
+only when its predicate is TRUE (NULL is a violation) unless
+``null_passes=True``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,21 +82,39 @@ def apply_expectations(df: DataFrame, rules: Sequence[Expectation], dataset: str
         if bad:
             detail = ", ".join(f"{b['rule']} ({b['failed']} rows)" for b in bad)
             raise ExpectationFailed(f"{dataset}: expectation failed: {detail}")
-    keep = None
-    for r in rules:
-        if r.action == DROP:
-            keep = _ok(r, null_passes) if keep is None else keep & _ok(r, null_passes)
-    return (df.filter(keep) if keep is not None else df), metrics
+    return dropped(df, rules, null_passes), metrics
 
 
-def observe_expectations(df: DataFrame, rules: Sequence[Expectation], name: str = "expectations",
-                         null_passes: bool = False):
-    """Attach per-rule violation counters to a (batch or streaming) DataFrame with ``observe``."""
-    from pyspark.sql import Observation
+def dropped(df: DataFrame, rules: Sequence[Expectation], null_passes: bool = False) -> DataFrame:
+    """The rows that all drop rules let through."""
+    keep = [_ok(r, null_passes) for r in rules if r.action == DROP]
+    return df.filter(reduce(lambda a, b: a & b, keep)) if keep else df
 
-    obs = Observation(name)
-    observed = df.observe(obs, *[F.count_if(~_ok(r, null_passes)).alias(r.name) for r in rules])
-    return observed, obs
+
+class Watched:
+    """Rows that are counted by rule while something else reads them: ``rows`` has the drop rules applied behind the
+    counters, so one pass (the write of those rows) gives the table and the counts."""
+
+    def __init__(self, df: DataFrame, rules: Sequence[Expectation], dataset: str = "", null_passes: bool = False):
+        from pyspark.sql import Observation
+
+        self.rules, self.dataset, self._seen = list(rules), dataset, Observation()
+        counts = [F.count_if(~_ok(r, null_passes)).alias(f"f{i}") for i, r in enumerate(self.rules)]
+        self.rows = dropped(df.observe(self._seen, F.count(F.lit(1)).alias("n"), *counts), rules, null_passes)
+
+    def counts(self) -> list[tuple[str, str, str, int, int]]:
+        """Dataset, rule, action, passed and failed, once the rows have been read to their end."""
+        seen = self._seen.get
+        return [(self.dataset, r.name, r.action, seen["n"] - seen[f"f{i}"], seen[f"f{i}"]) for i, r in enumerate(self.rules)]
+
+    def check(self) -> None:
+        """Raise if a fail rule was broken."""
+        bad = [f"{name} ({failed} rows)" for _, name, action, _, failed in self.counts() if action == FAIL and failed]
+        if bad:
+            raise ExpectationFailed(f"{self.dataset}: expectation failed: {', '.join(bad)}")
+
+
+COUNTS = "dataset string, rule string, action string, passed long, failed long"
 
 
 # ------------------------------------------------------------------ rule catalogue

@@ -4,29 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from towerlens.operators.skew import file_bytes as file_bytes_of
+from towerlens.operators.skew import written
+
+
+FILE_BYTES = 128 << 20
+_CURVE_BITS = 20
+
+
+def curve_key(df: DataFrame, columns: Sequence[str]) -> Column | None:
+    """Place of a row on a curve that keeps rows near each other in all of ``columns`` together: bits of each column's
+    position between its outer percentiles, taken in turn.  None if a column is not numeric or there is only one."""
+    kinds = [df.schema[c].dataType for c in columns]
+    if len(columns) < 2 or not all(isinstance(k, T.NumericType) for k in kinds):
+        return None
+    bits = min(_CURVE_BITS, 62 // len(columns))
+    ends = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), [0.005, 0.995], 1000).alias(f"e{i}") for i, c in enumerate(columns)]).first()
+    key = F.lit(0).cast("long")
+    for i, c in enumerate(columns):
+        low, high = ends[i] or (0.0, 1.0)
+        share = (F.col(f"`{c}`").cast("double") - low) / ((high - low) or 1.0)
+        cell = F.coalesce(F.least(F.greatest(F.floor(share * 2.0 ** bits), F.lit(0)), F.lit(2 ** bits - 1)), F.lit(0)).cast("long")
+        for b in range(bits):
+            key = key + F.shiftleft(F.shiftright(cell, b).bitwiseAND(F.lit(1)), b * len(columns) + i)
+    return key
 
-def scan_table(spark: SparkSession, name: str) -> DataFrame:
-    """Read a table by (possibly qualified) name."""
-    return spark.read.table(name)
+
+def clustered(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
+    """Rows in ``files`` ranges, so that statistics of files and row groups prune on every one of ``columns``: by place on
+    a curve over several numeric columns, else by their order."""
+    key = curve_key(df, columns)
+    if key is None:
+        return df.repartitionByRange(files, *columns).sortWithinPartitions(*columns)
+    return df.withColumn("_curve", key).repartitionByRange(files, "_curve").sortWithinPartitions("_curve").drop("_curve")
 
 
 def write_table(df: DataFrame, name: str | None = None, *, path: str | None = None, fmt: str = "parquet",
-                overwrite_schema: bool = False, files: int | None = None,
+                overwrite_schema: bool = False, files: int | None = None, file_bytes: int = FILE_BYTES,
                 cluster_by: Sequence[str] | None = None, partition_by: Sequence[str] | None = None) -> None:
     """K1/K4/K5/K6: overwrite a managed table (or a path).
 
-    ``files`` fixes the file count (``repartition``); ``cluster_by`` lays
-    rows out by range of the given columns and sorts within files so that
-    per-file min/max statistics prune reads on those columns.
+    ``files`` fixes the file count.  ``cluster_by`` lays rows out so that reads which filter on those columns open few
+    files (see ``clustered``); without ``files`` the rows are written once as they come, and their size decides how many
+    files of ``file_bytes`` they take (cutting into ranges would run the plan twice anyway, to find the cuts).
     """
     out = df
     if cluster_by:
-        n = files or max(1, df.sparkSession.sparkContext.defaultParallelism)
-        out = out.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+        if not files:
+            out = written(df, "unordered")
+            files = max(1, -(-file_bytes_of(out) // file_bytes))
+        out = clustered(out, cluster_by, files)
     elif files:
         out = out.repartition(files)
     w = out.write.mode("overwrite").format(fmt)
@@ -42,18 +73,18 @@ def write_table(df: DataFrame, name: str | None = None, *, path: str | None = No
         w.saveAsTable(name)
 
 
+def file_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row for each file of a table: path, rows, and least and largest value of each of ``columns``."""
+    ends = [f(F.col(f"`{c}`")).alias(f"{f.__name__}_{c}") for c in columns for f in (F.min, F.max)]
+    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"), *ends)
+
+
 def ctas(spark: SparkSession, name: str, query: str, **kw) -> DataFrame:
     """K3: create-or-replace a table from a query (written through ``write_table``)."""
     write_table(spark.sql(query), name, **kw)
     return spark.read.table(name)
 
 
-def register_views(frames: Mapping[str, DataFrame]) -> None:
-    """K9: register DataFrames as temporary views for SQL."""
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)
-
-
 def use_namespace(spark: SparkSession, schema: str, create: bool = True) -> None:
     """CREATE SCHEMA IF NOT EXISTS + USE."""
     if create:

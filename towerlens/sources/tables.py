@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,25 +15,49 @@ from towerlens.operators.skew import written
 
 
 FILE_BYTES = 128 << 20
-_CURVE_BITS = 20
+_CURVE_BITS = 16
+_CUTS = 256
+
+
+def hilbert_place(cells: np.ndarray, bits: int) -> np.ndarray:
+    """Place on a Hilbert curve of points of a grid, ``(n, dimensions)`` integers below ``2 ** bits``.  Neighbours on the
+    curve are neighbours on the grid, so a stretch of the curve is a compact region (Skilling's transform of axes)."""
+    x = cells.astype(np.int64).T.copy()
+    for q in (1 << b for b in range(bits - 1, 0, -1)):
+        for i in range(len(x)):
+            flip = (x[i] & q) != 0
+            swap = np.where(flip, 0, (x[0] ^ x[i]) & (q - 1))
+            x[0] ^= np.where(flip, q - 1, swap)
+            x[i] ^= swap
+    for i in range(1, len(x)):
+        x[i] ^= x[i - 1]
+    turn = np.zeros(x.shape[1], np.int64)
+    for q in (1 << b for b in range(bits - 1, 0, -1)):
+        turn ^= np.where(x[-1] & q, q - 1, 0)
+    x ^= turn
+    place = np.zeros(x.shape[1], np.int64)
+    for b in range(bits - 1, -1, -1):
+        for axis in x:
+            place = place << 1 | axis >> b & 1
+    return place
 
 
 def curve_key(df: DataFrame, columns: Sequence[str]) -> Column | None:
-    """Place of a row on a curve that keeps rows near each other in all of ``columns`` together: bits of each column's
-    position between its outer percentiles, taken in turn.  None if a column is not numeric or there is only one."""
-    kinds = [df.schema[c].dataType for c in columns]
-    if len(columns) < 2 or not all(isinstance(k, T.NumericType) for k in kinds):
+    """Place of a row on a Hilbert curve over ``columns``, each by its rank among the column's quantiles, so that crowded
+    regions are cut as finely as they are full.  None if a column is not numeric or there is only one."""
+    if len(columns) < 2 or not all(isinstance(df.schema[c].dataType, T.NumericType) for c in columns):
         return None
     bits = min(_CURVE_BITS, 62 // len(columns))
-    ends = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), [0.005, 0.995], 1000).alias(f"e{i}") for i, c in enumerate(columns)]).first()
-    key = F.lit(0).cast("long")
-    for i, c in enumerate(columns):
-        low, high = ends[i] or (0.0, 1.0)
-        share = (F.col(f"`{c}`").cast("double") - low) / ((high - low) or 1.0)
-        cell = F.coalesce(F.least(F.greatest(F.floor(share * 2.0 ** bits), F.lit(0)), F.lit(2 ** bits - 1)), F.lit(0)).cast("long")
-        for b in range(bits):
-            key = key + F.shiftleft(F.shiftright(cell, b).bitwiseAND(F.lit(1)), b * len(columns) + i)
-    return key
+    wide = [F.col(f"`{c}`").cast("double") for c in columns]
+    cuts = df.agg(*[F.percentile_approx(F.when(~F.isnan(c), c), [i / _CUTS for i in range(_CUTS + 1)], 5000).alias(f"q{i}") for i, c in enumerate(wide)]).first()
+    known = [np.unique(np.asarray(q if q else [0.0])) for q in cuts]
+
+    @F.pandas_udf("long")
+    def place(*values: pd.Series) -> pd.Series:
+        ranks = [np.interp(np.nan_to_num(v.to_numpy(float), nan=q[0]), q, np.linspace(0, 2 ** bits - 1, len(q))) for v, q in zip(values, known)]
+        return pd.Series(hilbert_place(np.stack(ranks, axis=1).astype(np.int64), bits))
+
+    return place(*wide)
 
 
 def clustered(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:

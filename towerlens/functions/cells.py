@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -96,18 +97,30 @@ def sql_double(v: float) -> str:
     return f"({s})" if s.startswith("-") else s
 
 
-def cell_center(key, ref_lat: float = DEFAULT_REF_LAT) -> Column:
-    """Centre of a hexagonal cell -> struct<x: lon, y: lat>."""
-    parts = F.split(_c(key), ":")
-    res = parts.getItem(0).cast("int")
-    q = parts.getItem(1).cast("double")
-    r = parts.getItem(2).cast("double")
+def center_degrees(q, r, res, ref_lat: float = DEFAULT_REF_LAT) -> tuple[Column, Column]:
+    """Longitude and latitude of a cell's centre from its two indexes (as DOUBLE)."""
     s = F.lit(RES9_EDGE_M) * F.pow(F.lit(math.sqrt(APERTURE)), F.lit(9) - res)
     x = s * (F.lit(math.sqrt(3.0)) * q + F.lit(math.sqrt(3.0) / 2.0) * r)
     y = s * F.lit(1.5) * r
-    kx = EARTH_RADIUS_M * DEG2RAD * math.cos(math.radians(ref_lat))
-    ky = EARTH_RADIUS_M * DEG2RAD
-    return F.struct((x / F.lit(kx)).alias("x"), (y / F.lit(ky)).alias("y"))
+    k = plane_constants(9, ref_lat)
+    return x / F.lit(k["kx"]), y / F.lit(k["ky"])
+
+
+def cell_center(key, ref_lat: float = DEFAULT_REF_LAT) -> Column:
+    """Centre of a hexagonal cell -> struct<x: lon, y: lat>."""
+    parts = F.split(_c(key), ":")
+    x, y = center_degrees(parts.getItem(1).cast("double"), parts.getItem(2).cast("double"), parts.getItem(0).cast("int"), ref_lat)
+    return F.struct(x.alias("x"), y.alias("y"))
+
+
+def own_cells(cell_fn):
+    """A user's cell ids as a Column function: ``cell_fn(lon, lat)`` maps two pandas Series of degrees to one of ids (a
+    geocoder's vectorised call, say), and runs on Arrow batches.  NULL coordinates are handed on as NaN."""
+    @F.pandas_udf("string")
+    def cells(lon: pd.Series, lat: pd.Series) -> pd.Series:
+        return pd.Series(cell_fn(lon, lat), index=lon.index).astype("string")
+
+    return lambda lon, lat: cells(_c(lon).cast("double"), _c(lat).cast("double"))
 
 
 def cell_boundary_wkt(key, ref_lat: float = DEFAULT_REF_LAT) -> Column:

@@ -1412,4 +1412,4 @@ def q_overlay_from_stream(spark, sf_dir):
         "building_id", "nearest_tower_id", "demand_users", "traffic_mix", "prb_utilization_pct", "latency_ms")
 
 
-from towerlens import queries_storage  # noqa: E402,F401  (registers its queries here)
+from towerlens import queries_geometry, queries_storage  # noqa: E402,F401  (they register their queries here)

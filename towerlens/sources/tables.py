@@ -127,6 +127,15 @@ def preview(df: DataFrame, n: int = 1000) -> DataFrame:
     return df.limit(n)
 
 
+def text_lengths(name: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """the longest text of each column, and how many texts there are, in one pass."""
+    wide = df.agg(*[f(F.length(F.col(f"`{c}`")) if f is F.max else F.col(f"`{c}`")).alias(f"{f.__name__}{i}")
+                    for i, c in enumerate(columns) for f in (F.max, F.count)])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"max{i}").alias("longest"), F.col(f"count{i}").alias("n"))
+                     for i, c in enumerate(columns)])
+    return wide.select(F.lit(name).alias("table_name"), F.inline(rows))
+
+
 def table_summary(spark: SparkSession, tables: Mapping[str, DataFrame | str]) -> DataFrame:
     """One row per table -- name, rows, column count, column names.
 

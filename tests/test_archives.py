@@ -1,104 +1,83 @@
-"""GeoPackage-in-zip reader: all rows, partitioned, and with the bbox pushed to the R-tree."""
+"""Zipped shapefiles and GeoPackages: several archives in one read, bounded chunks, damaged files."""
 
 import os
 import sqlite3
 import tempfile
 import zipfile
 
+import pytest
 
-def _make_gpkg_zip(rows):
-    d = tempfile.mkdtemp(prefix="tl-gpkg-")
-    db = os.path.join(d, "cells.gpkg")
-    con = sqlite3.connect(db)
-    con.execute("CREATE TABLE cells (fid INTEGER PRIMARY KEY, technology INTEGER, mindown INTEGER, h3_res9_id TEXT)")
-    con.execute("CREATE VIRTUAL TABLE rtree_cells_geom USING rtree(id, minx, maxx, miny, maxy)")
-    for fid, tech, down, key, x, y in rows:
-        con.execute("INSERT INTO cells VALUES (?, ?, ?, ?)", (fid, tech, down, key))
-        con.execute("INSERT INTO rtree_cells_geom VALUES (?, ?, ?, ?, ?)", (fid, x - 0.001, x + 0.001, y - 0.001, y + 0.001))
-    con.commit()
-    con.close()
-    z = os.path.join(d, "cells.zip")
-    with zipfile.ZipFile(z, "w", zipfile.ZIP_DEFLATED) as zf:
-        zf.write(db, "cells.gpkg")
-    return z
-
-
-def test_gpkg_zip_reader(spark):
-    from towerlens.sources.archives import register_archive_sources
-
-    register_archive_sources(spark)
-    rows = [(i, 400 + 100 * (i % 2), 7 * (i % 3), f"9:{i}:{-i}", -122.5 + i * 0.01, 47.4 + i * 0.01) for i in range(1, 101)]
-    z = _make_gpkg_zip(rows)
-    ddl = "fid long, technology int, mindown int, h3_res9_id string"
-    df = (spark.read.format("gpkg_zip").schema(ddl).option("path", z).option("table", "cells")
-          .option("partitions", "5").load())
-    assert df.rdd.getNumPartitions() == 5
-    got = sorted(tuple(r) for r in df.collect())
-    assert got == [(f, t, m, k) for f, t, m, k, _, _ in rows]
-    boxed = (spark.read.format("gpkg_zip").schema("fid long").option("path", z).option("table", "cells")
-             .option("bbox", "-122.3,47.5,-122.1,47.7").load())
-    want = {f for f, _, _, _, x, y in rows if x + 0.001 >= -122.3 and x - 0.001 <= -122.1
-            and y + 0.001 >= 47.5 and y - 0.001 <= 47.7}
-    assert {r["fid"] for r in boxed.collect()} == want
-
-
-def _make_shp_zip(shapes):
-    """Write a polygon shapefile (shapes: list of (height_text, rings or None)) into a zip."""
-    import struct
-
-    recs = []
-    for i, (_, rings) in enumerate(shapes, start=1):
-        if rings is None:
-            content = struct.pack("<i", 0)
-        else:
-            pts = [p for r in rings for p in r]
-            parts, k = [], 0
-            for r in rings:
-                parts.append(k)
-                k += len(r)
-            xs, ys = [p[0] for p in pts], [p[1] for p in pts]
-            content = (struct.pack("<i4d2i", 5, min(xs), min(ys), max(xs), max(ys), len(rings), len(pts))
-                       + struct.pack(f"<{len(parts)}i", *parts)
-                       + struct.pack(f"<{2 * len(pts)}d", *[c for p in pts for c in p]))
-        recs.append(struct.pack(">ii", i, len(content) // 2) + content)
-    body = b"".join(recs)
-
-    def header(length_words):
-        return struct.pack(">i20xi", 9994, length_words) + struct.pack("<ii4d32x", 1000, 5, 0, 0, 0, 0)
-
-    shp = header((100 + len(body)) // 2) + body
-    offs, pos = [], 100
-    for r in recs:
-        offs.append(struct.pack(">ii", pos // 2, (len(r) - 8) // 2))
-        pos += len(r)
-    shx = header((100 + 8 * len(recs)) // 2) + b"".join(offs)
-    width = 10
-    dbf = (struct.pack("<4BIHH20x", 3, 26, 1, 1, len(shapes), 32 + 32 + 1, 1 + width)
-           + b"HEIGHT".ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([width, 0]) + b"\0" * 14 + b"\r"
-           + b"".join(b" " + h.encode().ljust(width) for h, _ in shapes) + b"\x1a")
-    d = tempfile.mkdtemp(prefix="tl-shp-")
-    z = os.path.join(d, "bldg.zip")
-    with zipfile.ZipFile(z, "w", zipfile.ZIP_DEFLATED) as zf:
-        zf.writestr("bldg_footprints.shp", shp)
-        zf.writestr("bldg_footprints.shx", shx)
-        zf.writestr("bldg_footprints.dbf", dbf)
-    return z
-
-
-def test_shp_zip_reader(spark):
-    from towerlens.sources.archives import register_archive_sources
-
-    register_archive_sources(spark)
-    sq = [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]]
-    holed = [[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0)],
-             [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 1.0)]]
-    tiny = [[(0.0, 0.0), (1.0, 0.0), (0.0, 0.0)]]
-    shapes = [("12.5", sq), ("x", holed), ("", tiny), ("7", None)] * 5
-    z = _make_shp_zip(shapes)
-    df = spark.read.format("shp_zip").option("path", z).option("prefix", "bldg_footprints").option(
-        "partitions", "3").load()
-    rows = df.collect()
+from towerlens.plans.fixtures import shapefile_zip
+from towerlens.sources import archives as A
+
+SQUARE = [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]]
+HOLED = [[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0)], [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 1.0)]]
+TINY = [[(0.0, 0.0), (1.0, 0.0), (0.0, 0.0)]]
+
+
+def folder(**files):
+    d = tempfile.mkdtemp(prefix="tl-zip-")
+    for name, data in files.items():
+        os.makedirs(os.path.dirname(os.path.join(d, name)) or d, exist_ok=True)
+        with open(os.path.join(d, f"{name}.zip"), "wb") as f:
+            f.write(data)
+    return d
+
+
+def test_shapes_and_attributes(spark):
+    d = folder(a=shapefile_zip(["12.5", "x", "", "7"] * 5, [SQUARE, HOLED, TINY, None] * 5))
+    rows = A.building_footprints(spark, d, "bldg_footprints").collect()
     assert len(rows) == 20
-    assert rows[0]["height"] == 12.5 and rows[0]["wkt"] == "POLYGON ((0.0 0.0, 1.0 0.0, 1.0 1.0, 0.0 1.0, 0.0 0.0))"
-    assert rows[1]["height"] is None and rows[1]["wkt"].count("(") == 3
-    assert rows[2]["wkt"] is None and rows[3]["wkt"] is None and rows[3]["height"] == 7.0
+    by = {(r["height"], r["wkt"]) for r in rows}
+    assert (12.5, "POLYGON ((0.0 0.0, 1.0 0.0, 1.0 1.0, 0.0 1.0, 0.0 0.0))") in by and (7.0, None) in by and (None, None) in by
+    assert any(h is None and w and w.count("(") == 3 for h, w in by)
+
+
+def test_several_archives_in_chunks_of_bounded_bytes(spark, monkeypatch):
+    """Records keep their order and archive; no chunk holds more than the bound, in shapes or in attributes."""
+    monkeypatch.setattr(A, "CHUNK_BYTES", 700)
+    monkeypatch.setattr(A, "CHUNK_RECORDS", 4)
+    square = [[[(x + i, y) for x, y in r] for r in SQUARE] for i in range(50)]
+    d = folder(**{"a": shapefile_zip([str(i) for i in range(50)], square), "deep/b": shapefile_zip([f"b{i}" for i in range(9)], [HOLED] * 9),
+                  "empty": shapefile_zip([], [])})
+    chunks = [c for path in (f"{d}/a.zip", f"{d}/deep/b.zip") for c in A._chunks(path, open(path, "rb").read(), None, None)]
+    assert max(len(c[3]) for c in chunks) <= 700 and max(len(c[4]) for c in chunks) <= 4 * 13 and len(chunks) > 15
+    got = A.read_shapefiles(spark, d).collect()
+    a = sorted((r["record"], r["attribute"], r["wkt"]) for r in got if r["archive"].endswith("a.zip"))
+    assert [(r, t) for r, t, _ in a] == [(i, str(i)) for i in range(50)] and a[7][2].startswith("POLYGON ((7.0 0.0, 8.0 0.0")
+    assert sorted(r["attribute"] for r in got if r["archive"].endswith("b.zip")) == [f"b{i}" for i in range(9)] and len(got) == 59
+
+
+def test_named_field_and_wrong_names(spark):
+    d = folder(a=shapefile_zip(["1"], [SQUARE], name="one"))
+    assert A.read_shapefiles(spark, d, "one", "Height").first()["attribute"] == "1"
+    with pytest.raises(Exception, match="no attribute"):
+        A.read_shapefiles(spark, d, "one", "width")
+    with pytest.raises(Exception, match="no .shx member for two"):
+        A.read_shapefiles(spark, d, "two")
+
+
+def test_a_cut_off_member_is_an_error(spark):
+    d = folder(a=shapefile_zip(["1", "2"], [SQUARE, SQUARE]))
+    with zipfile.ZipFile(f"{d}/a.zip") as zf:
+        members = {n: zf.read(n) for n in zf.namelist()}
+    with zipfile.ZipFile(f"{d}/a.zip", "w") as zf:
+        for n, data in members.items():
+            zf.writestr(n, data[:-20] if n.endswith(".shp") else data)
+    with pytest.raises(Exception, match="bytes early"):
+        A.read_shapefiles(spark, d)
+
+
+def test_geopackages_are_copied_once(spark):
+    d = tempfile.mkdtemp(prefix="tl-gpkg-")
+    rows = [(i, 400 + 100 * (i % 2), 7.5 * (i % 3), f"9:{i}:{-i}" if i % 7 else None) for i in range(1, 101)]
+    for name, part in (("a", rows[:60]), ("b", rows[60:])):
+        con = sqlite3.connect(f"{d}/{name}.gpkg")
+        con.execute("CREATE TABLE cells (fid INTEGER PRIMARY KEY, technology INTEGER, mindown REAL, h3_res9_id TEXT)")
+        con.executemany("INSERT INTO cells VALUES (?, ?, ?, ?)", part)
+        con.commit()
+        con.close()
+        with zipfile.ZipFile(f"{d}/{name}.zip", "w", zipfile.ZIP_DEFLATED) as zf:
+            zf.write(f"{d}/{name}.gpkg", f"{name}.gpkg")
+    copy = A.import_geopackage(spark, d, "cells", "fid long, technology int, mindown double, h3_res9_id string", f"{d}/copy")
+    assert sorted(tuple(r) for r in copy.collect()) == rows

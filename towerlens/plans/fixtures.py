@@ -382,3 +382,54 @@ RAW_KPIS_SQL = """raw_kpis AS (
          300e0 - 2e0 * ((event_id * 37) % 121) AS throughput_mbps,
          event_id
   FROM events)"""
+
+
+# ------------------------------------------------------------------ footprints in zipped shapefiles
+def shapefile_zip(attributes: list[str], polygons: list[list[list[tuple[float, float]]] | None], name: str = "bldg_footprints", width: int = 12) -> bytes:
+    """A zip with one polygon shapefile and a text attribute, HEIGHT, by the public format."""
+    import io
+    import struct
+    import zipfile
+
+    records = []
+    for i, rings in enumerate(polygons, start=1):
+        content = struct.pack("<i", 0)
+        if rings is not None:
+            pts, starts = [p for r in rings for p in r], [sum(map(len, rings[:k])) for k in range(len(rings))]
+            xs, ys = zip(*pts)
+            content = struct.pack(f"<i4d2i{len(starts)}i{2 * len(pts)}d", 5, min(xs), min(ys), max(xs), max(ys), len(rings), len(pts), *starts,
+                                  *[c for p in pts for c in p])
+        records.append(struct.pack(">ii", i, len(content) // 2) + content)
+    ends = [100]
+    for r in records:
+        ends.append(ends[-1] + len(r))
+
+    def head(size: int) -> bytes:
+        return struct.pack(">i20xi", 9994, size // 2) + struct.pack("<ii4d32x", 1000, 5, 0, 0, 0, 0)
+
+    index = b"".join(struct.pack(">ii", at // 2, len(r) // 2 - 4) for at, r in zip(ends, records))
+    table = (struct.pack("<4BIHH20x", 3, 26, 1, 1, len(records), 65, 1 + width) + b"HEIGHT".ljust(11, b"\0") + b"C" + bytes(4) + bytes([width, 0])
+             + bytes(14) + b"\r" + b"".join(b" " + a.encode().ljust(width) for a in attributes) + b"\x1a")
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr(f"{name}.shp", head(ends[-1]) + b"".join(records))
+        zf.writestr(f"{name}.shx", head(100 + len(index)) + index)
+        zf.writestr(f"{name}.dbf", table)
+    return out.getvalue()
+
+
+def building_archives(spark: SparkSession, sf_dir: str, per_archive: int = 400) -> DataFrame:
+    """``path, content``: the buildings in zipped shapefiles of at most ``per_archive``, with ``id height`` as attribute."""
+    import pyarrow as pa
+
+    def pack(group: pa.Table) -> pa.Table:
+        rows = sorted(group.to_pylist(), key=lambda r: r["building_id"])
+        rings = [[[(p["x"], p["y"]) for p in ring] for ring in r["rings"]] for r in rows]
+        texts = [f"{r['building_id']}" if r["height"] is None else f"{r['building_id']} {r['height']:g}" for r in rows]
+        return pa.table({"path": [f"part-{rows[0]['part']}.zip"], "content": pa.array([shapefile_zip(texts, rings)], pa.binary())})
+
+    from towerlens.functions.geo import poly_from_wkt
+
+    shapes = buildings(spark, sf_dir).select("building_id", "height", poly_from_wkt("geometry").alias("rings"),
+                                             F.floor(F.col("building_id") / per_archive).alias("part"))
+    return shapes.groupBy("part").applyInArrow(pack, "path string, content binary")

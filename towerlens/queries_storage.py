@@ -137,3 +137,19 @@ def q_stream_reset(spark, sf_dir):
     n = update(generation(spark, f"{root}/feed")).count()
     again = update(reset_stream(spark, f"{root}/feed"))
     return again.agg(F.lit(n).cast("long").alias("n"), F.count(F.lit(1)).alias("n_after_reset"), F.count_distinct("tower_id").alias("towers"))
+
+
+# ------------------------------------------------------------------ zipped shapefiles
+@query("shapefile_archives", with_([fx.BUILDINGS_SQL, BLD_CTE], f"""
+SELECT building_id, height, {sround('centroid_lon', 7)} AS centroid_lon, {sround('centroid_lat', 7)} AS centroid_lat,
+       'part-' || (building_id // 400) || '.zip' AS archive FROM bld"""))
+def q_shapefile_archives(spark, sf_dir):
+    """The buildings, written to zipped shapefiles of 400 and read from all of them at once."""
+    from towerlens.functions.geo import centroid, materialize, poly_from_wkt
+    from towerlens.sources.archives import shapes_in
+
+    read = shapes_in(fx.building_archives(spark, sf_dir), "bldg_footprints", "height")
+    words = F.split("attribute", " ")
+    placed = materialize(read, c=centroid(poly_from_wkt("wkt")))
+    return placed.select(words.getItem(0).cast("long").alias("building_id"), F.get(words, F.lit(1)).cast("double").alias("height"),
+                         F.round("c.x", 7).alias("centroid_lon"), F.round("c.y", 7).alias("centroid_lat"), "archive")

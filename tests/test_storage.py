@@ -210,3 +210,14 @@ def test_tables_by_name(spark):
     finally:
         spark.sql("USE default")
         spark.sql("DROP SCHEMA tl_space CASCADE")
+
+
+def test_what_the_library_writes_on_its_way_can_be_removed(spark):
+    from towerlens.operators.skew import written
+    from towerlens.session import remove_intermediates, run_folder
+
+    other = spark.range(7)
+    assert written(other, "numbers").count() == 7 and shared.exists(spark, run_folder(spark))
+    remove_intermediates(spark)
+    assert not shared.exists(spark, run_folder(spark))
+    assert written(other, "numbers").count() == 7

@@ -49,10 +49,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a frame as Parquet below the checkpoint folder and read it back.  Like a checkpoint this cuts the lineage
     at files that all executors share; it is columnar, and its size is known (``file_bytes``)."""
-    from towerlens.session import ensure_checkpoint_dir
+    from towerlens.session import run_folder
 
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

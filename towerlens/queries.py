@@ -802,14 +802,11 @@ def q_expectation_tower_rules(spark, sf_dir):
                                  "packet_loss_pct, throughput_mbps FROM raw_kpis WHERE " + " AND ".join(
                                      f"coalesce({p}, false)" for _, _, p in _KPI_RULES_SQL)))
 def q_stream_kpis_once(spark, sf_dir):
-    import uuid
-
     from towerlens.plans.quality import RULES
-    from towerlens.session import ensure_checkpoint_dir
     from towerlens.sources.files import KPI_COLUMNS
     from towerlens.streaming.ingest import read_appended, stream_csv_dir, stream_to_table
 
-    root = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream-kpis-{uuid.uuid4().hex}"
+    root = _csv_folder(spark, "stream-kpis")
     raw = fx.raw_kpis(spark, sf_dir).drop("event_id")
     opts = {"header": "false", "compression": "gzip", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
     raw.filter(F.col("event_ts") < F.lit("2024-01-15").cast("timestamp_ntz")).write.options(**opts).csv(f"{root}/in/a")
@@ -939,9 +936,9 @@ def q_time_of_day(spark, sf_dir):
 
 
 def _csv_folder(spark, name):
-    from towerlens.session import ensure_checkpoint_dir
+    from towerlens.session import run_folder
 
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 _CSV_ORDERS = "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders"

@@ -61,3 +61,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="towerlens-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application below the checkpoint folder: all that the library writes on its way lies there,
+    so that ``remove_intermediates`` can take it away."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/towerlens-{spark.sparkContext.applicationId}"
+
+
+def remove_intermediates(spark: SparkSession) -> None:
+    """Remove what the library wrote on its way in this application.  For when its results have been stored or read:
+    frames that it returned read these files."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

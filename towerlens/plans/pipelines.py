@@ -373,6 +373,17 @@ def top_towers(towers_raw: DataFrame, k: int = 20) -> DataFrame:
             .orderBy(F.desc("samples"), F.asc("cell_id")).limit(k))
 
 
+def explore_towers(spark, path: str, box: BBox = METRO, country: int = 310, k: int = 20) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """From a folder of gzip tower shards to the answers: the country's towers in the box, their breakdown by
+    radio and carrier, and the k with most samples.  The shards are read once for each answer that is asked for, with
+    the columns that it needs."""
+    from towerlens.sources.files import TOWER_COLUMNS, read_headerless_csv
+
+    rows = read_headerless_csv(spark, path, TOWER_COLUMNS, glob="*.csv.gz", recursive=True)
+    here = rows.filter((F.col("mcc") == country) & box.contains("lat", "lon"))
+    return here, carrier_breakdown(here), top_towers(here, k)
+
+
 def sample_n(df: DataFrame, n: int, seed: int = 42, key_cols=None) -> DataFrame:
     """T4: reproducible sample of n rows: order by a seeded digest of the key, keep n."""
     return df.withColumn("_h", _digest([F.lit(seed), *map(F.col, key_cols or df.columns)])).orderBy("_h").limit(n).drop("_h")

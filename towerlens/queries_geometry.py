@@ -13,7 +13,7 @@ from towerlens.functions.cells import cell_boundary_wkt, cell_center, plane_cons
 from towerlens.oracle import cell_sql, sround
 from towerlens.plans import fixtures as fx
 from towerlens.plans import pipelines as pl
-from towerlens.queries import (_CX, _CY, ALLB_CTES, BDC_CTE, SITE_CTES, _ranked_sql, _sites_markets, all_buildings, lit, query, with_)
+from towerlens.queries import (_CX, _CY, _OCID_CTE, ALLB_CTES, BDC_CTE, SITE_CTES, _csv_folder, _ranked_sql, _sites_markets, all_buildings, lit, query, with_)
 
 _H = fx.MARKET_HALF_DIAGONAL
 
@@ -169,3 +169,32 @@ def q_n7_uncovered(spark, sf_dir):
     near = pl.nearest_tower(bare, fx.towers(spark, sf_dir), carry={"tower_id": "nearest_tower_id"})
     return (near.orderBy("_dist", "building_id").limit(10)
             .select("building_id", "nearest_tower_id", F.round("_dist", 1).alias("distance_to_tower_m")))
+
+
+# ------------------------------------------------------------------ towers from shards to answers
+_NEAR = pl.BBox(47.50, 47.70, -122.45, -122.20)
+_HERE_CTE = f"""here AS (
+  SELECT * FROM (SELECT o.*, {fx.loc_lat_sql('(cell - 1000000) // 13 + 13')} AS lat, {fx.loc_lon_sql('(cell - 1000000) // 13 + 13')} AS lon FROM ocid o)
+  WHERE mcc = 310 AND lat BETWEEN {lit(_NEAR.lat_min)} AND {lit(_NEAR.lat_max)} AND lon BETWEEN {lit(_NEAR.lon_min)} AND {lit(_NEAR.lon_max)})"""
+
+
+def _explored(spark, sf_dir):
+    root = _csv_folder(spark, "explore")
+    for name, part in (("a", 0), ("nested/b", 1)):
+        shard = fx.opencellid_rows(spark, sf_dir).filter(F.pmod(F.xxhash64("cell"), F.lit(2)) == part)
+        shard.write.options(header="false", compression="gzip").csv(f"{root}/{name}")
+    return pl.explore_towers(spark, root, _NEAR)
+
+
+@query("explore_towers_carriers", with_([_OCID_CTE, _HERE_CTE], f"""
+SELECT radio, net, COUNT(*) AS record_count, COUNT(DISTINCT cell) AS unique_cell_ids,
+       {sround('AVG(range_m)', 0)} AS avg_range_m, {sround('AVG(samples)', 1)} AS avg_samples FROM here GROUP BY radio, net"""))
+def q_explore_carriers(spark, sf_dir):
+    return _explored(spark, sf_dir)[1]
+
+
+@query("explore_towers_top", with_([_OCID_CTE, _HERE_CTE], """
+SELECT radio, net AS mnc, CASE net WHEN 260 THEN 'T-Mobile' WHEN 410 THEN 'AT&T' ELSE 'MNC-' || CAST(net AS VARCHAR) END AS carrier,
+       area AS lac_tac, cell AS cell_id, range_m, samples FROM here ORDER BY samples DESC, cell LIMIT 20"""))
+def q_explore_top(spark, sf_dir):
+    return _explored(spark, sf_dir)[2].drop("lon", "lat", "created_ts", "updated_ts")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -47,6 +48,7 @@ def map_texts(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
         try:
             yield from function(batches)
         finally:
+            gc.collect()
             release_memory()
 
     return df.mapInArrow(run, schema)

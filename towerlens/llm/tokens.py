@@ -20,7 +20,8 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHE_WORDS = 300_000
+CACHE_BYTES = 64 << 20        # of a cache, about; it may hold twice that (two generations)
+_ENTRY_BYTES = 200            # of a dictionary entry with two short byte strings, besides their content
 ENCODE_BYTES = 2 << 20        # of text encoded at a time
 #: a run of small ASCII letters and of bytes of other characters, and the ASCII punctuation behind it
 _STEM_AND_TAIL = re.compile(rb"([a-z\x80-\xff]+)([!-/:-@\[-`{-~]*)")
@@ -49,24 +50,27 @@ _BYTE_LETTER = dict(enumerate(_byte_letters()))
 
 
 class _Recent(dict):
-    """A cache filled by ``make``, of about ``limit`` to twice as many entries; what was not asked for lately goes."""
+    """A cache filled by ``make``, of about ``limit`` to twice as many bytes; what was not asked for lately goes.  A
+    word beyond a thousandth of the limit is not kept."""
 
     def __init__(self, limit: int, make):
         super().__init__()
-        self.limit, self.make, self.old = limit, make, {}
+        self.limit, self.make, self.old, self.held = limit, make, {}, 0
 
     def __missing__(self, key: bytes) -> bytes:
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        self[key] = value
+        size = len(key) + len(value)
+        if 1000 * size <= self.limit:
+            self[key] = value
+            self.held += size + _ENTRY_BYTES
+            if self.held > self.limit:
+                self.old = dict(self)
+                self.clear()
+                self.held = 0
         return value
 
-    def trim(self) -> None:
-        if len(self) > self.limit:
-            self.old = dict(self)
-            self.clear()
-
 
 class WordEncoder:
     """Ids of a text as bytes of unsigned 32-bit little-endian integers."""
@@ -78,9 +82,9 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
         self.by_word, self.letters_apart = _splits_on_space(path)
-        self.words = _Recent(CACHE_WORDS, self._word if self.letters_apart else self._one)
-        self.stems = _Recent(CACHE_WORDS, self._stem)
-        self.tails = _Recent(10_000, self._one)
+        self.words = _Recent(CACHE_BYTES, self._word if self.letters_apart else self._one)
+        self.stems = _Recent(CACHE_BYTES, self._stem)
+        self.tails = _Recent(CACHE_BYTES >> 4, self._one)
 
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -123,8 +127,6 @@ class WordEncoder:
             for t in texts:
                 # the tokenizer ignores case, but for special strings
                 out.append(b"".join(map(get, (t.lower() if self.letters_apart and _SPECIAL not in t else t).split())))
-            for cache in (self.words, self.stems, self.tails):
-                cache.trim()
             return out
         finally:
             if collects:
@@ -153,7 +155,7 @@ def _splits_on_space(path: str) -> tuple[bool, bool]:
     return by_word, by_word and letters and plain_model
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
-    """One encoder per Python worker and tokenizer file."""
+    """An encoder for one task.  Loading takes a fifth of a second and full caches gain nothing over empty ones after
+    a few megabytes, while workers outlive their tasks, take turns, and would each keep what they loaded."""
     return WordEncoder(path)

@@ -456,3 +456,8 @@ def point_from_wkb_hex(wkb_hex) -> Column:
     ok = (F.length(h) == 42) & (F.substring(h, 1, 2) == "01") & (F.substring(h, 3, 8) == "01000000")
     return F.when(ok, F.struct(_le_hex_to_double(F.substring(h, 11, 16)).alias("x"),
                                _le_hex_to_double(F.substring(h, 27, 16)).alias("y")))
+
+
+def point_from_wkb(wkb) -> Column:
+    """``ST_GeomFromWKB`` for a BINARY little-endian WKB point -> struct<x, y>; anything else gives NULL."""
+    return point_from_wkb_hex(F.hex(_c(wkb)))

@@ -17,7 +17,8 @@ order.  ``read_documents`` reads the images back, whole; ``read_range`` decodes
 any run of ids of one image through the block table.
 
 Defined cases: null text counts as empty; an empty text holds the end id only;
-a null identifier sorts first and is stored with a flag; repeated identifiers
+a null identifier sorts first and is stored as the least
+long, which therefore stands for none; repeated identifiers
 are stored one after the other, ordered by text; an empty table gives no file;
 further columns are not read.
 """

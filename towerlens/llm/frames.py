@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .words import forget_powers
+
 BATCH_ROWS = 1000
 _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -37,8 +39,11 @@ def releasing(function: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table],
 
 
 def map_texts(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` for rows with texts: batches of at most BATCH_ROWS rows (the session's setting is lowered to
-    that, as ten thousand long texts in a batch weigh on the JVM and on Python), and memory goes back after a task."""
+    """``mapInArrow`` for rows with texts: batches of at most BATCH_ROWS rows, as ten thousand long texts in a batch weigh
+    on the JVM and on Python, and memory goes back after a task.
+
+    Spark takes the size of batches from the session when a plan is run, so the session's setting is lowered and stays so;
+    it bounds batches only and changes no result."""
     conf = df.sparkSession.conf
     now = int(conf.get(_BATCH_SETTING, "10000") or 10000)
     if now <= 0 or now > BATCH_ROWS:
@@ -48,6 +53,7 @@ def map_texts(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
         try:
             yield from function(batches)
         finally:
+            forget_powers()
             gc.collect()
             release_memory()
 
@@ -55,10 +61,11 @@ def map_texts(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path below the folder that ``spark.checkpoint.dir`` names, for files which executors share."""
-    from towerlens.session import ensure_checkpoint_dir
+    """A new path below this application's folder in the one that ``spark.checkpoint.dir`` names, for files which
+    executors share; ``session.remove_intermediates`` removes them all."""
+    from towerlens.session import run_folder
 
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

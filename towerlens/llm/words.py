@@ -50,7 +50,7 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n, kept per process and grown by doubling."""
+    """base**i and base**-i modulo 2**64 for i < n, kept until the task's end and grown by doubling."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
         size = 1 << max(12, int(n - 1).bit_length())
@@ -67,6 +67,11 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have[0][:n], have[1][:n]
 
 
+def forget_powers() -> None:
+    """Drop the tables of powers; the next use makes them again in some milliseconds."""
+    _powers.clear()
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -109,15 +114,24 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
     def hashes(self) -> np.ndarray:
-        """A mixed 64-bit hash of each word."""
-        n = len(self.data)
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
+        """A mixed 64-bit hash of each word, from words of at most about SLICE_BYTES at a time."""
+        out = np.empty(len(self.start), np.uint64)
+        at = 0
+        while at < len(out):
+            low = int(self.start[at])
+            stop = max(int(np.searchsorted(self.end, low + SLICE_BYTES, "right")), at + 1)
+            out[at:stop] = self._hashes(self.start[at:stop] - low, self.end[at:stop] - low, self.data[low:int(self.end[stop - 1])])
+            at = stop
+        return out
+
+    @staticmethod
+    def _hashes(start: np.ndarray, end: np.ndarray, data: np.ndarray) -> np.ndarray:
+        n = len(data)
         up, down = powers(BYTE_BASE, n + 1)
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
-        h = (total[self.end] - total[self.start]) * down[self.start]
-        return mix(h + (self.end - self.start).astype(np.uint64))
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
+        h = (total[end] - total[start]) * down[start]
+        return mix(h + (end - start).astype(np.uint64))
 
     def texts(self, index: np.ndarray) -> pa.Array:
         """The chosen words as an Arrow string array."""

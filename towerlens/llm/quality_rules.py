@@ -274,13 +274,19 @@ def fit_ensemble(x: np.ndarray, y: np.ndarray) -> Ensemble:
 
 def fit(docs: DataFrame, labels: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Ensemble:
-    """Learn from the labelled rows for which ``trains`` (a condition on the label table's columns) holds."""
+    """Learn from the labelled rows for which ``trains`` (a condition on the label table's columns) holds.
+
+    The sample has at most ``sample_rows`` rows of the label table, with one text each: of documents that share an id, the
+    one whose text has the least hash.  Spark picks it before anything comes to the driver."""
     mine = (labels.filter(trains & F.col(label_col).isNotNull())
             .select(F.col(id_col).alias("label_id"), F.col(label_col).cast("double").alias("label"))
             .orderBy(F.xxhash64("label_id"), "label_id", "label").limit(sample_rows))
     rows = docs.select(F.col(f"`{id_col}`").alias("label_id"), F.col(f"`{text_col}`").alias("text"))
     # at most `sample_rows` short rows are broadcast
-    some = with_statistics(rows.join(F.broadcast(mine), "label_id"), carry=["label_id", "label"]).select("row.label_id", "row.label", *STATISTICS).toPandas()
+    one = (rows.join(F.broadcast(mine.select("label_id").distinct()), "label_id").groupBy("label_id")
+           .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")).select("label_id", "least.text")
+           .join(F.broadcast(mine), "label_id"))
+    some = with_statistics(one, carry=["label_id", "label"]).select("row.label_id", "row.label", *STATISTICS).toPandas()
     some = some.sort_values(["label_id", "label"], kind="stable")
     return fit_ensemble(some[list(STATISTICS)].to_numpy(float), (some["label"].to_numpy(float) > 0.5).astype(float))
 

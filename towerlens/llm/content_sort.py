@@ -7,7 +7,8 @@ next to each other; the window that follows compares each whole text with its
 neighbour and keeps the smallest identifier of every run.
 
 A text that a sample shows to hold a notable share of the rows is cut over
-several ranges by a salt.  Its ranges are joined through a small table (one
+several ranges by a salt of its rows' ids, and, where one id (or none) has a
+notable share of such a text, of their places in the input too.  Its ranges are joined through a small table (one
 row per such text, at most ``4 x partitions`` of them), filled by a
 pre-aggregating group-by over whole texts.
 
@@ -23,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .frames import stored
+
 #: bytes 0x20 and 0x09 to 0x0D, in runs
 WHITE = r"[\x20\x09-\x0D]+"
 PREFIX_CHARS = 64
@@ -33,21 +36,24 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE, " ")
 
 
-def _hot_texts(rows: DataFrame, partitions: int) -> DataFrame | None:
-    """Hash and salt count of the texts which a sample shows to exceed a quarter of a partition."""
+def _hot_texts(rows: DataFrame, partitions: int) -> tuple[DataFrame | None, bool]:
+    """Hash and salt count of the texts which a sample shows to exceed a quarter of a partition, and whether one id (or
+    none) has that many rows of such a text."""
     total = rows.count()
     if not total:
-        return None
+        return None, False
     share = min(1.0, SAMPLE_ROWS / total)
     sampled = max(1.0, total * share)
     least = max(3, int(sampled / (4 * partitions)))
-    counts = rows.sample(share, 17).select(F.xxhash64(normalised(F.col("text"))).alias("content"))
-    found = (counts.groupBy("content").count().filter(F.col("count") >= least)
+    counts = (rows.sample(share, 17).groupBy(F.xxhash64(normalised(F.col("text"))).alias("content"), F.xxhash64("id").alias("who"))
+              .count().groupBy("content").agg(F.sum("count").alias("count"), F.max("count").alias("most")))
+    found = (counts.filter(F.col("count") >= least)
              .withColumn("cuts", F.greatest(F.lit(2), F.ceil(F.col("count") * (4 * partitions / sampled)).cast("int")))
-             .select("content", "cuts").collect())       # at most sampled / least rows
+             .select("content", "cuts", "most").collect())       # at most sampled / least rows
     if not found:
-        return None
-    return rows.sparkSession.createDataFrame([tuple(r) for r in found], "content long, cuts int")
+        return None, False
+    hot = rows.sparkSession.createDataFrame([(r["content"], r["cuts"]) for r in found], "content long, cuts int")
+    return hot, any(r["most"] >= least for r in found)
 
 
 def _sorted_runs(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
@@ -56,13 +62,18 @@ def _sorted_runs(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")).select(
         "row", F.col("row").getField(id_col).alias("id"), F.col("row").getField(text_col).alias("text"))
-    hot = _hot_texts(rows, partitions)
+    hot, same_ids = _hot_texts(rows, partitions)
     keyed = rows.withColumn("norm", normalised(F.col("text"))).select(
         "row", "id", F.substring("norm", 1, PREFIX_CHARS).alias("prefix"), F.xxhash64("norm").alias("content"))
     keys = ["prefix", "content"]
     if hot is not None:
+        # rows of a hot text are told apart by their ids; many rows of one id by their place in the input as well, which is
+        # written first, so that every later step sees the same salts
+        place = [F.monotonically_increasing_id()] if same_ids else []
         keyed = keyed.join(F.broadcast(hot), "content", "left").withColumn("salt", F.when(F.col("cuts").isNull(), 0).otherwise(
-            F.pmod(F.xxhash64("id"), F.col("cuts"))).cast("int"))
+            F.pmod(F.xxhash64("id", *place), F.col("cuts"))).cast("int"))
+        if same_ids:
+            keyed = stored(keyed, "salted")
         keys.append("salt")
     ranged = keyed.repartitionByRange(*keys)
     # the text is normalised again after the exchange, so that it crosses it once only
@@ -78,8 +89,9 @@ def _sorted_runs(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     # whole texts are the grouping keys; each map task sends at most one row for each hot text
     groups = (keyed.filter(F.col("cuts").isNotNull())
               .groupBy(normalised(F.col("row").getField(text_col)).alias("norm"))
-              .agg(F.min("id").alias("hot_keep"), F.count(F.lit(1)).alias("hot_size"))
-              .select(F.sha2(F.col("norm").cast("binary"), 256).alias("sha"), "hot_keep", "hot_size"))
+              .agg(F.min(F.struct(F.col("id").isNull(), "id", "salt")).alias("first"), F.count(F.lit(1)).alias("hot_size"))
+              .select(F.sha2(F.col("norm").cast("binary"), 256).alias("sha"), F.col("first.id").alias("hot_keep"),
+                      F.col("first.salt").alias("hot_salt"), "hot_size"))
     return out, groups
 
 
@@ -89,7 +101,9 @@ def _resolved(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     if groups is not None:
         out = out.join(F.broadcast(groups), "sha", "left").withColumns({
             "keep": F.when(F.col("hot_size").isNull(), F.col("keep")).otherwise(F.col("hot_keep")),
-            "size": F.coalesce("hot_size", "size")})
+            "size": F.coalesce("hot_size", "size"),
+            # of a hot text the row that stays is the first one of one salt
+            "nth": F.when(F.col("hot_size").isNull() | (F.col("salt") == F.col("hot_salt")), F.col("nth")).otherwise(0)})
     return out.withColumn("kept", (F.col("nth") == 1) & F.col("id").eqNullSafe(F.col("keep")))
 
 

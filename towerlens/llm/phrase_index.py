@@ -62,7 +62,8 @@ def _item_parts(benchmark: DataFrame, window: int, id_col: str, text_col: str) -
 
 def _blocks(benchmark: DataFrame, window: int, id_col: str, text_col: str) -> Iterator[tuple[np.ndarray, list]]:
     """Items' parts, a bounded block at a time: sorted test terms and ``[(item, term numbers)]``."""
-    parts = _item_parts(benchmark, window, id_col, text_col)
+    # rows that repeat an item are one; different items of one text are dealt apart by their ids
+    parts = _item_parts(benchmark, window, id_col, text_col).distinct()
     total = parts.select(F.sum(F.size("words"))).head()[0] or 0
     if total > BLOCK_WORDS:
         parts = stored(parts, "benchmark")

@@ -41,6 +41,8 @@ from .words import BYTE_BASE, SPACE_SEPARATED, _LOWER, mix, powers, slices, spli
 HEAD_WORDS = 100_000
 HEAD_ROUNDS = 3
 PRIOR_PIECES = 1000.0        # weight of the vocabulary's own scores, in pieces
+LONG_BYTES = 8192            # longer words (texts without spaces) are worked on in stretches of this length
+HEAD_BYTES = 64              # longer words are never among the head, which so has a bounded size
 _SLICE = 4_000_000      # fewer distinct words to score than in smaller slices
 _MARK = "▁".encode()
 _LOG10 = math.log(10.0)
@@ -158,10 +160,15 @@ def _arcs(pieces: Pieces, m: np.ndarray) -> dict[int, list[tuple[int, np.ndarray
     return out
 
 
-def _forward(pieces: Pieces, m: np.ndarray, arcs: dict, logp: np.ndarray) -> np.ndarray:
+def _forward(pieces: Pieces, m: np.ndarray, arcs: dict, logp: np.ndarray, begun: np.ndarray | None = None) -> np.ndarray:
+    """Log probability of what lies before each position; ``begun`` has those of the first positions."""
     alpha = np.full((len(m), m.shape[1] + 1), -np.inf)
     alpha[:, 0] = 0.0
-    for j in range(1, m.shape[1] + 1):
+    known = 1
+    if begun is not None:
+        known = begun.shape[1]
+        alpha[:, :known] = begun
+    for j in range(known, m.shape[1] + 1):
         a = alpha[:, j - 1] + logp[pieces.byte_piece[m[:, j - 1]]]
         for size, rows, piece in arcs[j]:
             a[rows] = np.logaddexp(a[rows], alpha[rows, j - size] + logp[piece])
@@ -169,11 +176,48 @@ def _forward(pieces: Pieces, m: np.ndarray, arcs: dict, logp: np.ndarray) -> np.
     return alpha
 
 
+def _stretches(pieces: Pieces, n: int) -> list[tuple[int, int, int]]:
+    """A long word in stretches ``(from, first new position, to)``: each begins one longest piece early, so that every
+    piece that ends in it lies inside."""
+    reach = int(pieces.lengths.max(initial=1))
+    return [(max(0, at - reach), at, min(n, at + LONG_BYTES)) for at in range(0, n, LONG_BYTES)]
+
+
+def _long_forward(pieces: Pieces, word: np.ndarray, logp: np.ndarray) -> np.ndarray:
+    """``_forward`` of one long word (a matrix of one row), with the pieces of one stretch in memory at a time."""
+    alpha = np.full(word.shape[1] + 1, -np.inf)
+    alpha[0] = 0.0
+    for a, new, b in _stretches(pieces, word.shape[1]):
+        m = word[:, a:b]
+        alpha[a:b + 1] = _forward(pieces, m, _arcs(pieces, m), logp, alpha[None, a:new + 1])[0]
+    return alpha
+
+
+def _long_counts(pieces: Pieces, word: np.ndarray, logp: np.ndarray, times: float, out: np.ndarray) -> None:
+    """Adds the expected pieces of one long word, from the last stretch back."""
+    alpha = _long_forward(pieces, word, logp)
+    beta = np.full(len(alpha), -np.inf)
+    beta[-1] = 0.0
+    for a, new, b in reversed(_stretches(pieces, word.shape[1])):
+        m = word[:, a:b]
+        arcs = _arcs(pieces, m)
+        for j in range(b, new, -1):
+            one = pieces.byte_piece[m[:, j - a - 1]]
+            found = [(1, one), *((size, piece) for size, _, piece in arcs[j - a])]
+            for size, piece in found:
+                step = logp[piece[0]] + beta[j]
+                out[piece[0]] += times * np.exp(alpha[j - size] + step - alpha[-1])
+                beta[j - size] = np.logaddexp(beta[j - size], step)
+
+
 def word_logs(pieces: Pieces, logp: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Natural log of each word's probability, summed over its segmentations."""
     out = np.empty(len(start))
     for which, m in _groups(data, start, end):
-        out[which] = _forward(pieces, m, _arcs(pieces, m), logp)[:, -1]
+        if m.shape[1] > LONG_BYTES:
+            out[which] = [_long_forward(pieces, m[k:k + 1], logp)[-1] for k in range(len(m))]
+        else:
+            out[which] = _forward(pieces, m, _arcs(pieces, m), logp)[:, -1]
     return out
 
 
@@ -182,6 +226,10 @@ def expected_counts(pieces: Pieces, logp: np.ndarray, data: np.ndarray, start: n
     """How often each piece occurs, over all segmentations of the words by their probability."""
     out = np.zeros(len(logp))
     for which, m in _groups(data, start, end):
+        if m.shape[1] > LONG_BYTES:
+            for k, w in enumerate(which):
+                _long_counts(pieces, m[k:k + 1], logp, times[w], out)
+            continue
         arcs = _arcs(pieces, m)
         alpha = _forward(pieces, m, arcs, logp)
         beta = np.full(alpha.shape, -np.inf)
@@ -240,7 +288,8 @@ def fit(rows: DataFrame, vocabulary: str) -> tuple[Model, DataFrame]:
     counts = stored(word_counts(rows), "words")
     n_words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).head()
     ends = rows.count()
-    head = counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).toArrow()
+    # without the bound very long words could fill the driver; they take the join like other rare words
+    head = counts.filter(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("n"), "word").limit(HEAD_WORDS).toArrow()
     pieces = load_pieces(vocabulary)
     data, start, end = _flat(head.column("word"))
     times = head.column("n").to_numpy().astype(float)

@@ -19,7 +19,10 @@ Probes travel as packed arrays: for each
 document and bucket, four bytes per probe.  The bucket of a window follows from
 the least hash of its FINE-word windows: equal windows have equal buckets, and
 neighbouring windows mostly share one, so the number of (document, bucket)
-pairs stays far below that of windows however many buckets there are.  Anchors
+pairs stays far below that of windows however many buckets there are.  Where a
+sample shows such a least hash to be common, windows below it are dealt by the
+hash of all their words, so a short phrase that very many texts share does not
+fill one bucket.  Anchors
 may be false now and then (31 bits within a bucket); windows decide by another
 64-bit hash of all their words.
 
@@ -170,23 +173,38 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return out.withColumn("key", F.xxhash64("id", "text"))
 
 
-def _windows(word: np.ndarray, first: np.ndarray, size: int, base: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all rolling windows of ``size`` words: the first positions, the hashes, and the buckets."""
-    at = np.flatnonzero(window_starts(first, size))
+_NONE = np.zeros(0, np.uint64)
+
+
+def _least_fine(word: np.ndarray, size: int, at: np.ndarray) -> np.ndarray:
+    """The least hash of the FINE-word windows of each window of ``size`` words."""
     fine = min(FINE, size)
-    least = sliding_least(window_hashes(word, fine, WORD_BASES[2]), size - fine + 1)[at]
-    return at, window_hashes(word, size, base)[at], (mix(least, 1) % np.uint64(buckets)).astype(np.int64)
+    return sliding_least(window_hashes(word, fine, WORD_BASES[2]), size - fine + 1)[at]
+
 
+def _windows(word: np.ndarray, first: np.ndarray, size: int, base: int, buckets: int,
+             spread: np.ndarray = _NONE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all rolling windows of ``size`` words: the first positions, the hashes, and the buckets.
 
-def _hot(rows: DataFrame, size: int, base: int) -> np.ndarray:
-    """Hashes, in order, of the windows of ``size`` words that a sample shows to be common."""
+    Windows whose least fine hash is in ``spread`` are dealt by all of their words instead; equal ones still meet."""
+    at = np.flatnonzero(window_starts(first, size))
+    least, whole = _least_fine(word, size, at), window_hashes(word, size, base)[at]
+    by = np.where(_among(least, spread)[0], mix(whole, 2), mix(least, 1))
+    return at, whole, (by % np.uint64(buckets)).astype(np.int64)
+
+
+def _hot(rows: DataFrame, size: int, base: int, fine: bool = False) -> np.ndarray:
+    """Hashes, in order, of the windows of ``size`` words that a sample shows to be common, or, with ``fine``, of the
+    least FINE-word windows in them."""
     total = rows.count()
     share = min(1.0, HOT_SAMPLE / max(total, 1))
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             words = split(part.column("text"), SPACE_SEPARATED)
-            at, w, _ = _windows(words.hashes(), words.first, size, base, 1)
+            h = words.hashes()
+            at, w, _ = _windows(h, words.first, size, base, 1)
+            w = _least_fine(h, size, at) if fine else w
             once = np.unique(np.stack((words.doc[at], w.view(np.int64)), axis=1), axis=0)[:, 1]
             yield pa.RecordBatch.from_arrays([pa.array(once)], ["window"])
 
@@ -231,13 +249,16 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     buckets = max(1, -(-size // (6 * PROBES_PER_BUCKET)))       # about six characters a word
     # buckets from `buckets` on hold no windows, but pass on what is known of a document
     hot_grams = df.sparkSession.sparkContext.broadcast(_hot(rows, block, WORD_BASES[0]))
+    # a phrase too short for a common window may still be the least of very many different ones (a line at the end of
+    # texts): those would all meet in its bucket.  The least of 2 * block words is the least of some block of them
+    spread = df.sparkSession.sparkContext.broadcast(_hot(rows, block, WORD_BASES[0], fine=True))
     hot = _hot(rows, 2 * block, WORD_BASES[1]) if len(hot_grams.value) else np.zeros(0, np.uint64)
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealer = _Dealer(2 * buckets)
         for part in slices(batches, "text"):
             words = split(part.column("text"), SPACE_SEPARATED)
-            at, g, bucket = _windows(words.hashes(), words.first, block, WORD_BASES[0], buckets)
+            at, g, bucket = _windows(words.hashes(), words.first, block, WORD_BASES[0], buckets, spread.value)
             common, _ = _among(g, hot_grams.value)
             ids, keys = part.column("id").to_numpy(), part.column("key").to_numpy()
             marked = np.unique(words.doc[at[common]])
@@ -260,7 +281,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for part in slices(batches, "text"):
             words = split(part.column("text"), SPACE_SEPARATED)
             h = words.hashes()
-            at, g, bucket = _windows(h, words.first, block, WORD_BASES[0], buckets)
+            at, g, bucket = _windows(h, words.first, block, WORD_BASES[0], buckets, spread.value)
             common, _ = _among(g, hot_grams.value)
             hit = np.zeros(len(words.start) + 1, np.int32)
             hit[at[common] + 1] = 1
@@ -279,7 +300,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 found = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a)
                 hit[at[order[a:b][found.astype(bool)]] + 1] = 1
             seen = np.cumsum(hit)
-            full, w, bucket = _windows(h, words.first, 2 * block, WORD_BASES[1], buckets)
+            full, w, bucket = _windows(h, words.first, 2 * block, WORD_BASES[1], buckets, spread.value)
             # a window is of interest if a probe inside it met an anchor
             near = seen[full + block] > seen[full]
             full, w, bucket = full[near], w[near], bucket[near]

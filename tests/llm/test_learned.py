@@ -104,3 +104,49 @@ def test_linear_models():
     v = lasso_logistic(x, (y > 0).astype(float), 0.02)
     assert set(np.flatnonzero(np.abs(v[:-1]) > 0.05)) == {0, 3}
     assert ((sigmoid(x @ v[:-1] + v[-1]) > 0.5) == (y > 0)).mean() > 0.95
+
+
+def plain_features(text):
+    """Hashed n-gram counts of one text, byte by byte."""
+    low = [c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in (text or "").lower().encode()]
+    counts = [0] * language_tree.DIMENSIONS
+    for n in (1, 2, 3):
+        for i in range(len(low) - n + 1):
+            gram = low[i:i + n]
+            if gram[0] != 0x20 or gram[-1] != 0x20:
+                code = 0
+                for c in gram:
+                    code = (code * 257 + c) & 0xFFFFFFFF
+                counts[((code * 0x9E3779B1 + n * 0x85EBCA6B) & 0xFFFFFFFF) >> 21] += 1
+    x = [c ** 0.5 for c in counts]
+    norm = sum(v * v for v in x) ** 0.5
+    return [v / max(norm, 1e-9) for v in x]
+
+
+def plain_language(tree, text):
+    """Family by the largest margin, language by the pairs' votes, the surer one on ties."""
+    if not any(c.isalpha() for c in text or ""):
+        return "und"
+    x = plain_features(text)
+    dot = lambda w: sum(a * float(b) for a, b in zip(x, w) if a)
+    margins = [dot(tree.family_w[:, k]) + float(tree.family_b[k]) for k in range(len(tree.families))]
+    family = tree.families[max(range(len(margins)), key=margins.__getitem__)]
+    langs = tree.members[family]
+    tally = [0.0] * len(langs)
+    for a, b, w, c in tree.pairs.get(family, []):
+        m = dot(w) + float(c)
+        tally[a if m > 0 else b] += 1
+        sure = 1 / (1 + np.exp(-4.0 * m))
+        tally[a] += sure / (2 * len(langs))
+        tally[b] += (1 - sure) / (2 * len(langs))
+    return langs[max(range(len(langs)), key=tally.__getitem__)]
+
+
+def test_language_against_plain_votes(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text", "lang")
+    tree = language_tree.fit_tree(*language_tree._sample(docs.filter(r"lang is not null").select("text", "lang").filter(F.col("text").rlike(r"\p{L}"))))
+    assert any(len(m) > 1 for m in tree.members.values())
+    rows = [r for r in docs.orderBy("doc_id").limit(120).collect()]
+    got = tree.predict(language_tree.features(pa.array([r["text"] for r in rows], pa.string())))[0]
+    want = [plain_language(tree, r["text"]) for r in rows]
+    assert [a for a, b in zip(got, want) if b != "und"] == [b for b in want if b != "und"] and len(set(want)) > 2

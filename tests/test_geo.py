@@ -132,3 +132,23 @@ def test_point_from_wkb_hex(spark):
         p = one(spark, G.point_from_wkb_hex(F.lit(wkb)))
         assert (p["x"], p["y"]) == (x, y)
     assert one(spark, G.point_from_wkb_hex(F.lit("00"))) is None
+
+
+def test_simplify_parts_holes_and_other_rows(spark):
+    import math
+
+    from towerlens.operators.simplify import simplify
+
+    circle = [(20 + math.cos(t / 200 * 2 * math.pi) * 3, 20 + math.sin(t / 200 * 2 * math.pi) * 3) for t in range(200)]
+    rings = [[*circle, circle[0]], [(20 + (x - 20) / 3, 20 + (y - 20) / 3) for x, y in [*circle, circle[0]]], [(10.0, 10.0), (11.0, 10.0), (11.0, 11.0), (10.0, 10.0)]]
+    body = [", ".join(f"{x!r} {y!r}" for x, y in r) for r in rings]
+    rows = [(1, f"POLYGON (({body[0]}), ({body[1]}))"), (2, f"MULTIPOLYGON ((({body[0]}), ({body[1]})), (({body[2]})))"), (3, None), (4, "POINT (1 2)"),
+            (5, "POLYGON ((0 0, 1 0, x 1, 1 1, 0 1, 0.5 0.5, 0 0))"), (6, "POLYGON ((0 0, 1 0, 1 1, 0 0))")]
+    df = spark.createDataFrame(rows, "id long, w string").repartition(9)
+    out = {r["id"]: r for r in simplify(df, "w", 0.05, "s").collect()}
+    assert {k: r["s"] for k, r in out.items() if k > 2} == dict(rows[2:]) and out[1]["w"] == rows[0][1]
+    thin = [[p for p, k in zip(r, G.ring_points_kept(__import__("numpy").asarray(r), 0.05)) if k] for r in rings]
+    text = ["(" + ", ".join(f"{x!r} {y!r}" for x, y in r) + ")" for r in thin]
+    assert 8 < len(thin[0]) < 40 and out[1]["s"] == f"POLYGON ({text[0]}, {text[1]})"
+    assert out[2]["s"] == f"MULTIPOLYGON (({text[0]}, {text[1]}), ({text[2]}))"
+    assert simplify(df.limit(0), "w", 0.05).collect() == [] and simplify(df, "w", 0.05).columns == ["id", "w"]

@@ -394,18 +394,14 @@ def bbox_overlaps(rings, minx: float, miny: float, maxx: float, maxy: float) ->
     return (b["maxx"] >= minx) & (b["minx"] <= maxx) & (b["maxy"] >= miny) & (b["miny"] <= maxy)
 
 
-def simplify_ring_dp(points, tol: float):
-    """Douglas-Peucker on one closed ring (list of (x, y)); ends fixed.
-
-    Small per-row helper used by ``towerlens.operators.simplify``.  Rings that
-    would fall below 4 points are returned unchanged.
-    """
-    if points is None or len(points) < 5:
-        return points
+def ring_points_kept(pts, tol: float):
+    """Which points of one closed ring (an array of two columns) Douglas-Peucker keeps; the ends are fixed, and all are
+    kept if fewer than 4 would be."""
     import numpy as np
 
-    pts = np.asarray(points, dtype=float)
     keep = np.zeros(len(pts), dtype=bool)
+    if len(pts) < 5:
+        return ~keep
     keep[0] = keep[-1] = True
     stack = [(0, len(pts) - 1)]
     while stack:
@@ -415,21 +411,27 @@ def simplify_ring_dp(points, tol: float):
         a, b = pts[i], pts[j]
         seg = b - a
         rel = pts[i + 1:j] - a
-        L = float(np.hypot(*seg))
-        if L == 0:
+        length = float(np.hypot(*seg))
+        if length == 0:
             d = np.hypot(rel[:, 0], rel[:, 1])
         else:
-            d = np.abs(seg[0] * rel[:, 1] - seg[1] * rel[:, 0]) / L
+            d = np.abs(seg[0] * rel[:, 1] - seg[1] * rel[:, 0]) / length
         k = int(np.argmax(d))
         if d[k] > tol:
             m = i + 1 + k
             keep[m] = True
             stack.append((i, m))
             stack.append((m, j))
-    out = pts[keep]
-    if len(out) < 4:
+    return keep if keep.sum() >= 4 else np.ones(len(pts), dtype=bool)
+
+
+def simplify_ring_dp(points, tol: float):
+    """``ring_points_kept`` on a list of (x, y)."""
+    import numpy as np
+
+    if points is None or len(points) < 5:
         return points
-    return [tuple(p) for p in out]
+    return [p for p, kept in zip(points, ring_points_kept(np.asarray(points, dtype=float), tol)) if kept]
 
 
 # ---------------------------------------------------------------- WKB points

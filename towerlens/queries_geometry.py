@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from towerlens.functions import geo as G
 from towerlens.functions.cells import cell_boundary_wkt, cell_center, plane_constants
-from towerlens.oracle import cell_sql, sround
+from towerlens.oracle import cell_sql, haversine_sql, sround
 from towerlens.plans import fixtures as fx
 from towerlens.plans import pipelines as pl
-from towerlens.queries import (_CX, _CY, _OCID_CTE, ALLB_CTES, BDC_CTE, SITE_CTES, _csv_folder, _ranked_sql, _sites_markets, all_buildings, lit, query, with_)
+from towerlens.queries import (_CX, _CY, _OCID_CTE, ALLB_CTES, BLD_CTE, BDC_CTE, SITE_CTES, _csv_folder, _ranked_sql, _sites_markets, all_buildings, lit, query, with_)
 
 _H = fx.MARKET_HALF_DIAGONAL
 
@@ -198,3 +198,24 @@ SELECT radio, net AS mnc, CASE net WHEN 260 THEN 'T-Mobile' WHEN 410 THEN 'AT&T'
        area AS lac_tac, cell AS cell_id, range_m, samples FROM here ORDER BY samples DESC, cell LIMIT 20"""))
 def q_explore_top(spark, sf_dir):
     return _explored(spark, sf_dir)[2].drop("lon", "lat", "created_ts", "updated_ts")
+
+
+# ------------------------------------------------------------------ geometry functions by their SQL names
+@query("sql_geometry_functions", with_([fx.BUILDINGS_SQL, BLD_CTE, fx.MARKETS_SQL], f"""
+SELECT building_id, 'ST_Point' AS kind, centroid_lon AS x, centroid_lat AS y,
+       {sround(haversine_sql('centroid_lon', 'centroid_lat', '-122.335e0', '47.608e0'), 3)} AS metres,
+       abs(centroid_lon + 122.30e0) + abs(centroid_lat - 47.60e0) < {lit(_H)} AS inside, true AS same_text
+FROM bld"""))
+def q_sql_geometry(spark, sf_dir):
+    """The functions as a user writes them in SQL, on a frame bound by the SQL step."""
+    from towerlens.functions.sql import register_sql_functions
+    from towerlens.plans.nodes import run_step
+
+    register_sql_functions(spark)
+    placed = pl.with_centroid(fx.buildings(spark, sf_dir)).select("building_id", "centroid_lon", "centroid_lat")
+    corners = [(-122.30, 47.60 - _H), (-122.30 + _H, 47.60), (-122.30, 47.60 + _H), (-122.30 - _H, 47.60), (-122.30, 47.60 - _H)]
+    text = "SELECT building_id, st_geometrytype(p) AS kind, st_x(p) AS x, st_y(p) AS y, round(st_distancesphere(p, st_point(:lon, :lat)), 3) AS metres, " \
+           "st_contains(st_geomfromtext(:area), p) AS inside, st_astext(p) = p AS same_text " \
+           "FROM (SELECT building_id, st_point(centroid_lon, centroid_lat) AS p FROM placed)"
+    return run_step("sql", {"query": text}, {"placed": placed}, spark, {
+        "lon": -122.335, "lat": 47.608, "area": "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in corners) + "))"})

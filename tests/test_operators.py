@@ -228,3 +228,35 @@ def test_site_in_multipolygon_market_is_within(spark):
     after = pl.match_sites(sites, wide)
     same = lambda d: sorted((r["site_id"], r["market_id"]) for r in d.filter("match_type = 'WITHIN'").collect())
     assert same(before) == same(after) and same(before)
+
+
+def _fanout_sides(spark):
+    """Two hot keys, a plain one, keys of one side only, null keys, and equal rows on both sides."""
+    big = spark.createDataFrame([("a", i // 2) for i in range(400)] + [("b", i) for i in range(30)] + [("c", 1), ("only", 2)]
+                                + [(None, 3)] * 5, "k string, bid int")
+    small = spark.createDataFrame([("a", i // 3) for i in range(90)] + [("b", i) for i in range(700)] + [("c", 5), ("other", 6), (None, 7)],
+                                  "k string, sid int")
+    return big, small
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("pairs, most_tasks", [(500, 10_000), (500, 20), (1, 16), (10**9, 10_000)])
+def test_fanout_join_equals_plain_join(spark, how, pairs, most_tasks):
+    from collections import Counter
+
+    from towerlens.operators.skew import fanout_join
+
+    big, small = _fanout_sides(spark)
+    got = fanout_join(big, small, ["k"], how, pairs=pairs, most_tasks=most_tasks)
+    assert got.columns == ["k", "bid", "sid"]
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, big.join(small, ["k"], how).collect()))
+
+
+def test_fanout_join_shares_out_the_rows_it_makes(spark):
+    """A key whose rows are few on both sides but many together is made in many tasks."""
+    from towerlens.operators.skew import fanout_join
+
+    big, small = _fanout_sides(spark)
+    made = fanout_join(big, small, ["k"], "inner", pairs=500).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in made) == 400 * 90 + 30 * 700 + 1
+    assert max(r["count"] for r in made) <= 6000

@@ -260,3 +260,31 @@ def test_fanout_join_shares_out_the_rows_it_makes(spark):
     made = fanout_join(big, small, ["k"], "inner", pairs=500).groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in made) == 400 * 90 + 30 * 700 + 1
     assert max(r["count"] for r in made) <= 6000
+
+
+def test_enriched_classes_equal_the_summary_of_all_rows(spark):
+    """Counted by class before they meet, buildings and coverage rows give what their pairs give, in far fewer rows."""
+    from towerlens.plans import pipelines as pl
+
+    def square(x, y):
+        return f"POLYGON (({x} {y}, {x + 1e-4} {y}, {x + 1e-4} {y + 1e-4}, {x} {y + 1e-4}, {x} {y}))"
+
+    spots = [(-122.340, 47.600), (-122.330, 47.610), (-122.320, 47.620)]
+    buildings = spark.createDataFrame([(i // 2, None if i % 5 == 0 else float(i), square(*spots[i % 3])) for i in range(90)],
+                                      "building_id long, height double, geometry string")
+    placed = pl.downtown_buildings(buildings, pl.ANALYSIS_BOX)
+    keys = sorted(r[0] for r in placed.select("h3_res9_id").distinct().collect())
+    assert len(keys) == 3
+    cells = spark.createDataFrame([(i, None if i % 7 == 0 else 400, None if i % 4 == 0 else i, 1, 0, keys[i % 2]) for i in range(80)] + [(99, 400, 7, 1, 0, None)],
+                                  "fid long, technology int, mindown int, minup int, environmnt int, h3_res9_id string")
+    towers = spark.createDataFrame([(1, "LTE", 11, 47.6005, -122.3405), (2, "NR", 12, 47.62, -122.335)],
+                                   "tower_id long, tower_type string, cell_id long, latitude double, longitude double")
+    everything = pl.enriched_buildings(buildings, cells, towers)
+    classes = pl.enriched_classes(buildings, cells, towers)
+    assert everything.count() == 30 * 40 * 2 + 30
+    assert classes.count() <= 3 * 4
+    for by, value in ((["coverage_quality"], "nearest_tower_distance_m"), (["coverage_quality", "tower_proximity_band"], "min_download_mbps")):
+        want = pl.class_summary(everything, by, value, "v", 3)
+        got = pl.class_summary(classes, by, value, "v", 3, rows="rows")
+        assert got.columns == want.columns and rows(got, *got.columns) == rows(want, *want.columns)
+        assert got.filter("coverage_quality = 'No Coverage'").count()

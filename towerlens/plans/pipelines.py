@@ -254,11 +254,17 @@ def covered_share(df: DataFrame, covered) -> DataFrame:
         F.round(F.col("covered") * F.lit(100.0) / F.col("total"), 1).alias("covered_pct"))
 
 
-def class_summary(df: DataFrame, keys, value: str, value_alias: str, decimals: int = 1) -> DataFrame:
-    """Count and rounded average per class (or per pair of classes)."""
+def class_summary(df: DataFrame, keys, value: str, value_alias: str, decimals: int = 1, rows: str | None = None) -> DataFrame:
+    """Count and rounded average per class (or per pair of classes).
+
+    With ``rows`` a row of ``df`` stands for that many, and ``value`` is a struct of the ``total`` and the number ``n`` of
+    their known values."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("buildings"),
-                                 F.round(F.avg(value), decimals).alias(value_alias))
+    count, mean = F.count(F.lit(1)), F.avg(value)
+    if rows is not None:
+        n = F.sum(F.col(value)["n"])
+        count, mean = F.sum(rows), F.when(n > 0, F.sum(F.col(value)["total"]) / n)
+    return df.groupBy(*keys).agg(count.alias("buildings"), F.round(mean, decimals).alias(value_alias))
 
 
 def describe_numeric(df: DataFrame, col: str, quantiles=(0.05, 0.95), **kw) -> DataFrame:
@@ -316,6 +322,29 @@ def enriched_buildings(buildings: DataFrame, cells: DataFrame, towers: DataFrame
         "nearest_tower_id", "nearest_tower_radio", "nearest_tower_cell_id", "nearest_tower_distance_m", "tower_proximity_band")
 
 
+def enriched_classes(buildings: DataFrame, cells: DataFrame, towers: DataFrame, box: BBox = ANALYSIS_BOX) -> DataFrame:
+    """What ``class_summary`` needs of ``enriched_buildings``, without making its rows: one row for each cell, proximity
+    band and quality class, with the number of ``rows`` and ``total`` and ``n`` of the values that are averaged.
+
+    Buildings and coverage rows are counted by cell and class before they meet, so a cell gives at most as many rows as
+    it has pairs of classes, however many pairs of a building and a coverage row it has."""
+    def known(column: str) -> Column:
+        value = F.col(column).cast("double")
+        return F.struct(F.sum(value).alias("total"), F.count(value).alias("n")).alias(column)
+
+    def times(column: str, copies: Column) -> Column:
+        return F.struct((F.col(column)["total"] * copies).alias("total"),
+                        (F.coalesce(F.col(column)["n"], F.lit(0).cast("long")) * copies).alias("n")).alias(column)
+
+    places = _near_buildings(buildings, towers, box).groupBy("h3_res9_id", "tower_proximity_band").agg(
+        F.count(F.lit(1)).alias("_buildings"), known("nearest_tower_distance_m"))
+    classes = _quality_cells(cells).groupBy("h3_res9_id", "coverage_quality").agg(F.count(F.lit(1)).alias("_cells"), known("min_download_mbps"))
+    met = cell_join(places, classes, "h3_res9_id", "left", cell_cols=("coverage_quality", "_cells", "min_download_mbps"))
+    n_buildings, n_cells = F.col("_buildings"), F.coalesce(F.col("_cells"), F.lit(1).cast("long"))
+    return met.select("h3_res9_id", "tower_proximity_band", _quality_or_none().alias("coverage_quality"),
+                      (n_buildings * n_cells).alias("rows"), times("nearest_tower_distance_m", n_cells), times("min_download_mbps", n_buildings))
+
+
 # ------------------------------------------------------------------ signal analysis
 def signal_analysis(cells: DataFrame, buildings: DataFrame, towers: DataFrame, res: int = 9) -> DataFrame:
     """Per coverage row -- buildings and towers inside its hexagon, areas, signal score.

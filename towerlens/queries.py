@@ -895,6 +895,11 @@ def _enriched(spark, sf_dir):
     return pl.enriched_buildings(fx.buildings(spark, sf_dir), fx.coverage_cells(spark, sf_dir), fx.towers(spark, sf_dir))
 
 
+def _enriched_summary(spark, sf_dir, *args):
+    classes = pl.enriched_classes(fx.buildings(spark, sf_dir), fx.coverage_cells(spark, sf_dir), fx.towers(spark, sf_dir))
+    return pl.class_summary(classes, *args, rows="rows")
+
+
 @query("enriched_buildings", with_(_ENR_CTES, "SELECT * FROM enr"))
 def q_enriched_buildings(spark, sf_dir):
     return _enriched(spark, sf_dir)
@@ -904,22 +909,21 @@ def q_enriched_buildings(spark, sf_dir):
 SELECT coverage_quality, COUNT(*) AS buildings, {sround('AVG(nearest_tower_distance_m)', 0)} AS avg_tower_dist_m
 FROM enr GROUP BY coverage_quality"""))
 def q_quality_distribution(spark, sf_dir):
-    return pl.class_summary(_enriched(spark, sf_dir), "coverage_quality", "nearest_tower_distance_m",
-                            "avg_tower_dist_m", 0)
+    return _enriched_summary(spark, sf_dir, "coverage_quality", "nearest_tower_distance_m", "avg_tower_dist_m", 0)
 
 
 @query("proximity_distribution", with_(_ENR_CTES, f"""
 SELECT tower_proximity_band, COUNT(*) AS buildings, {sround('AVG(min_download_mbps)', 1)} AS avg_download_mbps
 FROM enr GROUP BY tower_proximity_band"""))
 def q_proximity_distribution(spark, sf_dir):
-    return pl.class_summary(_enriched(spark, sf_dir), "tower_proximity_band", "min_download_mbps", "avg_download_mbps")
+    return _enriched_summary(spark, sf_dir, "tower_proximity_band", "min_download_mbps", "avg_download_mbps")
 
 
 @query("quality_by_proximity", with_(_ENR_CTES, f"""
 SELECT coverage_quality, tower_proximity_band, COUNT(*) AS buildings, {sround('AVG(min_download_mbps)', 1)} AS avg_download_mbps
 FROM enr GROUP BY coverage_quality, tower_proximity_band"""))
 def q_quality_by_proximity(spark, sf_dir):
-    return pl.class_summary(_enriched(spark, sf_dir), ["coverage_quality", "tower_proximity_band"], "min_download_mbps", "avg_download_mbps")
+    return _enriched_summary(spark, sf_dir, ["coverage_quality", "tower_proximity_band"], "min_download_mbps", "avg_download_mbps")
 
 
 @query("time_of_day", """

@@ -221,3 +221,14 @@ def test_what_the_library_writes_on_its_way_can_be_removed(spark):
     remove_intermediates(spark)
     assert not shared.exists(spark, run_folder(spark))
     assert written(other, "numbers").count() == 7
+
+
+def test_ranges_are_cut_by_rows_in_memory_and_within_a_frequent_value(spark, tmp_path, monkeypatch):
+    """Equal values take little room in files, so a file may hold more rows than a task can sort; and one value may have them all."""
+    from towerlens.sources import tables
+
+    monkeypatch.setattr(tables, "SORT_BYTES", 100_000)
+    path = f"{tmp_path}/t"
+    publish(spark.range(20_000).select(F.lit(1).alias("k"), (F.col("id") % 3).alias("v")), [], path, "t", cluster_by=["k"])
+    rows = [r["rows"] for r in file_statistics(spark.read.parquet(path), ["k"]).collect()]
+    assert sum(rows) == 20_000 and len(rows) >= 5 and max(rows) < 6_000

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from towerlens.plans.quality import COUNTS, Expectation, Watched
 from towerlens.sources import shared
-from towerlens.sources.tables import FILE_BYTES, clustered
+from towerlens.sources.tables import FILE_BYTES, clustered, ranges_of
 
 
 @dataclass
@@ -80,8 +80,8 @@ def publish(df: DataFrame, rules: Sequence[Expectation], path: str, dataset: str
         done = beside
         if cluster_by:
             done = f"{beside}-ordered"
-            files = max(1, -(-shared.folder_bytes(spark, beside) // file_bytes))
-            clustered(spark.read.schema(df.schema).parquet(beside), cluster_by, files).write.parquet(done)
+            stored = spark.read.schema(df.schema).parquet(beside)
+            clustered(stored, cluster_by, ranges_of(stored, file_bytes)).write.parquet(done)
         shared.replace(spark, done, path)
     finally:
         shared.delete(spark, beside)

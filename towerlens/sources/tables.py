@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from towerlens.operators.skew import file_bytes as file_bytes_of
-from towerlens.operators.skew import written
+from towerlens.operators.skew import memory_bytes, written
 
 
 FILE_BYTES = 128 << 20
+SORT_BYTES = 256 << 20          # of rows in memory, that one task should sort
 _CURVE_BITS = 16
 _CUTS = 256
 
@@ -60,13 +61,21 @@ def curve_key(df: DataFrame, columns: Sequence[str]) -> Column | None:
     return place(*wide)
 
 
+def ranges_of(stored: DataFrame, file_bytes: int = FILE_BYTES) -> int:
+    """How many ranges a frame that reads files is cut into: each takes ``file_bytes`` at most as a file and, as equal
+    values take little room in files, ``SORT_BYTES`` in the task that sorts it."""
+    return max(1, -(-file_bytes_of(stored) // file_bytes), -(-memory_bytes(stored) // SORT_BYTES))
+
+
 def clustered(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
     """Rows in ``files`` ranges, so that statistics of files and row groups prune on every one of ``columns``: by place on
-    a curve over several numeric columns, else by their order."""
+    a curve over several numeric columns, else by their order.  Rows with equal values are cut too, by their place in
+    ``df``, so that no task has all rows of a frequent value."""
     key = curve_key(df, columns)
-    if key is None:
-        return df.repartitionByRange(files, *columns).sortWithinPartitions(*columns)
-    return df.withColumn("_curve", key).repartitionByRange(files, "_curve").sortWithinPartitions("_curve").drop("_curve")
+    if key is not None:
+        df, columns = df.withColumn("_curve", key), ["_curve"]
+    out = df.withColumn("_place", F.monotonically_increasing_id()).repartitionByRange(files, *columns, "_place")
+    return out.sortWithinPartitions(*columns).drop("_curve", "_place")
 
 
 def write_table(df: DataFrame, name: str | None = None, *, path: str | None = None, fmt: str = "parquet",
@@ -82,7 +91,7 @@ def write_table(df: DataFrame, name: str | None = None, *, path: str | None = No
     if cluster_by:
         if not files:
             out = written(df, "unordered")
-            files = max(1, -(-file_bytes_of(out) // file_bytes))
+            files = ranges_of(out, file_bytes)
         out = clustered(out, cluster_by, files)
     elif files:
         out = out.repartition(files)

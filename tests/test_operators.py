@@ -288,3 +288,16 @@ def test_enriched_classes_equal_the_summary_of_all_rows(spark):
         got = pl.class_summary(classes, by, value, "v", 3, rows="rows")
         assert got.columns == want.columns and rows(got, *got.columns) == rows(want, *want.columns)
         assert got.filter("coverage_quality = 'No Coverage'").count()
+
+
+def test_spread_shares_out_a_file_of_one_row_group(spark, tmp_path):
+    """A file of one row group is read in many splits, all but one of which are empty."""
+    from towerlens.operators.skew import spread
+
+    spark.range(0, 1_000_000, 1, 1).selectExpr("id", "uuid() AS text").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    cores = spark.sparkContext.defaultParallelism
+    known = df.filter("id >= 0")
+    assert known.rdd.getNumPartitions() >= min(cores, 4) and known.groupBy(F.spark_partition_id()).count().count() == 1
+    shares = [r["count"] for r in spread(known).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(shares) >= cores and max(shares) < 2_000_000 / cores and sum(shares) == 1_000_000

@@ -30,6 +30,7 @@ DEFAULT_SAMPLE_FRACTION = 0.01
 PAIRS_PER_TASK = 4_000_000            # rows that one cut of a key may make
 ROWS_PER_TASK = 500_000               # rows that one task of a fan-out should read
 MOST_TASKS = 10_000
+ROW_GROUP_BYTES = 128 << 20           # of a Parquet file, which one task reads
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -104,18 +105,20 @@ def row_count_at_most(df: DataFrame, limit: int) -> int | None:
 def spread(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Give CPU-heavy per-row work at least one partition per core.
 
-    A small input (one parquet row group) arrives as a single partition and
-    would run on one core; a large input already has many more partitions
-    than cores and is returned unchanged, so this never adds a shuffle at
-    scale.  A plan that already contains an exchange runs at shuffle
-    parallelism and is left alone (asking it for its RDD would make adaptive
-    execution run its stages eagerly).
+    A small input (one parquet row group) runs on one core, however many
+    splits its file is read in: all but one of them are empty.  Files are
+    therefore left as they come only if they fill a row group for every core
+    (or are very many), so this never adds a shuffle at scale.  A plan that
+    already contains an exchange runs at shuffle parallelism and is left alone
+    (asking it for its RDD would make adaptive execution run its stages eagerly).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if "Exchange" in df._jdf.queryExecution().sparkPlan().toString():
         return df
     if df.rdd.getNumPartitions() >= cores:
-        return df
+        files = df.inputFiles()
+        if not files or len(files) >= 16 * cores or file_bytes(df) >= cores * ROW_GROUP_BYTES:
+            return df
     return df.repartition(cores, *[F.col(k) for k in keys]) if keys else df.repartition(cores)
 
 

@@ -262,6 +262,45 @@ def test_fanout_join_shares_out_the_rows_it_makes(spark):
     assert max(r["count"] for r in made) <= 6000
 
 
+def test_fanout_join_deals_rows_at_equal_distances(spark):
+    """A key that comes back at equal distances is cut as evenly as any other."""
+    from towerlens.operators.skew import fanout_join
+
+    one = spark.range(0, 3200, 1, 1).selectExpr("IF(id % 16 = 0, -1, id) AS k", "id")
+    made = fanout_join(one.withColumnRenamed("id", "bid"), one.withColumnRenamed("id", "sid"), ["k"], "inner", pairs=160)
+    made = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(made) == 200 * 200 + 3000
+    assert max(made) <= 4000
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_fanout_join_cuts_one_row_that_meets_many(spark, monkeypatch, how):
+    """Few pairs, but nearly all of one big row: they are cut as well."""
+    from towerlens.operators import skew
+
+    monkeypatch.setattr(skew, "PART_ROWS", 100)
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 100)
+    big = spark.createDataFrame([("a", 1), ("b", 2), ("only", 3), (None, 4)], "k string, bid int")
+    small = spark.createDataFrame([("a", i // 2) for i in range(2000)] + [("b", 5), (None, 6)], "k string, sid int")
+    joined = skew.fanout_join(big, small, ["k"], how)
+    got, want = [sorted(map(str, map(tuple, d.collect()))) for d in (joined, big.join(small, ["k"], how))]
+    assert got == want and joined.columns == ["k", "bid", "sid"]
+    assert max(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()) <= 1000
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_fanout_join_of_keys_alone(spark, how):
+    from collections import Counter
+
+    from towerlens.operators.skew import fanout_join
+
+    big, small = _fanout_sides(spark)
+    got = fanout_join(big, small.select("k"), ["k"], how, pairs=500)
+    want = big.join(small.select("k"), ["k"], how)
+    assert got.columns == ["k", "bid"]
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+
+
 def test_enriched_classes_equal_the_summary_of_all_rows(spark):
     """Counted by class before they meet, buildings and coverage rows give what their pairs give, in far fewer rows."""
     from towerlens.plans import pipelines as pl
